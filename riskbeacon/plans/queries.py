@@ -141,3 +141,274 @@ def q_preds7(spark, sf_dir):
           doubles=["y_count", "y_score"])
 def q_preds3(spark, sf_dir):
     return pipeline.window_run(spark, sf_dir, 3).predictions
+
+
+# ======================================================== E: metrics =======
+from riskbeacon.operators import metrics as M  # noqa: E402
+from riskbeacon.operators import topk as TK  # noqa: E402
+
+_MET = ["n_rows", "positive_rate", "precision", "recall", "f1", "auc"]
+
+
+def _pred_sql(final: str, w: int = 7, extra: list | None = None) -> str:
+    return S.with_ctes(S.predictions_ctes(w) + (extra or []), final)
+
+
+def _mlong_sql(final: str, w: int = 7) -> str:
+    return S.with_ctes(S.predictions_ctes(w) + S.metrics_long_ctes(w), final)
+
+
+def _preds(spark, sf_dir, w: int = 7):
+    return pipeline.window_run(spark, sf_dir, w).predictions
+
+
+def _preds_grouped(spark, sf_dir, w: int = 7):
+    # Out-of-domain slicing column: the region's state plays the group role.
+    return _preds(spark, sf_dir, w).withColumn("crime_group", M.simple_state())
+
+
+def _mlong(spark, sf_dir, w: int = 7):
+    return M.metrics_long(_preds_grouped(spark, sf_dir, w), w)
+
+
+@register("op_e3_summary_by_dataset_model",
+          _pred_sql("SELECT dataset, model, n_rows, positive_rate, precision, recall, f1, auc AS auc_roc FROM e3_m",
+                    extra=S.metrics_ctes("preds", ["dataset", "model"], "e3_")),
+          doubles=["positive_rate", "precision", "recall", "f1", "auc_roc"])
+def q_e3(spark, sf_dir):
+    return M.summary_by_dataset_model(_preds(spark, sf_dir))
+
+
+@register("op_e4_overall_by_seed",
+          _pred_sql("SELECT seed, dataset AS domain, model, auc, f1, recall, precision, n_rows FROM e4_m",
+                    extra=S.metrics_ctes("preds", ["seed", "dataset", "model"], "e4_")),
+          doubles=["auc", "f1", "recall", "precision"], bench=True)
+def q_e4(spark, sf_dir):
+    return M.overall_by_seed(_preds(spark, sf_dir))
+
+
+def _temporal_sql(period: str) -> str:
+    b = S.month_bucket("time_id") if period == "M" else \
+        "CAST(year(CAST(time_id AS DATE)) AS VARCHAR) || 'Q' || CAST(quarter(CAST(time_id AS DATE)) AS VARCHAR)"
+    return _pred_sql("SELECT dataset, model, period, n_rows, precision, recall, f1, auc AS auc_roc FROM e5_m",
+                     extra=[("e5src", f"SELECT *, {b} AS period FROM preds")]
+                     + S.metrics_ctes("e5src", ["dataset", "model", "period"], "e5_"))
+
+
+@register("op_e5_temporal_monthly", _temporal_sql("M"), doubles=["precision", "recall", "f1", "auc_roc"])
+def q_e5m(spark, sf_dir):
+    return M.temporal_metrics(_preds(spark, sf_dir), "M")
+
+
+@register("op_e5_temporal_quarterly", _temporal_sql("Q"), doubles=["precision", "recall", "f1", "auc_roc"])
+def q_e5q(spark, sf_dir):
+    return M.temporal_metrics(_preds(spark, sf_dir), "Q")
+
+
+@register("op_e6_temporal_f1_by_seed",
+          _mlong_sql("SELECT seed, dataset AS domain, model, date_bucket, 'f1' AS metric, f1 AS value FROM tm_m"),
+          doubles=["value"])
+def q_e6(spark, sf_dir):
+    return M.temporal_f1_by_seed(_preds(spark, sf_dir), "M")
+
+
+@register("op_e7_neighbor_metrics_by_seed",
+          _mlong_sql("SELECT seed, domain, model, metric AS neighbor_metric, value FROM mlong "
+                     "WHERE slice = 'neighbor_overall'"), doubles=["value"])
+def q_e7(spark, sf_dir):
+    return M.neighbor_metrics_by_seed(_preds(spark, sf_dir))
+
+
+@register("op_e8_group_metrics_by_seed",
+          _mlong_sql("SELECT seed, domain, model, crime_group, metric, value FROM mlong WHERE slice = 'crime_group'"),
+          doubles=["value"])
+def q_e8(spark, sf_dir):
+    return M.group_metrics_by_seed(_preds_grouped(spark, sf_dir))
+
+
+_BUCKET_SQL = [
+    ("bbase", "SELECT DISTINCT region_id, time_id, y, y_count FROM preds WHERE dataset = 'out_domain'"),
+    ("bwork", "SELECT region_id, avg(y_count) AS workload FROM bbase GROUP BY region_id"),
+    ("brank", """SELECT region_id, workload, row_number() OVER (ORDER BY workload, region_id) AS rk,
+       count(*) OVER () AS rr FROM bwork"""),
+    ("bmap", """SELECT region_id, workload, 'Q' || CAST(CASE WHEN least(4, rr) <= 1 THEN 1
+       ELSE greatest(1, CAST(ceil(least(4, rr) * (rk - 1) / CAST(rr - 1 AS DOUBLE)) AS INTEGER)) END AS VARCHAR)
+       AS region_bucket FROM brank"""),
+    ("bsrc", "SELECT p.*, b.region_bucket FROM preds p JOIN bmap b ON p.region_id = b.region_id "
+             "WHERE p.dataset = 'out_domain'"),
+]
+
+
+@register("op_e9_region_buckets", _pred_sql("SELECT region_id, workload, region_bucket FROM bmap", extra=_BUCKET_SQL),
+          doubles=["workload"])
+def q_e9a(spark, sf_dir):
+    return M.region_buckets(_preds(spark, sf_dir))
+
+
+@register("op_e9_region_bucket_metrics",
+          _pred_sql("SELECT seed, model, region_bucket, auc, f1, n_rows FROM e9_m",
+                    extra=_BUCKET_SQL + S.metrics_ctes("bsrc", ["seed", "model", "region_bucket"], "e9_")),
+          doubles=["auc", "f1"])
+def q_e9b(spark, sf_dir):
+    return M.region_bucket_metrics_by_seed(_preds(spark, sf_dir))
+
+
+@register("op_e10_metrics_long", _mlong_sql("SELECT * FROM mlong"), doubles=["value"], bench=True)
+def q_e10(spark, sf_dir):
+    return _mlong(spark, sf_dir)
+
+
+@register("op_e11_metrics_completeness", _mlong_sql(
+    """SELECT e.model, e.seed, e.domain, e.metric FROM
+  (SELECT * FROM (VALUES ('baseline_persistence'), ('rolling_mean'), ('ewma')) m(model),
+                 (VALUES (0), (1), (2)) s(seed), (VALUES ('in_domain'), ('out_domain')) d(domain),
+                 (VALUES ('auc'), ('f1'), ('recall'), ('precision')) k(metric)) e
+WHERE NOT EXISTS (SELECT 1 FROM mlong l WHERE l.slice = 'overall' AND l.model = e.model AND l.seed = e.seed
+                  AND l.domain = e.domain AND l.metric = e.metric)"""))
+def q_e11(spark, sf_dir):
+    return M.metrics_completeness(spark, _mlong(spark, sf_dir))
+
+
+@register("op_e12_seed_mean_overall",
+          _mlong_sql("SELECT dataset, model, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1, "
+                     "avg(auc) AS auc_roc FROM ov_m GROUP BY dataset, model"),
+          doubles=["precision", "recall", "f1", "auc_roc"])
+def q_e12(spark, sf_dir):
+    return M.seed_mean_overall(_preds(spark, sf_dir))
+
+
+@register("op_e13_seed_mean_monthly_f1",
+          _mlong_sql("SELECT dataset, model, date_bucket AS period, avg(f1) AS f1 FROM tm_m GROUP BY 1, 2, 3"),
+          doubles=["f1"])
+def q_e13(spark, sf_dir):
+    return M.seed_mean_monthly_f1(_preds(spark, sf_dir))
+
+
+_OV_SQL = "(SELECT dataset, model, avg(f1) AS f1, avg(auc) AS auc_roc FROM ov_m GROUP BY dataset, model)"
+
+
+@register("op_e14_delta_auc", _mlong_sql(
+    f"""SELECT a.model, a.auc_roc AS auc_in_domain, b.auc_roc AS auc_out_domain, a.auc_roc - b.auc_roc AS delta_auc
+FROM {_OV_SQL} a JOIN {_OV_SQL} b ON a.model = b.model AND a.dataset = 'in_domain' AND b.dataset = 'out_domain'"""),
+          doubles=["auc_in_domain", "auc_out_domain", "delta_auc"])
+def q_e14(spark, sf_dir):
+    return M.delta_auc(M.seed_mean_overall(_preds(spark, sf_dir)))
+
+
+@register("op_e15_generalization_gap", _mlong_sql(
+    f"""SELECT a.model, a.auc_roc - b.auc_roc AS delta_auc, a.f1 - b.f1 AS delta_f1
+FROM {_OV_SQL} a JOIN {_OV_SQL} b ON a.model = b.model AND a.dataset = 'in_domain' AND b.dataset = 'out_domain'"""),
+          doubles=["delta_auc", "delta_f1"])
+def q_e15(spark, sf_dir):
+    return M.generalization_gap(M.seed_mean_overall(_preds(spark, sf_dir)))
+
+
+def _mlong_both_sql(final: str) -> str:
+    parts = [f"(WITH {_mlong_sql('SELECT * FROM mlong', w)[5:]})" for w in (7, 3)]
+    return f"WITH mboth AS ({parts[0]} UNION ALL {parts[1]})\n{final}"
+
+
+def _mlong_both(spark, sf_dir):
+    return _mlong(spark, sf_dir, 7).unionByName(_mlong(spark, sf_dir, 3))
+
+
+_GAP_SQL = """(SELECT time_window_days, model, seed, metric,
+        max(CASE WHEN domain = 'in_domain' THEN value END) - max(CASE WHEN domain = 'out_domain' THEN value END) AS delta
+ FROM mboth WHERE slice = 'overall' GROUP BY 1, 2, 3, 4)"""
+
+
+@register("op_e16_window_gap_by_seed", _mlong_both_sql(f"SELECT * FROM {_GAP_SQL} g"), doubles=["delta"])
+def q_e16a(spark, sf_dir):
+    return M.window_gap_by_seed(_mlong_both(spark, sf_dir))
+
+
+@register("op_e16_window_gap_summary", _mlong_both_sql(
+    f"SELECT time_window_days, model, metric, avg(delta) AS mean, coalesce(stddev_samp(delta), 0.0) AS std "
+    f"FROM {_GAP_SQL} g GROUP BY 1, 2, 3"), doubles=["mean", "std"])
+def q_e16b(spark, sf_dir):
+    return M.window_gap_summary(_mlong_both(spark, sf_dir))
+
+
+@register("op_e17_window_overall_summary", _mlong_both_sql(
+    "SELECT time_window_days, domain, model, metric, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std "
+    "FROM mboth WHERE slice = 'overall' AND metric IN ('auc', 'f1') GROUP BY 1, 2, 3, 4"), doubles=["mean", "std"])
+def q_e17(spark, sf_dir):
+    return M.window_overall_summary(_mlong_both(spark, sf_dir))
+
+
+# ======================================================== E: Top-K =========
+_TOPK_AGG = [
+    ("hagg", "SELECT dataset, model, time_id, region_id, max(y_score) AS score, max(y) AS y_true FROM preds "
+             "GROUP BY 1, 2, 3, 4"),
+    ("hnr", "SELECT dataset, model, count(DISTINCT region_id) AS n_regions FROM hagg GROUP BY 1, 2"),
+    ("hrk", """SELECT h.*, n.n_regions, row_number() OVER (PARTITION BY h.dataset, h.model, h.time_id
+       ORDER BY h.score DESC NULLS LAST, h.region_id) AS rk FROM hagg h JOIN hnr n USING (dataset, model)"""),
+    ("hk", """SELECT dataset, model, least(kreq, n_regions) AS k, time_id, avg(y_true) AS hit
+FROM hrk, (VALUES (1), (3), (5)) kk(kreq) WHERE n_regions > 1 AND rk <= least(kreq, n_regions)
+GROUP BY dataset, model, kreq, least(kreq, n_regions), time_id"""),
+]
+
+
+@register("op_e18_topk_hit_rate", _pred_sql(
+    "SELECT dataset, model, k, count(*) AS weekly_count, avg(hit) AS topk_hit_rate FROM hk "
+    "GROUP BY dataset, model, k", extra=_TOPK_AGG), doubles=["topk_hit_rate"])
+def q_e18(spark, sf_dir):
+    return TK.topk_hit_rate(_preds(spark, sf_dir))
+
+
+_COV_SQL = [
+    ("cagg", "SELECT dataset, seed, model, time_id, region_id, max(y_score) AS risk_score, "
+             "sum(y_count) AS true_incidents FROM preds GROUP BY 1, 2, 3, 4, 5"),
+    ("cnr", "SELECT dataset, count(DISTINCT region_id) AS n_regions FROM cagg GROUP BY 1"),
+    ("cks", """SELECT n.dataset, kk.k FROM cnr n, (VALUES (5), (10), (20), (50), (100)) kk(k) WHERE kk.k <= n.n_regions
+UNION ALL SELECT dataset, greatest(1, n_regions) FROM cnr n
+WHERE NOT EXISTS (SELECT 1 FROM (VALUES (5), (10), (20), (50), (100)) kk(k) WHERE kk.k <= n.n_regions)"""),
+    ("crk", """SELECT *, row_number() OVER (PARTITION BY dataset, seed, model, time_id
+       ORDER BY risk_score DESC NULLS LAST, region_id) AS rk FROM cagg"""),
+    ("cwin", """SELECT c.dataset, c.seed, c.model, c.time_id, k.k,
+       CASE WHEN sum(c.true_incidents) > 0 THEN sum(CASE WHEN c.rk <= k.k THEN c.true_incidents ELSE 0 END)
+            / sum(c.true_incidents) END AS coverage
+FROM crk c JOIN cks k ON c.dataset = k.dataset GROUP BY 1, 2, 3, 4, 5"""),
+    ("cseed", "SELECT dataset AS domain, seed, model, k, avg(coverage) AS coverage FROM cwin GROUP BY 1, 2, 3, 4"),
+]
+
+
+@register("op_e19_topk_coverage", _pred_sql("SELECT * FROM cseed", extra=_COV_SQL), doubles=["coverage"], bench=True)
+def q_e19(spark, sf_dir):
+    return TK.topk_coverage_by_seed(_preds(spark, sf_dir))
+
+
+@register("op_e20_topk_coverage_seed_mean", _pred_sql(
+    "SELECT domain AS dataset, model, k, avg(coverage) AS topk_hit_rate FROM cseed GROUP BY 1, 2, 3",
+    extra=_COV_SQL), doubles=["topk_hit_rate"])
+def q_e20(spark, sf_dir):
+    return TK.topk_coverage_seed_mean(TK.topk_coverage_by_seed(_preds(spark, sf_dir)))
+
+
+_SEL_SQL = [
+    ("ssub", "SELECT * FROM preds WHERE dataset = 'in_domain'"),
+    ("snw", "SELECT seed, model, time_id, count(DISTINCT region_id) AS n FROM ssub GROUP BY 1, 2, 3"),
+    ("srk", """SELECT s.*, greatest(1, least(5, n.n)) AS kk, row_number() OVER (PARTITION BY s.seed, s.model, s.time_id
+       ORDER BY s.y_score DESC NULLS LAST, s.region_id) AS rk
+FROM ssub s JOIN snw n USING (seed, model, time_id)"""),
+    ("swin", "SELECT seed, model, count(DISTINCT time_id) AS nw FROM ssub GROUP BY 1, 2"),
+    ("ssel", """SELECT r.seed, r.model, r.region_id,
+       CAST(sum(CASE WHEN rk <= kk THEN 1 ELSE 0 END) AS DOUBLE) / greatest(max(w.nw), 1) AS topk_selection_rate
+FROM srk r JOIN swin w USING (seed, model) GROUP BY 1, 2, 3"""),
+]
+
+
+@register("op_e21_topk_selection_frequency", _pred_sql("SELECT * FROM ssel", extra=_SEL_SQL),
+          doubles=["topk_selection_rate"])
+def q_e21(spark, sf_dir):
+    return TK.topk_selection_frequency(_preds(spark, sf_dir))
+
+
+@register("op_e22_best_model", _mlong_sql(
+    """SELECT model, mean_f1 FROM (
+  SELECT model, avg(value) AS mean_f1,
+         CASE model WHEN 'baseline_persistence' THEN 1 WHEN 'rolling_mean' THEN 2 ELSE 3 END AS o
+  FROM mlong WHERE slice = 'overall' AND domain = 'in_domain' AND metric = 'f1' GROUP BY model
+) t ORDER BY mean_f1 DESC, o LIMIT 1"""), doubles=["mean_f1"])
+def q_e22(spark, sf_dir):
+    return M.best_model(_mlong(spark, sf_dir))

@@ -196,3 +196,75 @@ def predictions_ctes(w: int) -> list[tuple[str, str]]:
         return "\nUNION ALL\n".join(parts)
 
     return split_ctes(w) + [("preds", block("test_x", "in_domain") + "\nUNION ALL\n" + block("out_x", "out_domain"))]
+
+
+# ------------------------------------------------------------- metrics ----
+def metrics_ctes(src: str, keys: list[str], p: str, y: str = "y", pred: str = "y_pred",
+                 score: str = "y_score") -> list[tuple[str, str]]:
+    """CTE ``{p}m``: keys + n_rows, positive_rate, precision, recall, f1, auc.
+    AUC by the rank-sum formula with average ranks for ties."""
+    k = ", ".join(keys)
+    kj = " AND ".join(f"c.{x} IS NOT DISTINCT FROM a.{x}" for x in keys)
+    return [
+        (f"{p}conf", f"""SELECT {k}, count(*) AS n_rows, avg(CAST({y} AS DOUBLE)) AS positive_rate,
+       sum(CASE WHEN {y} = 1 AND {pred} = 1 THEN 1 ELSE 0 END) AS tp,
+       sum(CASE WHEN {y} = 0 AND {pred} = 1 THEN 1 ELSE 0 END) AS fp,
+       sum(CASE WHEN {y} = 1 AND {pred} = 0 THEN 1 ELSE 0 END) AS fn
+FROM {src} GROUP BY {k}"""),
+        (f"{p}rk", f"""SELECT {k}, {y} AS yy,
+       rank() OVER (PARTITION BY {k} ORDER BY {score}) + (count(*) OVER (PARTITION BY {k}, {score}) - 1) / 2.0 AS r
+FROM {src} WHERE {score} IS NOT NULL"""),
+        (f"{p}auc", f"""SELECT {k}, CASE WHEN sum(yy) > 0 AND sum(1 - yy) > 0 THEN
+       (sum(CASE WHEN yy = 1 THEN r ELSE 0 END) - CAST(sum(yy) AS DOUBLE) * (sum(yy) + 1) / 2.0)
+       / (CAST(sum(yy) AS DOUBLE) * sum(1 - yy)) END AS auc
+FROM {p}rk GROUP BY {k}"""),
+        (f"{p}m", f"""SELECT c.*, 
+       CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+       CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
+       a.auc
+FROM {p}conf c LEFT JOIN {p}auc a ON {kj}"""),
+    ]
+
+
+def state_simple(x: str) -> str:
+    s = f"split_part(upper(trim({x})), '__', 1)"
+    return f"CASE WHEN {s} = '' THEN 'UNK' ELSE {s} END"
+
+
+def month_bucket(t: str) -> str:
+    return f"strftime(CAST({t} AS DATE), '%Y-%m')"
+
+
+def metrics_long_ctes(w: int, p: str = "") -> list[tuple[str, str]]:
+    """predictions + metrics long (overall, temporal F1, group, neighbor) as
+    ``{p}mlong``; assumes ``preds`` exists (use inside predictions_ctes)."""
+    ctes = []
+    ctes += metrics_ctes("preds", ["seed", "dataset", "model"], f"{p}ov_")
+    ctes += [(f"{p}tsrc", f"SELECT *, {month_bucket('time_id')} AS date_bucket FROM preds")]
+    ctes += metrics_ctes(f"{p}tsrc", ["seed", "dataset", "model", "date_bucket"], f"{p}tm_")
+    ctes += [(f"{p}nbsrc", f"""SELECT *, max(y) OVER (PARTITION BY seed, dataset, model, {state_simple('region_id')}, time_id)
+       AS y_neighbor FROM preds""")]
+    ctes += metrics_ctes(f"{p}nbsrc", ["seed", "dataset", "model"], f"{p}nb_", y="y_neighbor")
+    ctes += [(f"{p}gsrc", f"SELECT *, {state_simple('region_id')} AS crime_group FROM preds WHERE dataset = 'out_domain'")]
+    ctes += metrics_ctes(f"{p}gsrc", ["seed", "model", "crime_group"], f"{p}gm_")
+
+    def unp(src: str, metrics: list[str], extra_cols: str, slice_name: str, filt: str = "") -> str:
+        parts = []
+        for m in metrics:
+            parts.append(f"""SELECT {w} AS time_window_days, {extra_cols}, '{m}' AS metric,
+       CAST({m} AS DOUBLE) AS value, '{slice_name}' AS slice FROM {src} {filt}""")
+        return "\nUNION ALL\n".join(parts)
+
+    base = "dataset AS domain, model, CAST(seed AS INTEGER) AS seed"
+    ctes += [(f"{p}mlong", "\nUNION ALL\n".join([
+        unp(f"{p}ov_m", ["auc", "f1", "recall", "precision"], base + ", '' AS crime_group, '' AS date_bucket",
+            "overall"),
+        unp(f"{p}tm_m", ["f1"], base + ", '' AS crime_group, date_bucket", "temporal"),
+        unp(f"{p}gm_m", ["auc", "f1"],
+            "'out_domain' AS domain, model, CAST(seed AS INTEGER) AS seed, crime_group, '' AS date_bucket",
+            "crime_group", f"WHERE (SELECT count(DISTINCT crime_group) FROM {p}gsrc) > 1"),
+        unp(f"{p}nb_m", ["auc", "f1", "recall", "precision"], base + ", '' AS crime_group, '' AS date_bucket",
+            "neighbor_overall"),
+    ]))]
+    return ctes
