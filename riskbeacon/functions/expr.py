@@ -151,3 +151,13 @@ def group_count_col(group: str) -> str:
 
 
 GROUP_COUNT_COLS = [group_count_col(g) for g in CRIME_GROUPS]
+
+
+def side_by_side(*one_row_frames):
+    """Place single-row aggregates next to each other (equi-join on a
+    constant key, each side broadcast - every input has exactly one row)."""
+    from pyspark.sql import functions as _F
+    out = one_row_frames[0].withColumn("__one", _F.lit(1))
+    for f in one_row_frames[1:]:
+        out = out.join(_F.broadcast(f.withColumn("__one", _F.lit(1))), "__one", "inner")
+    return out.drop("__one")

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskbeacon.functions.expr import side_by_side
 from riskbeacon.config import DATASET_IN, DATASET_OUT, MODEL_ORDER, N_REGION_BUCKETS
 
 METRICS4 = ["auc", "f1", "recall", "precision"]
@@ -136,7 +137,7 @@ def group_metrics_by_seed(pred: DataFrame, group_col: str = "crime_group", datas
                                    F.lit("").alias("crime_group"), F.lit("").alias("metric"),
                                    F.lit(0.0).alias("value"))
     n_groups = sub.agg(F.count_distinct(group_col).alias("n"))
-    m = classification_metrics(sub, ["seed", "model", group_col]).crossJoin(F.broadcast(n_groups))
+    m = side_by_side(classification_metrics(sub, ["seed", "model", group_col]), n_groups)
     m = m.filter(F.col("n") > 1).withColumn("domain", F.lit(dataset)).withColumnRenamed(group_col, "crime_group")
     return _unpivot(m, ["seed", "domain", "model", "crime_group"], ["auc", "f1"], "metric")
 

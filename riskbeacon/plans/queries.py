@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskbeacon.config import CRIME_GROUPS, FEATURE_NUMERIC
+from riskbeacon.functions.expr import side_by_side
 from riskbeacon.operators import labels, panel
 from riskbeacon.operators.features import build_supervised
 from riskbeacon.plans import pipeline
@@ -71,8 +72,9 @@ def _thr_sql(w: int) -> str:
 
 def _thr_spark(spark, sf_dir, w):
     r = pipeline.window_run(spark, sf_dir, w)
-    counts = r.train.agg(F.count(F.lit(1)).alias("n_train")).crossJoin(
-        r.test.agg(F.count(F.lit(1)).alias("n_test"))).crossJoin(r.out.agg(F.count(F.lit(1)).alias("n_out")))
+    counts = side_by_side(r.train.agg(F.count(F.lit(1)).alias("n_train")),
+                          r.test.agg(F.count(F.lit(1)).alias("n_test")),
+                          r.out.agg(F.count(F.lit(1)).alias("n_out")))
     return counts.select(F.lit(w).alias("time_window_days"), F.lit(r.threshold).alias("threshold"),
                          F.lit(r.test_start).alias("test_start"), F.lit(r.test_end).alias("test_end"),
                          "n_train", "n_test", "n_out")
@@ -412,3 +414,244 @@ def q_e21(spark, sf_dir):
 ) t ORDER BY mean_f1 DESC, o LIMIT 1"""), doubles=["mean_f1"])
 def q_e22(spark, sf_dir):
     return M.best_model(_mlong(spark, sf_dir))
+
+
+# ======================================================== G: cube ==========
+from riskbeacon.operators import cube as G  # noqa: E402
+
+# Dashboard parameters of the registered views (sidebar defaults / examples).
+G_FILTER = dict(year_range=(1996, 1999), districts=[1, 2, 3, 5, 8], crime_types=["1-URGENT", "2-HIGH", "3-MEDIUM"],
+                arrest_filter="Arrested Only")
+G_TOP_N = 15
+
+
+def _city(spark, sf_dir):
+    return standin.city_clean(spark, sf_dir)
+
+
+def _g_sql(final: str, extra=None) -> str:
+    return S.with_ctes([("city", S.city())] + (extra or []), final)
+
+
+_G1_WHERE = ('"Year" BETWEEN 1996 AND 1999 AND "District" IN (1, 2, 3, 5, 8) '
+             "AND \"Primary Type\" IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND \"Arrest\" = TRUE")
+
+
+@register("op_g1_filters", _g_sql(f"SELECT * FROM city WHERE {_G1_WHERE}"), doubles=["Latitude", "Longitude"])
+def q_g1(spark, sf_dir):
+    return G.apply_filters(_city(spark, sf_dir), **G_FILTER)
+
+
+@register("op_g2_filter_domains", _g_sql(
+    """SELECT 'year_min' AS kind, CAST(min("Year") AS VARCHAR) AS value FROM city
+UNION ALL SELECT 'year_max', CAST(max("Year") AS VARCHAR) FROM city
+UNION ALL SELECT DISTINCT 'district', CAST("District" AS VARCHAR) FROM city WHERE "District" IS NOT NULL
+UNION ALL SELECT DISTINCT 'type', "Primary Type" FROM city WHERE "Primary Type" IS NOT NULL"""))
+def q_g2(spark, sf_dir):
+    return G.filter_domains(_city(spark, sf_dir))
+
+
+@register("op_g3_kpis", _g_sql(
+    """SELECT count(*) AS total, count(DISTINCT "Primary Type") AS n_types,
+       avg(CAST("Arrest" AS DOUBLE)) * 100 AS arrest_rate_pct, count(DISTINCT "District") AS n_districts,
+       CAST(max("Year") AS INTEGER) AS latest_year,
+       (SELECT t FROM (SELECT "Primary Type" AS t, count(*) AS n FROM city GROUP BY 1) ORDER BY n DESC, t LIMIT 1)
+         AS top_type,
+       (SELECT h FROM (SELECT CAST("Hour" AS INTEGER) AS h, count(*) AS n FROM city GROUP BY 1) ORDER BY n DESC, h LIMIT 1)
+         AS peak_hour
+FROM city"""), doubles=["arrest_rate_pct"], bench=True)
+def q_g3(spark, sf_dir):
+    return G.kpis(_city(spark, sf_dir))
+
+
+@register("op_g4_yoy", _g_sql(
+    """SELECT y.yr AS latest_year, y.n AS latest_count, p.n AS prev_count,
+       CASE WHEN p.n IS NOT NULL AND p.n <> 0 THEN y.n - p.n END AS yoy_delta,
+       CASE WHEN p.n IS NOT NULL AND p.n <> 0 THEN (y.n - p.n) * 100.0 / p.n END AS yoy_delta_pct
+FROM (SELECT CAST("Year" AS INTEGER) AS yr, count(*) AS n FROM city GROUP BY 1) y
+LEFT JOIN (SELECT CAST("Year" AS INTEGER) AS yr, count(*) AS n FROM city GROUP BY 1) p ON p.yr = y.yr - 1
+WHERE y.yr = (SELECT max(CAST("Year" AS INTEGER)) FROM city)"""), doubles=["yoy_delta_pct"])
+def q_g4(spark, sf_dir):
+    return G.yoy(_city(spark, sf_dir))
+
+
+@register("op_g5_counts_by_year", _g_sql('SELECT "Year", count(*) AS count FROM city GROUP BY 1'))
+def q_g5(spark, sf_dir):
+    return G.counts_by(_city(spark, sf_dir), "Year")
+
+
+def _dense_sql(col: str, values) -> str:
+    if col == "DayOfWeek":
+        axis = ", ".join(f"({i}, '{v}')" for i, v in enumerate(values))
+        cast = f'"{col}"'
+    else:
+        axis = ", ".join(f"({i}, {v})" for i, v in enumerate(values))
+        cast = f'CAST("{col}" AS INTEGER)'
+    return _g_sql(f"""SELECT a.ord, a.v AS "{col}", CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (VALUES {axis}) a(ord, v) LEFT JOIN (SELECT {cast} AS v, count(*) AS n FROM city GROUP BY 1) c ON a.v = c.v""")
+
+
+@register("op_g6_counts_by_month", _dense_sql("Month", G.MONTH_ORDER))
+def q_g6(spark, sf_dir):
+    return G.dense_counts(spark, _city(spark, sf_dir), "Month")
+
+
+@register("op_g7_counts_by_hour", _dense_sql("Hour", G.HOUR_ORDER))
+def q_g7(spark, sf_dir):
+    return G.dense_counts(spark, _city(spark, sf_dir), "Hour")
+
+
+@register("op_g8_counts_by_dayofweek", _dense_sql("DayOfWeek", G.DAY_ORDER))
+def q_g8(spark, sf_dir):
+    return G.dense_counts(spark, _city(spark, sf_dir), "DayOfWeek")
+
+
+def _pivot_sql(row: str, col: str, values, dense_days: bool = False) -> str:
+    cells = ", ".join(f'count(*) FILTER (WHERE CAST("{col}" AS INTEGER) = {v}) AS "{v}"' for v in values)
+    base = f'SELECT "{row}", {cells} FROM city GROUP BY 1'
+    if not dense_days:
+        return _g_sql(base)
+    axis = ", ".join(f"({i}, '{v}')" for i, v in enumerate(G.DAY_ORDER))
+    fill = ", ".join(f'coalesce(p."{v}", 0) AS "{v}"' for v in values)
+    return _g_sql(f"""SELECT a.d AS "{row}", a.ord, {fill}
+FROM (VALUES {axis}) a(ord, d) LEFT JOIN ({base}) p ON a.d = p."{row}\"""")
+
+
+@register("op_g9_pivot_year_hour", _pivot_sql("Year", "Hour", G.HOUR_ORDER))
+def q_g9(spark, sf_dir):
+    return G.pivot_counts(spark, _city(spark, sf_dir), "Year", "Hour")
+
+
+@register("op_g10_pivot_year_month", _pivot_sql("Year", "Month", G.MONTH_ORDER))
+def q_g10(spark, sf_dir):
+    return G.pivot_counts(spark, _city(spark, sf_dir), "Year", "Month")
+
+
+@register("op_g11_pivot_day_hour", _pivot_sql("DayOfWeek", "Hour", G.HOUR_ORDER, dense_days=True))
+def q_g11(spark, sf_dir):
+    return G.pivot_counts(spark, _city(spark, sf_dir), "DayOfWeek", "Hour")
+
+
+@register("op_g12_compare_types_monthly", _g_sql(
+    """SELECT g.value, g.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT * FROM (VALUES ('1-URGENT'), ('5-LOW')) v(value), (SELECT unnest(range(1, 13)) AS bucket) b) g
+LEFT JOIN (SELECT "Primary Type" AS value, CAST("Month" AS INTEGER) AS bucket, count(*) AS n FROM city
+           WHERE "Primary Type" IN ('1-URGENT', '5-LOW') GROUP BY 1, 2) c
+ON g.value = c.value AND g.bucket = c.bucket"""))
+def q_g12(spark, sf_dir):
+    return G.compare_series(spark, _city(spark, sf_dir), G.C_TYPE, ["1-URGENT", "5-LOW"], "Monthly")
+
+
+@register("op_g13_outliers_daily", _g_sql(
+    """SELECT "Date", count, z, is_outlier, is_peak FROM (
+  SELECT *, (abs_z IS NOT NULL AND row_number() OVER (ORDER BY abs_z DESC NULLS LAST, "Date") <= 3) AS is_outlier,
+         row_number() OVER (ORDER BY count DESC, "Date") = 1 AS is_peak
+  FROM (SELECT *, CASE WHEN abs(z) >= 2.0 THEN abs(z) END AS abs_z FROM (
+    SELECT "Date", count, CASE WHEN count(*) OVER () >= 3 AND stddev_pop(count) OVER () > 0
+           THEN (count - avg(count) OVER ()) / stddev_pop(count) OVER () END AS z
+    FROM (SELECT "Date", count(*) AS count FROM city GROUP BY 1) s) t) u
+) v WHERE is_outlier OR is_peak"""), doubles=["z"])
+def q_g13(spark, sf_dir):
+    daily = G.counts_by(_city(spark, sf_dir), "Date")
+    return G.outliers(daily, "Date")
+
+
+@register("op_g14_counts_by_district", _g_sql('SELECT "District", count(*) AS count FROM city GROUP BY 1'))
+def q_g14(spark, sf_dir):
+    return G.counts_by(_city(spark, sf_dir), G.C_DIST)
+
+
+@register("op_g15_community_first_n_by_id", _g_sql(
+    f'SELECT "Community Area", count(*) AS count FROM city GROUP BY 1 ORDER BY 1 LIMIT {G_TOP_N}'))
+def q_g15a(spark, sf_dir):
+    return G.top_n(_city(spark, sf_dir), G.C_AREA, G_TOP_N, order_by="id")
+
+
+@register("op_g15_community_top_n", _g_sql(
+    f'SELECT "Community Area", count(*) AS count FROM city GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {G_TOP_N}'))
+def q_g15b(spark, sf_dir):
+    return G.top_n(_city(spark, sf_dir), G.C_AREA, G_TOP_N)
+
+
+@register("op_g16_top_locations", _g_sql(
+    f'SELECT "Location Description", count(*) AS count FROM city GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {G_TOP_N}'))
+def q_g16(spark, sf_dir):
+    return G.top_n(_city(spark, sf_dir), G.C_LOC, G_TOP_N)
+
+
+@register("op_g17_map_sample")
+def q_g17(spark, sf_dir):
+    return G.map_sample(_city(spark, sf_dir), n=1000)
+
+
+@register("op_g18_heat_grid", _g_sql(
+    """SELECT CAST(floor("Latitude" / 0.01) AS BIGINT) AS lat_cell, CAST(floor("Longitude" / 0.01) AS BIGINT) AS lon_cell,
+       count(*) AS count FROM city WHERE "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL GROUP BY 1, 2"""))
+def q_g18(spark, sf_dir):
+    return G.heat_grid(_city(spark, sf_dir))
+
+
+@register("op_g19_arrests_by_year", _g_sql(
+    'SELECT CAST("Year" AS INTEGER) AS "Year", count(*) AS crimes, count(*) FILTER (WHERE "Arrest") AS arrests '
+    'FROM city GROUP BY 1'))
+def q_g19(spark, sf_dir):
+    return G.arrests_by_year(_city(spark, sf_dir))
+
+
+@register("op_g20_largest_gap_year", _g_sql(
+    """SELECT (SELECT yr FROM a ORDER BY gap DESC, yr LIMIT 1) AS gap_year,
+       (SELECT gap FROM a ORDER BY gap DESC, yr LIMIT 1) AS gap, (SELECT sum(arrests) FROM a) AS total_arrests""",
+    extra=[("a", 'SELECT CAST("Year" AS INTEGER) AS yr, count(*) - count(*) FILTER (WHERE "Arrest") AS gap, '
+                 'count(*) FILTER (WHERE "Arrest") AS arrests FROM city GROUP BY 1')]))
+def q_g20(spark, sf_dir):
+    return G.largest_gap_year(_city(spark, sf_dir))
+
+
+@register("op_g21_arrest_rate_by_type", _g_sql(
+    f"""SELECT "Primary Type", crimes, arrests, arrest_rate, rank, side FROM (
+  SELECT *, row_number() OVER (ORDER BY arrest_rate DESC, "Primary Type") AS rank, 'top' AS side FROM r
+  UNION ALL
+  SELECT *, row_number() OVER (ORDER BY arrest_rate ASC, "Primary Type") AS rank, 'bottom' AS side FROM r
+) x WHERE rank <= {G_TOP_N}""",
+    extra=[("r", 'SELECT "Primary Type", count(*) AS crimes, count(*) FILTER (WHERE "Arrest") AS arrests, '
+                 'CAST(count(*) FILTER (WHERE "Arrest") AS DOUBLE) / count(*) AS arrest_rate FROM city GROUP BY 1 '
+                 'HAVING count(*) FILTER (WHERE "Arrest") > 0')]), doubles=["arrest_rate"])
+def q_g21(spark, sf_dir):
+    return G.arrest_rate_by_type(_city(spark, sf_dir), G_TOP_N)
+
+
+@register("op_g22_arrest_share_by_hour", _g_sql(
+    """SELECT h.h AS "Hour", coalesce(1.0 - a.t, 0.0) AS arrest_false, coalesce(a.t, 0.0) AS arrest_true
+FROM (SELECT unnest(range(0, 24)) AS h) h
+LEFT JOIN (SELECT CAST("Hour" AS INTEGER) AS h, avg(CAST("Arrest" AS DOUBLE)) AS t FROM city GROUP BY 1) a ON h.h = a.h"""),
+          doubles=["arrest_false", "arrest_true"])
+def q_g22(spark, sf_dir):
+    return G.arrest_share(spark, _city(spark, sf_dir), "Hour")
+
+
+@register("op_g23_arrest_share_by_district", _g_sql(
+    'SELECT CAST("District" AS INTEGER) AS "District", 1.0 - avg(CAST("Arrest" AS DOUBLE)) AS arrest_false, '
+    'avg(CAST("Arrest" AS DOUBLE)) AS arrest_true FROM city GROUP BY 1'), doubles=["arrest_false", "arrest_true"])
+def q_g23(spark, sf_dir):
+    return G.arrest_share(spark, _city(spark, sf_dir), G.C_DIST)
+
+
+_TOP6 = '(SELECT "Primary Type" FROM city GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 6)'
+
+
+@register("op_g24_type_hour_top6", _g_sql(
+    'SELECT "Primary Type", ' + ", ".join(f'count(*) FILTER (WHERE CAST("Hour" AS INTEGER) = {h}) AS "{h}"'
+                                          for h in G.HOUR_ORDER)
+    + f' FROM city WHERE "Primary Type" IN {_TOP6} GROUP BY 1'))
+def q_g24(spark, sf_dir):
+    return G.type_hour_crosstab(_city(spark, sf_dir), 6)
+
+
+@register("op_g25_type_district_composition", _g_sql(
+    f"""SELECT "Primary Type", "District", n AS count, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY "District") AS share
+FROM (SELECT "Primary Type", "District", count(*) AS n FROM city
+      WHERE "Primary Type" IN (SELECT "Primary Type" FROM city GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT {G_TOP_N})
+        AND "District" IN (SELECT "District" FROM city GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT {G_TOP_N})
+      GROUP BY 1, 2) m"""), doubles=["share"])
+def q_g25(spark, sf_dir):
+    return G.type_district_composition(_city(spark, sf_dir), G_TOP_N)

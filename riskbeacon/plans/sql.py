@@ -268,3 +268,17 @@ def metrics_long_ctes(w: int, p: str = "") -> list[tuple[str, str]]:
             "neighbor_overall"),
     ]))]
     return ctes
+
+
+# ---------------------------------------------------------------- cube -----
+def city() -> str:
+    return """SELECT CAST(o.o_orderdate AS DATE) AS "Date", strftime(o.o_orderdate, '%H:%M:%S') AS "Time",
+       o.o_orderpriority AS "Primary Type", o.o_orderstatus AS "Description", c.c_mktsegment AS "Location Description",
+       (o.o_orderstatus = 'F') AS "Arrest", (o.o_orderstatus = 'P') AS "Domestic",
+       CAST(c.c_nationkey AS SMALLINT) AS "District", CAST(o.o_custkey % 77 AS SMALLINT) AS "Community Area",
+       CAST(year(o.o_orderdate) AS SMALLINT) AS "Year",
+       CAST(41.6 AS DOUBLE) + CAST(o.o_orderkey % 400 AS DOUBLE) / 1000.0 AS "Latitude",
+       CAST(-87.9 AS DOUBLE) + CAST((o.o_orderkey * 7) % 400 AS DOUBLE) / 1000.0 AS "Longitude",
+       CAST(month(o.o_orderdate) AS TINYINT) AS "Month", dayname(o.o_orderdate) AS "DayOfWeek",
+       CAST(o.o_orderkey % 24 AS TINYINT) AS "Hour"
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
