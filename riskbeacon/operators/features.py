@@ -47,8 +47,9 @@ def ewma_scan(df: DataFrame, cols: dict[str, str], window, n_max: int, span: int
     step = 1
     while step < max(n_max, 1):
         factor = decay ** step
-        for dst, t in tmp.items():
-            df = df.withColumn(t, F.col(t) + F.lit(factor) * F.coalesce(F.lag(t, step).over(window), F.lit(0.0)))
+        rnd = {t: F.col(t) + F.lit(factor) * F.coalesce(F.lag(t, step).over(window), F.lit(0.0))
+               for t in tmp.values()}
+        df = df.select(*[rnd.get(c, F.col(c)).alias(c) if c in rnd else F.col(c) for c in df.columns])
         step *= 2
     for dst, t in tmp.items():
         df = df.withColumnRenamed(t, dst)

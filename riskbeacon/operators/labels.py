@@ -22,6 +22,17 @@ def test_window_bounds(test_events: DataFrame, window_days: int) -> tuple[dt.dat
     return row["a"], row["b"]
 
 
+def window_of(ts, window_days: int, anchor: str = "2015-01-01") -> dt.date | None:
+    """Window start of one timestamp (driver-side twin of ``time_bin``)."""
+    if ts is None:
+        return None
+    d = ts.date() if isinstance(ts, dt.datetime) else ts
+    if int(window_days) == 7:
+        return d - dt.timedelta(days=d.weekday())
+    a = dt.date.fromisoformat(anchor)
+    return a + dt.timedelta(days=((d - a).days // 3) * 3)
+
+
 def split_train_test(supervised: DataFrame, test_start: dt.date, test_end: dt.date) -> tuple[DataFrame, DataFrame]:
     """Train: window and its target window before the test start. Test:
     windows from the start whose target window ends by the last test window.

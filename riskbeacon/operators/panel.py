@@ -25,6 +25,8 @@ class TimeBounds:
     first: dt.date | None
     last: dt.date | None
     window_days: int
+    first_marked: dt.datetime | None = None   # first event at/after the split date
+    last_event: dt.datetime | None = None
 
     @property
     def n_windows(self) -> int:
@@ -39,7 +41,8 @@ def with_time_id(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE,
     return events.withColumn("time_id", time_bin(F.col(date_col), window_days, anchor))
 
 
-def window_counts(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE) -> DataFrame:
+def window_counts(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE,
+                  mark_from: str | None = None) -> DataFrame:
     """C3 + C5 in one pass: total and per-group counts per (region, window).
 
     Spark plans a partial aggregation before the shuffle, so at most one row
@@ -51,12 +54,23 @@ def window_counts(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE
     aggs = [F.count(F.lit(1)).alias("count")]
     aggs += [F.count_if(F.col("crime_group") == g).cast("double").alias(group_count_col(g))
              for g in CRIME_GROUPS]
+    if mark_from is not None:
+        # First event at/after a split date and last event per cell, so the
+        # test-window bounds come from this same pass (no second event scan).
+        start = F.lit(mark_from).cast("timestamp")
+        aggs += [F.min(F.when(F.col("event_date") >= start, F.col("event_date"))).alias("first_from"),
+                 F.max("event_date").alias("last_date")]
     return ev.groupBy("region_id", "time_id").agg(*aggs)
 
 
-def time_bounds(counts: DataFrame, window_days: int) -> TimeBounds:
-    row = counts.agg(F.min("time_id").alias("a"), F.max("time_id").alias("b")).first()
-    return TimeBounds(row["a"], row["b"], int(window_days))
+def time_bounds(counts: DataFrame, window_days: int, with_marks: bool = False) -> TimeBounds:
+    aggs = [F.min("time_id").alias("a"), F.max("time_id").alias("b")]
+    if with_marks:
+        aggs += [F.min("first_from").alias("f"), F.max("last_date").alias("l")]
+    row = counts.agg(*aggs).first()
+    if not with_marks:
+        return TimeBounds(row["a"], row["b"], int(window_days))
+    return TimeBounds(row["a"], row["b"], int(window_days), row["f"], row["l"])
 
 
 def densify(counts: DataFrame, bounds: TimeBounds) -> DataFrame:
@@ -65,6 +79,7 @@ def densify(counts: DataFrame, bounds: TimeBounds) -> DataFrame:
     if bounds.first is None:
         return counts.limit(0)
     step = F.expr(f"INTERVAL {bounds.window_days} DAYS")
+    counts = counts.select("region_id", "time_id", "count", *GROUP_COUNT_COLS)
     grid = (counts.select("region_id").distinct()
             .select("region_id",
                     F.explode(F.sequence(F.lit(bounds.first), F.lit(bounds.last), step)).alias("time_id")))
@@ -75,14 +90,14 @@ def densify(counts: DataFrame, bounds: TimeBounds) -> DataFrame:
 
 
 def build_panel(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE,
-                persist: bool = True) -> tuple[DataFrame, TimeBounds]:
+                persist: bool = True, mark_from: str | None = None) -> tuple[DataFrame, TimeBounds]:
     """Events -> dense panel (region_id, time_id, count, count_grp_*).
 
     The aggregated counts are persisted because they feed both the bounds
     scalar and the panel; they are regions x windows in size.
     """
-    counts = window_counts(events, window_days, anchor)
+    counts = window_counts(events, window_days, anchor, mark_from)
     if persist:
         counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    bounds = time_bounds(counts, window_days)
+    bounds = time_bounds(counts, window_days, with_marks=mark_from is not None)
     return densify(counts, bounds), bounds

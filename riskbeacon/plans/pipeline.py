@@ -70,8 +70,11 @@ def _key(spark, *parts):
 def panel_for(spark: SparkSession, sf_dir: str, window_days: int, domain: str):
     key = _key(spark, "panel", sf_dir, window_days, domain)
     if key not in _CACHE:
-        ev = in_domain_events(spark, sf_dir) if domain == "in" else standin.out_domain_events(spark, sf_dir)
-        _CACHE[key] = panel.build_panel(ev, window_days)
+        if domain == "in":
+            _CACHE[key] = panel.build_panel(in_domain_events(spark, sf_dir), window_days,
+                                            mark_from=standin.STANDIN_SPLIT_DATE)
+        else:
+            _CACHE[key] = panel.build_panel(standin.out_domain_events(spark, sf_dir), window_days)
     return _CACHE[key]
 
 
@@ -91,7 +94,7 @@ def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> Window
     p_out, b_out = panel_for(spark, sf_dir, window_days, "out")
     sup_in = supervised_for(spark, sf_dir, window_days, "in")
     sup_out = supervised_for(spark, sf_dir, window_days, "out")
-    t0, t1 = labels.test_window_bounds(test_events(in_domain_events(spark, sf_dir)), window_days)
+    t0, t1 = labels.window_of(b_in.first_marked, window_days), labels.window_of(b_in.last_event, window_days)
     train, test = labels.split_train_test(sup_in, t0, t1)
     thr = labels.compute_threshold(train)
     train_l = labels.add_label(train, thr)
@@ -99,8 +102,10 @@ def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> Window
     train_x = labels.apply_region_stats(train_l, stats)
     test_x = labels.apply_region_stats(labels.add_label(test, thr), stats)
     out_x = labels.apply_region_stats(labels.add_label(sup_out, thr), stats)
+    # The long prediction table feeds every metric; it is persisted once
+    # (rows x models x seeds, panel-sized) instead of being re-derived.
     preds = predict.predictions_long(test_x, DATASET_IN, thr).unionByName(
-        predict.predictions_long(out_x, DATASET_OUT, thr))
+        predict.predictions_long(out_x, DATASET_OUT, thr)).persist(StorageLevel.MEMORY_AND_DISK)
     run = WindowRun(window_days, b_in, b_out, t0, t1, thr, p_in, p_out, sup_in, train_x, test_x, out_x, preds)
     _CACHE[key] = run
     return run
@@ -111,3 +116,16 @@ def predictions_both_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = [window_run(spark, sf_dir, w).predictions.withColumn("time_window_days", F.lit(w))
               for w in (7, 3)]
     return frames[0].unionByName(frames[1])
+
+
+def clear_cache() -> None:
+    """Drop the session's memoized panels/runs and their persisted data."""
+    for v in list(_CACHE.values()):
+        frames = v if isinstance(v, tuple) else (v,)
+        for f in frames:
+            if isinstance(f, DataFrame):
+                f.unpersist()
+            elif isinstance(f, WindowRun):
+                for g in (f.panel_in, f.panel_out, f.supervised_in, f.predictions):
+                    g.unpersist()
+    _CACHE.clear()
