@@ -655,3 +655,173 @@ FROM (SELECT "Primary Type", "District", count(*) AS n FROM city
       GROUP BY 1, 2) m"""), doubles=["share"])
 def q_g25(spark, sf_dir):
     return G.type_district_composition(_city(spark, sf_dir), G_TOP_N)
+
+
+# ======================================================== F: serving =======
+from riskbeacon.operators import serving as SV  # noqa: E402
+from riskbeacon.operators import support as H  # noqa: E402
+
+F_PARAMS = dict(window_days=7, dataset="in_domain", model="baseline_persistence", region_id="AMERICA__NATION_1",
+                time_id="2000-06-05", k=5, seed=0)
+
+
+def _serving(spark, sf_dir):
+    return SV.serving_frame(pipeline.predictions_both_windows(spark, sf_dir), F_PARAMS["seed"])
+
+
+def _serving_sql(final: str, extra=None) -> str:
+    parts = [f"(WITH {S.with_ctes(S.predictions_ctes(w), f'SELECT *, {w} AS time_window_days FROM preds')[5:]})"
+             for w in (7, 3)]
+    ctes = [("pboth", f"{parts[0]} UNION ALL {parts[1]}"),
+            ("serv", f"""SELECT CAST(time_window_days AS INTEGER) AS time_window_days, region_id, time_id, y, y_count,
+       model, dataset, y_score, y_pred, CAST(seed AS INTEGER) AS seed FROM pboth WHERE seed = {F_PARAMS['seed']}""")]
+    return S.with_ctes(ctes + (extra or []), final)
+
+
+_FW = (f"time_window_days = {F_PARAMS['window_days']} AND dataset = '{F_PARAMS['dataset']}' "
+       f"AND model = '{F_PARAMS['model']}'")
+
+
+@register("op_f1_available_choices", _serving_sql(
+    f"""SELECT DISTINCT 'dataset' AS level, dataset AS value FROM serv WHERE time_window_days = 7
+UNION ALL SELECT DISTINCT 'model', model FROM serv WHERE time_window_days = 7 AND dataset = 'in_domain'
+UNION ALL SELECT DISTINCT 'region', region_id FROM serv WHERE {_FW}
+UNION ALL SELECT DISTINCT 'time', time_id FROM serv WHERE {_FW}"""))
+def q_f1(spark, sf_dir):
+    p = F_PARAMS
+    return SV.available(_serving(spark, sf_dir), p["window_days"], p["dataset"], p["model"])
+
+
+@register("op_f2_single_prediction", _serving_sql(
+    f"SELECT * FROM serv WHERE {_FW} AND region_id = '{F_PARAMS['region_id']}' AND time_id = '{F_PARAMS['time_id']}'"),
+          doubles=["y_count", "y_score"])
+def q_f2(spark, sf_dir):
+    p = F_PARAMS
+    return SV.single_prediction(_serving(spark, sf_dir), p["window_days"], p["dataset"], p["model"], p["region_id"],
+                                p["time_id"])
+
+
+@register("op_f3_area_trend", _serving_sql(
+    f"SELECT time_id, y_score, y_pred, y_count, y FROM serv WHERE {_FW} AND region_id = '{F_PARAMS['region_id']}'"),
+          doubles=["y_score", "y_count"])
+def q_f3(spark, sf_dir):
+    p = F_PARAMS
+    return SV.area_trend(_serving(spark, sf_dir), p["window_days"], p["dataset"], p["model"], p["region_id"])
+
+
+_F4_SQL = [("f4", f"""SELECT *, row_number() OVER (ORDER BY y_score DESC, region_id) AS rank,
+       count(*) OVER () AS n, sum(y_count) OVER () AS total
+FROM serv WHERE {_FW} AND time_id = '{F_PARAMS['time_id']}'"""),
+           ("f4top", f"SELECT * FROM f4 WHERE rank <= greatest(1, least({F_PARAMS['k']}, n))")]
+
+
+def _f4(spark, sf_dir):
+    p = F_PARAMS
+    return SV.topk_for_time(_serving(spark, sf_dir), p["window_days"], p["dataset"], p["model"], p["time_id"], p["k"])
+
+
+@register("op_f4_topk_table", _serving_sql(
+    "SELECT CAST(rank AS INTEGER) AS rank, region_id, y_score, y_pred, y_count, y FROM f4top", _F4_SQL),
+          doubles=["y_score", "y_count"])
+def q_f4a(spark, sf_dir):
+    return _f4(spark, sf_dir)[0]
+
+
+@register("op_f4_topk_stats", _serving_sql(
+    """SELECT CAST(greatest(1, least(5, max(n))) AS DOUBLE) AS k, CAST(max(n) AS DOUBLE) AS n_regions,
+       CASE WHEN max(total) > 0 THEN sum(y_count) / max(total) ELSE 0.0 END AS coverage_at_k,
+       coalesce(avg(CAST(y = 1 AS DOUBLE)), 0.0) AS topk_hit_rate, CAST(max(total) AS DOUBLE) AS total_incidents,
+       CAST(sum(y_count) AS DOUBLE) AS topk_incidents FROM f4top""", _F4_SQL),
+          doubles=["k", "n_regions", "coverage_at_k", "topk_hit_rate", "total_incidents", "topk_incidents"])
+def q_f4b(spark, sf_dir):
+    return _f4(spark, sf_dir)[1]
+
+
+@register("op_f5_selected_rank", _serving_sql(
+    f"""SELECT '{F_PARAMS['region_id']}' AS region_id, CAST(min(rank) AS INTEGER) AS rank, min(rank) IS NOT NULL AS in_topk
+FROM f4top WHERE region_id = '{F_PARAMS['region_id']}'""", _F4_SQL))
+def q_f5(spark, sf_dir):
+    return SV.selected_rank(_f4(spark, sf_dir)[0], F_PARAMS["region_id"])
+
+
+@register("op_f6_friendly_labels", _serving_sql(
+    f"""SELECT *, CASE WHEN dataset = 'in_domain' AND contains(region_id, 'CPD_DIST_') THEN 'District ' || region_id
+            WHEN contains(region_id, '__') THEN split_part(region_id, '__', 1) || ' Agency ' ||
+                 substr(region_id, strpos(region_id, '__') + 2) || ' [' || region_id || ']'
+            ELSE region_id END AS area_label,
+       time_id || ' to ' || strftime(CAST(time_id AS DATE) + INTERVAL 6 DAY, '%Y-%m-%d') || ' [' || time_id || ']'
+         AS window_label
+FROM serv WHERE {_FW}"""), doubles=["y_count", "y_score"])
+def q_f6(spark, sf_dir):
+    p = F_PARAMS
+    s = _serving(spark, sf_dir).filter((F.col("time_window_days") == p["window_days"])
+                                       & (F.col("dataset") == p["dataset"]) & (F.col("model") == p["model"]))
+    return SV.friendly_labels(s, p["window_days"])
+
+
+# ======================================================== H: support =======
+def _test_sql(w: int) -> str:
+    return f"(WITH {S.with_ctes(S.split_ctes(w), 'SELECT * FROM test_x')[5:]})"
+
+
+def _pct(col: str) -> str:
+    return (f"(rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0) / count(*) OVER ()")
+
+
+_H1_SQL = f"""WITH t7 AS {_test_sql(7)}, t3 AS {_test_sql(3)},
+m7 AS (SELECT strftime(time_id, '%Y-%m') AS month, CAST(sum(y_count) AS DOUBLE) AS incidents_7d,
+              avg(CAST(y AS DOUBLE)) AS posrate_7d FROM t7 GROUP BY 1),
+m3 AS (SELECT strftime(time_id, '%Y-%m') AS month, CAST(sum(y_count) AS DOUBLE) AS incidents_3d,
+              avg(CAST(y AS DOUBLE)) AS posrate_3d FROM t3 GROUP BY 1),
+m AS (SELECT * FROM m7 JOIN m3 USING (month)),
+r AS (SELECT *, ({_pct('incidents_7d')} + {_pct('incidents_3d')}) / 2 AS incident_rank_score,
+              ({_pct('posrate_7d')} + {_pct('posrate_3d')}) / 2 AS pos_rank_score FROM m)
+SELECT month, incidents_7d, incidents_3d, posrate_7d, posrate_3d, incident_rank_score, pos_rank_score,
+       0.7 * incident_rank_score + 0.3 * pos_rank_score AS risk_score,
+       CASE WHEN 0.7 * incident_rank_score + 0.3 * pos_rank_score >= 0.8 THEN 'Peak (surge staffing)'
+            WHEN 0.7 * incident_rank_score + 0.3 * pos_rank_score >= 0.5 THEN 'High (reinforced patrol)'
+            WHEN 0.7 * incident_rank_score + 0.3 * pos_rank_score >= 0.4 THEN 'Moderate (baseline+)'
+            ELSE 'Low (baseline)' END AS staffing_tier
+FROM r"""
+
+
+@register("op_h1_staffing_priority", _H1_SQL,
+          doubles=["incidents_7d", "incidents_3d", "posrate_7d", "posrate_3d", "incident_rank_score",
+                   "pos_rank_score", "risk_score"])
+def q_h1(spark, sf_dir):
+    return H.staffing_priority(pipeline.window_run(spark, sf_dir, 7).test, pipeline.window_run(spark, sf_dir, 3).test)
+
+
+def _best_sel(spark, sf_dir, w):
+    sel = TK.topk_selection_frequency(_preds(spark, sf_dir, w))
+    best = M.best_model(_mlong(spark, sf_dir, w)).select("model")
+    return sel.join(F.broadcast(best), "model", "left_semi")
+
+
+def _h2_win_sql(w: int) -> str:
+    body = S.with_ctes(S.predictions_ctes(w) + S.metrics_long_ctes(w) + _SEL_SQL, """SELECT s.region_id,
+       avg(s.topk_selection_rate) AS sel FROM ssel s WHERE s.model = (
+  SELECT model FROM (SELECT model, avg(value) AS mf,
+         CASE model WHEN 'baseline_persistence' THEN 1 WHEN 'rolling_mean' THEN 2 ELSE 3 END AS o
+         FROM mlong WHERE slice = 'overall' AND domain = 'in_domain' AND metric = 'f1' GROUP BY model)
+  ORDER BY mf DESC, o LIMIT 1) GROUP BY s.region_id""")
+    return f"(WITH {body[5:]})"
+
+
+_H2_SQL = f"""WITH t7 AS {_test_sql(7)}, t3 AS {_test_sql(3)}, s7 AS {_h2_win_sql(7)}, s3 AS {_h2_win_sql(3)},
+a7 AS (SELECT region_id, avg(y_count) AS avg_y_count_7d, avg(CAST(y AS DOUBLE)) AS pos_rate_7d FROM t7 GROUP BY 1),
+a3 AS (SELECT region_id, avg(y_count) AS avg_y_count_3d, avg(CAST(y AS DOUBLE)) AS pos_rate_3d FROM t3 GROUP BY 1)
+SELECT a7.region_id, avg_y_count_7d, pos_rate_7d, s7.sel AS topk_sel_rate_7d, avg_y_count_3d, pos_rate_3d,
+       s3.sel AS topk_sel_rate_3d,
+       CASE WHEN pos_rate_7d >= 0.5 THEN 'Tier-1 (persistent hotspot)' WHEN pos_rate_7d >= 0.3 THEN 'Tier-2 (elevated)'
+            ELSE 'Tier-3 (monitor)' END AS policy_tier
+FROM a7 LEFT JOIN s7 ON a7.region_id = s7.region_id LEFT JOIN a3 ON a7.region_id = a3.region_id
+LEFT JOIN s3 ON a7.region_id = s3.region_id"""
+
+
+@register("op_h2_district_priority", _H2_SQL,
+          doubles=["avg_y_count_7d", "pos_rate_7d", "topk_sel_rate_7d", "avg_y_count_3d", "pos_rate_3d",
+                   "topk_sel_rate_3d"])
+def q_h2(spark, sf_dir):
+    r7, r3 = pipeline.window_run(spark, sf_dir, 7), pipeline.window_run(spark, sf_dir, 3)
+    return H.district_priority(r7.test, r3.test, _best_sel(spark, sf_dir, 7), _best_sel(spark, sf_dir, 3))
