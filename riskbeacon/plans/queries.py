@@ -825,3 +825,92 @@ LEFT JOIN s3 ON a7.region_id = s3.region_id"""
 def q_h2(spark, sf_dir):
     r7, r3 = pipeline.window_run(spark, sf_dir, 7), pipeline.window_run(spark, sf_dir, 3)
     return H.district_priority(r7.test, r3.test, _best_sel(spark, sf_dir, 7), _best_sel(spark, sf_dir, 3))
+
+
+# ======================================================== E: spatial =======
+from riskbeacon.operators import spatial as SP  # noqa: E402
+
+E_GEO = dict(window_days=7, model="baseline_persistence", seed=0, k=5)
+
+
+def _knn(spark, sf_dir):
+    return SP.knn_graph(spark, SP.centroids(standin.geo_points(spark, sf_dir)))
+
+
+def _hits(spark, sf_dir):
+    p = E_GEO
+    return SP.event_hit_classes(standin.geo_events(spark, sf_dir), _preds(spark, sf_dir, p["window_days"]),
+                                _knn(spark, sf_dir), p["window_days"], p["model"], p["seed"], p["k"])
+
+
+_HIT_SQL = S.knn_ctes() + [
+    ("ge", S.geo_events()),
+    ("tsub", f"""SELECT *, count(DISTINCT region_id) OVER (PARTITION BY time_id) AS n,
+       row_number() OVER (PARTITION BY time_id ORDER BY y_score DESC, region_id) AS r
+FROM preds WHERE dataset = 'in_domain' AND model = '{E_GEO['model']}' AND seed = {E_GEO['seed']}"""),
+    ("topk", f"SELECT CAST(time_id AS DATE) AS pred_time_id, region_id FROM tsub "
+             f"WHERE r <= greatest(1, least({E_GEO['k']}, n))"),
+    ("nbset", "SELECT DISTINCT t.pred_time_id, k.region_id FROM topk t JOIN knn k ON k.neighbor_id = t.region_id"),
+    ("hits", f"""SELECT e.region_id, e.event_date, e.latitude, e.longitude, {S.time_bin('e.event_date', 7)} AS event_time_id,
+       CAST({S.time_bin('e.event_date', 7)} - INTERVAL 7 DAY AS DATE) AS pred_time_id
+FROM ge e WHERE e.event_date IS NOT NULL AND e.region_id IS NOT NULL AND e.latitude IS NOT NULL
+  AND e.longitude IS NOT NULL"""),
+    ("hcls", """SELECT h.*, (t.region_id IS NOT NULL) AS exact_hit,
+       (t.region_id IS NULL AND nb.region_id IS NOT NULL) AS neighbor_hit,
+       CASE WHEN t.region_id IS NOT NULL THEN 'Exact hit' WHEN nb.region_id IS NOT NULL THEN 'Neighbor hit'
+            ELSE 'Miss' END AS coverage_class
+FROM hits h LEFT JOIN topk t ON h.pred_time_id = t.pred_time_id AND h.region_id = t.region_id
+LEFT JOIN nbset nb ON h.pred_time_id = nb.pred_time_id AND h.region_id = nb.region_id"""),
+]
+
+
+@register("op_e23_region_centroids", S.with_ctes(S.knn_ctes(), "SELECT * FROM cent"), doubles=["lon", "lat"])
+def q_e23(spark, sf_dir):
+    return SP.centroids(standin.geo_points(spark, sf_dir))
+
+
+@register("op_e24_convex_hulls")
+def q_e24(spark, sf_dir):
+    return SP.convex_hulls(standin.geo_points(spark, sf_dir))
+
+
+@register("op_e25_knn_graph", S.with_ctes(S.knn_ctes(), "SELECT * FROM knn"), doubles=["distance"])
+def q_e25(spark, sf_dir):
+    return _knn(spark, sf_dir)
+
+
+@register("op_e26_event_hit_classes", _pred_sql("SELECT * FROM hcls", extra=_HIT_SQL),
+          doubles=["latitude", "longitude"])
+def q_e26(spark, sf_dir):
+    return _hits(spark, sf_dir)
+
+
+@register("op_e27_hit_summary", _pred_sql(
+    f"""SELECT 7 AS time_window_days, '{E_GEO['model']}' AS model, {E_GEO['seed']} AS seed, {E_GEO['k']} AS topk_k,
+       count(*) AS n_events_total, least(count(*), 50000) AS n_events_sampled_cap,
+       avg(CAST(exact_hit AS DOUBLE)) AS exact_hit_rate,
+       avg(CAST(exact_hit OR neighbor_hit AS DOUBLE)) AS neighbor_aware_hit_rate FROM hcls""", extra=_HIT_SQL),
+          doubles=["exact_hit_rate", "neighbor_aware_hit_rate"])
+def q_e27(spark, sf_dir):
+    p = E_GEO
+    return SP.hit_summary(_hits(spark, sf_dir), p["window_days"], p["model"], p["seed"], p["k"])
+
+
+@register("op_e28_stratified_hit_sample")
+def q_e28(spark, sf_dir):
+    return SP.stratified_sample(_hits(spark, sf_dir), n=1000)
+
+
+@register("op_e29_exact_neighbor_rates", _pred_sql(
+    f"""SELECT p.region_id,
+       avg(CAST(p.y_pred = 1 AND p.y = 1 AS DOUBLE)) AS exact_hit_rate,
+       avg(CAST(p.y_pred = 1 AND NOT (p.y = 1) AND nb.region_id IS NOT NULL AS DOUBLE)) AS neighbor_only_hit_rate,
+       avg(CAST(p.y_pred = 1 AS DOUBLE)) AS pred_positive_rate
+FROM (SELECT * FROM preds WHERE dataset = 'in_domain' AND model = '{E_GEO['model']}') p
+LEFT JOIN (SELECT DISTINCT q.seed, q.time_id, k.region_id FROM preds q JOIN knn k ON k.neighbor_id = q.region_id
+           WHERE q.dataset = 'in_domain' AND q.model = '{E_GEO['model']}' AND q.y = 1) nb
+  ON p.seed = nb.seed AND p.time_id = nb.time_id AND p.region_id = nb.region_id
+GROUP BY p.region_id""", extra=S.knn_ctes()),
+          doubles=["exact_hit_rate", "neighbor_only_hit_rate", "pred_positive_rate"])
+def q_e29(spark, sf_dir):
+    return SP.exact_neighbor_rates(_preds(spark, sf_dir), _knn(spark, sf_dir), E_GEO["model"])

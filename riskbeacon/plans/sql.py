@@ -282,3 +282,34 @@ def city() -> str:
        CAST(month(o.o_orderdate) AS TINYINT) AS "Month", dayname(o.o_orderdate) AS "DayOfWeek",
        CAST(o.o_orderkey % 24 AS TINYINT) AS "Hour"
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+# ---------------------------------------------------------------- geo ------
+def label_regions() -> str:
+    return f"""SELECT n.n_nationkey AS label, {tok('r.r_name')} || '__' || {tok('n.n_name')} AS region_id
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+
+def geo_points() -> str:
+    return """SELECT lr.region_id, CAST(e.embedding[2] AS DOUBLE) AS latitude, CAST(e.embedding[1] AS DOUBLE) AS longitude
+FROM embeddings e JOIN lr ON e.label = lr.label"""
+
+
+def geo_events() -> str:
+    return f"""SELECT lr.region_id, CAST(e.embedding[2] AS DOUBLE) AS latitude, CAST(e.embedding[1] AS DOUBLE) AS longitude,
+       o.o_orderdate AS event_date
+FROM orders o JOIN embeddings e ON o.o_orderkey % 500 = e.vec_id JOIN lr ON e.label = lr.label
+WHERE o.o_orderdate >= TIMESTAMP '{STANDIN_SPLIT_DATE}'"""
+
+
+def knn_ctes(k: int = 3) -> list[tuple[str, str]]:
+    return [
+        ("lr", label_regions()), ("gp", geo_points()),
+        ("cent", "SELECT region_id, median(longitude) AS lon, median(latitude) AS lat FROM gp "
+                 "WHERE region_id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1"),
+        ("knn", f"""SELECT * FROM (
+  SELECT a.region_id, b.region_id AS neighbor_id, sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)) AS distance,
+         row_number() OVER (PARTITION BY a.region_id ORDER BY sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)),
+                            b.region_id) AS nn_rank
+  FROM cent a JOIN cent b ON a.region_id <> b.region_id) x WHERE nn_rank <= {k}"""),
+    ]

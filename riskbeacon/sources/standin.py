@@ -163,15 +163,18 @@ def geo_points(spark, sf_dir) -> DataFrame:
 
 
 def geo_events(spark, sf_dir) -> DataFrame:
-    """Geo events: every app event placed at embedding ``event_id % 500``."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    """Geo events of the test period: every order dated at/after the split
+    date, placed at embedding ``o_orderkey % 500`` (region = that vector's
+    label region). Dates overlap the in-domain test predictions."""
+    o = (table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+         .filter(F.col("o_orderdate") >= F.lit(STANDIN_SPLIT_DATE).cast("timestamp")))
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
-    j = (ev.join(e, (ev.event_id % 500) == e.vec_id, "inner")
+    j = (o.join(e, (o.o_orderkey % 500) == e.vec_id, "inner")
          .join(_label_regions(spark, sf_dir), "label", "inner"))
     return j.select("region_id",
                     F.col("embedding")[1].cast("double").alias("latitude"),
                     F.col("embedding")[0].cast("double").alias("longitude"),
-                    F.col("ts").alias("event_date"))
+                    F.col("o_orderdate").alias("event_date"))
 
 
 # ------------------------------------------------------- short panel -------
