@@ -914,3 +914,116 @@ GROUP BY p.region_id""", extra=S.knn_ctes()),
           doubles=["exact_hit_rate", "neighbor_only_hit_rate", "pred_positive_rate"])
 def q_e29(spark, sf_dir):
     return SP.exact_neighbor_rates(_preds(spark, sf_dir), _knn(spark, sf_dir), E_GEO["model"])
+
+
+# ======================================================== E: tables ========
+from riskbeacon.operators import tables as TB  # noqa: E402
+
+
+def _dist_inputs(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    ev_in = pipeline.in_domain_events(spark, sf_dir)
+    split = F.lit(standin.STANDIN_SPLIT_DATE).cast("timestamp")
+    events = {"in_train": ev_in.filter(F.col("event_date") < split),
+              "in_domain": ev_in.filter(F.col("event_date") >= split),
+              "out_domain": standin.out_domain_events(spark, sf_dir)}
+    xys = {"in_train": r.train, "in_domain": r.test, "out_domain": r.out}
+    return events, xys
+
+
+def _dist_sql(with_pos: bool) -> str:
+    axis = ", ".join(f"({i}, '{g}')" for i, g in enumerate(CRIME_GROUPS))
+    evs = {"in_train": f"SELECT * FROM ev_in WHERE event_date < TIMESTAMP '{standin.STANDIN_SPLIT_DATE}'",
+           "in_domain": f"SELECT * FROM ev_in WHERE event_date >= TIMESTAMP '{standin.STANDIN_SPLIT_DATE}'",
+           "out_domain": "SELECT * FROM ev_out"}
+    xy = {"in_train": "train_x", "in_domain": "test_x", "out_domain": "out_x"}
+    parts = []
+    for name, src in evs.items():
+        if with_pos:
+            parts.append(f"""SELECT '{name}' AS dataset, a.ord, a.crime_group, CAST(coalesce(c.n, 0) AS BIGINT) AS incidents_n,
+       coalesce(c.n, 0) / greatest((SELECT count(*) FROM ({src}) z), 1) AS incidents_pct,
+       coalesce((SELECT avg(CAST(y AS DOUBLE)) FROM {xy[name]}), 0.0) AS positive_rate
+FROM (VALUES {axis}) a(ord, crime_group) LEFT JOIN (SELECT crime_group, count(*) AS n FROM ({src}) s GROUP BY 1) c
+  ON a.crime_group = c.crime_group""")
+        else:
+            parts.append(f"""SELECT '{name}' AS dataset, a.ord, a.crime_group, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (VALUES {axis}) a(ord, crime_group) LEFT JOIN (SELECT crime_group, count(*) AS n FROM ({src}) s GROUP BY 1) c
+  ON a.crime_group = c.crime_group""")
+    return S.with_ctes(S.split_ctes(7), "\nUNION ALL\n".join(parts))
+
+
+@register("op_e30_distribution_table", _dist_sql(True), doubles=["incidents_pct", "positive_rate"])
+def q_e30(spark, sf_dir):
+    ev, xys = _dist_inputs(spark, sf_dir)
+    return TB.distribution_table(spark, ev, xys)
+
+
+_T2_SQL = ("SELECT model, domain, metric, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std "
+           "FROM mlong WHERE slice = 'overall' GROUP BY 1, 2, 3")
+
+
+@register("op_e31_results_numeric", _mlong_sql(_T2_SQL), doubles=["mean", "std"])
+def q_e31a(spark, sf_dir):
+    return TB.results_numeric(_mlong(spark, sf_dir))
+
+
+@register("op_e31_results_formatted", _mlong_sql(
+    f"SELECT model, domain || '_' || metric AS \"column\", printf('%.3f ± %.3f', mean, std) AS cell FROM ({_T2_SQL}) t"))
+def q_e31b(spark, sf_dir):
+    return TB.results_formatted(_mlong(spark, sf_dir))
+
+
+@register("op_e32_processed_group_counts", _dist_sql(False))
+def q_e32(spark, sf_dir):
+    ev, _ = _dist_inputs(spark, sf_dir)
+    return TB.processed_group_counts(spark, ev)
+
+
+def _e33_sql(metric: str) -> str:
+    cells = ", ".join(f"avg({metric}) FILTER (WHERE region_bucket = 'Q{i}') AS Q{i}" for i in range(1, 5))
+    return _pred_sql(f"SELECT model, {cells} FROM e9_m GROUP BY model",
+                     extra=_BUCKET_SQL + S.metrics_ctes("bsrc", ["seed", "model", "region_bucket"], "e9_"))
+
+
+@register("op_e33_model_bucket_auc", _e33_sql("auc"), doubles=["Q1", "Q2", "Q3", "Q4"])
+def q_e33a(spark, sf_dir):
+    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir)), "auc")
+
+
+@register("op_e33_model_bucket_f1", _e33_sql("f1"), doubles=["Q1", "Q2", "Q3", "Q4"])
+def q_e33b(spark, sf_dir):
+    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir)), "f1")
+
+
+@register("op_e34_coverage_curve", _pred_sql(
+    "SELECT domain, model, k, avg(coverage) AS mean, coalesce(stddev_samp(coverage), 0.0) AS std "
+    "FROM cseed GROUP BY 1, 2, 3", extra=_COV_SQL), doubles=["mean", "std"])
+def q_e34a(spark, sf_dir):
+    return TB.mean_std(TK.topk_coverage_by_seed(_preds(spark, sf_dir)), ["domain", "model", "k"], "coverage")
+
+
+@register("op_e34_neighbor_vs_exact_f1", _mlong_sql(
+    "SELECT domain, model, slice, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std FROM mlong "
+    "WHERE metric = 'f1' AND slice IN ('overall', 'neighbor_overall') GROUP BY 1, 2, 3"), doubles=["mean", "std"])
+def q_e34b(spark, sf_dir):
+    ml = _mlong(spark, sf_dir).filter((F.col("metric") == "f1") & F.col("slice").isin("overall", "neighbor_overall"))
+    return TB.mean_std(ml, ["domain", "model", "slice"], "value")
+
+
+def _e35_spark(spark, sf_dir):
+    thr = _thr_spark(spark, sf_dir, 7).unionByName(_thr_spark(spark, sf_dir, 3))
+    ml = _mlong_both(spark, sf_dir)
+    return TB.window_report(thr, M.window_overall_summary(ml), M.window_gap_summary(ml))
+
+
+_E35_SQL = _mlong_both_sql(f"""SELECT 'threshold' AS section, 7 AS time_window, '' AS model, '' AS domain,
+       'threshold' AS metric, CAST(threshold AS DOUBLE) AS value FROM ({_thr_sql(7)}) a
+UNION ALL SELECT 'threshold', 3, '', '', 'threshold', CAST(threshold AS DOUBLE) FROM ({_thr_sql(3)}) b
+UNION ALL SELECT 'overall', time_window_days, model, domain, metric, avg(value) FROM mboth
+  WHERE slice = 'overall' AND metric IN ('auc', 'f1') GROUP BY 2, 3, 4, 5
+UNION ALL SELECT 'gap', time_window_days, model, 'in-out', metric, avg(delta) FROM {_GAP_SQL} g GROUP BY 2, 3, 5""")
+
+
+@register("op_e35_window_report", _E35_SQL, doubles=["value"])
+def q_e35(spark, sf_dir):
+    return _e35_spark(spark, sf_dir)
