@@ -1027,3 +1027,87 @@ UNION ALL SELECT 'gap', time_window_days, model, 'in-out', metric, avg(delta) FR
 @register("op_e35_window_report", _E35_SQL, doubles=["value"])
 def q_e35(spark, sf_dir):
     return _e35_spark(spark, sf_dir)
+
+
+# ======================================================== C: prep ==========
+from riskbeacon.operators import prep as PR  # noqa: E402
+
+
+def _xy_frames(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    return {"Xy_in_train": r.xy("in_train"), "Xy_in_domain": r.xy("in_domain"), "Xy_out_domain": r.xy("out_domain")}
+
+
+@register("op_c24_schema_consistency", S.with_ctes(S.split_ctes(7), """SELECT d.dataset, d.n_rows, c.n_columns, c.consistent
+FROM (SELECT 'Xy_in_train' AS dataset, count(*) AS n_rows FROM train_x UNION ALL
+      SELECT 'Xy_in_domain', count(*) FROM test_x UNION ALL SELECT 'Xy_out_domain', count(*) FROM out_x) d,
+     (SELECT 31 AS n_columns, TRUE AS consistent) c"""))
+def q_c24(spark, sf_dir):
+    frames = _xy_frames(spark, sf_dir)
+    sch = labels.schema_consistency(spark, frames)
+    per = sch.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_columns"), F.bool_and("matches_base").alias("consistent"))
+    counts = None
+    for name, f in frames.items():
+        c = f.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("dataset", F.lit(name))
+        counts = c if counts is None else counts.unionByName(c)
+    return counts.join(F.broadcast(per), "dataset").select("dataset", "n_rows", "n_columns", "consistent")
+
+
+def _fit_sql() -> str:
+    long = "\nUNION ALL\n".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM train_x"
+                                for f in FEATURE_NUMERIC)
+    return S.split_ctes(7) + [
+        ("flong", long),
+        ("fmed", "SELECT feature, median(value) AS median FROM flong GROUP BY 1"),
+        ("ffit", """SELECT m.feature, coalesce(m.median, 0.0) AS median, avg(coalesce(l.value, m.median, 0.0)) AS mean,
+       CASE WHEN stddev_pop(coalesce(l.value, m.median, 0.0)) IS NULL OR stddev_pop(coalesce(l.value, m.median, 0.0)) = 0
+            THEN 1.0 ELSE stddev_pop(coalesce(l.value, m.median, 0.0)) END AS std
+FROM flong l JOIN fmed m ON l.feature = m.feature GROUP BY m.feature, m.median"""),
+    ]
+
+
+@register("op_c26_preprocess_fit", S.with_ctes(_fit_sql(), "SELECT * FROM ffit"), doubles=["median", "mean", "std"])
+def q_c26a(spark, sf_dir):
+    return PR.fit_numeric(pipeline.window_run(spark, sf_dir, 7).train)
+
+
+def _tr_sql() -> str:
+    cols = ", ".join(f"(coalesce(CAST({f} AS DOUBLE), (SELECT median FROM ffit WHERE feature = '{f}')) "
+                     f"- (SELECT mean FROM ffit WHERE feature = '{f}')) / (SELECT std FROM ffit WHERE feature = '{f}') "
+                     f"AS {f}" for f in FEATURE_NUMERIC)
+    return S.with_ctes(_fit_sql(), f"SELECT region_id, time_id, {cols}, y, y_count FROM test_x")
+
+
+@register("op_c26_preprocess_transform", _tr_sql(), doubles=FEATURE_NUMERIC + ["y_count"])
+def q_c26b(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    return PR.transform_numeric(r.test, PR.numeric_params(PR.fit_numeric(r.train)))
+
+
+@register("op_c27_one_hot_state", S.with_ctes(S.split_ctes(7), """SELECT t.region_id, t.time_id, v.category,
+       CAST(trim(coalesce(t.region_state, '__MISSING__')) = v.category AS DOUBLE) AS value
+FROM test_x t, (SELECT DISTINCT trim(coalesce(region_state, '__MISSING__')) AS category FROM train_x) v"""),
+          doubles=["value"])
+def q_c27(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    vocab = PR.fit_vocabulary(r.train, "region_state")
+    oh = PR.one_hot(r.test.select("region_id", "time_id", "region_state"), "region_state", vocab)
+    cols = [f"region_state__{v}" for v in vocab]
+    return (oh.select("region_id", "time_id", *[F.col(f"`{c}`").alias(c.split("__", 1)[1]) for c in cols])
+            .unpivot(["region_id", "time_id"], vocab, "category", "value"))
+
+
+_SEQ_FEATS = ["lag_0", "ewma_4"]
+
+
+@register("op_c28_sequences", S.with_ctes(S.split_ctes(7), "\nUNION ALL\n".join(
+    f"""SELECT region_id, time_id, {s} AS step,
+       coalesce(lag(lag_0, {7 - s}) OVER (PARTITION BY region_id ORDER BY time_id), 0.0) AS lag_0,
+       coalesce(lag(ewma_4, {7 - s}) OVER (PARTITION BY region_id ORDER BY time_id), 0.0) AS ewma_4 FROM test_x"""
+    if s < 7 else "SELECT region_id, time_id, 7 AS step, lag_0, ewma_4 FROM test_x" for s in range(8))),
+          doubles=_SEQ_FEATS)
+def q_c28(spark, sf_dir):
+    seq = PR.sequences(pipeline.window_run(spark, sf_dir, 7).test, _SEQ_FEATS)
+    return (seq.select("region_id", "time_id", F.posexplode("sequence").alias("step", "v"))
+            .select("region_id", "time_id", F.col("step").cast("int").alias("step"),
+                    F.col("v")[0].alias("lag_0"), F.col("v")[1].alias("ewma_4")))
