@@ -1111,3 +1111,190 @@ def q_c28(spark, sf_dir):
     return (seq.select("region_id", "time_id", F.posexplode("sequence").alias("step", "v"))
             .select("region_id", "time_id", F.col("step").cast("int").alias("step"),
                     F.col("v")[0].alias("lag_0"), F.col("v")[1].alias("ewma_4")))
+
+
+# ======================================================== B: harmonize =====
+from riskbeacon.functions.expr import clean_region_token  # noqa: E402
+from riskbeacon.operators import eda as EDA  # noqa: E402
+from riskbeacon.operators import harmonize as HZ  # noqa: E402
+from riskbeacon.sources import readers as RD  # noqa: E402
+
+
+@register("op_b1_region_tokens", (f"""SELECT 'nation' AS source, n_name AS raw, {S.tok('n_name')} AS token
+FROM nation UNION ALL SELECT 'region', r_name, {S.tok('r_name')} FROM region
+UNION ALL SELECT DISTINCT 'segment', lower(c_mktsegment), {S.tok('lower(c_mktsegment)')} FROM customer
+UNION ALL SELECT 'agency_float', CAST(c_custkey AS VARCHAR) || '.0', {S.tok("CAST(c_custkey AS VARCHAR) || '.0'")}
+FROM customer"""))
+def q_b1(spark, sf_dir):
+    n = standin.table(spark, sf_dir, "nation").select(F.lit("nation").alias("source"), F.col("n_name").alias("raw"))
+    r = standin.table(spark, sf_dir, "region").select(F.lit("region").alias("source"), F.col("r_name").alias("raw"))
+    cu = standin.table(spark, sf_dir, "customer")
+    s = cu.select(F.lit("segment").alias("source"), F.lower("c_mktsegment").alias("raw")).distinct()
+    a = cu.select(F.lit("agency_float").alias("source"), F.concat(F.col("c_custkey").cast("string"), F.lit(".0")).alias("raw"))
+    return n.unionByName(r).unionByName(s).unionByName(a).withColumn("token", clean_region_token("raw"))
+
+
+@register("op_b2_city_mapping_table", S.with_ctes([("city", S.city())], """SELECT DISTINCT "Primary Type" AS city_raw_type,
+       CAST(NULL AS VARCHAR) AS crime_group FROM city WHERE "Primary Type" IS NOT NULL"""))
+def q_b2(spark, sf_dir):
+    return HZ.city_mapping_table(standin.city_clean(spark, sf_dir), "Primary Type")
+
+
+_B3_CASE = """CASE WHEN contains(upper(coalesce(cat, 'NAN')), 'LARCENY/THEFT') THEN 'theft_larceny'
+  WHEN contains(upper(coalesce(cat, 'NAN')), 'ASSAULT OFFENSES') THEN 'assault_battery'
+  WHEN contains(upper(coalesce(cat, 'NAN')), 'BURGLARY/BREAKING & ENTERING') OR upper(coalesce(code, 'NAN')) = '220' THEN 'burglary'
+  WHEN upper(coalesce(cat, 'NAN')) = 'ROBBERY' OR upper(coalesce(code, 'NAN')) = '120' THEN 'robbery'
+  WHEN contains(upper(coalesce(cat, 'NAN')), 'MOTOR VEHICLE THEFT') OR upper(coalesce(code, 'NAN')) = '240' THEN 'motor_vehicle_theft'
+  WHEN contains(upper(coalesce(cat, 'NAN')), 'DRUG/NARCOTIC OFFENSES') THEN 'drug_narcotics'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'ASSAULT') THEN 'assault_battery'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'LARCENY') OR contains(upper(coalesce(nm, 'NAN')), 'THEFT') THEN 'theft_larceny'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'BURGLARY') THEN 'burglary'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'ROBBERY') THEN 'robbery'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'MOTOR VEHICLE THEFT') THEN 'motor_vehicle_theft'
+  WHEN contains(upper(coalesce(nm, 'NAN')), 'DRUG') OR contains(upper(coalesce(nm, 'NAN')), 'NARCOTIC') THEN 'drug_narcotics'
+  ELSE NULL END"""
+
+
+@register("op_b3_offense_mapping_table", f"""SELECT nm AS national_raw_offense, code AS offense_code,
+       cat AS offense_category_name, {_B3_CASE} AS crime_group
+FROM (SELECT DISTINCT p_type AS nm, CAST(p_partkey AS VARCHAR) AS code, p_brand AS cat FROM part) t""")
+def q_b3(spark, sf_dir):
+    return HZ.national_mapping_table(standin.nat_offense_type(spark, sf_dir))
+
+
+@register("op_b5_region_strategy", """SELECT CASE WHEN bool_or(c_custkey IS NOT NULL) THEN 'agency' ELSE 'county' END
+       AS strategy, 'agency_id' AS primary_field, 'ori' AS fallback_field FROM customer""")
+def q_b5(spark, sf_dir):
+    st = HZ.decide_region_strategy(standin.nat_agencies(spark, sf_dir))
+    return HZ.strategy_frame(spark, st).select("strategy", "primary_field", "fallback_field")
+
+
+@register("op_b6_region_ids", f"""SELECT c.c_custkey AS agency_id,
+       {S.tok('r.r_name')} || '__' || {S.tok('c.c_custkey')} AS region_agency,
+       CASE WHEN {S.tok('n.n_name')} <> 'UNKNOWN' THEN {S.tok('r.r_name')} || '__' || {S.tok('n.n_name')}
+            ELSE {S.tok('r.r_name')} || '__' || {S.tok('c.c_custkey')} END AS region_county,
+       {S.tok('r.r_name')} || '__' || {S.tok('c.c_custkey')} AS region_state_agency
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_b6(spark, sf_dir):
+    ag = standin.nat_agencies(spark, sf_dir)
+    agency = HZ.RegionStrategy("agency", "agency_id", None, "")
+    state_agency = HZ.RegionStrategy("state_agency", "state_abbr", "agency_id", "")
+    return ag.select("agency_id", HZ.national_region_id(ag, agency).alias("region_agency"),
+                     HZ.national_region_id(ag, pipeline.COUNTY_STRATEGY).alias("region_county"),
+                     HZ.national_region_id(ag, state_agency).alias("region_state_agency"))
+
+
+@register("op_b7_city_events_raw", S.with_ctes([("craw", S.city_raw())], """SELECT
+       CAST(strptime("Date", '%m/%d/%Y %I:%M:%S %p') AS TIMESTAMP) AS event_date,
+       'IL__CPD_DIST_' || """ + S.tok('"District"') + """ AS region_id, CAST(NULL AS VARCHAR) AS crime_group,
+       "Primary Type" AS raw_type FROM craw"""))
+def q_b7(spark, sf_dir):
+    raw = standin.city_raw(spark, sf_dir)
+    agency = HZ.RegionStrategy("agency", "agency_id", None, "")
+    return HZ.city_events(raw, "Date", "Primary Type", "District", agency, date_format=EDA.EXPORT_TS_FORMAT,
+                          drop_invalid=False)
+
+
+@register("op_b9_national_events", S.with_ctes([("ev", S.events_in())], "SELECT * FROM ev"), bench=True)
+def q_b9(spark, sf_dir):
+    return pipeline.in_domain_events(spark, sf_dir).select("event_date", "region_id", "crime_group", "raw_offense")
+
+
+@register("op_b10_load_quality", S.with_ctes([("ev", S.events_in())], """SELECT count(*) AS n_rows,
+       0.0 AS invalid_date_rate, 0.0 AS unmapped_rate, count(DISTINCT region_id) AS n_regions FROM ev"""),
+          doubles=["invalid_date_rate", "unmapped_rate"])
+def q_b10(spark, sf_dir):
+    raw = HZ.national_events(
+        standin.nat_offense(spark, sf_dir), standin.nat_incident(spark, sf_dir), standin.nat_offense_type(spark, sf_dir),
+        standin.nat_agencies(spark, sf_dir), pipeline.COUNTY_STRATEGY,
+        group_expr=standin.standin_group(F.col("offense_name")), drop_invalid=False)
+    return HZ.load_quality(raw)
+
+
+@register("op_b11_unmapped_ratio", f"""SELECT avg(CAST(({S.case_map('event_type', standin.STANDIN_EVENT_GROUPS)}) IS NULL
+       AS DOUBLE)) AS unmapped_ratio, count(*) AS n_rows FROM events""", doubles=["unmapped_ratio"])
+def q_b11(spark, sf_dir):
+    ev = standin.table(spark, sf_dir, "events").select(
+        standin.map_pairs(F.col("event_type"), standin.STANDIN_EVENT_GROUPS).alias("crime_group"))
+    return HZ.unmapped_ratio(ev)
+
+
+_EDA_YEARS = (1996, 2001)
+
+
+@register("op_b12_eda_clean", S.with_ctes([("craw", S.city_raw())], S.eda_clean(*_EDA_YEARS)),
+          doubles=["Latitude", "Longitude"])
+def q_b12(spark, sf_dir):
+    return EDA.clean_export(standin.city_raw(spark, sf_dir), _EDA_YEARS)
+
+
+@register("op_b13_time_features", S.with_ctes([("craw", S.city_raw()), ("cl", S.eda_clean(*_EDA_YEARS))],
+                                              """SELECT "Date", "Time", CAST(month("Date") AS TINYINT) AS "Month",
+       dayname("Date") AS "DayOfWeek", CAST(hour(strptime("Time", '%H:%M:%S')) AS TINYINT) AS "Hour" FROM cl"""))
+def q_b13(spark, sf_dir):
+    return EDA.time_features(EDA.clean_export(standin.city_raw(spark, sf_dir), _EDA_YEARS)).select(
+        "Date", "Time", "Month", "DayOfWeek", "Hour")
+
+
+@register("op_b14_year_split_summary", S.with_ctes([("craw", S.city_raw()), ("cl", S.eda_clean(*_EDA_YEARS))],
+                                                   """SELECT CASE WHEN "Year" = 2001 THEN 'test' ELSE 'train' END AS split,
+       count(*) AS n_rows, min("Date") AS min_date, max("Date") AS max_date FROM cl WHERE "Year" <= 2001 GROUP BY 1"""))
+def q_b14(spark, sf_dir):
+    return EDA.split_summary(EDA.year_split(EDA.clean_export(standin.city_raw(spark, sf_dir), _EDA_YEARS), 2001))
+
+
+# ======================================================== A: sources =======
+@register("op_a4_profile_orders", """SELECT * FROM (
+  SELECT 'o_orderkey' AS "column", 'count' AS stat, CAST(count(o_orderkey) AS DOUBLE) AS value FROM orders
+  UNION ALL SELECT 'o_orderkey', 'mean', avg(o_orderkey) FROM orders
+  UNION ALL SELECT 'o_orderkey', 'stddev', stddev_samp(o_orderkey) FROM orders
+  UNION ALL SELECT 'o_orderkey', 'min', CAST(min(o_orderkey) AS DOUBLE) FROM orders
+  UNION ALL SELECT 'o_orderkey', 'max', CAST(max(o_orderkey) AS DOUBLE) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'count', CAST(count(o_totalprice) AS DOUBLE) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'mean', avg(o_totalprice) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'stddev', stddev_samp(o_totalprice) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'min', min(o_totalprice) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'max', max(o_totalprice) FROM orders
+  UNION ALL SELECT 'o_orderkey', 'nulls', CAST(count(*) FILTER (WHERE o_orderkey IS NULL) AS DOUBLE) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'nulls', CAST(count(*) FILTER (WHERE o_totalprice IS NULL) AS DOUBLE) FROM orders
+  UNION ALL SELECT 'o_orderstatus', 'nulls', CAST(count(*) FILTER (WHERE o_orderstatus IS NULL) AS DOUBLE) FROM orders
+) t""", doubles=["value"])
+def q_a4(spark, sf_dir):
+    return RD.profile(standin.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"))
+
+
+@register("op_a5_missing_audit", S.with_ctes([("craw", S.city_raw())],
+                                             """SELECT 'Location' AS "column", count(*) AS n_missing FROM craw"""))
+def q_a5(spark, sf_dir):
+    return RD.missing_audit(standin.city_raw(spark, sf_dir))
+
+
+@register("op_a7_union_train_test", S.with_ctes([("city", S.city())], """SELECT CASE WHEN "Year" <= 2000 THEN 'train'
+       ELSE 'test' END AS dataset, count(*) AS n_rows, count(DISTINCT "Primary Type") AS n_types FROM city GROUP BY 1"""))
+def q_a7(spark, sf_dir):
+    c = standin.city_clean(spark, sf_dir)
+    u = RD.union_datasets({"train": c.filter(F.col("Year") <= 2000), "test": c.filter(F.col("Year") > 2000)})
+    return u.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.count_distinct(F.col("`Primary Type`")).alias("n_types"))
+
+
+@register("op_a11_export_sample")
+def q_a11(spark, sf_dir):
+    return RD.export_sample(standin.city_clean(spark, sf_dir), n=1000)
+
+
+@register("op_a12_geo_points", S.with_ctes([("city", S.city())], f"""SELECT 'IL__CPD_DIST_' || {S.tok('"District"')}
+       AS region_id, "Latitude" AS latitude, "Longitude" AS longitude FROM city
+WHERE "District" IS NOT NULL AND "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL"""),
+          doubles=["latitude", "longitude"])
+def q_a12(spark, sf_dir):
+    c = standin.city_clean(spark, sf_dir)
+    return RD.city_geo([c.filter(F.col("Year") <= 2000), c.filter(F.col("Year") > 2000)])
+
+
+@register("op_a13_geo_events", S.with_ctes([("city", S.city())], f"""SELECT 'IL__CPD_DIST_' || {S.tok('"District"')}
+       AS region_id, "Latitude" AS latitude, "Longitude" AS longitude, CAST("Date" AS TIMESTAMP) AS event_date
+FROM city WHERE "Year" > 2000 AND "Date" IS NOT NULL"""), doubles=["latitude", "longitude"])
+def q_a13(spark, sf_dir):
+    c = standin.city_clean(spark, sf_dir)
+    return RD.city_geo([c.filter(F.col("Year") > 2000)], with_date="Date")

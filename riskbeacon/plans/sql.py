@@ -313,3 +313,27 @@ def knn_ctes(k: int = 3) -> list[tuple[str, str]]:
                             b.region_id) AS nn_rank
   FROM cent a JOIN cent b ON a.region_id <> b.region_id) x WHERE nn_rank <= {k}"""),
     ]
+
+
+def city_raw() -> str:
+    return """SELECT o.o_orderkey AS "ID", 'C' || CAST(o.o_orderkey AS VARCHAR) AS "Case Number",
+       strftime(o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)), '%m/%d/%Y %I:%M:%S %p') AS "Date",
+       c.c_name AS "Block", substr(o.o_orderpriority, 1, 1) AS "IUCR", o.o_orderpriority AS "Primary Type",
+       o.o_orderstatus AS "Description", c.c_mktsegment AS "Location Description",
+       (o.o_orderstatus = 'F') AS "Arrest", (o.o_orderstatus = 'P') AS "Domestic", o.o_custkey % 300 AS "Beat",
+       c.c_nationkey AS "District", o.o_custkey % 50 AS "Ward", o.o_custkey % 77 AS "Community Area",
+       substr(o.o_orderpriority, 1, 1) AS "FBI Code", year(o.o_orderdate) AS "Year",
+       CAST(41.6 AS DOUBLE) + CAST(o.o_orderkey % 400 AS DOUBLE) / 1000.0 AS "Latitude",
+       CAST(-87.9 AS DOUBLE) + CAST((o.o_orderkey * 7) % 400 AS DOUBLE) / 1000.0 AS "Longitude"
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+def eda_clean(y0: int, y1: int) -> str:
+    ts = "strptime(\"Date\", '%m/%d/%Y %I:%M:%S %p')"
+    return f"""SELECT CAST({ts} AS DATE) AS "Date", strftime({ts}, '%H:%M:%S') AS "Time", "Block",
+       "Primary Type", "Description", coalesce("Location Description", 'UNKNOWN') AS "Location Description",
+       "Arrest", "Domestic", "Beat", CAST("District" AS SMALLINT) AS "District",
+       CAST(coalesce(CAST("Community Area" AS INTEGER), -1) AS SMALLINT) AS "Community Area", "FBI Code", "Year",
+       "Latitude", "Longitude"
+FROM craw WHERE "Year" BETWEEN {y0} AND {y1} AND "District" IS NOT NULL AND "Latitude" IS NOT NULL
+  AND "Longitude" IS NOT NULL"""

@@ -188,3 +188,30 @@ def short_events(spark, sf_dir) -> DataFrame:
         map_pairs(F.col("event_type"), STANDIN_EVENT_GROUPS).alias("crime_group"),
         F.col("event_type").alias("raw_type"),
     ).dropna(subset=["event_date", "crime_group", "region_id"])
+
+
+# ------------------------------------------------------- city export -------
+def city_raw(spark, sf_dir) -> DataFrame:
+    """The original city export shape (text timestamps, id columns) from
+    orders x customer; the hour of day is ``o_orderkey % 24``."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                                              "o_orderstatus")
+    cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_name")
+    j = o.join(cu, o.o_custkey == cu.c_custkey, "left")
+    ts = F.col("o_orderdate") + F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    fmt = "MM/dd/yyyy hh:mm:ss a"
+    return j.select(
+        F.col("o_orderkey").alias("ID"), F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("Case Number"),
+        F.date_format(ts, fmt).alias("Date"), F.col("c_name").alias("Block"),
+        F.substring("o_orderpriority", 1, 1).alias("IUCR"), F.col("o_orderpriority").alias("Primary Type"),
+        F.col("o_orderstatus").alias("Description"), F.col("c_mktsegment").alias("Location Description"),
+        (F.col("o_orderstatus") == "F").alias("Arrest"), (F.col("o_orderstatus") == "P").alias("Domestic"),
+        (F.col("o_custkey") % 300).alias("Beat"), F.col("c_nationkey").alias("District"),
+        (F.col("o_custkey") % 50).alias("Ward"), (F.col("o_custkey") % 77).alias("Community Area"),
+        F.substring("o_orderpriority", 1, 1).alias("FBI Code"),
+        (F.col("o_orderkey") % 1000).cast("double").alias("X Coordinate"),
+        (F.col("o_orderkey") % 997).cast("double").alias("Y Coordinate"),
+        F.year("o_orderdate").alias("Year"), F.date_format(ts, fmt).alias("Updated On"),
+        (F.lit(41.6) + (F.col("o_orderkey") % 400) / F.lit(1000.0)).alias("Latitude"),
+        (F.lit(-87.9) + ((F.col("o_orderkey") * 7) % 400) / F.lit(1000.0)).alias("Longitude"),
+        F.lit(None).cast("string").alias("Location"))
