@@ -1298,3 +1298,70 @@ FROM city WHERE "Year" > 2000 AND "Date" IS NOT NULL"""), doubles=["latitude", "
 def q_a13(spark, sf_dir):
     c = standin.city_clean(spark, sf_dir)
     return RD.city_geo([c.filter(F.col("Year") > 2000)], with_date="Date")
+
+
+# ======================================================== D: models ========
+from riskbeacon.operators import models as ML  # noqa: E402
+from riskbeacon.plans import ml as MLP  # noqa: E402
+
+
+@register("op_d2_logistic_predictions")
+def q_d2(spark, sf_dir):
+    return MLP.model_predictions(spark, sf_dir, 7, 0, ML.MODEL_LR)
+
+
+@register("op_d3_forest_predictions")
+def q_d3(spark, sf_dir):
+    return MLP.model_predictions(spark, sf_dir, 7, 0, ML.MODEL_RF)
+
+
+@register("op_d4_sequence_predictions")
+def q_d4(spark, sf_dir):
+    return MLP.sequence_predictions(spark, sf_dir, 7, 0)
+
+
+@register("op_d6_prediction_coverage", _pred_sql(
+    "SELECT seed, dataset, model, count(*) AS n_rows, count(*) AS expected_rows FROM preds GROUP BY 1, 2, 3 "
+    "HAVING FALSE"))
+def q_d6(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    exp = (r.test.agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("dataset", F.lit("in_domain"))
+           .unionByName(r.out.agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("dataset", F.lit("out_domain"))))
+    return ML.prediction_coverage(r.predictions, exp)
+
+
+@register("op_d8_logistic_importance")
+def q_d8(spark, sf_dir):
+    return ML.logistic_importance(spark, MLP.fitted(spark, sf_dir, 7, 0)[0][ML.MODEL_LR])
+
+
+@register("op_d9_forest_split_counts")
+def q_d9(spark, sf_dir):
+    return ML.forest_split_counts(spark, MLP.fitted(spark, sf_dir, 7, 0)[0][ML.MODEL_RF],
+                                  MLP.model_dir(spark, 7, 0, "rf"))
+
+
+@register("op_d12_importance_summary")
+def q_d12(spark, sf_dir):
+    return H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7), FEATURE_NUMERIC)
+
+
+@register("op_h3_top10_features")
+def q_h3(spark, sf_dir):
+    return H.top_features(H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7), FEATURE_NUMERIC), 10)
+
+
+@register("op_d13_fit_log")
+def q_d13(spark, sf_dir):
+    return MLP.fitted(spark, sf_dir, 7, 0)[1]
+
+
+@register("op_d14_persist_models")
+def q_d14(spark, sf_dir):
+    models, _ = MLP.fitted(spark, sf_dir, 7, 0)
+    paths = ML.persist_models(models, MLP.model_dir(spark, 7, 0, "saved"))
+    meta = [spark.read.json(f"{p}/metadata").select(F.lit(p).alias("path"), "class", "uid") for p in paths]
+    out = meta[0]
+    for m in meta[1:]:
+        out = out.unionByName(m)
+    return out
