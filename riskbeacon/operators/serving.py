@@ -25,7 +25,7 @@ def serving_frame(pred_both: DataFrame, seed: int = 0) -> DataFrame:
     out = pred_both.filter(F.col("seed").cast("int") == int(seed)).select(
         F.col("time_window_days").cast("int").alias("time_window_days"),
         F.col("region_id").cast("string").alias("region_id"),
-        F.date_format(F.to_date(F.col("time_id").cast("string")), "yyyy-MM-dd").alias("time_id"),
+        F.date_format(F.to_date(F.try_to_timestamp(F.col("time_id").cast("string"))), "yyyy-MM-dd").alias("time_id"),
         num["y"].alias("y"), num["y_count"].alias("y_count"), F.col("model").cast("string").alias("model"),
         F.col("dataset").cast("string").alias("dataset"), num["y_score"].alias("y_score"),
         num["y_pred"].alias("y_pred"), F.col("seed").cast("int").alias("seed"))

@@ -55,6 +55,12 @@ def staffing_priority(test7: DataFrame, test3: DataFrame, tiers=STAFFING_TIERS,
     percentile ranks, weighted risk score and a staffing tier. The monthly
     table has at most a few dozen rows, so its global rank windows are tiny."""
     m = monthly_activity(test7, "7d").join(monthly_activity(test3, "3d"), "month", "inner")
+    return staffing_scores(m, tiers, weights)
+
+
+def staffing_scores(m: DataFrame, tiers=STAFFING_TIERS, weights=STAFFING_WEIGHTS) -> DataFrame:
+    """Rank scores, risk score and tier from (month, incidents_7d,
+    incidents_3d, posrate_7d, posrate_3d)."""
     m = (m.withColumn("__i7", avg_pct_rank("incidents_7d")).withColumn("__i3", avg_pct_rank("incidents_3d"))
          .withColumn("__p7", avg_pct_rank("posrate_7d")).withColumn("__p3", avg_pct_rank("posrate_3d")))
     m = (m.withColumn("incident_rank_score", (F.col("__i7") + F.col("__i3")) / 2)
