@@ -65,7 +65,39 @@ def auc(df: DataFrame, keys: list[str], y: str = "y", score: str = "y_score") ->
 
 def classification_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: str = "y_pred",
                            score: str = "y_score") -> DataFrame:
-    return confusion_metrics(df, keys, y, pred).join(auc(df, keys, y, score), keys, "left")
+    """Confusion metrics and AUC from ONE pass over the predictions.
+
+    The rows are first reduced to a histogram over (slice, score, y_pred)
+    with positive / negative counts (partial aggregation before the shuffle).
+    Confusion counts are sums over that histogram; the AUC needs, per
+    distinct score, the negatives strictly below it - a running sum over the
+    histogram ordered by score (RANGE frame: peers of equal score are
+    included, then their own negatives are subtracted).
+    """
+    yt = F.col(y).cast("int")
+    sc = F.col(score).cast("double")
+    hist = df.groupBy(*keys, sc.alias("__s"), F.col(pred).cast("int").alias("__p")).agg(
+        F.sum(F.when(yt == 1, 1).otherwise(0)).cast("double").alias("__pos"),
+        F.sum(F.when(yt == 1, 0).otherwise(1)).cast("double").alias("__neg"))
+    upto = Window.partitionBy(*keys).orderBy("__s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = Window.partitionBy(*keys, "__s")
+    h = (hist.withColumn("__negs", F.sum("__neg").over(at))
+         .withColumn("__below", F.sum("__neg").over(upto) - F.col("__negs")))
+    has_s = F.col("__s").isNotNull()
+    out = h.groupBy(*keys).agg(
+        F.sum(F.col("__pos") + F.col("__neg")).cast("long").alias("n_rows"),
+        F.sum("__pos").alias("__P"), F.sum("__neg").alias("__N"),
+        F.sum(F.when(F.col("__p") == 1, F.col("__pos")).otherwise(0.0)).alias("__tp"),
+        F.sum(F.when(F.col("__p") == 1, F.col("__neg")).otherwise(0.0)).alias("__fp"),
+        F.sum(F.when(F.col("__p") == 1, 0.0).otherwise(F.col("__pos"))).alias("__fn"),
+        F.sum(F.when(has_s, F.col("__pos") * (F.col("__below") + F.col("__negs") / 2))).alias("__u"),
+        F.sum(F.when(has_s, F.col("__pos"))).alias("__ps"), F.sum(F.when(has_s, F.col("__neg"))).alias("__ns"))
+    tp, fp, fn = F.col("__tp"), F.col("__fp"), F.col("__fn")
+    return out.select(
+        *keys, "n_rows", (F.col("__P") / F.col("n_rows")).alias("positive_rate"),
+        _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"),
+        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        F.when((F.col("__ps") > 0) & (F.col("__ns") > 0), F.col("__u") / (F.col("__ps") * F.col("__ns"))).alias("auc"))
 
 
 # ------------------------------------------------------------- E3 ---------

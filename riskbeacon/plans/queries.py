@@ -517,7 +517,7 @@ def _pivot_sql(row: str, col: str, values, dense_days: bool = False) -> str:
 FROM (VALUES {axis}) a(ord, d) LEFT JOIN ({base}) p ON a.d = p."{row}\"""")
 
 
-@register("op_g9_pivot_year_hour", _pivot_sql("Year", "Hour", G.HOUR_ORDER))
+@register("op_g9_pivot_year_hour", _pivot_sql("Year", "Hour", G.HOUR_ORDER), bench=True)
 def q_g9(spark, sf_dir):
     return G.pivot_counts(spark, _city(spark, sf_dir), "Year", "Hour")
 
@@ -722,7 +722,7 @@ def _f4(spark, sf_dir):
 
 @register("op_f4_topk_table", _serving_sql(
     "SELECT CAST(rank AS INTEGER) AS rank, region_id, y_score, y_pred, y_count, y FROM f4top", _F4_SQL),
-          doubles=["y_score", "y_count"])
+          doubles=["y_score", "y_count"], bench=True)
 def q_f4a(spark, sf_dir):
     return _f4(spark, sf_dir)[0]
 
@@ -787,7 +787,7 @@ FROM r"""
 
 @register("op_h1_staffing_priority", _H1_SQL,
           doubles=["incidents_7d", "incidents_3d", "posrate_7d", "posrate_3d", "incident_rank_score",
-                   "pos_rank_score", "risk_score"])
+                   "pos_rank_score", "risk_score"], bench=True)
 def q_h1(spark, sf_dir):
     return H.staffing_priority(pipeline.window_run(spark, sf_dir, 7).test, pipeline.window_run(spark, sf_dir, 3).test)
 
@@ -880,7 +880,7 @@ def q_e25(spark, sf_dir):
 
 
 @register("op_e26_event_hit_classes", _pred_sql("SELECT * FROM hcls", extra=_HIT_SQL),
-          doubles=["latitude", "longitude"])
+          doubles=["latitude", "longitude"], bench=True)
 def q_e26(spark, sf_dir):
     return _hits(spark, sf_dir)
 
@@ -1066,7 +1066,7 @@ FROM flong l JOIN fmed m ON l.feature = m.feature GROUP BY m.feature, m.median""
     ]
 
 
-@register("op_c26_preprocess_fit", S.with_ctes(_fit_sql(), "SELECT * FROM ffit"), doubles=["median", "mean", "std"])
+@register("op_c26_preprocess_fit", S.with_ctes(_fit_sql(), "SELECT * FROM ffit"), doubles=["median", "mean", "std"], bench=True)
 def q_c26a(spark, sf_dir):
     return PR.fit_numeric(pipeline.window_run(spark, sf_dir, 7).train)
 

@@ -25,9 +25,12 @@ def get_session(master: str | None = None, app_name: str = "riskbeacon",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(_BASE_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(_BASE_CONF)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            conf.setdefault("spark.driver.memory", os.environ.get("RISKBEACON_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

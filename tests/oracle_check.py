@@ -92,9 +92,13 @@ def main():
     con = duck(sf_dir)
     specs = load_all()
     bad = 0
-    for name, spec in specs.items():
+    from riskbeacon.plans import ml, pipeline
+    for i, (name, spec) in enumerate(specs.items()):
         if pats and not any(p in name for p in pats):
             continue
+        if i % 10 == 0:
+            pipeline.clear_cache()
+            ml._CACHE.clear()
         try:
             r = compare(spark, con, spec, sf_dir)
         except Exception as e:  # report and continue
