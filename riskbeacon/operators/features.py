@@ -25,7 +25,8 @@ def region_window() -> Window:
     return Window.partitionBy("region_id").orderBy("time_id")
 
 
-def ewma_scan(df: DataFrame, cols: dict[str, str], window, n_max: int, span: int = EWMA_SPAN) -> DataFrame:
+def ewma_scan(df: DataFrame, cols: dict[str, str], part: list[str], order: str, n_max: int,
+              span: int = EWMA_SPAN) -> DataFrame:
     """Exponentially weighted mean with ``adjust=False`` (e1 = x1,
     e_t = (1-a) e_{t-1} + a x_t, a = 2/(span+1)) for each ``src -> dst``.
 
@@ -37,6 +38,7 @@ def ewma_scan(df: DataFrame, cols: dict[str, str], window, n_max: int, span: int
     """
     alpha = 2.0 / (span + 1.0)
     decay = 1.0 - alpha
+    window = Window.partitionBy(*part).orderBy(order)
     first = F.row_number().over(window) == 1
     tmp = {}
     for src, dst in cols.items():
@@ -44,12 +46,15 @@ def ewma_scan(df: DataFrame, cols: dict[str, str], window, n_max: int, span: int
         tmp[dst] = t
         x = F.col(src).cast("double")
         df = df.withColumn(t, F.when(first, x).otherwise(F.lit(alpha) * x))
+    # Each round is one SQL-expression projection (one analyzer pass, few
+    # driver round-trips) over the same window spec.
+    spec = f"PARTITION BY {', '.join(f'`{p}`' for p in part)} ORDER BY `{order}`"
     step = 1
     while step < max(n_max, 1):
-        factor = decay ** step
-        rnd = {t: F.col(t) + F.lit(factor) * F.coalesce(F.lag(t, step).over(window), F.lit(0.0))
-               for t in tmp.values()}
-        df = df.select(*[rnd.get(c, F.col(c)).alias(c) if c in rnd else F.col(c) for c in df.columns])
+        factor = repr(decay ** step)
+        exprs = [f"`{c}`" if c not in tmp.values() else
+                 f"`{c}` + {factor}D * coalesce(lag(`{c}`, {step}) OVER ({spec}), 0D) AS `{c}`" for c in df.columns]
+        df = df.selectExpr(*exprs)
         step *= 2
     for dst, t in tmp.items():
         df = df.withColumnRenamed(t, dst)
@@ -72,7 +77,7 @@ def build_supervised(panel: DataFrame, window_days: int, n_windows: int) -> Data
     w = region_window()
     prev4 = w.rowsBetween(-ROLL_WINDOW, -1)
     df = peer_mean(panel)
-    df = ewma_scan(df, {"count": "__ewm_count", "neighbor_lag_0": "__ewm_nb"}, w, n_windows)
+    df = ewma_scan(df, {"count": "__ewm_count", "neighbor_lag_0": "__ewm_nb"}, ["region_id"], "time_id", n_windows)
 
     cnt = F.col("count").cast("double")
     nb0 = F.col("neighbor_lag_0")

@@ -15,6 +15,9 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # size partitions by bytes (advisory 64 MB), not by core count: small
+    # stages collapse to a few tasks, large ones keep their parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -5,7 +5,6 @@ import datetime as dt
 import itertools
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskbeacon.operators import cube, features, labels, metrics, prep, serving, topk
@@ -14,16 +13,14 @@ from riskbeacon.operators import cube, features, labels, metrics, prep, serving,
 def test_ewma_scan_matches_recursion(spark):
     xs = [1, 4, 9, 16, 25]
     df = spark.createDataFrame([("r", i, x) for i, x in enumerate(xs)], "region_id string, t int, x int")
-    w = Window.partitionBy("region_id").orderBy("t")
-    got = [r.e for r in features.ewma_scan(df, {"x": "e"}, w, len(xs)).orderBy("t").collect()]
+    got = [r.e for r in features.ewma_scan(df, {"x": "e"}, ["region_id"], "t", len(xs)).orderBy("t").collect()]
     assert got == pytest.approx([1, 2.2, 4.92, 9.352, 15.6112])
 
 
 def test_ewma_scan_long_series_equals_loop(spark):
     xs = [(i * 7919) % 23 for i in range(300)]
     df = spark.createDataFrame([("r", i, x) for i, x in enumerate(xs)], "region_id string, t int, x int")
-    w = Window.partitionBy("region_id").orderBy("t")
-    got = [r.e for r in features.ewma_scan(df, {"x": "e"}, w, len(xs)).orderBy("t").collect()]
+    got = [r.e for r in features.ewma_scan(df, {"x": "e"}, ["region_id"], "t", len(xs)).orderBy("t").collect()]
     e, exp = None, []
     for x in xs:
         e = float(x) if e is None else 0.6 * e + 0.4 * x
