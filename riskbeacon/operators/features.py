@@ -61,23 +61,28 @@ def ewma_scan(df: DataFrame, cols: dict[str, str], part: list[str], order: str,
     return df
 
 
-def peer_mean(panel: DataFrame) -> DataFrame:
+def peer_mean(panel: DataFrame, keys: tuple = ()) -> DataFrame:
     """C9 + C10: leave-one-out mean of the other regions of the same state in
     the same window; 0 for a single-region state."""
-    w = Window.partitionBy("region_state", "time_id")
+    w = Window.partitionBy(*keys, "region_state", "time_id")
     tot = F.sum("count").over(w)
     n = F.count(F.lit(1)).over(w)
     nb = F.when(n > 1, (tot - F.col("count")).cast("double") / F.greatest(n - 1, F.lit(1))).otherwise(F.lit(0.0))
     return panel.withColumn("region_state", region_state("region_id")).withColumn("neighbor_lag_0", nb)
 
 
-def build_supervised(panel: DataFrame, window_days: int, n_windows: int) -> DataFrame:
+def build_supervised(panel: DataFrame, window_days: int, n_windows: int, keys: tuple = ()) -> DataFrame:
     """Panel -> supervised rows (all features, y_count, next_time), dropping
-    rows without full history or without a next window (C16)."""
-    w = region_window()
+    rows without full history or without a next window (C16).
+
+    ``keys`` are extra partition columns (e.g. a dataset tag) so several
+    panels are featurized by one plan: every window is partitioned by them.
+    """
+    w = Window.partitionBy(*keys, "region_id").orderBy("time_id")
     prev4 = w.rowsBetween(-ROLL_WINDOW, -1)
-    df = peer_mean(panel)
-    df = ewma_scan(df, {"count": "__ewm_count", "neighbor_lag_0": "__ewm_nb"}, ["region_id"], "time_id", n_windows)
+    df = peer_mean(panel, keys)
+    df = ewma_scan(df, {"count": "__ewm_count", "neighbor_lag_0": "__ewm_nb"}, [*keys, "region_id"], "time_id",
+                   n_windows)
 
     cnt = F.col("count").cast("double")
     nb0 = F.col("neighbor_lag_0")

@@ -87,20 +87,26 @@ def region_train_stats(train: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C22 ----
-def apply_region_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
+def region_stat_defaults(stats: DataFrame) -> DataFrame:
+    """One row: the unweighted mean over regions of every statistic."""
+    return stats.agg(*[F.avg(c).alias(f"__d_{c}") for c in STAT_COLS])
+
+
+def apply_region_stats(df: DataFrame, stats: DataFrame, defaults: DataFrame | None = None) -> DataFrame:
     """Left join the per-region train stats; unseen regions get the unweighted
     mean over regions of each statistic and a 0 seen-flag.
 
     The stats table has one row per region (bounded by the region count, not
-    by events); AQE broadcasts it when its measured size is small.
+    by events); AQE broadcasts it when its measured size is small. The
+    defaults are a one-row frame joined on a constant key.
     """
-    defaults = stats.agg(*[F.avg(c).alias(f"__d_{c}") for c in STAT_COLS])
-    s = stats.withColumn("__seen", F.lit(1))
-    out = df.join(s, "region_id", "left").join(F.broadcast(defaults), how="left")
-    for c in STAT_COLS:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__d_{c}"), F.lit(0.0)))
-    out = out.withColumn("region_seen_in_train", F.coalesce(F.col("__seen"), F.lit(0)).cast("double"))
-    return out.drop("__seen", *[f"__d_{c}" for c in STAT_COLS])
+    d = (defaults if defaults is not None else region_stat_defaults(stats)).withColumn("__one", F.lit(1))
+    s = stats.select("region_id", *STAT_COLS, F.lit(1).alias("__seen"))
+    j = (df.join(s, "region_id", "left").withColumn("__one", F.lit(1))
+         .join(F.broadcast(d), "__one", "inner"))
+    return j.select(*[F.col(c) for c in df.columns],
+                    *[F.coalesce(F.col(c), F.col(f"__d_{c}"), F.lit(0.0)).alias(c) for c in STAT_COLS],
+                    F.coalesce(F.col("__seen"), F.lit(0)).cast("double").alias("region_seen_in_train"))
 
 
 # ------------------------------------------------------------------ C23 ----

@@ -90,14 +90,17 @@ def densify(counts: DataFrame, bounds: TimeBounds) -> DataFrame:
 
 
 def build_panel(events: DataFrame, window_days: int, anchor: str = ANCHOR_DATE,
-                persist: bool = True, mark_from: str | None = None) -> tuple[DataFrame, TimeBounds]:
+                persist: bool = True, mark_from: str | None = None, store=None) -> tuple[DataFrame, TimeBounds]:
     """Events -> dense panel (region_id, time_id, count, count_grp_*).
 
-    The aggregated counts are persisted because they feed both the bounds
-    scalar and the panel; they are regions x windows in size.
+    The aggregated counts feed both the bounds scalar and the panel; they are
+    regions x windows in size. ``store(df)`` (if given) materializes them in
+    the shared folder, else they are persisted.
     """
     counts = window_counts(events, window_days, anchor, mark_from)
-    if persist:
+    if store is not None:
+        counts = store(counts)
+    elif persist:
         counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     bounds = time_bounds(counts, window_days, with_marks=mark_from is not None)
     return densify(counts, bounds), bounds

@@ -15,13 +15,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbeacon.config import DATASET_IN, DATASET_OUT, DATASET_TRAIN
 from riskbeacon.operators import harmonize, labels, panel, predict
 from riskbeacon.operators.features import build_supervised
+from riskbeacon.plans.store import materialize
 from riskbeacon.sources import standin
 
 COUNTY_STRATEGY = harmonize.RegionStrategy("county", "county_name", "agency_id",
@@ -70,22 +70,36 @@ def _key(spark, *parts):
 def panel_for(spark: SparkSession, sf_dir: str, window_days: int, domain: str):
     key = _key(spark, "panel", sf_dir, window_days, domain)
     if key not in _CACHE:
+        def keep(df, _n=f"counts-{domain}-{window_days}d"):
+            return materialize(spark, df, _n)
+
         if domain == "in":
             _CACHE[key] = panel.build_panel(in_domain_events(spark, sf_dir), window_days,
-                                            mark_from=standin.STANDIN_SPLIT_DATE)
+                                            mark_from=standin.STANDIN_SPLIT_DATE, store=keep)
         else:
-            _CACHE[key] = panel.build_panel(standin.out_domain_events(spark, sf_dir), window_days)
+            _CACHE[key] = panel.build_panel(standin.out_domain_events(spark, sf_dir), window_days, store=keep)
     return _CACHE[key]
 
 
-def supervised_for(spark: SparkSession, sf_dir: str, window_days: int, domain: str) -> DataFrame:
-    key = _key(spark, "sup", sf_dir, window_days, domain)
+def supervised_both(spark: SparkSession, sf_dir: str, window_days: int) -> DataFrame:
+    """Features of the in- and out-of-domain panels from ONE plan: the two
+    panels are tagged and unioned, and every window is partitioned by the
+    tag, so both are featurized by the same exchanges and sorts."""
+    key = _key(spark, "sup", sf_dir, window_days)
     if key not in _CACHE:
-        p, b = panel_for(spark, sf_dir, window_days, domain)
-        _CACHE[key] = build_supervised(p, window_days, b.n_windows).persist(StorageLevel.MEMORY_AND_DISK)
+        p_in, b_in = panel_for(spark, sf_dir, window_days, "in")
+        p_out, b_out = panel_for(spark, sf_dir, window_days, "out")
+        both = p_in.withColumn("domain", F.lit("in")).unionByName(p_out.withColumn("domain", F.lit("out")))
+        n = max(b_in.n_windows, b_out.n_windows)
+        _CACHE[key] = materialize(spark, build_supervised(both, window_days, n, keys=("domain",)),
+                                  f"features-{window_days}d")
     return _CACHE[key]
 
 
+def supervised_for(spark: SparkSession, sf_dir: str, window_days: int, domain: str) -> DataFrame:
+    return supervised_both(spark, sf_dir, window_days).filter(F.col("domain") == domain).drop("domain")
+
+
 def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> WindowRun:
     key = _key(spark, "run", sf_dir, window_days)
     if key in _CACHE:
@@ -99,13 +113,14 @@ def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> Window
     thr = labels.compute_threshold(train)
     train_l = labels.add_label(train, thr)
     stats = labels.region_train_stats(train_l)
-    train_x = labels.apply_region_stats(train_l, stats)
-    test_x = labels.apply_region_stats(labels.add_label(test, thr), stats)
-    out_x = labels.apply_region_stats(labels.add_label(sup_out, thr), stats)
-    # The long prediction table feeds every metric; it is persisted once
+    dflt = labels.region_stat_defaults(stats)
+    train_x = labels.apply_region_stats(train_l, stats, dflt)
+    test_x = labels.apply_region_stats(labels.add_label(test, thr), stats, dflt)
+    out_x = labels.apply_region_stats(labels.add_label(sup_out, thr), stats, dflt)
+    # The long prediction table feeds every metric; it is written once
     # (rows x models x seeds, panel-sized) instead of being re-derived.
-    preds = predict.predictions_long(test_x, DATASET_IN, thr).unionByName(
-        predict.predictions_long(out_x, DATASET_OUT, thr)).persist(StorageLevel.MEMORY_AND_DISK)
+    preds = materialize(spark, predict.predictions_long(test_x, DATASET_IN, thr).unionByName(
+        predict.predictions_long(out_x, DATASET_OUT, thr)), f"predictions-{window_days}d")
     run = WindowRun(window_days, b_in, b_out, t0, t1, thr, p_in, p_out, sup_in, train_x, test_x, out_x, preds)
     _CACHE[key] = run
     return run

@@ -50,6 +50,16 @@ def get_session(master: str | None = None, app_name: str = "riskbeacon",
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Apply the session-level SQL settings to a session created elsewhere."""
+    for k, v in _BASE_CONF.items():
+        if k.startswith("spark.sql."):
+            try:
+                spark.conf.set(k, v)
+            except Exception:
+                pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
