@@ -13,6 +13,8 @@ first/last test window (split) and the integer threshold.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +63,37 @@ def test_events(events: DataFrame) -> DataFrame:
 
 
 _CACHE: dict = {}
+_LOCKS: dict = {}
+_GUARD = threading.Lock()
 
 
 def _key(spark, *parts):
     return (id(spark.sparkContext._jsc),) + parts
 
 
+def _lock(key) -> threading.Lock:
+    with _GUARD:
+        return _LOCKS.setdefault(key, threading.Lock())
+
+
+def in_parallel(*thunks):
+    """Run independent driver-side job submissions concurrently: Spark
+    schedules jobs from several threads side by side, so small stages of
+    independent branches (in/out domain, 7d/3d window) share the cores."""
+    if len(thunks) == 1:
+        return [thunks[0]()]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]
+
+
 def panel_for(spark: SparkSession, sf_dir: str, window_days: int, domain: str):
     key = _key(spark, "panel", sf_dir, window_days, domain)
+    with _lock(key):
+        return _panel_for(spark, sf_dir, window_days, domain, key)
+
+
+def _panel_for(spark, sf_dir, window_days, domain, key):
     if key not in _CACHE:
         def keep(df, _n=f"counts-{domain}-{window_days}d"):
             return materialize(spark, df, _n)
@@ -86,9 +111,14 @@ def supervised_both(spark: SparkSession, sf_dir: str, window_days: int) -> DataF
     panels are tagged and unioned, and every window is partitioned by the
     tag, so both are featurized by the same exchanges and sorts."""
     key = _key(spark, "sup", sf_dir, window_days)
+    with _lock(key):
+        return _supervised_both(spark, sf_dir, window_days, key)
+
+
+def _supervised_both(spark, sf_dir, window_days, key):
     if key not in _CACHE:
-        p_in, b_in = panel_for(spark, sf_dir, window_days, "in")
-        p_out, b_out = panel_for(spark, sf_dir, window_days, "out")
+        (p_in, b_in), (p_out, b_out) = in_parallel(lambda: panel_for(spark, sf_dir, window_days, "in"),
+                                                   lambda: panel_for(spark, sf_dir, window_days, "out"))
         both = p_in.withColumn("domain", F.lit("in")).unionByName(p_out.withColumn("domain", F.lit("out")))
         n = max(b_in.n_windows, b_out.n_windows)
         _CACHE[key] = materialize(spark, build_supervised(both, window_days, n, keys=("domain",)),
@@ -102,8 +132,19 @@ def supervised_for(spark: SparkSession, sf_dir: str, window_days: int, domain: s
 
 def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> WindowRun:
     key = _key(spark, "run", sf_dir, window_days)
+    with _lock(key):
+        return _window_run(spark, sf_dir, window_days, key)
+
+
+def window_runs(spark: SparkSession, sf_dir: str, windows=(7, 3)) -> list[WindowRun]:
+    """Both window runs, built concurrently."""
+    return in_parallel(*[(lambda w=w: window_run(spark, sf_dir, w)) for w in windows])
+
+
+def _window_run(spark, sf_dir, window_days, key) -> WindowRun:
     if key in _CACHE:
         return _CACHE[key]
+    supervised_both(spark, sf_dir, window_days)  # builds both panels concurrently
     p_in, b_in = panel_for(spark, sf_dir, window_days, "in")
     p_out, b_out = panel_for(spark, sf_dir, window_days, "out")
     sup_in = supervised_for(spark, sf_dir, window_days, "in")
@@ -128,8 +169,8 @@ def window_run(spark: SparkSession, sf_dir: str, window_days: int = 7) -> Window
 
 def predictions_both_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction table of both windows, tagged with time_window_days."""
-    frames = [window_run(spark, sf_dir, w).predictions.withColumn("time_window_days", F.lit(w))
-              for w in (7, 3)]
+    frames = [r.predictions.withColumn("time_window_days", F.lit(r.window_days))
+              for r in window_runs(spark, sf_dir, (7, 3))]
     return frames[0].unionByName(frames[1])
 
 

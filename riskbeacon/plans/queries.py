@@ -311,6 +311,7 @@ def _mlong_both_sql(final: str) -> str:
 
 
 def _mlong_both(spark, sf_dir):
+    pipeline.window_runs(spark, sf_dir, (7, 3))
     return _mlong(spark, sf_dir, 7).unionByName(_mlong(spark, sf_dir, 3))
 
 
@@ -789,7 +790,8 @@ FROM r"""
           doubles=["incidents_7d", "incidents_3d", "posrate_7d", "posrate_3d", "incident_rank_score",
                    "pos_rank_score", "risk_score"], bench=True)
 def q_h1(spark, sf_dir):
-    return H.staffing_priority(pipeline.window_run(spark, sf_dir, 7).test, pipeline.window_run(spark, sf_dir, 3).test)
+    r7, r3 = pipeline.window_runs(spark, sf_dir, (7, 3))
+    return H.staffing_priority(r7.test, r3.test)
 
 
 def _best_sel(spark, sf_dir, w):
@@ -823,7 +825,7 @@ LEFT JOIN s3 ON a7.region_id = s3.region_id"""
           doubles=["avg_y_count_7d", "pos_rate_7d", "topk_sel_rate_7d", "avg_y_count_3d", "pos_rate_3d",
                    "topk_sel_rate_3d"])
 def q_h2(spark, sf_dir):
-    r7, r3 = pipeline.window_run(spark, sf_dir, 7), pipeline.window_run(spark, sf_dir, 3)
+    r7, r3 = pipeline.window_runs(spark, sf_dir, (7, 3))
     return H.district_priority(r7.test, r3.test, _best_sel(spark, sf_dir, 7), _best_sel(spark, sf_dir, 3))
 
 
@@ -1011,6 +1013,7 @@ def q_e34b(spark, sf_dir):
 
 
 def _e35_spark(spark, sf_dir):
+    pipeline.window_runs(spark, sf_dir, (7, 3))
     thr = _thr_spark(spark, sf_dir, 7).unionByName(_thr_spark(spark, sf_dir, 3))
     ml = _mlong_both(spark, sf_dir)
     return TB.window_report(thr, M.window_overall_summary(ml), M.window_gap_summary(ml))
