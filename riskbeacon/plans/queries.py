@@ -1368,3 +1368,50 @@ def q_d14(spark, sf_dir):
     for m in meta[1:]:
         out = out.unionByName(m)
     return out
+
+
+# ======================================================== A: sinks/serving =
+from riskbeacon.plans.store import table_root  # noqa: E402
+
+
+@register("op_a2_header_harmonization", S.with_ctes([("craw", S.city_raw())],
+                                                    """SELECT CAST(strptime("Date", '%m/%d/%Y %I:%M:%S %p') AS TIMESTAMP) AS event_date,
+       "Primary Type" AS raw_type, CAST("District" AS VARCHAR) AS region_token FROM craw"""))
+def q_a2(spark, sf_dir):
+    raw = standin.city_raw(spark, sf_dir)
+    h = RD.harmonize_headers(raw, {"event_date": RD.DATE_COLUMN_CANDIDATES, "raw_type": RD.CRIME_TYPE_COLUMN_CANDIDATES,
+                                   "region_token": RD.CITY_REGION_CANDIDATE_PRIORITY})
+    return h.select(F.try_to_timestamp("event_date", F.lit(EDA.EXPORT_TS_FORMAT)).alias("event_date"), "raw_type",
+                    F.col("region_token").cast("string").alias("region_token"))
+
+
+@register("op_a3_list_inputs")
+def q_a3(spark, sf_dir):
+    return RD.list_files(spark, sf_dir, "*.parquet").select("name", "size")
+
+
+@register("op_a6_partitioned_roundtrip", _pred_sql(
+    "SELECT * FROM preds WHERE dataset = 'in_domain' AND model = 'ewma' AND seed = 1"), doubles=["y_count", "y_score"])
+def q_a6(spark, sf_dir):
+    import uuid
+    path = f"{table_root(spark)}/predictions-partitioned-{uuid.uuid4().hex[:8]}"
+    RD.write_table(_preds(spark, sf_dir), path, ["dataset", "model", "seed"])
+    back = RD.read_table(spark, path).filter("dataset = 'in_domain' AND model = 'ewma' AND seed = 1")
+    return back.select("region_id", "time_id", "y", "y_count", "model", "dataset", "y_score", "y_pred",
+                       F.col("seed").cast("int").alias("seed"))
+
+
+@register("op_a8_serving_frame", _serving_sql("SELECT * FROM serv"), doubles=["y_count", "y_score"])
+def q_a8(spark, sf_dir):
+    return _serving(spark, sf_dir)
+
+
+@register("op_a9_thresholds_json", f"""SELECT 7 AS time_window_days, threshold FROM ({_thr_sql(7)}) a
+UNION ALL SELECT 3, threshold FROM ({_thr_sql(3)}) b""")
+def q_a9(spark, sf_dir):
+    import uuid
+    r7, r3 = pipeline.window_runs(spark, sf_dir, (7, 3))
+    thr = spark.createDataFrame([(7, r7.threshold), (3, r3.threshold)], "time_window_days int, threshold int")
+    path = f"{table_root(spark)}/thresholds-{uuid.uuid4().hex[:8]}"
+    RD.write_thresholds(spark, thr, path)
+    return RD.read_thresholds(spark, path)
