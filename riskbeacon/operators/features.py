@@ -10,20 +10,16 @@ region can be skewed here, however skewed the raw events were.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbeacon.config import CRIME_GROUPS, EWMA_SPAN, ROLL_WINDOW
-from riskbeacon.functions.expr import GROUP_COUNT_COLS, calendar_columns, region_state, safe_div
+from riskbeacon.functions.expr import GROUP_COUNT_COLS, calendar_columns, region_state
 
 REQUIRED_NOT_NULL = ["lag_1", "lag_2", "lag_4", "neighbor_lag_1", "y_count"]
 
 
-def region_window() -> Window:
-    return Window.partitionBy("region_id").orderBy("time_id")
-
 
 def ewma_scan(df: DataFrame, cols: dict[str, str], part: list[str], order: str, n_max: int,
               span: int = EWMA_SPAN) -> DataFrame:
@@ -111,19 +107,3 @@ def build_supervised(panel: DataFrame, window_days: int, n_windows: int, keys: t
                          .otherwise(F.lit(0.0)).alias(f"lag1_share_{g}") for g in CRIME_GROUPS])
     df = df.drop("__lag_sum", "__ewm_count", "__ewm_nb", *[f"__lag1_{g}" for g in CRIME_GROUPS])
     return df.dropna(subset=REQUIRED_NOT_NULL)
-
-
-def ewma_reference_sql_weights(n: int, span: int = EWMA_SPAN) -> list[float]:
-    """Closed-form weights of e_n over x_1..x_n (for small brute-force tests)."""
-    alpha = 2.0 / (span + 1.0)
-    decay = 1.0 - alpha
-    return [decay ** (n - 1)] + [alpha * decay ** (n - i) for i in range(2, n + 1)]
-
-
-def time_id_string(c="time_id") -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd")
-
-
-def log2_ceil(n: int) -> int:
-    return 0 if n <= 1 else int(math.ceil(math.log2(n)))
-

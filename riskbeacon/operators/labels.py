@@ -3,24 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbeacon.config import FEATURE_NUMERIC, THRESHOLD_QUANTILE
-from riskbeacon.functions.expr import time_bin
 
 STAT_COLS = ["region_train_mean", "region_train_std", "region_train_count"]
 
 
-# ------------------------------------------------------------------ C17 ----
-def test_window_bounds(test_events: DataFrame, window_days: int) -> tuple[dt.date, dt.date]:
-    """First and last window of the test events (two driver scalars)."""
-    t = time_bin(F.col("event_date"), window_days)
-    row = test_events.agg(F.min(t).alias("a"), F.max(t).alias("b")).first()
-    return row["a"], row["b"]
-
 
 def window_of(ts, window_days: int, anchor: str = "2015-01-01") -> dt.date | None:
     """Window start of one timestamp (driver-side twin of ``time_bin``)."""
@@ -138,7 +129,3 @@ def schema_consistency(spark, frames: dict[str, DataFrame]) -> DataFrame:
             ok = i < len(base.fields) and base.fields[i].name == f.name and base.fields[i].dataType == f.dataType
             rows.append((name, i, f.name, f.dataType.simpleString(), bool(ok and len(sch) == len(base))))
     return spark.createDataFrame(rows, "dataset string, position int, column string, type string, matches_base boolean")
-
-
-def ceil_quantile_int(q: float) -> int:
-    return int(max(1, math.ceil(q)))

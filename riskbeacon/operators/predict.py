@@ -28,11 +28,6 @@ def scorer_specs(seeds=EVAL_SEEDS) -> list[tuple[str, int, str]]:
     return specs
 
 
-def persistence(df: DataFrame, threshold: int) -> DataFrame:
-    """y_score = lag_0, y_pred = lag_0 >= threshold."""
-    return (df.withColumn("y_score", F.col("lag_0").cast("double"))
-            .withColumn("y_pred", (F.col("y_score") >= F.lit(int(threshold))).cast("int")))
-
 
 def predictions_long(xy: DataFrame, dataset: str, threshold: int, specs=None) -> DataFrame:
     """Score one labelled dataset with every (model, seed)."""
@@ -47,11 +42,3 @@ def predictions_long(xy: DataFrame, dataset: str, threshold: int, specs=None) ->
         "region_id", "time_id", "y", "y_count", "model", F.lit(dataset).alias("dataset"), "y_score",
         (F.col("y_score") >= F.lit(int(threshold))).cast("int").alias("y_pred"),
         F.col("seed").cast("int").alias("seed"))
-
-
-def coverage_check(predictions: DataFrame, expected_rows: DataFrame) -> DataFrame:
-    """(seed, dataset, model) groups whose row count differs from the
-    expected count of their dataset (empty = valid)."""
-    got = predictions.groupBy("seed", "dataset", "model").agg(F.count(F.lit(1)).alias("n_rows"))
-    return (got.join(expected_rows, "dataset", "left")
-            .filter(F.col("expected_rows").isNull() | (F.col("n_rows") != F.col("expected_rows"))))

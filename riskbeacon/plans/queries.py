@@ -15,8 +15,6 @@ from riskbeacon.plans.catalog import register
 from riskbeacon.sources import standin
 
 GRP = [f"count_grp_{g}" for g in CRIME_GROUPS]
-SHARES = [f"lag1_share_{g}" for g in CRIME_GROUPS]
-SUP_DOUBLES = [c for c in FEATURE_NUMERIC if not c.startswith("region_")] + ["y_count", "neighbor_lag_0"] + GRP
 
 
 # ======================================================== C: panel =========

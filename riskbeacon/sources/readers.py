@@ -6,7 +6,6 @@ discovery is a distributed listing; every table stays a lazy DataFrame.
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -171,9 +170,6 @@ def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("time_window_days int, threshold int").json(path)
 
 
-def run_summary_json(window_days: int, threshold: int) -> str:
-    return json.dumps({"time_window_days": int(window_days), "threshold": int(threshold)})
-
 
 # ------------------------------------------------------------------ A10 ----
 def newest_valid_run(runs: DataFrame, required_windows=(7, 3)) -> DataFrame:
