@@ -63,6 +63,36 @@ def auc(df: DataFrame, keys: list[str], y: str = "y", score: str = "y_score") ->
                                     F.col("__u") / (F.col("__p") * F.col("__n"))).alias("auc"))
 
 
+AUC_BUCKETS = 64
+
+
+def _negatives_below(hist: DataFrame, keys: list[str], buckets: int = AUC_BUCKETS) -> DataFrame:
+    """Add ``__negs`` (negatives at the row's score) and ``__below``
+    (negatives at strictly lower scores of the same slice).
+
+    Two-level exact prefix sum, so no task ever orders a whole slice: each
+    slice's distinct scores are cut into ~``buckets`` ranges by approximate
+    quantiles (the cut points only balance the work; results stay exact
+    because equal scores always share a bucket); the negatives before a
+    bucket come from a running sum over the small (slice, bucket) table, and
+    only one bucket's scores are ordered within a task.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = hist.filter(F.col("__s").isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx("__s", probs, 10000).alias("__cuts"))  # one row per slice
+    h = (hist.join(cuts, keys, "left")
+         .withColumn("__b", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col("__s"))), F.lit(-1)))
+         .drop("__cuts"))
+    per_b = h.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.withColumn("__before", F.coalesce(F.sum("__bneg").over(before), F.lit(0.0))).drop("__bneg")
+    h = h.join(per_b, [*keys, "__b"], "left")
+    upto = Window.partitionBy(*keys, "__b").orderBy("__s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = Window.partitionBy(*keys, "__b", "__s")
+    h = h.withColumn("__negs", F.sum("__neg").over(at))
+    return h.withColumn("__below", F.col("__before") + F.sum("__neg").over(upto) - F.col("__negs"))
+
+
 def classification_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: str = "y_pred",
                            score: str = "y_score") -> DataFrame:
     """Confusion metrics and AUC from ONE pass over the predictions.
@@ -70,19 +100,14 @@ def classification_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: s
     The rows are first reduced to a histogram over (slice, score, y_pred)
     with positive / negative counts (partial aggregation before the shuffle).
     Confusion counts are sums over that histogram; the AUC needs, per
-    distinct score, the negatives strictly below it - a running sum over the
-    histogram ordered by score (RANGE frame: peers of equal score are
-    included, then their own negatives are subtracted).
+    distinct score, the negatives strictly below it (``_negatives_below``).
     """
     yt = F.col(y).cast("int")
     sc = F.col(score).cast("double")
     hist = df.groupBy(*keys, sc.alias("__s"), F.col(pred).cast("int").alias("__p")).agg(
         F.sum(F.when(yt == 1, 1).otherwise(0)).cast("double").alias("__pos"),
         F.sum(F.when(yt == 1, 0).otherwise(1)).cast("double").alias("__neg"))
-    upto = Window.partitionBy(*keys).orderBy("__s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at = Window.partitionBy(*keys, "__s")
-    h = (hist.withColumn("__negs", F.sum("__neg").over(at))
-         .withColumn("__below", F.sum("__neg").over(upto) - F.col("__negs")))
+    h = _negatives_below(hist, keys)
     has_s = F.col("__s").isNotNull()
     out = h.groupBy(*keys).agg(
         F.sum(F.col("__pos") + F.col("__neg")).cast("long").alias("n_rows"),

@@ -158,20 +158,28 @@ def hit_summary(hits: DataFrame, window_days: int, model: str, seed: int, k: int
 
 
 # ------------------------------------------------------------------ E28 ----
-def stratified_sample(hits: DataFrame, n: int = 50000, seed: int = 42) -> DataFrame:
-    """Per class max(1, floor(n_class * n / n_total)) rows chosen by a seeded
-    hash order, capped at n overall; all rows when n_total <= n."""
+def stratified_sample(hits: DataFrame, n: int = 50000, seed: int = 42, fan_in: int = 32) -> DataFrame:
+    """Per class max(1, floor(n_class * n / n_total)) rows - those with the
+    smallest seeded hash - capped at n overall; all rows when n_total <= n.
+
+    The per-class top-quota is a tree reduction: first inside each (class,
+    input partition), then inside (class, partition % fan_in), then per
+    class, so no task ever holds more than quota x fan_in rows of a class,
+    however large the class is.
+    """
     total = hits.agg(F.count(F.lit(1)).alias("__t"))
     cls = hits.groupBy("coverage_class").agg(F.count(F.lit(1)).alias("__c"))
-    h = F.xxhash64(F.lit(seed), "region_id", "event_date", "latitude", "longitude")
     quota = F.when(F.col("__t") <= n, F.col("__c")).otherwise(
         F.greatest(F.lit(1), F.floor(F.col("__c") * F.lit(float(n)) / F.col("__t"))))
     q = side_by_side(cls, total).withColumn("__q", quota).select("coverage_class", "__q")
-    w = Window.partitionBy("coverage_class").orderBy(h)
-    s = hits.join(F.broadcast(q), "coverage_class").withColumn("__r", F.row_number().over(w))
+    h = F.xxhash64(F.lit(seed), "region_id", "event_date", "latitude", "longitude")
+    s = (hits.withColumn("__h", h).withColumn("__pid", F.spark_partition_id())
+         .join(F.broadcast(q), "coverage_class"))  # one row per class: tiny
+    for grp in (["coverage_class", "__pid"], ["coverage_class", F.col("__pid") % fan_in], ["coverage_class"]):
+        w = Window.partitionBy(*grp).orderBy("__h")
+        s = s.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= F.col("__q"))
     # final cap: a bounded top-n by the same hash (per-task top-n, then merge)
-    return (s.filter(F.col("__r") <= F.col("__q")).withColumn("__h", h)
-            .orderBy("__h").limit(int(n)).drop("__r", "__q", "__h"))
+    return s.orderBy("__h").limit(int(n)).drop("__r", "__q", "__h", "__pid")
 
 
 # ------------------------------------------------------------------ E29 ----

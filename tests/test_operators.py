@@ -139,3 +139,15 @@ def test_split_excludes_straddling_window(spark):
     tr, te = labels.split_train_test(df, dt.date(2024, 12, 30), dt.date(2025, 1, 13))
     assert [r.time_id for r in tr.collect()] == [dt.date(2024, 12, 16)]
     assert [r.time_id for r in te.orderBy("time_id").collect()] == [dt.date(2024, 12, 30), dt.date(2025, 1, 6)]
+
+
+def test_stratified_sample_quotas(spark):
+    rows = [("R", f"2025-01-{d:02d}", 1.0 * i, 2.0, cls) for d in range(1, 29)
+            for i, cls in enumerate(["Miss"] * 8 + ["Exact hit"] * 2)]
+    df = spark.createDataFrame(rows, "region_id string, event_date string, latitude double, longitude double, "
+                                     "coverage_class string")
+    from riskbeacon.operators import spatial
+    got = {r.coverage_class: r["count"] for r in spatial.stratified_sample(df, n=50).groupBy("coverage_class")
+           .count().collect()}
+    # 280 rows, n = 50: quotas floor(224 * 50 / 280) = 40 and floor(56 * 50 / 280) = 10
+    assert got == {"Miss": 40, "Exact hit": 10}
