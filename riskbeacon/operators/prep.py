@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbeacon.config import FEATURE_NUMERIC, SEQUENCE_LENGTH
+from riskbeacon.functions.quantile import exact_percentile
 
 MISSING = "__MISSING__"
 
@@ -26,7 +27,8 @@ def fit_numeric(train: DataFrame, features=FEATURE_NUMERIC) -> DataFrame:
     """(feature, median, mean, std) on train."""
     long = train.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
         [], list(features), "feature", "value")
-    med = long.groupBy("feature").agg(F.percentile("value", 0.5).alias("median"))
+    med = exact_percentile(long, "value", 0.5, ["feature"], "median")
+    med = long.select("feature").distinct().join(med, "feature", "left")
     filled = long.join(F.broadcast(med), "feature").withColumn(
         "value", F.coalesce(F.col("value"), F.col("median"), F.lit(0.0)))
     st = filled.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("__s"))

@@ -22,15 +22,20 @@ from pyspark.sql import functions as F
 
 from riskbeacon.config import DATASET_IN, KNN_K
 from riskbeacon.functions.expr import side_by_side, time_bin
+from riskbeacon.functions.quantile import exact_percentile
 
 MAX_BROADCAST_REGIONS = 200_000  # centroid rows (3 doubles + id) -> a few MB
 
 
 # ------------------------------------------------------------------ E23 ----
 def centroids(points: DataFrame) -> DataFrame:
+    """Exact median longitude / latitude per region over ALL points, by
+    selection (``exact_percentile``) so a region holding most points is never
+    merged in one task."""
     p = points.dropna(subset=["region_id", "latitude", "longitude"])
-    return p.groupBy("region_id").agg(F.percentile("longitude", 0.5).alias("lon"),
-                                      F.percentile("latitude", 0.5).alias("lat"))
+    lon = exact_percentile(p, "longitude", 0.5, ["region_id"], "lon")
+    lat = exact_percentile(p, "latitude", 0.5, ["region_id"], "lat")
+    return lon.join(lat, "region_id")
 
 
 # ------------------------------------------------------------------ E24 ----

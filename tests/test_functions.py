@@ -48,3 +48,18 @@ def test_region_state(spark):
     vals = ["il__cpd_dist_1", "NAN__x", "", None, "solo"]
     got = [r[0] for r in _col(spark, vals).select(region_state("v")).collect()]
     assert got == ["IL", "UNK", "UNK", "UNK", "SOLO"]
+
+
+def test_exact_percentile_matches_builtin(spark):
+    import random
+    from riskbeacon.functions.quantile import exact_percentile
+    rnd = random.Random(7)
+    rows = [("a", float(rnd.randint(0, 50))) for _ in range(2001)] + [("b", rnd.random()) for _ in range(998)]
+    rows += [("c", 5.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for q in (0.5, 0.75, 0.1):
+        got = {r.g: r.p for r in exact_percentile(df, "x", q, ["g"], "p", buckets=16).collect()}
+        exp = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("x", q).alias("p")).collect() if r.p is not None}
+        assert set(got) == set(exp)
+        for k in exp:
+            assert abs(got[k] - exp[k]) < 1e-12, (q, k)
