@@ -533,7 +533,7 @@ def q_g11(spark, sf_dir):
 
 @register("op_g12_compare_types_monthly", _g_sql(
     """SELECT g.value, g.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS count
-FROM (SELECT * FROM (VALUES ('1-URGENT'), ('5-LOW')) v(value), (SELECT unnest(range(1, 13)) AS bucket) b) g
+FROM (SELECT * FROM (VALUES ('1-URGENT'), ('5-LOW')) v(value), (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS bucket) b) g
 LEFT JOIN (SELECT "Primary Type" AS value, CAST("Month" AS INTEGER) AS bucket, count(*) AS n FROM city
            WHERE "Primary Type" IN ('1-URGENT', '5-LOW') GROUP BY 1, 2) c
 ON g.value = c.value AND g.bucket = c.bucket"""))
@@ -599,7 +599,7 @@ def q_g19(spark, sf_dir):
 
 @register("op_g20_largest_gap_year", _g_sql(
     """SELECT (SELECT yr FROM a ORDER BY gap DESC, yr LIMIT 1) AS gap_year,
-       (SELECT gap FROM a ORDER BY gap DESC, yr LIMIT 1) AS gap, (SELECT sum(arrests) FROM a) AS total_arrests""",
+       (SELECT gap FROM a ORDER BY gap DESC, yr LIMIT 1) AS gap, CAST((SELECT sum(arrests) FROM a) AS BIGINT) AS total_arrests""",
     extra=[("a", 'SELECT CAST("Year" AS INTEGER) AS yr, count(*) - count(*) FILTER (WHERE "Arrest") AS gap, '
                  'count(*) FILTER (WHERE "Arrest") AS arrests FROM city GROUP BY 1')]))
 def q_g20(spark, sf_dir):
@@ -608,9 +608,9 @@ def q_g20(spark, sf_dir):
 
 @register("op_g21_arrest_rate_by_type", _g_sql(
     f"""SELECT "Primary Type", crimes, arrests, arrest_rate, rank, side FROM (
-  SELECT *, row_number() OVER (ORDER BY arrest_rate DESC, "Primary Type") AS rank, 'top' AS side FROM r
+  SELECT *, CAST(row_number() OVER (ORDER BY arrest_rate DESC, "Primary Type") AS INTEGER) AS rank, 'top' AS side FROM r
   UNION ALL
-  SELECT *, row_number() OVER (ORDER BY arrest_rate ASC, "Primary Type") AS rank, 'bottom' AS side FROM r
+  SELECT *, CAST(row_number() OVER (ORDER BY arrest_rate ASC, "Primary Type") AS INTEGER) AS rank, 'bottom' AS side FROM r
 ) x WHERE rank <= {G_TOP_N}""",
     extra=[("r", 'SELECT "Primary Type", count(*) AS crimes, count(*) FILTER (WHERE "Arrest") AS arrests, '
                  'CAST(count(*) FILTER (WHERE "Arrest") AS DOUBLE) / count(*) AS arrest_rate FROM city GROUP BY 1 '
@@ -621,7 +621,7 @@ def q_g21(spark, sf_dir):
 
 @register("op_g22_arrest_share_by_hour", _g_sql(
     """SELECT h.h AS "Hour", coalesce(1.0 - a.t, 0.0) AS arrest_false, coalesce(a.t, 0.0) AS arrest_true
-FROM (SELECT unnest(range(0, 24)) AS h) h
+FROM (SELECT CAST(unnest(range(0, 24)) AS INTEGER) AS h) h
 LEFT JOIN (SELECT CAST("Hour" AS INTEGER) AS h, avg(CAST("Arrest" AS DOUBLE)) AS t FROM city GROUP BY 1) a ON h.h = a.h"""),
           doubles=["arrest_false", "arrest_true"])
 def q_g22(spark, sf_dir):
@@ -1042,7 +1042,7 @@ def _xy_frames(spark, sf_dir):
 @register("op_c24_schema_consistency", S.with_ctes(S.split_ctes(7), """SELECT d.dataset, d.n_rows, c.n_columns, c.consistent
 FROM (SELECT 'Xy_in_train' AS dataset, count(*) AS n_rows FROM train_x UNION ALL
       SELECT 'Xy_in_domain', count(*) FROM test_x UNION ALL SELECT 'Xy_out_domain', count(*) FROM out_x) d,
-     (SELECT 31 AS n_columns, TRUE AS consistent) c"""))
+     (SELECT CAST(31 AS BIGINT) AS n_columns, TRUE AS consistent) c"""))
 def q_c24(spark, sf_dir):
     frames = _xy_frames(spark, sf_dir)
     sch = labels.schema_consistency(spark, frames)

@@ -309,8 +309,8 @@ def knn_ctes(k: int = 3) -> list[tuple[str, str]]:
                  "WHERE region_id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1"),
         ("knn", f"""SELECT * FROM (
   SELECT a.region_id, b.region_id AS neighbor_id, sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)) AS distance,
-         row_number() OVER (PARTITION BY a.region_id ORDER BY sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)),
-                            b.region_id) AS nn_rank
+         CAST(row_number() OVER (PARTITION BY a.region_id ORDER BY sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)),
+                            b.region_id) AS INTEGER) AS nn_rank
   FROM cent a JOIN cent b ON a.region_id <> b.region_id) x WHERE nn_rank <= {k}"""),
     ]
 
@@ -322,7 +322,7 @@ def city_raw() -> str:
        o.o_orderstatus AS "Description", c.c_mktsegment AS "Location Description",
        (o.o_orderstatus = 'F') AS "Arrest", (o.o_orderstatus = 'P') AS "Domestic", o.o_custkey % 300 AS "Beat",
        c.c_nationkey AS "District", o.o_custkey % 50 AS "Ward", o.o_custkey % 77 AS "Community Area",
-       substr(o.o_orderpriority, 1, 1) AS "FBI Code", year(o.o_orderdate) AS "Year",
+       substr(o.o_orderpriority, 1, 1) AS "FBI Code", CAST(year(o.o_orderdate) AS INTEGER) AS "Year",
        CAST(41.6 AS DOUBLE) + CAST(o.o_orderkey % 400 AS DOUBLE) / 1000.0 AS "Latitude",
        CAST(-87.9 AS DOUBLE) + CAST((o.o_orderkey * 7) % 400 AS DOUBLE) / 1000.0 AS "Longitude"
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
