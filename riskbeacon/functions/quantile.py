@@ -20,11 +20,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Largest group whose exact quantile may be merged in one task (built-in
+# ``percentile``: a value->count map of at most this many entries).
+SINGLE_TASK_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest group (one small aggregation job)."""
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) if keys else df.agg(F.count(F.lit(1)).alias("__n"))
+    v = g.agg(F.max("__n").alias("m")).first()["m"]
+    return int(v or 0)
+
+
 def exact_percentile(df: DataFrame, value: str, q: float, keys: list[str], out: str,
-                     buckets: int = 512, accuracy: int = 20000) -> DataFrame:
+                     buckets: int = 512, accuracy: int = 20000, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """(keys..., out): the exact linear-interpolated q-quantile of ``value``
-    per group (NULL values ignored; groups without values are absent)."""
+    per group (NULL values ignored; groups without values are absent).
+
+    The group sizes are measured first: when every group fits the
+    single-task bound the built-in exact ``percentile`` is used, otherwise
+    the bucketed selection below (same result)."""
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    if largest_group(v, keys) <= single_task_rows:
+        return v.groupBy(*keys).agg(F.percentile("__v", float(q)).alias(out))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = v.groupBy(*keys).agg(F.percentile_approx("__v", probs, accuracy).alias("__cuts"),
                                 F.count(F.lit(1)).alias("__n"))
