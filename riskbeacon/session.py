@@ -71,6 +71,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="riskbeacon-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        configured = tempfile.mkdtemp(prefix="riskbeacon-ckpt-", dir=os.environ.get("TMPDIR") or "/tmp")
     spark.sparkContext.setCheckpointDir(configured)
     return configured
