@@ -17,7 +17,7 @@ _CACHE: dict = {}
 
 
 def standardized(spark: SparkSession, sf_dir: str, w: int):
-    key = ("std", id(spark.sparkContext._jsc), sf_dir, w)
+    key = ("std", *pipeline.session_key(spark), sf_dir, w)
     if key not in _CACHE:
         r = pipeline.window_run(spark, sf_dir, w)
         params = prep.numeric_params(prep.fit_numeric(r.train))
@@ -26,7 +26,7 @@ def standardized(spark: SparkSession, sf_dir: str, w: int):
 
 
 def fitted(spark: SparkSession, sf_dir: str, w: int, seed: int, models=(ML.MODEL_LR, ML.MODEL_RF)):
-    key = ("fit", id(spark.sparkContext._jsc), sf_dir, w, seed, tuple(models))
+    key = ("fit", *pipeline.session_key(spark), sf_dir, w, seed, tuple(models))
     if key not in _CACHE:
         train, _, _ = standardized(spark, sf_dir, w)
         _CACHE[key] = ML.fit_all(spark, train, seed, models)

@@ -67,8 +67,15 @@ _LOCKS: dict = {}
 _GUARD = threading.Lock()
 
 
+def session_key(spark) -> tuple:
+    """Identity of the running Spark application (a stopped and recreated
+    session never sees the previous session's frames)."""
+    sc = spark.sparkContext
+    return (sc.applicationId, sc.startTime)
+
+
 def _key(spark, *parts):
-    return (id(spark.sparkContext._jsc),) + parts
+    return session_key(spark) + parts
 
 
 def _lock(key) -> threading.Lock:
