@@ -22,6 +22,7 @@ DATE_COLUMN_CANDIDATES = ["date", "incident_date", "datetime", "reported_date",
 CRIME_TYPE_COLUMN_CANDIDATES = ["primary type", "primary_type", "crime_type", "offense_name", "offense_type",
                                 "offense"]
 CITY_REGION_CANDIDATE_PRIORITY = ["district", "beat", "community area", "community_area", "ward"]
+# --- fixed values: the four tables every national data folder holds ----------
 NATIONAL_TABLES = ["NIBRS_incident.csv", "NIBRS_OFFENSE.csv", "NIBRS_OFFENSE_TYPE.csv", "agencies.csv"]
 
 
