@@ -57,9 +57,19 @@ def _cat(c: str):
     return F.trim(F.coalesce(F.col(c).cast("string"), F.lit(MISSING)))
 
 
-def fit_vocabulary(train: DataFrame, col: str) -> list[str]:
-    """Sorted distinct categories (bounded by the column's cardinality)."""
-    vals = sorted(r[0] for r in train.select(_cat(col).alias("v")).distinct().collect())
+# Widest one-hot block a vocabulary may produce; the vocabulary becomes
+# literals of the projection, so it must stay a driver-sized list.
+MAX_VOCABULARY = 10_000
+
+
+def fit_vocabulary(train: DataFrame, col: str, max_size: int = MAX_VOCABULARY) -> list[str]:
+    """Sorted distinct categories. At most ``max_size + 1`` distinct values
+    ever reach the driver: one more than the bound proves the column too wide
+    for one-hot and raises instead of collecting its whole cardinality."""
+    got = train.select(_cat(col).alias("v")).distinct().limit(max_size + 1).collect()
+    if len(got) > max_size:
+        raise ValueError(f"column {col!r} has more than {max_size} categories; one-hot needs a bounded vocabulary")
+    vals = sorted(r[0] for r in got)
     return vals or [MISSING]
 
 

@@ -106,6 +106,8 @@ def test_one_hot_vocabulary(spark):
     test = spark.createDataFrame([("a",), ("zz",), (None,)], "c string")
     got = [tuple(r[1:]) for r in prep.one_hot(test, "c", vocab).collect()]
     assert got == [(0.0, 1.0, 0.0), (0.0, 0.0, 0.0), (1.0, 0.0, 0.0)]
+    with pytest.raises(ValueError):
+        prep.fit_vocabulary(train, "c", max_size=2)
 
 
 def test_sequences_left_padded(spark):
