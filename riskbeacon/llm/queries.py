@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbeacon.llm import mixing, packing, tokenbin, tokencount
+from riskbeacon.llm import minhash, mixing, packing, pivots, tokenbin, tokencount, topk
 from riskbeacon.llm.common import read_documents
 
 
@@ -21,10 +21,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def read_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(read_embeddings(spark, sf_dir), threshold=0.9)
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(read_embeddings(spark, sf_dir), k=5, every=50)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = tokenbin.token_files(read_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
     return tokenbin.decode_blocks(blocks)
@@ -34,6 +46,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(read_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_documents(spark, sf_dir), percent=85)
+
+
 OP1_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
@@ -64,10 +80,25 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vec, c.vec) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_near_vectors": op2_near_vectors,
     "op4_pack": op4_pack,
+    "op5_top_inner_products": op5_top_inner_products,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
+    "op9_near_documents": op9_near_documents,
 }
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op5_top_inner_products": OP5_SQL}
