@@ -65,6 +65,18 @@ def pivot_codes(unit: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarra
     return np.argsort(-sim, axis=1, kind="stable")[:, :nearest]
 
 
+def spread(sample: np.ndarray, threshold: float, most: int) -> np.ndarray:
+    """The first ``most`` vectors that aren't near one taken before: a dense
+    cluster gives one pivot, so that its vectors agree on their pivots."""
+    taken: list[int] = []
+    for i in range(len(sample)):
+        if not taken or (sample[taken] @ sample[i]).max() < threshold:
+            taken.append(i)
+            if len(taken) == most:
+                break
+    return sample[taken]
+
+
 def _described(pivots: np.ndarray, nearest: int):
     def make(batches):
         for b in batches:
@@ -154,9 +166,9 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, nearest: int = N
         own = classes.filter(F.length("unit") == d)
         n = own.count()
         wanted = min(most_pivots, max(16, 2 * math.isqrt(n)))
-        # a bounded sample, at most ``most_pivots`` vectors, by the digest's hash
-        sample = own.select("unit").orderBy(F.xxhash64("digest"), "digest").limit(wanted).collect()
-        pivots = np.stack([np.frombuffer(r["unit"], np.float64) for r in sample])
+        # a bounded sample, at most twice ``most_pivots`` vectors, by the digest's hash
+        sample = own.select("unit").orderBy(F.xxhash64("digest"), "digest").limit(2 * wanted).collect()
+        pivots = spread(np.stack([np.frombuffer(r["unit"], np.float64) for r in sample]), threshold, wanted)
         take = min(nearest, len(pivots))
         need = min(shared, take)
         described = scratch.write(own.select("digest", "unit", "id", "copies").mapInArrow(

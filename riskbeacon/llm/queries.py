@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbeacon.llm import minhash, mixing, packing, pivots, tokenbin, tokencount, topk
+from riskbeacon.llm import (licenses, minhash, mixing, packing, pivots, quality, tokenbin, tokencount, topk,
+                            toxicity)
 from riskbeacon.llm.common import read_documents
 
 
@@ -29,6 +30,12 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_vectors(read_embeddings(spark, sf_dir), threshold=0.9)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    scores = toxicity.toxicity_scores(docs, toxicity.fit(spark, docs, sf_dir))
+    return scores.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
@@ -46,10 +53,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(read_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_lines(read_documents(spark, sf_dir))
+
+
 def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_documents(spark, sf_dir), percent=85)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(spark, read_documents(spark, sf_dir), sf_dir)
+    return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 OP1_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
@@ -95,10 +111,13 @@ SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 5
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_near_vectors": op2_near_vectors,
+    "op3_toxicity": op3_toxicity,
     "op4_pack": op4_pack,
     "op5_top_inner_products": op5_top_inner_products,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
+    "op8_license_lines": op8_license_lines,
     "op9_near_documents": op9_near_documents,
+    "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op5_top_inner_products": OP5_SQL}
