@@ -15,7 +15,7 @@ import numpy as np
 COUNTS = [240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1]
 BITS = [0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60]
 ESCAPE = 15
-SEGMENT = 2048       # ids that are encoded in one walk; words don't cross it
+SEGMENT = 256        # ids of one walk; words don't cross it; many short walks make long vectors
 INDEX_EVERY = 1024   # words between two entries of the offset index
 
 _NEAR = 12           # most values seen at once; selectors above need small ids
@@ -25,14 +25,11 @@ _N = np.array(COUNTS, dtype=np.int64)
 def bit_width(ids: np.ndarray) -> np.ndarray:
     """Bits that each value needs (0 for 0), as int8."""
     ids = ids.astype(np.uint64, copy=False)
-    out = np.zeros(len(ids), np.int8)
-    for b in range(64):
-        if b and not (ids >> np.uint64(b)).any():
-            out[(ids >> np.uint64(b - 1)) > 0] = b
-            return out
-        if b:
-            out[(ids >> np.uint64(b - 1)) > 0] = b
-    out[(ids >> np.uint64(63)) > 0] = 64
+    high = ids >> np.uint64(32)
+    out = np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1].astype(np.int8)
+    if high.any():
+        big = high > 0
+        out[big] = 32 + np.frexp(high[big].astype(np.float64))[1].astype(np.int8)
     return out
 
 
