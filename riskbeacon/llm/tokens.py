@@ -83,6 +83,7 @@ class PieceEncoder:
         else:
             self.kind = "whole"
         self.known: dict[str, int] = {}
+        self.met = np.zeros(1 << 24, bool)  # by hash, pieces met so far
         self.lens = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -116,6 +117,15 @@ class PieceEncoder:
         none = np.zeros(0, np.int64)
         return np.concatenate(lens or [none]), np.concatenate(ids or [none.astype(np.uint32)])
 
+    def _again(self, words: list[str], counts: np.ndarray) -> np.ndarray:
+        """Which new pieces to remember: any at first, later those that were met before."""
+        at = np.fromiter(map(hash, words), np.int64, len(words)) & (len(self.met) - 1)
+        keep = (counts > 1) | self.met[at]
+        self.met[at] = True
+        if len(self.known) < REMEMBERED // 4:
+            return np.arange(len(words))
+        return np.flatnonzero(keep)
+
     def _distinct(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of distinct pieces, the remembered ones first looked up."""
         get = self.known.get
@@ -127,7 +137,7 @@ class PieceEncoder:
         starts = np.concatenate(([0], np.cumsum(lens)))[:-1]
         flat = np.concatenate((self.flat, new_ids))
         slot[new] = len(self.lens) + np.arange(len(new))
-        keep = np.arange(len(new))[:max(0, REMEMBERED - len(self.known))]
+        keep = self._again([words[i] for i in new], counts[new])[:max(0, REMEMBERED - len(self.known))]
         if len(keep):
             base = len(self.lens)
             for j, i in enumerate(new[keep]):
