@@ -321,7 +321,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
     # an id with several texts belongs to all their classes
     out = base.select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
     own = F.col("doc_id").cast("long")
-    return out.select("doc_id", "n_shingles", F.coalesce("class_component", own).alias("component_id")).withColumn(
+    return out.select("doc_id", "n_shingles", F.when(own.isNotNull(), F.coalesce("class_component", own))
+                      .alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
