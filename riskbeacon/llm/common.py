@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,8 @@ from riskbeacon.session import ensure_checkpoint_dir
 
 # Rows of one Arrow batch; texts may be long, so batches are kept small and
 # are cut again by bytes inside the tasks (``slices_by_bytes``).
-ARROW_ROWS = 4000
-ARROW_BYTES = 16 << 20
+ARROW_ROWS = 2000
+ARROW_BYTES = 6 << 20
 # A word is a run of anything but blank, tab, line feed, vertical tab, form
 # feed and carriage return.
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
@@ -34,6 +35,18 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tidy(fn: Callable) -> Callable:
+    """An Arrow function that gives its freed memory back when a task ends:
+    Python workers stay for later tasks and would else keep it."""
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return run
+
+
 class Scratch:
     """Tables of one run, written to the shared checkpoint folder.
 

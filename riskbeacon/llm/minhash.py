@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskbeacon.llm.common import Scratch, arrow_settings, slices_by_bytes, text_column
+from riskbeacon.llm.common import Scratch, arrow_settings, slices_by_bytes, text_column, tidy
 from riskbeacon.llm.components import Forest, components, runs
 
 WORDS = 5            # words of a shingle
@@ -148,7 +148,7 @@ def sketch_table(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id", tex
                      pa.ListArray.from_arrays(pa.array(np.cumsum(off), pa.int32()), bands), pa.array(sk, pa.binary())],
                     names=schema.names)
 
-    return rows.mapInArrow(make, schema)
+    return rows.mapInArrow(tidy(make), schema)
 
 
 def _apart(sk: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -240,12 +240,12 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
                 cols = [b.column(i).slice(x, y - x) for i in (0, 1, 2, 4)] + [pa.array(own, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names).filter(pa.array(same))
 
-    return rows.mapInArrow(make, schema)
+    return rows.mapInArrow(tidy(make), schema)
 
 
 def _links(units: DataFrame, threshold: float, percent: int) -> DataFrame:
     return (units.repartition("grp", "left", "right").sortWithinPartitions("grp", "left", "right")
-            .mapInArrow(_block_links(threshold, percent), "a long, b long"))
+            .mapInArrow(tidy(_block_links(threshold, percent)), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> DataFrame:
@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
     compared = (shared.filter(F.col("size") <= BUCKET).select("id", "band")
                 .join(slim.select("id", "n", "sketch"), "id")
                 .repartition("band").sortWithinPartitions("band")
-                .select("band", "id", "n", "sketch").mapInArrow(_bucket_forest(threshold), "a long, b long"))
+                .select("band", "id", "n", "sketch").mapInArrow(tidy(_bucket_forest(threshold)), "a long, b long"))
     groups = components(scratch, hot.unionByName(compared), "groups")
 
     members = scratch.write(slim.join(groups.select(F.col("node").alias("id"), F.col("component").alias("grp")), "id"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskbeacon.llm.common import Scratch, arrow_settings, text_column
+from riskbeacon.llm.common import Scratch, arrow_settings, text_column, tidy
 from riskbeacon.llm.tokens import encoder
 
 WINDOW = 4096
@@ -120,7 +120,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: in
                     cols.append(pa.ListArray.from_arrays(pa.array(poff, pa.int32()), pa.array(out, pa.int64())))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(tidy(cut), schema)
 
 
 def _segments(pats: list[tuple[dict[int, int], int]]) -> np.ndarray:
@@ -175,4 +175,4 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = 2,
             col["offset"] = pa.array(s[at, 4] + d % s[at, 2] * length, pa.int64())
             yield pa.RecordBatch.from_arrays([col[n] for n in names], names=names)
 
-    return placed.mapInArrow(place, schema)
+    return placed.mapInArrow(tidy(place), schema)

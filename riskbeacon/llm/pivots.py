@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskbeacon.llm.common import Scratch, arrow_settings
+from riskbeacon.llm.common import Scratch, arrow_settings, tidy
 from riskbeacon.llm.components import Forest, components, runs
 
 NEAREST = 8        # pivots that describe a vector
@@ -51,7 +51,7 @@ def unit_vectors(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(unit, pa.binary())],
                                              names=["vec_id", "digest", "unit"])
 
-    return rows.mapInArrow(make, f"vec_id {rows.schema['vec_id'].dataType.simpleString()}, digest binary, unit binary")
+    return rows.mapInArrow(tidy(make), f"vec_id {rows.schema['vec_id'].dataType.simpleString()}, digest binary, unit binary")
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -172,7 +172,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, nearest: int = N
         take = min(nearest, len(pivots))
         need = min(shared, take)
         described = scratch.write(own.select("digest", "unit", "id", "copies").mapInArrow(
-            _described(pivots, take), "digest binary, unit binary, id long, copies long, pivots array<int>"), f"described-{d}")
+            tidy(_described(pivots, take)), "digest binary, unit binary, id long, copies long, pivots array<int>"), f"described-{d}")
         lists = described.withColumn("pivot", F.explode("pivots"))
         blocks = (described.select(F.explode("pivots").alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("c"))
                   .select("p", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
@@ -184,7 +184,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, nearest: int = N
             "pivot", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
             "digest", "unit", "id", "copies", "pivots")
         found = (split.repartition("pivot", "low", "high").sortWithinPartitions("pivot", "low", "high")
-                 .mapInArrow(_list_links(threshold, need, len(pivots)), "digest binary, n long, a long, b long"))
+                 .mapInArrow(tidy(_list_links(threshold, need, len(pivots))), "digest binary, n long, a long, b long"))
         links.append(scratch.write(found, f"links-{d}"))
     out = base.withColumn("id", F.col("vec_id").cast("long"))
     if not links:

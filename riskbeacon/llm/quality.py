@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbeacon.llm.common import (Scratch, arrow_settings, held_out, segment_sums, slices_by_bytes, string_buffers,
-                                   text_column)
+                                   text_column, tidy)
 from riskbeacon.llm.labels import fit_labels
 
 TO_POOLED = 0.5      # shrinkage of a class covariance to the pooled one
@@ -132,11 +132,11 @@ def statistics_table(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(off, pa.array(x.ravel()))],
                                              names=["doc_id", "x"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def statistics_of(texts: pa.Array) -> np.ndarray:
-    got = [statistics(texts.slice(a, b - a)) for a, b in slices_by_bytes(texts, 8 << 20)]
+    got = [statistics(texts.slice(a, b - a)) for a, b in slices_by_bytes(texts, 4 << 20)]
     return np.concatenate(got) if got else np.zeros((0, len(FEATURES)))
 
 
@@ -159,7 +159,7 @@ def fit(table: DataFrame, labels: DataFrame) -> Discriminant | Constant:
                                          names=["c", "k", "v"])
 
     total = np.zeros((2, 1 + d + d * d))
-    for r in rows.mapInArrow(sums, "c int, k int, v double").groupBy("c", "k").agg(F.sum("v").alias("v")).collect():
+    for r in rows.mapInArrow(tidy(sums), "c int, k int, v double").groupBy("c", "k").agg(F.sum("v").alias("v")).collect():
         total[r["c"], r["k"]] = r["v"]
     n = total[:, 0]
     if (n == 0).any():
@@ -180,7 +180,7 @@ def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
             x = b.column(1).flatten().to_numpy().reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.score(x))], names=["doc_id", "score"])
 
-    return table.mapInArrow(run, schema).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+    return table.mapInArrow(tidy(run), schema).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
@@ -192,4 +192,4 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, least: f
         for b in batches:
             yield b.filter(pa.array(shared.value.score(statistics_of(text_column(b))) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbeacon.llm import simple8b
-from riskbeacon.llm.common import Scratch, arrow_settings, text_column
+from riskbeacon.llm.common import Scratch, arrow_settings, text_column, tidy
 from riskbeacon.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
@@ -82,7 +82,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str
                     yield pack(keys.slice(first + a, z - a), lens[a:z], out[base:int(ends[z - 1])])
                     a = z
 
-    return rows.mapInArrow(write, schema)
+    return rows.mapInArrow(tidy(write), schema)
 
 
 def with_starts(blocks: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def decode_blocks(blocks: DataFrame, with_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     cols = ["doc_ids", "doc_lens", "words", "escapes", "first"]
-    return with_starts(blocks).select(*cols).mapInArrow(read, schema)
+    return with_starts(blocks).select(*cols).mapInArrow(tidy(read), schema)
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from riskbeacon.llm.common import arrow_settings, text_column
+from riskbeacon.llm.common import arrow_settings, text_column, tidy
 from riskbeacon.llm.tokens import encoder
 
 
@@ -40,4 +40,4 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
                 [b.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit)],
                 names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
-    return rows.mapInArrow(count, schema)
+    return rows.mapInArrow(tidy(count), schema)

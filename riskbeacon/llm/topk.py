@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskbeacon.llm.common import Scratch, arrow_settings
+from riskbeacon.llm.common import Scratch, arrow_settings, tidy
 
 BINS = 1024
 QUERY_BLOCK = 1024      # queries of a block
@@ -47,7 +47,7 @@ def integer_vectors(embeddings: DataFrame, scale: int = 256, id_col: str = "vec_
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), pa.array(norm, pa.float64())],
                                              names=["vec_id", "vec", "norm"])
 
-    return rows.mapInArrow(make, "vec_id long, vec binary, norm double").filter("vec IS NOT NULL")
+    return rows.mapInArrow(tidy(make), "vec_id long, vec binary, norm double").filter("vec IS NOT NULL")
 
 
 def _matrix(vec: pd.Series) -> np.ndarray:

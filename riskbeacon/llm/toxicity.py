@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskbeacon.llm.common import arrow_settings, held_out, slices_by_bytes, text_column
+from riskbeacon.llm.common import arrow_settings, held_out, slices_by_bytes, text_column, tidy
 from riskbeacon.llm.labels import fit_labels, fit_sample
 
 BUCKETS = 1 << 15
@@ -110,7 +110,7 @@ class Cnn:
         return x.astype(np.float64) @ self.weight + self.offset
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        got = [sigmoid(self.logits(Texts.of(texts.slice(a, b - a)))) for a, b in slices_by_bytes(texts, 8 << 20)]
+        got = [sigmoid(self.logits(Texts.of(texts.slice(a, b - a)))) for a, b in slices_by_bytes(texts, 2 << 20)]
         return np.concatenate(got) if got else np.zeros(0)
 
 
@@ -267,7 +267,7 @@ def toxicity_scores(docs: DataFrame, model: Cnn) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.score(text_column(b)))],
                                              names=["doc_id", "score"])
 
-    return rows.mapInArrow(run, schema).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+    return rows.mapInArrow(tidy(run), schema).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
 def drop_toxic(docs: DataFrame, model: Cnn) -> DataFrame:
@@ -285,4 +285,4 @@ def drop_toxic(docs: DataFrame, model: Cnn) -> DataFrame:
             most = np.array([m.thresholds.get(v, THRESHOLD) for v in lang])
             yield b.filter(pa.array(score < most))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
