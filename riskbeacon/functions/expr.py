@@ -14,16 +14,6 @@ def col_or(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(num, den, default: float | None = 0.0) -> Column:
-    """``num / den`` that yields ``default`` (0.0 or NULL) when den is 0/NULL.
-
-    Spark 4 runs in ANSI mode, where a plain division by zero raises.
-    """
-    num, den = col_or(num), col_or(den)
-    fallback = F.lit(default).cast("double") if default is not None else F.lit(None).cast("double")
-    return F.when(den.isNotNull() & (den != 0), num.cast("double") / den).otherwise(fallback)
-
-
 # ---------------------------------------------------------------- B1 -------
 def clean_region_token(c) -> Column:
     """Region token cleaner (order matters).

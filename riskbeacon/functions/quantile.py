@@ -1,17 +1,16 @@
 """Exact per-group quantiles without ordering a whole group in one task.
 
-Spark's ``percentile`` is exact but merges a value->count map of the whole
-group in one task; for a hot group of continuous values that map holds as
-many entries as the group has rows. Here the exact answer is found by
-selection instead:
-
-1. approximate quantiles cut each group's values into ``buckets`` ranges
-   (equal values always share a range);
-2. a count per (group, range) and a running sum over that small table give
-   the ranges that hold the two order statistics needed for linear
-   interpolation (rank floor/ceil of q * (n - 1));
-3. only the rows of those ranges are ordered (about n / buckets rows each),
-   and the two values are interpolated exactly as ``percentile`` does.
+The rows are first reduced to (group, value) -> count, so that repeated
+values cost one row however many rows hold them. The exact answer is then
+found by selection over the distinct values:
+
+1. approximate quantiles of the distinct values cut each group into
+   ``buckets`` ranges (they only balance the work);
+2. a sum of counts per (group, range) and a running sum over that small
+   table give the ranges that hold the two order statistics needed for
+   linear interpolation (rank floor/ceil of q * (n - 1));
+3. only the values of those ranges are ordered, and the two values are
+   interpolated exactly as ``percentile`` does.
 """
 
 from __future__ import annotations
@@ -20,47 +19,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Largest group whose exact quantile may be merged in one task (built-in
-# ``percentile``: a value->count map of at most this many entries).
-SINGLE_TASK_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the largest group (one small aggregation job)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) if keys else df.agg(F.count(F.lit(1)).alias("__n"))
-    v = g.agg(F.max("__n").alias("m")).first()["m"]
-    return int(v or 0)
-
-
 def exact_percentile(df: DataFrame, value: str, q: float, keys: list[str], out: str,
-                     buckets: int = 512, accuracy: int = 20000, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                     buckets: int = 64, accuracy: int = 2000) -> DataFrame:
     """(keys..., out): the exact linear-interpolated q-quantile of ``value``
-    per group (NULL values ignored; groups without values are absent).
-
-    The group sizes are measured first: when every group fits the
-    single-task bound the built-in exact ``percentile`` is used, otherwise
-    the bucketed selection below (same result)."""
+    per group (NULL values ignored; groups without values are absent)."""
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    if largest_group(v, keys) <= single_task_rows:
-        return v.groupBy(*keys).agg(F.percentile("__v", float(q)).alias(out))
+    hist = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = v.groupBy(*keys).agg(F.percentile_approx("__v", probs, accuracy).alias("__cuts"),
-                                F.count(F.lit(1)).alias("__n"))
-    vb = v.join(cuts, keys).withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    per_b = vb.groupBy(*keys, "__b", "__n").agg(F.count(F.lit(1)).alias("__c"))
+    cuts = hist.groupBy(*keys).agg(F.percentile_approx("__v", probs, accuracy).alias("__cuts"),
+                                   F.sum("__c").alias("__n"))
+    binned = hist.join(cuts, keys).withColumn(
+        "__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    per_b = binned.groupBy(*keys, "__b", "__n").agg(F.sum("__c").alias("__bc"))
     run = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.withColumn("__start", F.coalesce(F.sum("__c").over(run), F.lit(0)))
     pos = F.lit(float(q)) * (F.col("__n") - 1)
-    per_b = (per_b.withColumn("__k1", F.floor(pos).cast("long")).withColumn("__k2", F.ceil(pos).cast("long"))
+    per_b = (per_b.withColumn("__start", F.coalesce(F.sum("__bc").over(run), F.lit(0)))
+             .withColumn("__k1", F.floor(pos).cast("long")).withColumn("__k2", F.ceil(pos).cast("long"))
              .withColumn("__frac", pos - F.floor(pos)))
-    hit = lambda k: (F.col(k) >= F.col("__start")) & (F.col(k) < F.col("__start") + F.col("__c"))
-    targets = per_b.filter(hit("__k1") | hit("__k2")).select(*keys, "__b", "__start", "__k1", "__k2", "__frac")
-    sel = vb.join(targets, [*keys, "__b"], "inner")
-    w = Window.partitionBy(*keys, "__b").orderBy("__v")
-    sel = sel.withColumn("__rank", F.col("__start") + F.row_number().over(w) - 1)
-    picked = sel.filter((F.col("__rank") == F.col("__k1")) | (F.col("__rank") == F.col("__k2")))
-    agg = picked.groupBy(*keys).agg(
-        F.max(F.when(F.col("__rank") == F.col("__k1"), F.col("__v"))).alias("__v1"),
-        F.max(F.when(F.col("__rank") == F.col("__k2"), F.col("__v"))).alias("__v2"),
+
+    def within(k: str, low, count):
+        return (F.col(k) >= low) & (F.col(k) < low + count)
+
+    wanted = per_b.filter(within("__k1", F.col("__start"), F.col("__bc")) | within("__k2", F.col("__start"), F.col("__bc")))
+    wanted = wanted.select(*keys, "__b", "__start", "__k1", "__k2", "__frac")
+    upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    at = (binned.drop("__n").join(wanted, [*keys, "__b"])
+          .withColumn("__low", F.col("__start") + F.coalesce(F.sum("__c").over(upto), F.lit(0))))
+    picked = at.groupBy(*keys).agg(
+        F.max(F.when(within("__k1", F.col("__low"), F.col("__c")), F.col("__v"))).alias("__v1"),
+        F.max(F.when(within("__k2", F.col("__low"), F.col("__c")), F.col("__v"))).alias("__v2"),
         F.max("__frac").alias("__f"))
-    return agg.select(*keys, (F.col("__v1") + (F.col("__v2") - F.col("__v1")) * F.col("__f")).alias(out))
+    return picked.select(*keys, (F.col("__v1") + (F.col("__v2") - F.col("__v1")) * F.col("__f")).alias(out))

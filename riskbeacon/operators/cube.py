@@ -123,17 +123,24 @@ def pivot_counts(spark: SparkSession, df: DataFrame, row: str, colname: str) ->
 
 # ------------------------------------------------------------------ G12 ----
 def compare_series(spark: SparkSession, df: DataFrame, dim: str, values, view: str = "Monthly") -> DataFrame:
-    """Counts for up to two values of ``dim`` per month/hour (densified) or year."""
-    vals = list(values)[:2]
+    """Counts for one or two values of ``dim`` per month, hour or year, absent
+    buckets as 0; the years are those of ``df``. More values are an error."""
+    vals = list(values)
+    if not 1 <= len(vals) <= 2:
+        raise ValueError(f"compare one or two values, not {len(vals)}")
+    views = {"Monthly": ("Month", MONTH_ORDER), "Hourly": ("Hour", HOUR_ORDER), "Yearly": ("Year", None)}
+    if view not in views:
+        raise ValueError(f"view must be one of {sorted(views)}")
+    axis_col, axis_vals = views[view]
     sub = df.filter(c(dim).isin(vals))
-    if view == "Yearly":
-        return sub.groupBy(c(dim).cast("string").alias("value"), F.col("Year").cast("int").alias("bucket")).agg(
-            F.count(F.lit(1)).alias("count"))
-    axis_col, axis_vals = ("Month", MONTH_ORDER) if view == "Monthly" else ("Hour", HOUR_ORDER)
-    grid = spark.createDataFrame([(str(v), int(a)) for v in vals for a in axis_vals], "value string, bucket int")
+    if axis_vals is None:  # a row per year and value
+        years = df.select(F.col("Year").cast("int").alias("bucket")).filter("bucket IS NOT NULL").distinct()
+        grid = years.select(F.explode(F.array(*[F.lit(str(v)) for v in vals])).alias("value"), "bucket")
+    else:
+        grid = spark.createDataFrame([(str(v), int(a)) for v in vals for a in axis_vals], "value string, bucket int")
     cnt = sub.groupBy(c(dim).cast("string").alias("value"), c(axis_col).cast("int").alias("bucket")).agg(
         F.count(F.lit(1)).alias("count"))
-    return (F.broadcast(grid).join(cnt, ["value", "bucket"], "left")
+    return (grid.join(cnt, ["value", "bucket"], "left")
             .select("value", "bucket", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 

@@ -15,6 +15,8 @@ STAT_COLS = ["region_train_mean", "region_train_std", "region_train_count"]
 
 def window_of(ts, window_days: int, anchor: str = "2015-01-01") -> dt.date | None:
     """Window start of one timestamp (driver-side twin of ``time_bin``)."""
+    if int(window_days) not in (3, 7):
+        raise ValueError("window must be 7 or 3 days")
     if ts is None:
         return None
     d = ts.date() if isinstance(ts, dt.datetime) else ts

@@ -136,7 +136,7 @@ def fit_all(spark: SparkSession, train_std: DataFrame, seed: int, models=(MODEL_
             m = fit_forest(vec, seed)
             params = dict(FOREST_PARAMS)
         else:
-            continue
+            raise ValueError(f"no such model: {name}")
         fitted[name] = m
         log.append(fit_log_row(name, seed, time.perf_counter() - t0, n, len(FEATURE_NUMERIC), params))
     vec.unpersist()

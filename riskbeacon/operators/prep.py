@@ -91,8 +91,3 @@ def sequences(df: DataFrame, features: list[str], length: int = SEQUENCE_LENGTH,
     hist = F.collect_list(vec).over(w)
     pad = F.array_repeat(zeros, F.lit(length) - F.size(hist))
     return df.withColumn("sequence", F.concat(pad, hist))
-
-
-def sequence_alignment(seq: DataFrame, length: int = SEQUENCE_LENGTH) -> DataFrame:
-    """Rows whose sequence does not have exactly ``length`` steps (empty = aligned)."""
-    return seq.filter(F.size("sequence") != length)

@@ -106,7 +106,8 @@ def selected_rank(topk_table: DataFrame, region_id: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ F6 -----
-def friendly_labels(df: DataFrame, window_days: int, in_domain_tag: str = "in_domain") -> DataFrame:
+def friendly_labels(df: DataFrame, window_days: int, in_domain_tag: str = "in_domain",
+                    city: str = "Chicago") -> DataFrame:
     """Display columns: an area label parsed from region_id and a window
     label 'start to start+w-1 [start]'."""
     rid = F.col("region_id")
@@ -114,7 +115,7 @@ def friendly_labels(df: DataFrame, window_days: int, in_domain_tag: str = "in_do
     dist = F.when(dist == "", F.lit("0")).otherwise(dist)
     parts = F.split(rid, "__", 2)
     area = (F.when((F.col("dataset") == in_domain_tag) & rid.contains("CPD_DIST_"),
-                   F.concat(F.lit("District "), dist, F.lit(" ["), rid, F.lit("]")))
+                   F.concat(F.lit(f"{city} District "), dist, F.lit(" ["), rid, F.lit("]")))
             .when(rid.contains("__"), F.concat(parts[0], F.lit(" Agency "), parts[1], F.lit(" ["), rid, F.lit("]")))
             .otherwise(rid))
     t = F.to_date(F.col("time_id"))

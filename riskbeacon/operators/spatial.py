@@ -2,13 +2,10 @@
 
 * centroids: exact per-region medians - one aggregation over all points.
 * convex hull: a distributed two-level job - every partition reduces its
-  points to per-region partial hulls (mapInPandas), then one group per
-  region merges the partial hulls (applyInPandas). A group never receives
-  more than (partitions x hull size) points, however hot the region is.
-* kNN graph: the centroid table has ONE row per region, so its size is
-  bounded by the region count (not by the event volume); it is broadcast
-  once and each task computes distances for its share of regions with
-  numpy. No all-pairs join is materialized.
+  points to one hull per region (mapInPandas); salted groups merge those,
+  then one group per region merges what the salts left (applyInPandas).
+* kNN graph: blocks of centroids (one row per region) meet pairwise in
+  tasks; each pair of blocks gives only the k nearest of every region.
 * hit classes: equi-joins of events with the Top-K set of the window that
   predicted them and with the Top-K set expanded over the kNN graph.
 """
@@ -17,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ from riskbeacon.config import DATASET_IN, KNN_K
 from riskbeacon.functions.expr import side_by_side, time_bin
 from riskbeacon.functions.quantile import exact_percentile
 
-MAX_BROADCAST_REGIONS = 200_000  # centroid rows (3 doubles + id) -> a few MB
+KNN_BLOCKS = 4  # blocks of centroids; raise it with the number of regions
 
 
 # ------------------------------------------------------------------ E23 ----
@@ -39,79 +37,113 @@ def centroids(points: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ E24 ----
-def _hull(xs: np.ndarray, ys: np.ndarray) -> list[tuple[float, float]]:
-    pts = sorted(set(zip(xs.tolist(), ys.tolist())))
-    if len(pts) <= 2:
-        return pts
-
-    def cross(o, a, b):
-        return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-
-    lower, upper = [], []
-    for p in pts:
-        while len(lower) >= 2 and cross(lower[-2], lower[-1], p) <= 0:
-            lower.pop()
-        lower.append(p)
-    for p in reversed(pts):
-        while len(upper) >= 2 and cross(upper[-2], upper[-1], p) <= 0:
-            upper.pop()
-        upper.append(p)
-    return lower[:-1] + upper[:-1]
-
-
-_HULL_SCHEMA = "region_id string, longitude double, latitude double"
+def _outside(xy: np.ndarray, a: int, b: int, rows: np.ndarray) -> list[int]:
+    """Hull vertices strictly to the left of a -> b, in the order from a to b:
+    the farthest point splits the rest in two, until nothing is left outside."""
+    done, todo = [], [(a, b, rows)]
+    while todo:
+        a, b, rows = todo.pop()
+        if rows is None:
+            done.append(a)
+            continue
+        d = xy[b] - xy[a]
+        rel = xy[rows] - xy[a]
+        left = d[0] * rel[:, 1] - d[1] * rel[:, 0]
+        rows, rel, left = rows[left > 0], rel[left > 0], left[left > 0]
+        if not len(rows):
+            continue
+        far = int(rows[np.lexsort((rel @ d, -left))[0]])
+        todo += [(far, b, rows), (far, far, None), (a, far, rows)]  # taken from the end
+    return done
+
+
+def hull(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """Vertices of the convex hull, counter-clockwise from the lowest-left
+    point; points on an edge are left out."""
+    xy = np.unique(np.column_stack((xs, ys)).astype(float), axis=0)
+    if len(xy) <= 2:
+        return xy
+    rows, last = np.arange(len(xy)), len(xy) - 1
+    top, bottom = _outside(xy, 0, last, rows), _outside(xy, last, 0, rows)
+    return xy[[0, *bottom[::-1], last, *top[::-1]]]
+
+
+_HULL_SCHEMA = "region_id string, salt int, longitude double, latitude double"
+_HULL_COLS = ["region_id", "salt", "longitude", "latitude"]
+HULL_SALTS = 32  # groups in which a region's partial hulls are merged first
 
 
 def _partial_hulls(batches):
+    """One hull per region and partition, grown batch by batch."""
+    kept: dict[str, np.ndarray] = {}
     for pdf in batches:
-        out = []
         for rid, g in pdf.groupby("region_id"):
-            for x, y in _hull(g["longitude"].to_numpy(), g["latitude"].to_numpy()):
-                out.append((rid, x, y))
-        yield pd.DataFrame(out, columns=["region_id", "longitude", "latitude"])
+            own = g[["longitude", "latitude"]].to_numpy(float)
+            old = kept.get(rid)
+            own = own if old is None else np.vstack((old, own))
+            kept[rid] = hull(own[:, 0], own[:, 1])
+    salt = TaskContext.get().partitionId() % HULL_SALTS
+    for rid, own in kept.items():
+        yield pd.DataFrame({"region_id": rid, "salt": np.int32(salt), "longitude": own[:, 0], "latitude": own[:, 1]})
+
+
+def _merged_hull(pdf: pd.DataFrame) -> pd.DataFrame:
+    own = hull(pdf["longitude"].to_numpy(), pdf["latitude"].to_numpy())
+    return pd.DataFrame({"region_id": pdf["region_id"].iloc[0], "salt": pdf["salt"].iloc[0], "longitude": own[:, 0],
+                         "latitude": own[:, 1]})[_HULL_COLS]
 
 
 def _final_hull(pdf: pd.DataFrame) -> pd.DataFrame:
-    rid = pdf["region_id"].iloc[0]
-    h = _hull(pdf["longitude"].to_numpy(), pdf["latitude"].to_numpy())
-    return pd.DataFrame([(rid, i, x, y) for i, (x, y) in enumerate(h)],
-                        columns=["region_id", "vertex", "longitude", "latitude"])
+    own = hull(pdf["longitude"].to_numpy(), pdf["latitude"].to_numpy())
+    return pd.DataFrame({"region_id": pdf["region_id"].iloc[0], "vertex": np.arange(len(own), dtype=np.int32),
+                         "longitude": own[:, 0], "latitude": own[:, 1]})
 
 
 def convex_hulls(points: DataFrame) -> DataFrame:
-    """Hull vertices per region (counter-clockwise from the lowest-left point)."""
+    """Hull vertices per region (counter-clockwise from the lowest-left point):
+    a hull per partition, merged in salted groups, then once per region."""
     p = points.dropna(subset=["region_id", "latitude", "longitude"]).select("region_id", "longitude", "latitude")
     partial = p.mapInPandas(_partial_hulls, _HULL_SCHEMA)
-    return partial.groupBy("region_id").applyInPandas(
+    merged = partial.groupBy("region_id", "salt").applyInPandas(_merged_hull, _HULL_SCHEMA)
+    return merged.groupBy("region_id").applyInPandas(
         _final_hull, "region_id string, vertex int, longitude double, latitude double")
 
 
 # ------------------------------------------------------------------ E25 ----
-def knn_graph(spark: SparkSession, cents: DataFrame, k: int = KNN_K) -> DataFrame:
+def _nearest(k: int):
+    """Of two blocks of centroids: the k nearest of the second for each of the first."""
+    def make(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            right = right.sort_values("id")
+            ids = right["id"].to_numpy()
+            for at in np.array_split(np.arange(len(left)), -(-len(left) // 256)):
+                own = left.iloc[at]
+                d = np.hypot(own["lon"].to_numpy()[:, None] - right["x"].to_numpy(),
+                             own["lat"].to_numpy()[:, None] - right["y"].to_numpy())
+                d[own["region_id"].to_numpy()[:, None] == ids] = np.inf
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]  # ties by id
+                dist = np.take_along_axis(d, best, axis=1)
+                out.append(pd.DataFrame({"region_id": np.repeat(own["region_id"].to_numpy(), best.shape[1]),
+                                         "neighbor_id": ids[best.ravel()], "distance": dist.ravel()}))
+        got = pd.concat(out) if out else pd.DataFrame(columns=["region_id", "neighbor_id", "distance"])
+        return got[np.isfinite(got["distance"].astype(float))]
+    return make
+
+
+def knn_graph(spark: SparkSession, cents: DataFrame, k: int = KNN_K, blocks: int = KNN_BLOCKS) -> DataFrame:
     """(region_id, neighbor_id, distance, nn_rank): k nearest other centroids
-    by Euclidean distance in degrees; ties by neighbor id."""
-    n = cents.count()  # one row per region: the size check of the broadcast
-    if n > MAX_BROADCAST_REGIONS:
-        raise ValueError(f"{n} regions exceed the broadcast bound {MAX_BROADCAST_REGIONS}")
-    table = cents.select("region_id", "lon", "lat").toPandas().sort_values("region_id")
-    bc = spark.sparkContext.broadcast((table["region_id"].to_numpy(), table["lon"].to_numpy(float),
-                                       table["lat"].to_numpy(float)))
-
-    def nearest(batches):
-        ids, lon, lat = bc.value
-        for pdf in batches:
-            rows = []
-            for rid, x, y in zip(pdf["region_id"], pdf["lon"], pdf["lat"]):
-                d = np.sqrt((lon - x) ** 2 + (lat - y) ** 2)
-                mask = ids != rid
-                cand_d, cand_id = d[mask], ids[mask]
-                order = np.lexsort((cand_id, cand_d))[:k]
-                for r, j in enumerate(order, start=1):
-                    rows.append((rid, cand_id[j], float(cand_d[j]), r))
-            yield pd.DataFrame(rows, columns=["region_id", "neighbor_id", "distance", "nn_rank"])
-
-    return cents.select("region_id", "lon", "lat").mapInPandas(
-        nearest, "region_id string, neighbor_id string, distance double, nn_rank int")
+    by Euclidean distance in degrees; ties by neighbor id. Blocks of
+    centroids meet pairwise in tasks; each pair gives k rows per region."""
+    block = F.pmod(F.xxhash64("region_id"), F.lit(blocks)).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = cents.select("region_id", "lon", "lat", block.alias("own"), each.alias("other"))
+    right = cents.select(F.col("region_id").alias("id"), F.col("lon").alias("x"), F.col("lat").alias("y"),
+                         each.alias("of"), block.alias("at"))
+    near = left.groupBy("own", "other").cogroup(right.groupBy("of", "at")).applyInPandas(
+        _nearest(k), "region_id string, neighbor_id string, distance double")
+    w = Window.partitionBy("region_id").orderBy("distance", "neighbor_id")
+    return near.withColumn("nn_rank", F.row_number().over(w).cast("int")).filter(F.col("nn_rank") <= k)
 
 
 # ------------------------------------------------------------------ E26 ----
@@ -154,12 +186,20 @@ def event_hit_classes(events: DataFrame, pred: DataFrame, knn: DataFrame, window
 # ------------------------------------------------------------------ E27 ----
 def hit_summary(hits: DataFrame, window_days: int, model: str, seed: int, k: int = 5,
                 sample_n: int = 50000) -> DataFrame:
-    return hits.agg(
+    per = hits.groupBy("coverage_class").agg(
+        F.count(F.lit(1)).alias("c"), F.sum(F.col("exact_hit").cast("long")).alias("e"),
+        F.sum((F.col("exact_hit") | F.col("neighbor_hit")).cast("long")).alias("a"))
+    n = F.sum("c").over(Window.partitionBy(F.lit(1)))  # three classes
+    quota = F.when(F.col("n") <= sample_n, F.col("c")).otherwise(
+        F.greatest(F.lit(1), F.floor(F.col("c") * F.lit(float(sample_n)) / F.col("n"))))
+    per = per.withColumn("n", n).withColumn("q", quota)
+    return per.agg(
         F.lit(int(window_days)).alias("time_window_days"), F.lit(model).alias("model"), F.lit(int(seed)).alias("seed"),
-        F.lit(int(k)).alias("topk_k"), F.count(F.lit(1)).alias("n_events_total"),
-        F.least(F.count(F.lit(1)), F.lit(int(sample_n))).alias("n_events_sampled_cap"),
-        F.avg(F.col("exact_hit").cast("double")).alias("exact_hit_rate"),
-        F.avg((F.col("exact_hit") | F.col("neighbor_hit")).cast("double")).alias("neighbor_aware_hit_rate"))
+        F.lit(int(k)).alias("topk_k"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_events_total"),
+        F.coalesce(F.least(F.sum("q"), F.max(F.when(F.col("n") > sample_n, sample_n).otherwise(F.col("n")))), F.lit(0))
+        .cast("long").alias("n_events_sampled_for_plot"),
+        (F.sum("e") / F.sum("c")).alias("exact_hit_rate"),
+        (F.sum("a") / F.sum("c")).alias("neighbor_aware_hit_rate"))
 
 
 # ------------------------------------------------------------------ E28 ----

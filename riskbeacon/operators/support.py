@@ -103,17 +103,16 @@ def normalize_importance(raw: DataFrame, keys=("window", "seed", "dataset", "mod
 
 
 # ------------------------------------------------------------------ D12 ----
-def summarize_importance(by_seed: DataFrame, feature_order: list[str]) -> DataFrame:
+def summarize_importance(by_seed: DataFrame) -> DataFrame:
     """Mean / sample std (NULL -> 0) over seeds, seed count, and the rank
-    inside (window, model) by mean desc with ties in feature order."""
-    order = F.array_position(F.array(*[F.lit(f) for f in feature_order]), F.col("feature"))
+    inside (window, model) by mean desc with ties by feature name, then method."""
     g = by_seed.groupBy("window", "model", "feature", "method").agg(
         F.avg("importance_norm").alias("importance_norm_mean"),
         F.coalesce(F.stddev_samp("importance_norm"), F.lit(0.0)).alias("importance_norm_std"),
         F.avg("importance_raw").alias("importance_raw_mean"),
         F.coalesce(F.stddev_samp("importance_raw"), F.lit(0.0)).alias("importance_raw_std"),
         F.count_distinct("seed").alias("seed_n"))
-    w = Window.partitionBy("window", "model").orderBy(F.col("importance_norm_mean").desc(), order)
+    w = Window.partitionBy("window", "model").orderBy(F.col("importance_norm_mean").desc(), "feature", "method")
     return g.withColumn("rank_in_model", F.row_number().over(w))
 
 

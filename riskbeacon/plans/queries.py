@@ -744,7 +744,9 @@ def q_f5(spark, sf_dir):
 
 
 @register("op_f6_friendly_labels", _serving_sql(
-    f"""SELECT *, CASE WHEN dataset = 'in_domain' AND contains(region_id, 'CPD_DIST_') THEN 'District ' || region_id
+    f"""SELECT *, CASE WHEN dataset = 'in_domain' AND contains(region_id, 'CPD_DIST_') THEN 'Chicago District ' ||
+                 CASE WHEN ltrim(split_part(region_id, 'CPD_DIST_', -1), '0') = '' THEN '0'
+                      ELSE ltrim(split_part(region_id, 'CPD_DIST_', -1), '0') END || ' [' || region_id || ']'
             WHEN contains(region_id, '__') THEN split_part(region_id, '__', 1) || ' Agency ' ||
                  substr(region_id, strpos(region_id, '__') + 2) || ' [' || region_id || ']'
             ELSE region_id END AS area_label,
@@ -887,7 +889,9 @@ def q_e26(spark, sf_dir):
 
 @register("op_e27_hit_summary", _pred_sql(
     f"""SELECT 7 AS time_window_days, '{E_GEO['model']}' AS model, {E_GEO['seed']} AS seed, {E_GEO['k']} AS topk_k,
-       count(*) AS n_events_total, least(count(*), 50000) AS n_events_sampled_cap,
+       count(*) AS n_events_total,
+       (SELECT CAST(CASE WHEN sum(c) <= 50000 THEN sum(c) ELSE least(50000, sum(greatest(1, floor(c * 50000.0 / t)))) END AS BIGINT)
+        FROM (SELECT count(*) AS c, sum(count(*)) OVER () AS t FROM hcls GROUP BY coverage_class) k) AS n_events_sampled_for_plot,
        avg(CAST(exact_hit AS DOUBLE)) AS exact_hit_rate,
        avg(CAST(exact_hit OR neighbor_hit AS DOUBLE)) AS neighbor_aware_hit_rate FROM hcls""", extra=_HIT_SQL),
           doubles=["exact_hit_rate", "neighbor_aware_hit_rate"])
@@ -1344,12 +1348,12 @@ def q_d9(spark, sf_dir):
 
 @register("op_d12_importance_summary")
 def q_d12(spark, sf_dir):
-    return H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7), FEATURE_NUMERIC)
+    return H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7))
 
 
 @register("op_h3_top10_features")
 def q_h3(spark, sf_dir):
-    return H.top_features(H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7), FEATURE_NUMERIC), 10)
+    return H.top_features(H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7)), 10)
 
 
 @register("op_d13_fit_log")

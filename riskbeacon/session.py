@@ -71,6 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir: executors of their own can't share a scratch folder")
         configured = tempfile.mkdtemp(prefix="riskbeacon-ckpt-", dir=os.environ.get("TMPDIR") or "/tmp")
     spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -57,23 +57,26 @@ def harmonize_headers(df: DataFrame, wanted: dict[str, Sequence[str]]) -> DataFr
 def read_csv_flexible(spark: SparkSession, path: str, schema=None, columns: Sequence[str] | None = None,
                       limit: int | None = None) -> DataFrame:
     """CSV with header; UTF-8 first. Spark never fails on bad bytes (it puts
-    U+FFFD), so the file is re-read as ISO-8859-1 (latin-1) when any string
-    value holds U+FFFD - the latin-1 fallback of the original."""
+    U+FFFD), so each file in which a string value holds U+FFFD is re-read as
+    ISO-8859-1 (latin-1); the other files of the folder stay UTF-8."""
     def load(enc: str) -> DataFrame:
         r = spark.read.option("header", True).option("encoding", enc).option("multiLine", False)
         r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
         df = r.csv(path)
-        if columns:
-            df = df.select(*[F.col(f"`{c}`") for c in columns])
-        return df.limit(limit) if limit else df
+        names = columns or df.columns
+        return df.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("__file"))
 
     df = load("UTF-8")
     str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    if not str_cols:
-        return df
-    bad = df.agg(F.max(F.greatest(*[F.coalesce(F.col(f"`{c}`").contains(REPLACEMENT_CHAR), F.lit(False))
-                                    for c in str_cols] + [F.lit(False)])).alias("bad")).first()["bad"]
-    return load("ISO-8859-1") if bad else df
+    str_cols = [c for c in str_cols if c != "__file"]
+    odd = F.lit(False)
+    for c in str_cols:
+        odd = odd | F.coalesce(F.col(f"`{c}`").contains(REPLACEMENT_CHAR), F.lit(False))
+    bad = df.filter(odd).select("__file").distinct().withColumnRenamed("__file", "__bad")
+    good = df.join(bad, F.col("__file") == F.col("__bad"), "left_anti")
+    again = load("ISO-8859-1").join(bad, F.col("__file") == F.col("__bad"), "left_semi")
+    out = good.unionByName(again).drop("__file")
+    return out.limit(limit) if limit else out
 
 
 # ------------------------------------------------------------------ A3 -----
@@ -122,11 +125,6 @@ def profile(df: DataFrame) -> DataFrame:
                        F.split("key", r"\|").getItem(1).alias("stat"), "value")
 
 
-def schema_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-                                 "position int, column string, type string")
-
-
 # ------------------------------------------------------------------ A5 -----
 def missing_audit(df: DataFrame) -> DataFrame:
     """Null count per column, only columns with at least one null."""

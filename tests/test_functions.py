@@ -65,21 +65,19 @@ def test_exact_percentile_matches_builtin(spark):
             assert abs(got[k] - exp[k]) < 1e-12, (q, k)
 
 
-def test_bucketed_paths_equal_single_task_paths(spark):
+def test_bucketed_quantiles_and_prefix_sums_equal_plain_ones(spark):
     import random
     from riskbeacon.functions.quantile import exact_percentile
     from riskbeacon.operators import metrics
     rnd = random.Random(3)
-    rows = [("a", float(rnd.randint(0, 40))) for _ in range(1500)]
-    df = spark.createDataFrame(rows, "g string, x double")
-    a = exact_percentile(df, "x", 0.3, ["g"], "p", buckets=8, single_task_rows=0).first().p
-    b = exact_percentile(df, "x", 0.3, ["g"], "p").first().p
+    df = spark.createDataFrame([("a", float(rnd.randint(0, 40))) for _ in range(1500)], "g string, x double")
+    a = exact_percentile(df, "x", 0.3, ["g"], "p", buckets=8).first().p
+    b = df.agg(F.percentile("x", 0.3).alias("p")).first().p
     assert abs(a - b) < 1e-12
     p = spark.createDataFrame([("s", rnd.randint(0, 1), rnd.randint(0, 1), float(rnd.randint(0, 30)))
                                for _ in range(800)], "g string, y int, y_pred int, y_score double")
     hist = p.groupBy("g", F.col("y_score").alias("__s"), F.col("y_pred").alias("__p")).agg(
         F.sum(F.col("y")).cast("double").alias("__pos"), F.sum(1 - F.col("y")).cast("double").alias("__neg"))
-    def below(**kw):
-        return {(r["__s"], r["__p"]): r["__below"] for r in metrics._negatives_below(hist, ["g"], **kw).collect()}
-    one, two = below(), below(buckets=6, single_task_rows=0)
-    assert one == two
+    rows = p.collect()
+    for r in metrics._negatives_below(hist, ["g"], buckets=6).collect():
+        assert r["__below"] == sum(1 for x in rows if x.y == 0 and x.y_score < r["__s"])
