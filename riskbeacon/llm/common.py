@@ -16,7 +16,7 @@ from riskbeacon.session import ensure_checkpoint_dir
 # Rows of one Arrow batch; texts may be long, so batches are kept small and
 # are cut again by bytes inside the tasks (``slices_by_bytes``).
 ARROW_ROWS = 2000
-ARROW_BYTES = 6 << 20
+ARROW_BYTES = 4 << 20
 # A word is a run of anything but blank, tab, line feed, vertical tab, form
 # feed and carriage return.
 WORD_RE = "[^\\x20\\x09-\\x0D]+"

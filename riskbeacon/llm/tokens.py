@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from riskbeacon.llm.common import segment_sums, slices_by_bytes
 
 SEP = "\x01"
-REMEMBERED = 350_000      # pieces that a worker remembers at most
+REMEMBERED = 280_000      # pieces that a worker remembers at most
 SLICE_BYTES = 8 << 20     # texts worked on at once
 BATCH_BYTES = 1 << 20     # bytes of one call of the library
 PART_CHARS = 1 << 16      # parts of long texts that go to the library

@@ -30,8 +30,8 @@ FILTERS = 6            # of each width
 SEGMENT = 32           # words that are max-pooled together
 PREFIXES = (5, 7)
 LEAST_DOCS = 3         # a bucket seen in fewer sampled texts keeps a zero vector
-SAMPLE = 3000          # rows of each label to fit on, at most
-LONGEST = 60_000       # characters of a text to fit on, at most; scoring takes whole texts
+SAMPLE = 2500          # rows of each label to fit on, at most
+LONGEST = 40_000       # characters of a text to fit on, at most; scoring takes whole texts
 EPOCHS = 8
 THRESHOLD = 0.7        # where a language has too few rows to calibrate
 TRIM = ".,;:!?\"'()[]|%$&*#-"
