@@ -40,13 +40,18 @@ def tidy(fn: Callable) -> Callable:
     Python workers stay for later tasks and would else keep it."""
     def run(batches):
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
     return run
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Scratch:
     """Tables of one run, written to the shared checkpoint folder.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskbeacon.llm.common import arrow_settings, held_out, slices_by_bytes, text_column, tidy
+from riskbeacon.llm.common import arrow_settings, give_back, held_out, slices_by_bytes, text_column, tidy
 from riskbeacon.llm.labels import fit_labels, fit_sample
 
 BUCKETS = 1 << 15
@@ -252,6 +252,8 @@ def fit(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE,
             t = calibrate(score[lang == name], y[aside][lang == name])
             if t is not None:
                 model.thresholds[name] = t
+    del rows, texts
+    give_back()
     return model
 
 
