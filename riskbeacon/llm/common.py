@@ -22,11 +22,11 @@ ARROW_BYTES = 4 << 20
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
 
 
-def arrow_settings(spark: SparkSession) -> None:
+def arrow_settings(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
     """Bound the batches that Arrow functions get, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     try:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     except Exception:  # setting unknown to this Spark version
         pass
 

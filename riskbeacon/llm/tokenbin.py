@@ -24,6 +24,8 @@ from riskbeacon.llm import simple8b
 from riskbeacon.llm.common import Scratch, arrow_settings, text_column, tidy
 from riskbeacon.llm.tokens import encoder
 
+# larger batches than elsewhere: fewer distinct pieces are looked up again
+BATCH_ROWS, BATCH_BYTES, REMEMBERED = 4000, 16 << 20, 500_000
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
 
 
@@ -43,7 +45,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str
     Null ids come first; repeated ids stay next to each other, ordered by
     their text's hash. A null text is empty: only the end id.
     """
-    arrow_settings(docs.sparkSession)
+    arrow_settings(docs.sparkSession, BATCH_ROWS, BATCH_BYTES)
     rows = (docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
             .repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text")))
     schema = _block_schema(rows.schema["id"].dataType)
@@ -51,7 +53,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str
                        ("n_ids", pa.int64())])
 
     def write(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, REMEMBERED)
         part = TaskContext.get().partitionId()
         block, before = 0, 0
 

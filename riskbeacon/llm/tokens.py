@@ -31,10 +31,11 @@ _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
-def encoder(path: str) -> "PieceEncoder":
+def encoder(path: str, remembered: int = REMEMBERED) -> "PieceEncoder":
     """The worker's encoder for a tokenizer file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
+    _ENCODERS[path].most = remembered
     return _ENCODERS[path]
 
 
@@ -82,6 +83,7 @@ class PieceEncoder:
             self.kind = "blank-dropped"  # white space only separates
         else:
             self.kind = "whole"
+        self.most = REMEMBERED
         self.known: dict[str, int] = {}
         self.met = np.zeros(1 << 24, bool)  # by hash, pieces met so far
         self.lens = np.zeros(0, np.int64)
@@ -122,7 +124,7 @@ class PieceEncoder:
         at = np.fromiter(map(hash, words), np.int64, len(words)) & (len(self.met) - 1)
         keep = (counts > 1) | self.met[at]
         self.met[at] = True
-        if len(self.known) < REMEMBERED // 4:
+        if len(self.known) < self.most // 4:
             return np.arange(len(words))
         return np.flatnonzero(keep)
 
@@ -137,7 +139,7 @@ class PieceEncoder:
         starts = np.concatenate(([0], np.cumsum(lens)))[:-1]
         flat = np.concatenate((self.flat, new_ids))
         slot[new] = len(self.lens) + np.arange(len(new))
-        keep = self._again([words[i] for i in new], counts[new])[:max(0, REMEMBERED - len(self.known))]
+        keep = self._again([words[i] for i in new], counts[new])[:max(0, self.most - len(self.known))]
         if len(keep):
             base = len(self.lens)
             for j, i in enumerate(new[keep]):
