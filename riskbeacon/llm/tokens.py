@@ -28,6 +28,10 @@ BATCH_BYTES = 1 << 20     # bytes of one call of the library
 PART_CHARS = 1 << 16      # parts of long texts that go to the library
 _WS = "[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+JOIN_CHARS = 1 << 16      # pieces, joined by line feeds, of one text for the library
+# Places of pieces joined by line feeds where the white space isn't one line
+# feed, alone or before the blank of a blank-led piece.
+_CLASH = re.compile(r"[^\S\n]\s|\n[^\S ]|\s\Z")
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
@@ -84,7 +88,8 @@ class PieceEncoder:
         else:
             self.kind = "whole"
         self.most = REMEMBERED
-        self.known: dict[str, int] = {}
+        self.line_feed = self.tk.encode("\n", add_special_tokens=False).ids if self.kind == "blank-led" else []
+        self.known = pa.array([], pa.string())
         self.met = np.zeros(1 << 24, bool)  # by hash, pieces met so far
         self.lens = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -119,6 +124,34 @@ class PieceEncoder:
         none = np.zeros(0, np.int64)
         return np.concatenate(lens or [none]), np.concatenate(ids or [none.astype(np.uint32)])
 
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of blank-led pieces, many joined by line feeds in one text.
+
+        The pre-tokenizer keeps such a line feed apart, and no other token is
+        a line feed alone, so the ids are cut at its id. Pieces whose own
+        white space would meet a line feed go to the library one by one.
+        """
+        chars = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        cuts = np.flatnonzero(np.diff(chars // JOIN_CHARS)) + 1
+        lens, ids = [], []
+        for a, b in zip([0, *cuts], [*cuts, len(words)]):
+            text = "\n".join(words[a:b])
+            if _CLASH.search(text):
+                n, got = self._library(words[a:b])
+            else:
+                raw = self.tk.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                got = np.fromiter(raw, np.uint32, len(raw))
+                feed = got == self.line_feed[0]
+                at = np.concatenate(([-1], np.flatnonzero(feed), [len(got)]))
+                n, got = np.diff(at) - 1, got[~feed]
+            lens.append(n)
+            ids.append(got)
+        return np.concatenate(lens), np.concatenate(ids)
+
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of pieces that aren't remembered."""
+        return self._joined(words) if words and len(self.line_feed) == 1 else self._library(words)
+
     def _again(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Which new pieces to remember: any at first, later those that were met before."""
         at = np.fromiter(map(hash, words), np.int64, len(words)) & (len(self.met) - 1)
@@ -128,23 +161,22 @@ class PieceEncoder:
             return np.arange(len(words))
         return np.flatnonzero(keep)
 
-    def _distinct(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _distinct(self, words: pa.StringArray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of distinct pieces, the remembered ones first looked up."""
-        get = self.known.get
-        slot = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        slot = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
         new = np.flatnonzero(slot < 0)
-        new_lens, new_ids = self._library([words[i] for i in new])
+        unknown = words.take(pa.array(new))
+        texts = unknown.to_pylist()
+        new_lens, new_ids = self._new(texts)
         # lengths and starts over [remembered | new]
         lens = np.concatenate((self.lens, new_lens))
         starts = np.concatenate(([0], np.cumsum(lens)))[:-1]
         flat = np.concatenate((self.flat, new_ids))
         slot[new] = len(self.lens) + np.arange(len(new))
-        keep = self._again([words[i] for i in new], counts[new])[:max(0, self.most - len(self.known))]
+        keep = self._again(texts, counts[new])[:max(0, self.most - len(self.known))]
         if len(keep):
-            base = len(self.lens)
-            for j, i in enumerate(new[keep]):
-                self.known[words[i]] = base + j
-            pos = base + keep
+            pos = len(self.lens) + keep
+            self.known = pa.concat_arrays([self.known, unknown.take(pa.array(keep))])
             self.flat = np.concatenate((self.flat, gather(flat, starts[pos], lens[pos])))
             self.lens = np.concatenate((self.lens, lens[pos]))
         return lens[slot], (starts[slot], flat)
@@ -158,7 +190,7 @@ class PieceEncoder:
         codes = code.indices.to_numpy()
         off = lists.offsets.to_numpy().astype(np.int64)
         off = off - off[0]
-        words = code.dictionary.to_pylist()
+        words = code.dictionary
         wlens, (wstarts, flat) = self._distinct(words, np.bincount(codes, minlength=len(words)))
         per = wlens[codes]
         counts = np.zeros(n, np.int64)
