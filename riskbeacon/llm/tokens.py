@@ -28,7 +28,7 @@ BATCH_BYTES = 1 << 20     # bytes of one call of the library
 PART_CHARS = 1 << 16      # parts of long texts that go to the library
 _WS = "[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
-JOIN_CHARS = 1 << 16      # pieces, joined by line feeds, of one text for the library
+JOIN_CHARS = 1 << 14      # pieces, joined by line feeds, of one text for the library
 # Places of pieces joined by line feeds where the white space isn't one line
 # feed, alone or before the blank of a blank-led piece.
 _CLASH = re.compile(r"[^\S\n]\s|\n[^\S ]|\s\Z")
