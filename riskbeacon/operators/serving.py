@@ -39,6 +39,13 @@ def write_serving(pred_both: DataFrame, path: str, mode: str = "overwrite") -> N
      .write.mode(mode).partitionBy("time_window_days", "dataset", "model", "seed").parquet(path))
 
 
+def require_found(found: DataFrame, message: str) -> DataFrame:
+    """``found``, or an error if it has no row (one bounded look-up)."""
+    if found.isEmpty():
+        raise ValueError(message)
+    return found
+
+
 # ------------------------------------------------------------------ F1 -----
 def available(serving: DataFrame, window_days: int, dataset: str | None = None, model: str | None = None) -> DataFrame:
     """Cascading choices: datasets of a window, models of a dataset, regions
@@ -58,10 +65,11 @@ def available(serving: DataFrame, window_days: int, dataset: str | None = None,
 # ------------------------------------------------------------------ F2 -----
 def single_prediction(serving: DataFrame, window_days: int, dataset: str, model: str, region_id: str,
                       time_id: str) -> DataFrame:
-    """Point lookup; an empty result is the 'no matching prediction' case."""
-    return serving.filter((F.col("time_window_days") == int(window_days)) & (F.col("dataset") == dataset)
+    """Point lookup; an error if no prediction matches."""
+    hit = serving.filter((F.col("time_window_days") == int(window_days)) & (F.col("dataset") == dataset)
                           & (F.col("model") == model) & (F.col("region_id") == region_id)
                           & (F.col("time_id") == time_id)).limit(1)
+    return require_found(hit, f"no prediction for {window_days}d, {dataset}, {model}, {region_id}, {time_id}")
 
 
 # ------------------------------------------------------------------ F3 -----
@@ -76,9 +84,10 @@ def topk_for_time(serving: DataFrame, window_days: int, dataset: str, model: str
                   k: int) -> tuple[DataFrame, DataFrame]:
     """(table, stats): rank by (score desc, region asc); K clipped to [1, n];
     coverage@K = top incidents / all incidents (0 when none); hit rate =
-    share of positives in the top K."""
+    share of positives in the top K. An error if the window has no rows."""
     s = serving.filter((F.col("time_window_days") == int(window_days)) & (F.col("dataset") == dataset)
                        & (F.col("model") == model) & (F.col("time_id") == time_id))
+    require_found(s, f"no rows for {window_days}d, {dataset}, {model} at {time_id}")
     part = Window.partitionBy("time_window_days", "dataset", "model", "time_id")
     ranked = (s.withColumn("rank", F.row_number().over(part.orderBy(F.col("y_score").desc(), F.col("region_id"))))
               .withColumn("n", F.count(F.lit(1)).over(part))

@@ -48,6 +48,18 @@ def results_formatted(mlong: DataFrame) -> DataFrame:
     return n.select("model", F.concat_ws("_", "domain", "metric").alias("column"), cell.alias("cell"))
 
 
+RESULT_DOMAINS = ("in_domain", "out_domain")
+RESULT_METRICS = ("auc", "f1", "recall", "precision")
+
+
+def results_wide(mlong: DataFrame, domains=RESULT_DOMAINS, metrics=RESULT_METRICS) -> DataFrame:
+    """One row per model, a 'mean ± std' cell for each domain and metric; a
+    cell without rows is NA."""
+    columns = [f"{d}_{m}" for d in domains for m in metrics]
+    wide = results_formatted(mlong).groupBy("model").pivot("column", columns).agg(F.first("cell"))
+    return wide.fillna("NA", subset=columns)
+
+
 # ------------------------------------------------------------------ E32 ----
 def processed_group_counts(spark: SparkSession, events: dict[str, DataFrame]) -> DataFrame:
     axis = _group_axis(spark)

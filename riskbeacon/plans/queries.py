@@ -541,6 +541,24 @@ def q_g12(spark, sf_dir):
     return G.compare_series(spark, _city(spark, sf_dir), G.C_TYPE, ["1-URGENT", "5-LOW"], "Monthly")
 
 
+def _g12_sql(buckets: str, col: str) -> str:
+    return _g_sql(f"""SELECT g.value, g.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT * FROM (VALUES ('1-URGENT'), ('5-LOW')) v(value), ({buckets}) b) g
+LEFT JOIN (SELECT "Primary Type" AS value, CAST("{col}" AS INTEGER) AS bucket, count(*) AS n FROM city GROUP BY 1, 2) c
+ON g.value = c.value AND g.bucket = c.bucket""")
+
+
+@register("op_g12_compare_types_hourly", _g12_sql("SELECT CAST(unnest(range(0, 24)) AS INTEGER) AS bucket", "Hour"))
+def q_g12h(spark, sf_dir):
+    return G.compare_series(spark, _city(spark, sf_dir), G.C_TYPE, ["1-URGENT", "5-LOW"], "Hourly")
+
+
+@register("op_g12_compare_types_yearly", _g12_sql(
+    'SELECT DISTINCT CAST("Year" AS INTEGER) AS bucket FROM city WHERE "Year" IS NOT NULL', "Year"))
+def q_g12y(spark, sf_dir):
+    return G.compare_series(spark, _city(spark, sf_dir), G.C_TYPE, ["1-URGENT", "5-LOW"], "Yearly")
+
+
 @register("op_g13_outliers_daily", _g_sql(
     """SELECT "Date", count, z, is_outlier, is_peak FROM (
   SELECT *, (abs_z IS NOT NULL AND row_number() OVER (ORDER BY abs_z DESC NULLS LAST, "Date") <= 3) AS is_outlier,
@@ -977,6 +995,18 @@ def q_e31b(spark, sf_dir):
     return TB.results_formatted(_mlong(spark, sf_dir))
 
 
+def _wide_cells() -> str:
+    return ", ".join(f"coalesce(max(cell) FILTER (WHERE col = '{d}_{m}'), 'NA') AS {d}_{m}"
+                     for d in TB.RESULT_DOMAINS for m in TB.RESULT_METRICS)
+
+
+@register("op_e31_results_wide", _mlong_sql(
+    f"""SELECT model, {_wide_cells()} FROM (SELECT model, domain || '_' || metric AS col,
+       printf('%.3f ± %.3f', mean, std) AS cell FROM ({_T2_SQL}) t) w GROUP BY model"""))
+def q_e31c(spark, sf_dir):
+    return TB.results_wide(_mlong(spark, sf_dir))
+
+
 @register("op_e32_processed_group_counts", _dist_sql(False))
 def q_e32(spark, sf_dir):
     ev, _ = _dist_inputs(spark, sf_dir)
@@ -1014,6 +1044,22 @@ def q_e34b(spark, sf_dir):
     return TB.mean_std(ml, ["domain", "model", "slice"], "value")
 
 
+@register("op_e34_overall_bars", _mlong_sql(
+    "SELECT domain, model, metric, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std FROM mlong "
+    "WHERE slice = 'overall' AND metric IN ('auc', 'f1', 'precision', 'recall') GROUP BY 1, 2, 3"),
+          doubles=["mean", "std"])
+def q_e34c(spark, sf_dir):
+    ml = _mlong(spark, sf_dir).filter((F.col("slice") == "overall") & F.col("metric").isin(*TB.RESULT_METRICS))
+    return TB.mean_std(ml, ["domain", "model", "metric"], "value")
+
+
+@register("op_e34_monthly_f1", _mlong_sql(
+    "SELECT dataset AS domain, model, date_bucket, avg(f1) AS mean, coalesce(stddev_samp(f1), 0.0) AS std "
+    "FROM tm_m GROUP BY 1, 2, 3"), doubles=["mean", "std"])
+def q_e34d(spark, sf_dir):
+    return TB.mean_std(M.temporal_f1_by_seed(_preds(spark, sf_dir), "M"), ["domain", "model", "date_bucket"], "value")
+
+
 def _e35_spark(spark, sf_dir):
     pipeline.window_runs(spark, sf_dir, (7, 3))
     thr = _thr_spark(spark, sf_dir, 7).unionByName(_thr_spark(spark, sf_dir, 3))
@@ -1102,24 +1148,25 @@ def q_c27(spark, sf_dir):
             .unpivot(["region_id", "time_id"], vocab, "category", "value"))
 
 
-_SEQ_FEATS = ["lag_0", "ewma_4"]
+def _seq_sql(step: int, length: int = 8) -> str:
+    back = length - 1 - step
+    cells = FEATURE_NUMERIC if not back else [
+        f"coalesce(CAST(lag({f}, {back}) OVER w AS DOUBLE), 0.0) AS {f}" for f in FEATURE_NUMERIC]
+    return (f"SELECT region_id, time_id, {step} AS step, {', '.join(cells)} FROM test_x "
+            "WINDOW w AS (PARTITION BY region_id ORDER BY time_id)")
 
 
-@register("op_c28_sequences", S.with_ctes(S.split_ctes(7), "\nUNION ALL\n".join(
-    f"""SELECT region_id, time_id, {s} AS step,
-       coalesce(lag(lag_0, {7 - s}) OVER (PARTITION BY region_id ORDER BY time_id), 0.0) AS lag_0,
-       coalesce(lag(ewma_4, {7 - s}) OVER (PARTITION BY region_id ORDER BY time_id), 0.0) AS ewma_4 FROM test_x"""
-    if s < 7 else "SELECT region_id, time_id, 7 AS step, lag_0, ewma_4 FROM test_x" for s in range(8))),
-          doubles=_SEQ_FEATS)
+@register("op_c28_sequences", S.with_ctes(S.split_ctes(7), "\nUNION ALL\n".join(_seq_sql(s) for s in range(8))),
+          doubles=FEATURE_NUMERIC)
 def q_c28(spark, sf_dir):
-    seq = PR.sequences(pipeline.window_run(spark, sf_dir, 7).test, _SEQ_FEATS)
+    seq = PR.sequences(pipeline.window_run(spark, sf_dir, 7).test, FEATURE_NUMERIC)
     return (seq.select("region_id", "time_id", F.posexplode("sequence").alias("step", "v"))
             .select("region_id", "time_id", F.col("step").cast("int").alias("step"),
-                    F.col("v")[0].alias("lag_0"), F.col("v")[1].alias("ewma_4")))
+                    *[F.col("v")[i].alias(f) for i, f in enumerate(FEATURE_NUMERIC)]))
 
 
 # ======================================================== B: harmonize =====
-from riskbeacon.functions.expr import clean_region_token  # noqa: E402
+from riskbeacon.functions.expr import CITY_TYPE_GROUPS, clean_region_token  # noqa: E402
 from riskbeacon.operators import eda as EDA  # noqa: E402
 from riskbeacon.operators import harmonize as HZ  # noqa: E402
 from riskbeacon.sources import readers as RD  # noqa: E402
@@ -1200,9 +1247,12 @@ def q_b7(spark, sf_dir):
                           drop_invalid=False)
 
 
-@register("op_b9_national_events", S.with_ctes([("ev", S.events_in())], "SELECT * FROM ev"), bench=True)
+_B9_MORE = ", CAST(l.l_partkey AS VARCHAR) AS offense_code, r.r_name AS source_state"
+
+
+@register("op_b9_national_events", S.with_ctes([("ev", S.events_in(_B9_MORE))], "SELECT * FROM ev"), bench=True)
 def q_b9(spark, sf_dir):
-    return pipeline.in_domain_events(spark, sf_dir).select("event_date", "region_id", "crime_group", "raw_offense")
+    return pipeline.in_domain_events(spark, sf_dir)
 
 
 @register("op_b10_load_quality", S.with_ctes([("ev", S.events_in())], """SELECT count(*) AS n_rows,
@@ -1224,6 +1274,16 @@ def q_b11(spark, sf_dir):
     return HZ.unmapped_ratio(ev)
 
 
+@register("op_b11_unmapped_by_source", S.with_ctes([("city", S.city())], f"""SELECT 'city' AS source,
+       avg(CAST(({S.case_map('upper(trim("Primary Type"))', CITY_TYPE_GROUPS)}) IS NULL AS DOUBLE)) AS unmapped_ratio, count(*) AS n_rows FROM city
+UNION ALL SELECT 'national', avg(CAST(({_B3_CASE}) IS NULL AS DOUBLE)), count(*)
+FROM (SELECT p.p_type AS nm, CAST(l.l_partkey AS VARCHAR) AS code, p.p_brand AS cat
+      FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey) t"""), doubles=["unmapped_ratio"])
+def q_b11b(spark, sf_dir):
+    return HZ.unmapped_by_source(standin.city_clean(spark, sf_dir), "Primary Type",
+                                 standin.nat_offense(spark, sf_dir), standin.nat_offense_type(spark, sf_dir))
+
+
 _EDA_YEARS = (1996, 2001)
 
 

@@ -40,12 +40,12 @@ def time_bin(d: str, w: int) -> str:
 
 
 # ------------------------------------------------------------- events -----
-def events_in() -> str:
+def events_in(more: str = "") -> str:
     region = (f"CASE WHEN {tok('n.n_name')} <> 'UNKNOWN' THEN {tok('r.r_name')} || '__' || {tok('n.n_name')} "
               f"ELSE {tok('r.r_name')} || '__' || {tok('o.o_custkey')} END")
     return f"""SELECT * FROM (
   SELECT CAST(o.o_orderdate AS TIMESTAMP) AS event_date, {region} AS region_id,
-         {case_map('p.p_type', STANDIN_TYPE_GROUPS)} AS crime_group, p.p_type AS raw_offense
+         {case_map('p.p_type', STANDIN_TYPE_GROUPS)} AS crime_group, p.p_type AS raw_offense{more}
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskbeacon.operators import cube, harmonize, labels, models, serving, spatial, support
+from riskbeacon.operators import cube, harmonize, labels, models, serving, spatial, support, tables
 from riskbeacon.sources import readers
 
 
@@ -122,3 +122,35 @@ def test_knn_against_all_distances(spark):
     for i in range(40):
         near = sorted((np.hypot(*(p[i] - p[j])), f"r{j:02d}") for j in range(40) if j != i)[:3]
         assert [got[f"r{i:02d}", k + 1] for k in range(3)] == [n for _, n in near]
+
+
+def test_serving_raises_when_nothing_matches(spark):
+    rows = [(7, "IL__CPD_DIST_007", "2000-06-05", 1, 4.0, "m", "in_domain", 0.9, 1, 0)]
+    s = spark.createDataFrame(rows, "time_window_days int, region_id string, time_id string, y int, y_count double, "
+                                    "model string, dataset string, y_score double, y_pred int, seed int")
+    assert serving.single_prediction(s, 7, "in_domain", "m", "IL__CPD_DIST_007", "2000-06-05").count() == 1
+    with pytest.raises(ValueError):
+        serving.single_prediction(s, 7, "in_domain", "m", "IL__CPD_DIST_007", "2000-06-12")
+    with pytest.raises(ValueError):
+        serving.topk_for_time(s, 3, "in_domain", "m", "2000-06-05", 5)
+    assert serving.topk_for_time(s, 7, "in_domain", "m", "2000-06-05", 5)[0].count() == 1
+
+
+def test_unmapped_share_of_both_sources(spark):
+    city = spark.createDataFrame([(" theft ",), ("BURGLARY",), ("GAMBLING",), (None,)], "kind string")
+    offense = spark.createDataFrame([("23A",), ("220",), ("99Z",), ("120",), ("99Z",)], "offense_code string")
+    types = spark.createDataFrame([("23A", "Pocket-picking", "Larceny/Theft Offenses"), ("99Z", "Other", "Other")],
+                                  "offense_code string, offense_name string, offense_category_name string")
+    got = {r["source"]: (r["unmapped_ratio"], r["n_rows"])
+           for r in harmonize.unmapped_by_source(city, "kind", offense, types).collect()}
+    assert got["city"] == (0.5, 4)
+    assert got["national"][1] == 5 and abs(got["national"][0] - 0.4) < 1e-12  # 220 and 120 map by code alone
+
+
+def test_wide_results_fill_missing_cells(spark):
+    ml = spark.createDataFrame([("m", "in_domain", "overall", "auc", 0.5), ("m", "in_domain", "overall", "auc", 0.7),
+                                ("m", "in_domain", "neighbor_overall", "f1", 0.9)],
+                               "model string, domain string, slice string, metric string, value double")
+    row = tables.results_wide(ml).collect()[0]
+    assert row["in_domain_auc"] == "0.600 ± 0.141"
+    assert row["in_domain_f1"] == "NA" and row["out_domain_auc"] == "NA"
