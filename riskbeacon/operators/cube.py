@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskbeacon.functions.expr import side_by_side
+from riskbeacon.functions.sample import seeded_sample
 
 # --- fixed values: calendar axes -------------------------------------------
 DAY_ORDER = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -172,13 +173,10 @@ def top_n(df: DataFrame, col: str, n: int = 15, order_by: str = "count") -> Data
 
 
 # ------------------------------------------------------------------ G17 ----
-def map_sample(df: DataFrame, n: int = 50000, seed: int = 42, palette_size: int = 20) -> DataFrame:
-    """Seeded sample of at most n located points: order by a seeded hash of
-    the row content and take n (a top-n with bounded per-task state); view
-    center = mean lat/lon of the sample; district -> palette index."""
-    pts = df.dropna(subset=["Latitude", "Longitude"])
-    key = F.xxhash64(F.lit(seed), *[c(x) for x in df.columns])
-    samp = pts.withColumn("__h", key).orderBy("__h").limit(int(n)).drop("__h")
+def map_sample(df: DataFrame, n: int = 50000, seed: int = 42, palette_size: int = 20, keys=None) -> DataFrame:
+    """Seeded sample of at most n located points; view center = mean lat/lon
+    of the sample; district -> palette index."""
+    samp = seeded_sample(df.dropna(subset=["Latitude", "Longitude"]), n, seed, keys)
     center = samp.agg(F.avg("Latitude").alias("center_lat"), F.avg("Longitude").alias("center_lon"))
     pal = (samp.select(c(C_DIST).alias("__d")).distinct()
            .withColumn("palette_idx", (F.dense_rank().over(Window.orderBy("__d")) - 1) % palette_size))

@@ -596,9 +596,16 @@ def q_g16(spark, sf_dir):
     return G.top_n(_city(spark, sf_dir), G.C_LOC, G_TOP_N)
 
 
-@register("op_g17_map_sample")
+_G17_COLS = ["ID", "Primary Type", "District", "Latitude", "Longitude"]
+
+
+@register("op_g17_map_sample", S.with_ctes([("craw", S.city_raw()), ("samp", """SELECT "ID", "Primary Type", "District",
+       "Latitude", "Longitude" FROM craw ORDER BY md5('42|' || CAST("ID" AS VARCHAR)) LIMIT 1000""")],
+    """SELECT s.*, avg("Latitude") OVER () AS center_lat, avg("Longitude") OVER () AS center_lon,
+       CASE WHEN "District" IS NOT NULL THEN CAST((dense_rank() OVER (ORDER BY "District" NULLS FIRST) - 1) % 20 AS INTEGER) END
+       AS palette_idx FROM samp s"""), doubles=["Latitude", "Longitude", "center_lat", "center_lon"])
 def q_g17(spark, sf_dir):
-    return G.map_sample(_city(spark, sf_dir), n=1000)
+    return G.map_sample(standin.city_raw(spark, sf_dir).select(*_G17_COLS), n=1000, keys=["ID"])
 
 
 @register("op_g18_heat_grid", _g_sql(
@@ -1343,9 +1350,11 @@ def q_a7(spark, sf_dir):
                                     F.count_distinct(F.col("`Primary Type`")).alias("n_types"))
 
 
-@register("op_a11_export_sample")
+@register("op_a11_export_sample", S.with_ctes([("craw", S.city_raw())],
+    """SELECT * FROM craw ORDER BY md5('42|' || "Case Number") LIMIT 1000"""), doubles=["Latitude", "Longitude"])
 def q_a11(spark, sf_dir):
-    return RD.export_sample(standin.city_clean(spark, sf_dir), n=1000)
+    raw = standin.city_raw(spark, sf_dir).drop("X Coordinate", "Y Coordinate", "Updated On", "Location")
+    return RD.export_sample(raw, n=1000, keys=["Case Number"])
 
 
 @register("op_a12_geo_points", S.with_ctes([("city", S.city())], f"""SELECT 'IL__CPD_DIST_' || {S.tok('"District"')}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from riskbeacon.functions.expr import clean_region_token
+from riskbeacon.functions.sample import seeded_sample
 
 REPLACEMENT_CHAR = "�"
 
@@ -181,13 +182,9 @@ def newest_valid_run(runs: DataFrame, required_windows=(7, 3)) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A11 ----
-def export_sample(df: DataFrame, n: int | None = 100_000, seed: int = 42) -> DataFrame:
-    """Full export (n=None) or a seeded sample of n rows: order by a seeded
-    hash of the row and take n (bounded top-n, no driver collect)."""
-    if n is None:
-        return df
-    h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
-    return df.withColumn("__h", h).orderBy("__h").limit(int(n)).drop("__h")
+def export_sample(df: DataFrame, n: int | None = 100_000, seed: int = 42, keys: Sequence[str] | None = None) -> DataFrame:
+    """Full export (n=None) or a seeded sample of n rows (no driver collect)."""
+    return df if n is None else seeded_sample(df, n, seed, keys)
 
 
 # ------------------------------------------------------------------ A12/13 -

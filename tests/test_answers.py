@@ -1,11 +1,13 @@
 """Answers that small tables decide: ties, caps, labels, densified views, fallbacks."""
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskbeacon.functions.sample import seeded_sample
 from riskbeacon.operators import cube, harmonize, labels, models, serving, spatial, support, tables
 from riskbeacon.sources import readers
 
@@ -154,3 +156,14 @@ def test_wide_results_fill_missing_cells(spark):
     row = tables.results_wide(ml).collect()[0]
     assert row["in_domain_auc"] == "0.600 ± 0.141"
     assert row["in_domain_f1"] == "NA" and row["out_domain_auc"] == "NA"
+
+
+def test_seeded_sample_has_n_rows_and_repeats(spark):
+    df = spark.range(0, 5000, 1, 16).withColumn("v", F.col("id") % 7)
+    for n in (1, 700, 5000, 9000):
+        got = sorted(r.id for r in seeded_sample(df, n, 42, ["id"]).collect())
+        want = sorted(range(5000), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())[:n]
+        assert got == sorted(want)
+    same = df.select(F.lit(1).alias("v"))
+    assert seeded_sample(same, 10).count() == 10
+    assert seeded_sample(df.limit(0), 10).count() == 0
