@@ -58,16 +58,17 @@ def add_label(df: DataFrame, threshold: int) -> DataFrame:
 
 def add_label_by_group(df: DataFrame, thresholds: DataFrame, group_col: str = "crime_group",
                        default_threshold: int | None = None) -> DataFrame:
-    """Per-group thresholds with a default for unseen groups (the largest
-    threshold, at least 1). The threshold table has one row per crime group
-    (a fixed, small list), so broadcasting it is size-safe."""
-    if default_threshold is None:
-        mx = thresholds.agg(F.max("threshold").alias("m")).first()["m"]
-        default_threshold = max(1, int(mx)) if mx is not None else 1
+    """Labels by each group's own threshold. Rows of an unseen or null group
+    take the default: the largest threshold, at least 1. The thresholds are
+    joined without a hint (the group column is free), the default is one row."""
     t = thresholds.select(F.col(group_col).cast("string").alias("__g"), F.col("threshold").alias("__thr"))
-    out = df.join(F.broadcast(t), F.col(group_col).cast("string") == F.col("__g"), "left")
-    thr = F.coalesce(F.col("__thr"), F.lit(int(default_threshold)))
-    return out.withColumn("y", (F.col("y_count") >= thr).cast("int")).drop("__g", "__thr")
+    default = (F.lit(int(default_threshold)) if default_threshold is not None
+               else F.greatest(F.lit(1), F.max("__thr")))
+    rest = t.agg(default.cast("int").alias("__rest")).withColumn("__one", F.lit(1))
+    out = (df.withColumn("__g", F.col(group_col).cast("string")).join(t, "__g", "left")
+           .withColumn("__one", F.lit(1)).join(F.broadcast(rest), "__one"))
+    hit = F.col("y_count") >= F.coalesce("__thr", "__rest")
+    return out.withColumn("y", F.coalesce(hit, F.lit(False)).cast("int")).drop("__g", "__thr", "__rest", "__one")
 
 
 # ------------------------------------------------------------------ C21 ----

@@ -98,6 +98,20 @@ def q_thr_group(spark, sf_dir):
     return labels.threshold_frame(tr, group_col="crime_group")
 
 
+@register("op_c20_labels_by_group",
+          S.with_ctes(S.split_ctes(7) + [
+              ("tg", "SELECT region_state AS g, CAST(greatest(1, ceil(quantile_cont(y_count, 0.75))) AS INTEGER) AS threshold "
+                     "FROM train GROUP BY 1")],
+              """SELECT x.region_id, x.time_id, x.region_state AS crime_group, x.y_count,
+       CAST(x.y_count >= coalesce(t.threshold, greatest(1, (SELECT max(threshold) FROM tg))) AS INTEGER) AS y
+FROM test x LEFT JOIN tg t ON x.region_state = t.g"""), doubles=["y_count"])
+def q_label_group(spark, sf_dir):
+    r = pipeline.window_run(spark, sf_dir, 7)
+    train, test = (d.withColumnRenamed("region_state", "crime_group") for d in (r.train, r.test))
+    thresholds = labels.threshold_frame(train, group_col="crime_group")
+    return labels.add_label_by_group(test, thresholds).select("region_id", "time_id", "crime_group", "y_count", "y")
+
+
 @register("op_c21_region_train_stats",
           S.with_ctes(S.split_ctes(7), "SELECT * FROM rstats"),
           doubles=["region_train_mean", "region_train_std", "region_train_count"])

@@ -2,13 +2,14 @@
 
 import datetime as dt
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskbeacon.functions.sample import seeded_sample
-from riskbeacon.operators import cube, harmonize, labels, models, serving, spatial, support, tables
+from riskbeacon.operators import cube, harmonize, labels, metrics, models, serving, spatial, support, tables
 from riskbeacon.sources import readers
 
 
@@ -167,3 +168,27 @@ def test_seeded_sample_has_n_rows_and_repeats(spark):
     same = df.select(F.lit(1).alias("v"))
     assert seeded_sample(same, 10).count() == 10
     assert seeded_sample(df.limit(0), 10).count() == 0
+
+
+def test_group_labels_and_their_default(spark):
+    thr = spark.createDataFrame([("A", 2), ("B", 5)], "crime_group string, threshold int")
+    df = spark.createDataFrame([("A", 2.0), ("A", 1.0), ("B", 4.0), ("C", 4.0), ("C", 5.0), (None, 6.0), ("A", None)],
+                               "crime_group string, y_count double")
+    got = Counter((r.crime_group, r.y_count, r.y) for r in labels.add_label_by_group(df, thr).collect())
+    assert got == Counter([("A", 2.0, 1), ("A", 1.0, 0), ("B", 4.0, 0), ("C", 4.0, 0), ("C", 5.0, 1), (None, 6.0, 1),
+                           ("A", None, 0)])
+    one = labels.add_label_by_group(df, thr.limit(0), default_threshold=4).filter("crime_group = 'C'").collect()
+    assert [r.y for r in one] == [1, 1]
+
+
+def test_coverage_and_completeness_report_what_is_missing(spark):
+    pred = spark.createDataFrame([(0, "in_domain", "m")] * 3 + [(1, "in_domain", "m")] * 2 + [(0, "other", "m")],
+                                 "seed int, dataset string, model string")
+    expected = spark.createDataFrame([("in_domain", 3)], "dataset string, expected_rows long")
+    got = {(r.seed, r.dataset): (r.n_rows, r.expected_rows) for r in models.prediction_coverage(pred, expected).collect()}
+    assert got == {(1, "in_domain"): (2, 3), (0, "other"): (1, None)}
+    ml = spark.createDataFrame([("m", 0, d, "overall", k) for d in ("in_domain", "out_domain")
+                                for k in ("auc", "f1", "precision", "recall") if (d, k) != ("out_domain", "f1")],
+                               "model string, seed int, domain string, slice string, metric string")
+    missing = metrics.metrics_completeness(spark, ml, ["m"], (0,)).collect()
+    assert [(r.model, r.seed, r.domain, r.metric) for r in missing] == [("m", 0, "out_domain", "f1")]
