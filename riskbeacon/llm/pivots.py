@@ -1,7 +1,8 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
 Reference points (pivots) are a bounded sample of the vectors; every vector
-is described by its ``NEAREST`` pivots in order of closeness. The inverted
+is described by its nearest pivots in order of closeness: ``NEAREST``, or as
+many as pairs modelled at the threshold need (``lists_needed``). The inverted
 list of a pivot holds the vectors that have it among them. Two vectors are
 candidates when they share at least ``SHARED`` pivots; a pair is handled
 once, in the list of the first pivot that both share, and verified there by
@@ -23,7 +24,10 @@ from pyspark.sql import functions as F
 from riskbeacon.llm.common import Scratch, arrow_settings, tidy
 from riskbeacon.llm.components import Forest, components, runs
 
-NEAREST = 8        # pivots that describe a vector
+NEAREST = 8        # pivots that describe a vector, at least
+FOUND = 0.98       # share of the modelled pairs that must share enough pivots
+MODELLED = 512     # vectors to model a pair for
+AROUND = (32, 256, 2 * 4096)  # neighbours whose mean a modelled pair turns about
 SHARED = 2         # pivots that candidates share at least
 MOST_PIVOTS = 4096
 BLOCK = 1024       # classes of a block
@@ -77,6 +81,58 @@ def spread(sample: np.ndarray, threshold: float, most: int) -> np.ndarray:
     return sample[taken]
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def partners(x: np.ndarray, about: np.ndarray, toward: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector one at cosine ``threshold`` to it and as far from
+    ``about`` as it, turned toward ``toward``; and whether there is one."""
+    r = x - about
+    size = np.linalg.norm(r, axis=1, keepdims=True)
+    e = _unit(r)
+    w = toward - about
+    w = _unit(w - (w * e).sum(axis=1, keepdims=True) * e)
+    low, high = np.zeros(len(x)), np.full(len(x), np.pi)
+
+    def turned(angle: np.ndarray) -> np.ndarray:
+        return _unit(about + size * (np.cos(angle)[:, None] * e + np.sin(angle)[:, None] * w))
+
+    for _ in range(50):
+        mid = (low + high) / 2
+        near = (x * turned(mid)).sum(axis=1) >= threshold
+        low, high = np.where(near, mid, low), np.where(near, high, mid)
+    y = turned(low)
+    return y, np.abs((x * y).sum(axis=1) - threshold) < 1e-6
+
+
+def lists_needed(sample: np.ndarray, pivots: np.ndarray, threshold: float, least: int, shared: int) -> int:
+    """How many nearest pivots (``least`` or more) describe a vector, so that
+    ``FOUND`` of the pairs modelled at exactly the threshold share ``shared``.
+    Pairs are modelled within dense groups of several sizes: there closeness
+    to the pivots changes most, and the more so the more pivots there are."""
+    rng = np.random.default_rng(0)
+    x = sample[rng.permutation(len(sample))[:MODELLED]]
+    order = np.argsort(-np.round(x @ sample.T, 12), axis=1, kind="stable")[:, 1:]
+    take = min(least, len(pivots))
+    if not order.shape[1] or shared > len(pivots):
+        return take
+
+    def ranks(v: np.ndarray) -> np.ndarray:
+        return np.argsort(pivot_codes(v, pivots, len(pivots)), axis=1, kind="stable")
+
+    own = ranks(x)
+    for n in sorted({min(n, order.shape[1]) for n in AROUND}):
+        about = np.stack([sample[o[:n]].mean(axis=0) for o in order])
+        toward = sample[order[np.arange(len(x)), rng.integers(0, n, len(x))]]
+        y, there = partners(x, about, toward, threshold)
+        if there.any():
+            # the length of the lists' start that holds ``shared`` common pivots
+            start = 1 + np.sort(np.maximum(own[there], ranks(y[there])), axis=1)[:, shared - 1]
+            take = max(take, int(np.sort(start)[math.ceil(FOUND * len(start)) - 1]))
+    return take
+
+
 def _described(pivots: np.ndarray, nearest: int):
     def make(batches):
         for b in batches:
@@ -168,8 +224,9 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, nearest: int = N
         wanted = min(most_pivots, max(16, 2 * math.isqrt(n)))
         # a bounded sample, at most twice ``most_pivots`` vectors, by the digest's hash
         sample = own.select("unit").orderBy(F.xxhash64("digest"), "digest").limit(2 * wanted).collect()
-        pivots = spread(np.stack([np.frombuffer(r["unit"], np.float64) for r in sample]), threshold, wanted)
-        take = min(nearest, len(pivots))
+        sample = np.stack([np.frombuffer(r["unit"], np.float64) for r in sample])
+        pivots = spread(sample, threshold, wanted)
+        take = lists_needed(sample, pivots, threshold, nearest, shared)
         need = min(shared, take)
         described = scratch.write(own.select("digest", "unit", "id", "copies").mapInArrow(
             tidy(_described(pivots, take)), "digest binary, unit binary, id long, copies long, pivots array<int>"), f"described-{d}")

@@ -1,9 +1,12 @@
 """op2, op5, op9: links, components and searches against brute force."""
 
+import math
 import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import awkward, empty, rows, shingle_set, smallest_reachable  # noqa: E402
@@ -158,6 +161,45 @@ def test_pivot_recall_on_hard_pairs(spark):
     assert len(pairs) > 1000 and got >= 0.9 * len(pairs)
 
 
+def hot_cone(n, base, seed, d=64):
+    """Unit vectors, a third of them at cosine ``base`` to one direction; half
+    of that third are partners of the other half at cosine 0.90 to 0.91."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+    x, c, h = unit(rng.normal(size=(n, d))), unit(rng.normal(size=(1, d))), n // 6
+    r, u = unit(x[:h] - (x[:h] @ c.T) * c), x[h:2 * h] - (x[h:2 * h] @ c.T) * c
+    u = unit(u - (u * r).sum(axis=1, keepdims=True) * r)
+    g = (rng.uniform(0.9, 0.91, (h, 1)) - base ** 2) / (1 - base ** 2)
+    x[:h], x[h:2 * h] = base * c + np.sqrt(1 - base ** 2) * r, base * c + np.sqrt(1 - base ** 2) * (g * r + np.sqrt(1 - g * g) * u)
+    return x, 2 * h
+
+
+@pytest.mark.parametrize("n,base", [(3000, 0.9), (20000, 0.8), (20000, 0.9)])
+def test_pivot_recall_in_a_hot_cone(spark, n, base):
+    """Pairs just above the threshold among a third of the rows, at several sizes."""
+    x, h = hot_cone(n, base, 7)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)}))
+    pairs = (int((x[:h] @ x[:h].T >= 0.9).sum()) - h) // 2
+    got = sum(r.n_links for r in pivots.near_vectors(df).filter(f"vec_id < {h}").collect()) / 2
+    assert pairs >= 0.99 * h / 2 and 0.95 * pairs <= got <= pairs
+
+
+def test_lists_grow_with_the_pivots():
+    taken = []
+    for n in (3000, 200000):
+        x, h = hot_cone(n, 0.9, 5)
+        most = 2 * math.isqrt(n)
+        sample = x[np.random.default_rng(1).permutation(n)[:2 * most]]
+        near = pivots.spread(sample, 0.9, most)
+        taken.append(pivots.lists_needed(sample, near, 0.9, pivots.NEAREST, pivots.SHARED))
+        a, b = (pivots.pivot_codes(v, near, taken[-1]) for v in (x[:500], x[h // 2:h // 2 + 500]))
+        both = [len(set(p) & set(q)) >= pivots.SHARED for p, q in zip(a.tolist(), b.tolist())]
+        assert np.mean(both) >= 0.95
+    assert taken[0] < taken[1]
+
+
 def brute_top(df, k, every):
     v = {}
     for r in df.select("vec_id", "embedding").collect():
