@@ -5,8 +5,8 @@ prefixes. Filters of several widths run over the words; their rectified
 outputs are max-pooled over segments, and a text's features are, for each
 filter, the maximum and the mean of its segments' maxima. A logistic layer
 gives the score. The classifier is fitted on a bounded sample of labelled
-rows; the decision threshold is calibrated for each language on rows of the
-sample that training didn't see.
+rows; the decision threshold is calibrated for each language on all labelled
+rows that training didn't see.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,8 @@ LEAST_DOCS = 3         # a bucket seen in fewer sampled texts keeps a zero vecto
 SAMPLE = 2500          # rows of each label to fit on, at most
 LONGEST = 40_000       # characters of a text to fit on, at most; scoring takes whole texts
 EPOCHS = 8
-THRESHOLD = 0.7        # where a language has too few rows to calibrate
+THRESHOLD = 0.7        # where there are too few rows to calibrate, over all languages too
+STEPS = [round(0.4 + 0.05 * i, 2) for i in range(11)]  # thresholds to choose from
 TRIM = ".,;:!?\"'()[]|%$&*#-"
 
 
@@ -79,6 +80,7 @@ class Cnn:
     weight: np.ndarray                          # (2 * widths * FILTERS)
     offset: float
     thresholds: dict[str, float] = field(default_factory=dict)
+    threshold: float = THRESHOLD                # where a language has none of its own
 
     def convolve(self, t: Texts) -> np.ndarray:
         """Rectified outputs at every word, (segments, SEGMENT, widths * FILTERS)."""
@@ -215,66 +217,90 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
     return m
 
 
-def calibrate(score: np.ndarray, y: np.ndarray, precision: float = 0.95, least: int = 20) -> float | None:
-    """The lowest threshold of 0.4 to 0.9 with that precision; None with too few rows of label 1."""
-    if (y == 1).sum() < least:
+def calibrate(counts: np.ndarray, precision: float = 0.95, least: int = 20) -> float | None:
+    """The lowest of ``STEPS`` with that precision, from (label, steps reached)
+    counts; None with too few rows of a label."""
+    if counts.sum(axis=1).min() < least:
         return None
-    for t in np.arange(0.4, 0.901, 0.05):
-        hit = score >= t
-        if hit.any() and y[hit].mean() >= precision:
-            return float(round(t, 2))
-    return 0.9
+    for i, t in enumerate(STEPS):
+        hit = counts[:, i + 1:].sum(axis=1)
+        if hit.any() and hit[1] >= precision * hit.sum():
+            return t
+    return STEPS[-1]
+
+
+def _aside(id_col: str) -> Column:
+    """A fifth of the ids that is never fitted on, so that small tables have rows to calibrate on."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit("aside")), F.lit(5)) == 0
+
+
+def _set_thresholds(docs: DataFrame, labels: DataFrame, fitted: DataFrame, model: Cnn) -> None:
+    """Thresholds by language and over all, from the scores of all labelled rows that weren't fitted on."""
+    lang = docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), lang.alias("lang"))
+    scores = _scored(rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), model, "lang")
+    reached = sum((F.col("score") >= F.lit(t)).cast("int") for t in STEPS)
+    # texts aren't dealt out: rows are scored first; at most 2 * sample ids
+    got = (scores.join(labels, F.col("doc_id") == F.col("id")).join(F.broadcast(fitted), "id", "left_anti")
+           .groupBy("lang", "y", reached.alias("reached")).agg(F.count(F.lit(1)).alias("n")).collect())
+    counts: dict[str | None, np.ndarray] = {}
+    for r in got:
+        counts.setdefault(r["lang"], np.zeros((2, len(STEPS) + 1)))[r["y"], r["reached"]] += r["n"]
+    if counts:
+        model.threshold = calibrate(sum(counts.values())) or THRESHOLD
+    for name, own in counts.items():
+        t = calibrate(own)
+        if name is not None and t is not None:
+            model.thresholds[name] = t
 
 
 def fit(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE, longest: int = LONGEST) -> Cnn:
-    """The classifier, from at most ``sample`` rows of each label; a fifth of
-    them, by a hash of the id, only calibrates the thresholds by language.
-    Without both labels the score is 0 for every text."""
+    """The classifier, from at most ``sample`` rows of each label; all other
+    labelled rows, a fifth of the ids at least, calibrate the thresholds by
+    language. Without both labels the score is 0 for every text."""
     labels = fit_labels(spark, sf_dir, "toxic")
     totals = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = fit_sample(docs, labels, sample, longest).orderBy("id").toPandas()
+    rows = fit_sample(docs, labels.filter(~_aside("id")), sample, longest).orderBy("id").toPandas()
+    if rows["y"].nunique() < 2:
+        rows = fit_sample(docs, labels, sample, longest).orderBy("id").toPandas()
     y = rows["y"].to_numpy(np.int64)
     if len(set(y.tolist())) < 2:
         n = len(WIDTHS) * FILTERS
         return Cnn(np.zeros((BUCKETS, DIM), np.float32), [np.zeros((w, DIM, FILTERS), np.float32) for w in WIDTHS],
                    np.zeros(n, np.float32), np.zeros(2 * n), -40.0)
-    texts = pa.array(rows["text"], pa.string())
     weight = np.array([totals[v] / max(1, (y == v).sum()) for v in y.tolist()], np.float64)
-    ids = rows["id"].to_numpy(np.int64).astype(np.uint64)
-    aside = ((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(5) == 0
-    if len(set(y[~aside].tolist())) < 2:
-        aside[:] = False
-    model = train(texts.filter(pa.array(~aside)), y[~aside], weight[~aside])
-    if aside.any():
-        score = model.score(texts.filter(pa.array(aside)))
-        lang = rows["lang"].to_numpy()[aside]
-        for name in sorted({v for v in lang.tolist() if v is not None}):
-            t = calibrate(score[lang == name], y[aside][lang == name])
-            if t is not None:
-                model.thresholds[name] = t
-    del rows, texts
+    model = train(pa.array(rows["text"], pa.string()), y, weight)
+    fitted = spark.createDataFrame([(i,) for i in sorted(set(rows["id"].tolist()))], "id long")
+    del rows
     give_back()
+    _set_thresholds(docs, labels, fitted, model)
     return model
 
 
-def toxicity_scores(docs: DataFrame, model: Cnn) -> DataFrame:
-    """(doc_id, held_out, score), one row per row; whole texts, a null text scores as an empty one."""
-    arrow_settings(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
+def _scored(rows: DataFrame, model: Cnn, *more: str) -> DataFrame:
+    """(doc_id, ``more``, score) of (doc_id, text, ``more``), one row per row."""
+    arrow_settings(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # fixed size
+    names = ["doc_id", *more]
+    schema = T.StructType([*[rows.schema[n] for n in names], T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shared.value.score(text_column(b)))],
-                                             names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(n)) for n in names],
+                                              pa.array(shared.value.score(text_column(b)))], names=[*names, "score"])
+
+    return rows.mapInArrow(tidy(run), schema)
 
-    return rows.mapInArrow(tidy(run), schema).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+
+def toxicity_scores(docs: DataFrame, model: Cnn) -> DataFrame:
+    """(doc_id, held_out, score), one row per row; whole texts, a null text scores as an empty one."""
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    return _scored(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
 def drop_toxic(docs: DataFrame, model: Cnn) -> DataFrame:
     """The rows of ``docs``, all columns, whose score stays below their
-    language's threshold (``THRESHOLD`` for a null or uncalibrated language)."""
+    language's threshold (that over all for a null or uncalibrated language)."""
     arrow_settings(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
@@ -284,7 +310,7 @@ def drop_toxic(docs: DataFrame, model: Cnn) -> DataFrame:
         for b in batches:
             score = m.score(text_column(b))
             lang = b.column(names.index("lang")).to_pylist() if "lang" in names else [None] * b.num_rows
-            most = np.array([m.thresholds.get(v, THRESHOLD) for v in lang])
+            most = np.array([m.thresholds.get(v, m.threshold) for v in lang])
             yield b.filter(pa.array(score < most))
 
     return docs.mapInArrow(tidy(run), docs.schema)

@@ -114,6 +114,26 @@ def test_classifiers_take_awkward_rows(spark, labelled):
     assert all(0 <= r.score <= 1 for r in scores)
 
 
+@pytest.fixture(scope="module")
+def many_labels(spark, tmp_path_factory):
+    """6,000 labelled texts, a sixth of them toxic, 8 % in a rare language."""
+    d, rng = tmp_path_factory.mktemp("many"), np.random.default_rng(4)
+    texts, data = [], []
+    for i in range(6000):
+        y = int(rng.random() < 1 / 6)
+        own = [f"w{v}" for v in rng.integers(0, 300, 30)] + (["vile"] * y if rng.random() < 0.9 else ["vile"])
+        texts.append((" ".join(rng.permutation(own)), "xx" if rng.random() < 0.08 else "en", "s"))
+        data.append((i, 1, y))
+    spark.createDataFrame(data, LABELS).write.parquet(f"{d}/labels.parquet")
+    return rows(spark, texts).cache(), str(d)
+
+
+def test_rare_language_is_calibrated(spark, many_labels):
+    """A language with few rows in the fit sample has a threshold from all its labelled rows."""
+    model = toxicity.fit(spark, *many_labels, sample=200)
+    assert set(model.thresholds) == {"en", "xx"}
+
+
 def test_discriminant_against_densities():
     rng = np.random.default_rng(1)
     x = [rng.multivariate_normal([0, 0], [[1, 0.5], [0.5, 2]], 4000), rng.multivariate_normal([2, 1], np.eye(2), 2000)]
