@@ -217,13 +217,17 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
     return m
 
 
-def calibrate(counts: np.ndarray, precision: float = 0.95, least: int = 20) -> float | None:
+def calibrate(counts: np.ndarray, fitted: np.ndarray, precision: float = 0.95, least: int = 20) -> float | None:
     """The lowest of ``STEPS`` with that precision, from (label, steps reached)
-    counts; None with too few rows of a label."""
-    if counts.sum(axis=1).min() < least:
+    counts; None with too few rows of a label. Each label's rows stand for the
+    ``fitted`` rows of the label too, which have no fair score: the precision
+    is that at the mix of all labelled rows."""
+    own = counts.sum(axis=1)
+    if own.min() < least:
         return None
+    weight = (own + fitted) / own
     for i, t in enumerate(STEPS):
-        hit = counts[:, i + 1:].sum(axis=1)
+        hit = counts[:, i + 1:].sum(axis=1) * weight
         if hit.any() and hit[1] >= precision * hit.sum():
             return t
     return STEPS[-1]
@@ -234,8 +238,10 @@ def _aside(id_col: str) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col), F.lit("aside")), F.lit(5)) == 0
 
 
-def _set_thresholds(docs: DataFrame, labels: DataFrame, fitted: DataFrame, model: Cnn) -> None:
-    """Thresholds by language and over all, from the scores of all labelled rows that weren't fitted on."""
+def _set_thresholds(docs: DataFrame, labels: DataFrame, fitted: DataFrame, taken: dict[str | None, np.ndarray],
+                    model: Cnn) -> None:
+    """Thresholds by language and over all, from the scores of all labelled
+    rows that weren't fitted on; ``taken`` counts those that were, by label."""
     lang = docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), lang.alias("lang"))
     scores = _scored(rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), model, "lang")
@@ -247,9 +253,9 @@ def _set_thresholds(docs: DataFrame, labels: DataFrame, fitted: DataFrame, model
     for r in got:
         counts.setdefault(r["lang"], np.zeros((2, len(STEPS) + 1)))[r["y"], r["reached"]] += r["n"]
     if counts:
-        model.threshold = calibrate(sum(counts.values())) or THRESHOLD
+        model.threshold = calibrate(sum(counts.values()), sum(taken.values())) or THRESHOLD
     for name, own in counts.items():
-        t = calibrate(own)
+        t = calibrate(own, taken.get(name, np.zeros(2)))
         if name is not None and t is not None:
             model.thresholds[name] = t
 
@@ -271,9 +277,12 @@ def fit(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE,
     weight = np.array([totals[v] / max(1, (y == v).sum()) for v in y.tolist()], np.float64)
     model = train(pa.array(rows["text"], pa.string()), y, weight)
     fitted = spark.createDataFrame([(i,) for i in sorted(set(rows["id"].tolist()))], "id long")
+    taken: dict[str | None, np.ndarray] = {}
+    for name, v in zip(rows["lang"].tolist(), y.tolist()):
+        taken.setdefault(name, np.zeros(2))[v] += 1
     del rows
     give_back()
-    _set_thresholds(docs, labels, fitted, model)
+    _set_thresholds(docs, labels, fitted, taken, model)
     return model
 
 

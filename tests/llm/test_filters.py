@@ -134,6 +134,27 @@ def test_rare_language_is_calibrated(spark, many_labels):
     assert set(model.thresholds) == {"en", "xx"}
 
 
+def test_thresholds_at_the_mix_of_all_labels():
+    """Rows left for calibration at another mix than all rows: the threshold doesn't move."""
+    natural = np.zeros((2, 12))
+    natural[0, [0, 2, 5, 8]] = 7600, 240, 120, 40
+    natural[1, [2, 5, 8, 11]] = 100, 100, 200, 600
+    want = toxicity.calibrate(natural, np.zeros(2))
+    for left in ((0.125, 1), (1, 0.1)):
+        part = natural * np.array(left)[:, None]
+        assert toxicity.calibrate(part, (natural - part).sum(axis=1)) == want
+
+
+def test_thresholds_keep_their_precision(spark, many_labels):
+    """Where the fit sample takes most toxic rows, precision holds over all labelled rows."""
+    docs, d = many_labels
+    model = toxicity.fit(spark, docs, d, sample=600)
+    kept = {r.doc_id for r in toxicity.drop_toxic(docs, model).select("doc_id").collect()}
+    gone = [r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect() if r.doc_id not in kept]
+    scores = toxicity.toxicity_scores(docs, model)
+    assert np.mean(gone) >= 0.85 and scores.count() == 6000
+
+
 def test_discriminant_against_densities():
     rng = np.random.default_rng(1)
     x = [rng.multivariate_normal([0, 0], [[1, 0.5], [0.5, 2]], 4000), rng.multivariate_normal([2, 1], np.eye(2), 2000)]
