@@ -30,8 +30,8 @@ FILTERS = 6            # of each width
 SEGMENT = 32           # words that are max-pooled together
 PREFIXES = (5, 7)
 LEAST_DOCS = 3         # a bucket seen in fewer sampled texts keeps a zero vector
-SAMPLE = 2500          # rows of each label to fit on, at most
-LONGEST = 40_000       # characters of a text to fit on, at most; scoring takes whole texts
+SAMPLE = 3000          # rows of each label to fit on, at most
+LONGEST = 60_000       # characters of a text to fit on, at most; scoring takes whole texts
 EPOCHS = 8
 THRESHOLD = 0.7        # where there are too few rows to calibrate, over all languages too
 STEPS = [round(0.4 + 0.05 * i, 2) for i in range(11)]  # thresholds to choose from
@@ -67,8 +67,12 @@ class Texts:
         segments = -(-(n + max(WIDTHS) - 1) // SEGMENT)
         first = np.concatenate(([0], np.cumsum(segments)))
         codes = np.full(int(first[-1]) * SEGMENT + max(WIDTHS), len(vocab), np.int32)
-        at = np.repeat(first[:-1] * SEGMENT - off[:-1], n) + np.arange(int(off[-1]))
-        codes[at] = code.indices.to_numpy()
+        indices = code.indices.to_numpy()
+        del lists, code
+        for a in range(0, len(n), 256):  # a few texts at a time: little memory
+            b = min(a + 256, len(n))
+            at = np.repeat(first[a:b] * SEGMENT - off[a:b], n[a:b]) + np.arange(off[a], off[b])
+            codes[at] = indices[off[a]:off[b]]
         return Texts(word_buckets(vocab), codes, first)
 
 
@@ -124,14 +128,16 @@ def _start(t: Texts, y: np.ndarray, rng: np.random.Generator) -> tuple[Cnn, np.n
     """A model whose first embedding value is the cautious log-odds of the
     bucket's presence, and the buckets that are trained."""
     n_docs = len(y)
-    doc = np.repeat(np.arange(n_docs), np.diff(t.first) * SEGMENT)
-    codes = t.codes[:len(doc)]
-    real = codes < len(t.buckets)
     seen = np.zeros((2, BUCKETS))
-    for k in range(t.buckets.shape[1]):
-        pairs = np.unique(doc[real] * np.int64(BUCKETS) + t.buckets[codes[real], k])
-        for v in (0, 1):
-            seen[v] += np.bincount(pairs[y[pairs // BUCKETS] == v] % BUCKETS, minlength=BUCKETS)
+    for start in range(0, n_docs, 256):  # a few texts at a time: little memory
+        span = t.first[start:start + 257]
+        doc = np.repeat(np.arange(start, start + len(span) - 1), np.diff(span) * SEGMENT)
+        codes = t.codes[span[0] * SEGMENT:span[-1] * SEGMENT]
+        real = codes < len(t.buckets)
+        for k in range(t.buckets.shape[1]):
+            pairs = np.unique(doc[real] * np.int64(BUCKETS) + t.buckets[codes[real], k])
+            for v in (0, 1):
+                seen[v] += np.bincount(pairs[y[pairs // BUCKETS] == v] % BUCKETS, minlength=BUCKETS)
     n0, n1 = max(1, int((y == 0).sum())), max(1, int((y == 1).sum()))
     odds = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
     odds = np.maximum(odds - 2 * np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)), 0)
@@ -266,19 +272,19 @@ def fit(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE,
     language. Without both labels the score is 0 for every text."""
     labels = fit_labels(spark, sf_dir, "toxic")
     totals = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = fit_sample(docs, labels.filter(~_aside("id")), sample, longest).orderBy("id").toPandas()
-    if rows["y"].nunique() < 2:
-        rows = fit_sample(docs, labels, sample, longest).orderBy("id").toPandas()
-    y = rows["y"].to_numpy(np.int64)
+    rows = fit_sample(docs, labels.filter(~_aside("id")), sample, longest).orderBy("id").toArrow()
+    if len(rows["y"].unique()) < 2:
+        rows = fit_sample(docs, labels, sample, longest).orderBy("id").toArrow()
+    y = rows["y"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         n = len(WIDTHS) * FILTERS
         return Cnn(np.zeros((BUCKETS, DIM), np.float32), [np.zeros((w, DIM, FILTERS), np.float32) for w in WIDTHS],
                    np.zeros(n, np.float32), np.zeros(2 * n), -40.0)
     weight = np.array([totals[v] / max(1, (y == v).sum()) for v in y.tolist()], np.float64)
-    model = train(pa.array(rows["text"], pa.string()), y, weight)
-    fitted = spark.createDataFrame([(i,) for i in sorted(set(rows["id"].tolist()))], "id long")
+    model = train(pa.concat_arrays(rows["text"].chunks).cast(pa.string()), y, weight)
+    fitted = spark.createDataFrame([(i,) for i in sorted(set(rows["id"].to_pylist()))], "id long")
     taken: dict[str | None, np.ndarray] = {}
-    for name, v in zip(rows["lang"].tolist(), y.tolist()):
+    for name, v in zip(rows["lang"].to_pylist(), y.tolist()):
         taken.setdefault(name, np.zeros(2))[v] += 1
     del rows
     give_back()
