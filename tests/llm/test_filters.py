@@ -181,6 +181,18 @@ def test_license_lines(spark):
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
 
 
+def test_wrapped_license_notices(spark):
+    """Notices over several lines, with marks of comments, are found where they begin, once each."""
+    mit = ("/*\n * Permission is hereby granted, free of charge, to any person obtaining\n * a copy of this software and "
+           "associated documentation files, to deal\n * in the Software without restriction.\n */\nint x;")
+    gpl = ("# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU General "
+           "Public\n# License as published by the Free Software Foundation, either\n# version 3 of the License, or any later "
+           "version.")
+    apart = "Permission is hereby granted, free of charge,\n\nto nobody.\n\nDeal in the Software without restriction."
+    got = licenses.license_lines(rows(spark, [mit, gpl, apart, f"{mit}\n\n{mit}"])).filter("confirmed").collect()
+    assert sorted((r.doc_id, r.line, r.family) for r in got) == [(0, 1, "MIT"), (1, 0, "GPL-3.0"), (3, 1, "MIT"), (3, 8, "MIT")]
+
+
 def test_license_lines_against_the_corpus(spark):
     """Every line of the small corpus that is a template is found, and no other."""
     df = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -200,6 +212,16 @@ def test_anchors_bound_what_is_missed():
         assert sum(not held.intersection(g.split()) for g in grams) < math.ceil(licenses.CONFIRM * len(grams))
 
 
+def test_pairs_bound_what_windows_miss():
+    import math
+    import re
+    held = licenses.pairs()
+    for _, t in licenses.TEMPLATES:
+        grams = licenses._grams(re.findall(licenses.WORDS_RE, t.lower()))
+        free = [g for g in grams if not any(f" {p} " in f" {g} " for p in held)]
+        assert len(free) < math.ceil(licenses.CONFIRM * len(grams))
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     y = {i: (q, t) for i, q, t in sql_rows("SELECT doc_id, quality, toxic FROM labels", SMALL)}
