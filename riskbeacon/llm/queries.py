@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbeacon.llm import (licenses, minhash, mixing, packing, pivots, quality, tokenbin, tokencount, topk,
-                            toxicity)
+from riskbeacon.llm import (licenses, minhash, mixing, packing, pivots, quality, resampling, spelling, tokenbin,
+                            tokencount, topk, toxicity)
 from riskbeacon.llm.common import read_documents
 
 
@@ -66,6 +66,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def read_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_documents(spark, sf_dir), read_benchmark(spark, sf_dir))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_documents(spark, sf_dir))
+
+
 OP1_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
@@ -108,6 +120,90 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
+# DuckDB has no crc32: the table by its rule (reflected polynomial 0xEDB88320),
+# then one step a byte over the hex digits of the UTF-8 bytes.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                          n::BIGINT) ORDER BY n) AS steps
+  FROM range(256) t(n))"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the unsigned crc32 of a text expression; needs ``crc_table`` joined in."""
+    digits = f"hex({text})"
+    return (f"xor(list_reduce([CAST('0x' || substr({digits}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT) "
+            f"FOR i IN range(len({digits}) // 2)], "
+            "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)")
+
+
+AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP12_SQL = f"""
+WITH {CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, {AZ}), '{resampling.PLAIN_WORD}'), []) AS words FROM documents),
+df AS (SELECT r, unnest(words) AS f FROM d),
+tf AS (SELECT unnest(regexp_extract_all(translate(text, {AZ}), '{resampling.PLAIN_WORD}')) AS f FROM benchmark),
+u AS (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM tf)),
+h AS (SELECT f, {crc32_sql("f")} % 10000 AS bucket FROM u, crc_table),
+sc AS (SELECT bucket, count(*) AS s FROM df JOIN h USING (f) GROUP BY bucket),
+tc AS (SELECT bucket, count(*) AS t FROM tf JOIN h USING (f) GROUP BY bucket),
+g AS (
+  SELECT bucket, CAST(floor(1000.0::DOUBLE * ln(
+      (CAST(coalesce(t, 0) AS DOUBLE) + 1) * ((SELECT count(*) FROM df) + 10000.0::DOUBLE)
+      / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * ((SELECT count(*) FROM tf) + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM h) LEFT JOIN sc USING (bucket) LEFT JOIN tc USING (bucket)),
+w AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM df JOIN h USING (f) JOIN g USING (bucket) GROUP BY r),
+x AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln((
+      CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (r)),
+k AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+      PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) END AS place FROM x)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= 10 * (SELECT count(*) FROM x WHERE n_features >= 20) // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM k
+"""
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), {AZ}) AS run FROM documents),
+c AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
+h AS (SELECT run, n, {crc32_sql("id || ':' || run")} AS h FROM c, crc_table),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+      || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gone AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+one AS (
+  SELECT DISTINCT word, n, other, other_n FROM (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM gone a JOIN gone b
+      ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION ALL SELECT a.word, a.n, b.word, b.n FROM gone a JOIN v b ON a.rest = b.word
+    UNION ALL SELECT b.word, b.n, a.word, a.n FROM gone a JOIN v b ON a.rest = b.word)),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM one GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL),
+top AS (SELECT walk.word, walk.at AS root FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN top USING (word)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_near_vectors": op2_near_vectors,
@@ -119,5 +215,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_lines": op8_license_lines,
     "op9_near_documents": op9_near_documents,
     "op10_quality": op10_quality,
+    "op12_resample": op12_resample,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op5_top_inner_products": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op5_top_inner_products": OP5_SQL,
+                              "op12_resample": OP12_SQL, "op13_spelling_variants": OP13_SQL}
