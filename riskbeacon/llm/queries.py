@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbeacon.llm import (licenses, minhash, mixing, packing, pivots, quality, resampling, spelling, tokenbin,
-                            tokencount, topk, toxicity)
+from riskbeacon.llm import (contamination, licenses, minhash, mixing, packing, pivots, quality, resampling, spelling,
+                            tokenbin, tokencount, topk, toxicity)
 from riskbeacon.llm.common import read_documents
 
 
@@ -70,6 +70,11 @@ def read_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(
+        contamination.removal_spans(read_documents(spark, sf_dir), read_benchmark(spark, sf_dir), window=10))
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read_documents(spark, sf_dir), read_benchmark(spark, sf_dir))
 
@@ -139,6 +144,32 @@ def crc32_sql(text: str) -> str:
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+OP11_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, {AZ}), '{resampling.PLAIN_WORD}'), []) AS words FROM documents),
+i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+    regexp_extract_all(translate(text, {AZ}), '{resampling.PLAIN_WORD}') AS words FROM benchmark),
+w AS (
+  SELECT DISTINCT item, least(len(words), 10) AS size, array_to_string(words[pos:pos + 9], ' ') AS phrase
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM i WHERE len(words) > 0)),
+p AS (SELECT DISTINCT size, phrase FROM w),
+runs AS (
+  SELECT r, size, pos, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
+  FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM d, (SELECT DISTINCT size FROM p) WHERE len(words) >= size)),
+o AS (SELECT r, size, pos, phrase FROM runs SEMI JOIN p USING (size, phrase)),
+n AS (
+  SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(pos, pos + size)) AS word FROM o) GROUP BY r),
+t AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM o JOIN w USING (size, phrase)) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+"""
+
 OP12_SQL = f"""
 WITH {CRC_TABLE},
 d AS (
@@ -215,8 +246,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_lines": op8_license_lines,
     "op9_near_documents": op9_near_documents,
     "op10_quality": op10_quality,
+    "op11_contamination": op11_contamination,
     "op12_resample": op12_resample,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op5_top_inner_products": OP5_SQL,
-                              "op12_resample": OP12_SQL, "op13_spelling_variants": OP13_SQL}
+                              "op11_contamination": OP11_SQL, "op12_resample": OP12_SQL, "op13_spelling_variants": OP13_SQL}
