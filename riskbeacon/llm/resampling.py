@@ -22,6 +22,8 @@ count 0. Extra columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,15 +62,11 @@ def bucket_gains(documents: DataFrame, target: DataFrame, buckets: int, longest:
         return feature.select(bucket(F.col("f"), buckets).alias("bucket"), F.lit(name).alias("side"))
     counts = (of(documents, "s").unionByName(of(target, "t")).groupBy("bucket")
               .agg(F.count_if(F.col("side") == "s").alias("s"), F.count_if(F.col("side") == "t").alias("t")))
-    every = documents.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    full = every.join(counts, "bucket", "left").select(
-        "bucket", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("t", F.lit(0)).alias("t"))
-    sums = full.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    d = {c: F.col(c).cast("double") for c in ("s", "t", "all_s", "all_t")}
-    ratio = ((d["t"] + 1.0) * (d["all_s"] + float(buckets))) / ((d["s"] + 1.0) * (d["all_t"] + float(buckets)))
-    gains = full.withColumn("one", F.lit(1)).join(F.broadcast(sums.withColumn("one", F.lit(1))), "one").select(
-        "bucket", F.floor(float(SCALE) * F.log(ratio)).cast("long").alias("gain"))
-    return [r.gain for r in sorted(gains.collect(), key=lambda r: r.bucket)]
+    s, t = [0] * buckets, [0] * buckets
+    for r in counts.collect():
+        s[r.bucket], t[r.bucket] = r.s, r.t
+    all_s, all_t = float(sum(s) + buckets), float(sum(t) + buckets)
+    return [math.floor(SCALE * math.log((t[b] + 1.0) * all_s / ((s[b] + 1.0) * all_t))) for b in range(buckets)]
 
 
 def noise(doc_id: Column, seed: int) -> Column:
