@@ -1,22 +1,22 @@
 """Classification metrics over the long prediction table.
 
-All metrics are computed for every slice at once with one ``groupBy`` - the
-original loops over slices in Python. AUC uses the Mann-Whitney statistic
-on pre-aggregated (slice, score) -> (positives, negatives) counts, which is
-exact with ties and shrinks the data to one row per distinct score before
-any ordering is needed.
+All metrics are computed for every slice at once. There is one path for the
+AUC (``_slice_metrics``): counts by (slice, range of scores, score), summed
+inside ranges and over ranges.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbeacon.functions.expr import side_by_side
+from riskbeacon.functions.order import ranked, value_range
 from riskbeacon.config import DATASET_IN, DATASET_OUT, MODEL_ORDER, N_REGION_BUCKETS
 
+Keep = Callable[[DataFrame, str], DataFrame]  # writes a table and reads it back
 METRICS4 = ["auc", "f1", "recall", "precision"]
 
 
@@ -43,86 +43,62 @@ def confusion_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: str =
 
 
 # ------------------------------------------------------------- E2 ---------
-def auc(df: DataFrame, keys: list[str], y: str = "y", score: str = "y_score") -> DataFrame:
-    """ROC AUC per slice; NULL when a slice holds only one class.
+_COUNTS = ["pos", "neg", "tp", "fp", "fn"]
 
-    AUC = sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N) over distinct
-    scores s. Only the (slice, score) histogram is ordered.
-    """
-    yt = F.col(y).cast("int")
-    hist = (df.filter(F.col(score).isNotNull())
-            .groupBy(*keys, F.col(score).cast("double").alias("__s"))
-            .agg(F.sum(F.when(yt == 1, 1).otherwise(0)).cast("double").alias("__pos"),
-                 F.sum(F.when(yt == 1, 0).otherwise(1)).cast("double").alias("__neg")))
-    w = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("__below", F.coalesce(F.sum("__neg").over(w), F.lit(0.0)))
-    out = hist.groupBy(*keys).agg(
-        F.sum(F.col("__pos") * (F.col("__below") + F.col("__neg") / 2)).alias("__u"),
-        F.sum("__pos").alias("__p"), F.sum("__neg").alias("__n"))
-    return out.select(*keys, F.when((F.col("__p") > 0) & (F.col("__n") > 0),
-                                    F.col("__u") / (F.col("__p") * F.col("__n"))).alias("auc"))
-
-
-AUC_BUCKETS = 64
-
-
-def _negatives_below(hist: DataFrame, keys: list[str], buckets: int = AUC_BUCKETS) -> DataFrame:
-    """Add ``__negs`` (negatives at the row's score) and ``__below``
-    (negatives at strictly lower scores of the same slice).
-
-    Two-level exact prefix sum, so no task ever orders a whole slice: each
-    slice's distinct scores are cut into ~``buckets`` ranges by approximate
-    quantiles (the cut points only balance the work; results stay exact
-    because equal scores always share a bucket); the negatives before a
-    bucket come from a running sum over the small (slice, bucket) table, and
-    only one bucket's scores are ordered within a task.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = hist.filter(F.col("__s").isNotNull()).groupBy(*keys).agg(
-        F.percentile_approx("__s", probs, 10000).alias("__cuts"))  # one row per slice
-    h = (hist.join(cuts, keys, "left")
-         .withColumn("__b", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col("__s"))), F.lit(-1)))
-         .drop("__cuts"))
-    per_b = h.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.withColumn("__before", F.coalesce(F.sum("__bneg").over(before), F.lit(0.0))).drop("__bneg")
-    h = h.join(per_b, [*keys, "__b"], "left")
-    upto = Window.partitionBy(*keys, "__b").orderBy("__s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    at = Window.partitionBy(*keys, "__b", "__s")
-    h = h.withColumn("__negs", F.sum("__neg").over(at))
-    return h.withColumn("__below", F.col("__before") + F.sum("__neg").over(upto) - F.col("__negs"))
 
+def outcome(y: str = "y", pred: str = "y_pred", score: str = "y_score") -> Column:
+    """What one prediction adds to the counts of its slice."""
+    yt, yp = F.col(y).cast("int") == 1, F.col(pred).cast("int") == 1
+    yt, yp = F.coalesce(yt, F.lit(False)), F.coalesce(yp, F.lit(False))
+
+    def one(c: Column, name: str) -> Column:
+        return c.cast("long").alias(name)
+    return F.struct(F.col(score).cast("double").alias("score"), one(yt, "pos"), one(~yt, "neg"), one(yt & yp, "tp"),
+                    one(~yt & yp, "fp"), one(yt & ~yp, "fn"))
 
-def classification_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: str = "y_pred",
-                           score: str = "y_score") -> DataFrame:
-    """Confusion metrics and AUC from ONE pass over the predictions.
 
-    The rows are first reduced to a histogram over (slice, score, y_pred)
-    with positive / negative counts (partial aggregation before the shuffle).
-    Confusion counts are sums over that histogram; the AUC needs, per
-    distinct score, the negatives strictly below it (``_negatives_below``).
+def _slice_metrics(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Metrics per slice of rows (keys, score, counts).
+
+    The AUC is the Mann-Whitney statistic: sum over scores s of
+    pos_s * (neg_below_s + neg_s / 2) / (P * N), exact with ties. Scores are
+    dealt to fixed ranges of their leading bits (``value_range``). Inside a
+    range the negatives below a score are a running sum over its distinct
+    scores; what lies in lower ranges is added for the range as a whole:
+
+        sum over ranges of (pos_r * neg_before_r + statistic inside r)
+
+    So rows are counted by (slice, range, score), ordered by (slice, range),
+    and only one row a range meets in the task of a slice. No cut points are
+    looked for and nothing is joined back.
     """
-    yt = F.col(y).cast("int")
-    sc = F.col(score).cast("double")
-    hist = df.groupBy(*keys, sc.alias("__s"), F.col(pred).cast("int").alias("__p")).agg(
-        F.sum(F.when(yt == 1, 1).otherwise(0)).cast("double").alias("__pos"),
-        F.sum(F.when(yt == 1, 0).otherwise(1)).cast("double").alias("__neg"))
-    h = _negatives_below(hist, keys)
-    has_s = F.col("__s").isNotNull()
-    out = h.groupBy(*keys).agg(
-        F.sum(F.col("__pos") + F.col("__neg")).cast("long").alias("n_rows"),
-        F.sum("__pos").alias("__P"), F.sum("__neg").alias("__N"),
-        F.sum(F.when(F.col("__p") == 1, F.col("__pos")).otherwise(0.0)).alias("__tp"),
-        F.sum(F.when(F.col("__p") == 1, F.col("__neg")).otherwise(0.0)).alias("__fp"),
-        F.sum(F.when(F.col("__p") == 1, 0.0).otherwise(F.col("__pos"))).alias("__fn"),
-        F.sum(F.when(has_s, F.col("__pos") * (F.col("__below") + F.col("__negs") / 2))).alias("__u"),
-        F.sum(F.when(has_s, F.col("__pos"))).alias("__ps"), F.sum(F.when(has_s, F.col("__neg"))).alias("__ns"))
-    tp, fp, fn = F.col("__tp"), F.col("__fp"), F.col("__fn")
+    at = value_range(F.col("score"))
+    hist = rows.withColumn("__r", at).groupBy(*keys, "__r", "score").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    below = F.sum("neg").over(Window.partitionBy(*keys, "__r").orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.col("pos") * (F.coalesce(below, F.lit(0)) + F.col("neg") / 2)
+    scored = F.col("__r").isNotNull()
+    ranges = hist.withColumn("__u", inside).groupBy(*keys, "__r").agg(
+        *[F.sum(c).alias(c) for c in _COUNTS], F.sum(F.when(scored, F.col("__u"))).alias("__u"))
+    before = F.sum(F.when(scored, F.col("neg"))).over(
+        Window.partitionBy(*keys).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
+    out = ranges.withColumn("__b", F.coalesce(before, F.lit(0))).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in _COUNTS],
+        F.sum(F.when(scored, F.col("__u") + F.col("pos") * F.col("__b").cast("double"))).alias("__u"),
+        F.sum(F.when(scored, F.col("pos"))).cast("double").alias("__p"),
+        F.sum(F.when(scored, F.col("neg"))).cast("double").alias("__n"))
+    tp, fp, fn, n = F.col("tp"), F.col("fp"), F.col("fn"), F.col("pos") + F.col("neg")
     return out.select(
-        *keys, "n_rows", (F.col("__P") / F.col("n_rows")).alias("positive_rate"),
+        *keys, n.alias("n_rows"), (F.col("pos") / n).alias("positive_rate"),
         _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        F.when((F.col("__ps") > 0) & (F.col("__ns") > 0), F.col("__u") / (F.col("__ps") * F.col("__ns"))).alias("auc"))
+        F.when((F.col("__p") > 0) & (F.col("__n") > 0), F.col("__u") / (F.col("__p") * F.col("__n"))).alias("auc"))
+
+
+def classification_metrics(df: DataFrame, keys: list[str], y: str = "y", pred: str = "y_pred",
+                           score: str = "y_score") -> DataFrame:
+    """n_rows, positive_rate, precision, recall, f1, auc per slice; rows
+    without a score count for all but the AUC, which is NULL for one class."""
+    return _slice_metrics(df.select(*keys, outcome(y, pred, score).alias("__o")).select(*keys, "__o.*"), keys)
 
 
 # ------------------------------------------------------------- E3 ---------
@@ -200,24 +176,25 @@ def group_metrics_by_seed(pred: DataFrame, group_col: str = "crime_group", datas
 
 
 # ------------------------------------------------------------- E9 ---------
-def region_buckets(pred: DataFrame, dataset: str = DATASET_OUT, n_buckets: int = N_REGION_BUCKETS) -> DataFrame:
+def region_buckets(pred: DataFrame, keep: Keep, dataset: str = DATASET_OUT,
+                   n_buckets: int = N_REGION_BUCKETS) -> DataFrame:
     """Region -> workload quartile label. Mean y_count per region over the
     distinct (region, time, y, y_count) rows, ranked ascending (ties by
-    region id); bucket = max(1, ceil(n (rank-1) / (R-1))) as pandas qcut on
-    ranks does - NOT ntile. The region table has one row per region."""
+    region id) over ranges of regions; bucket = max(1, ceil(n (rank-1) / (R-1)))
+    as pandas qcut on ranks does - NOT ntile. ``keep`` writes the ranked table."""
     base = pred.filter(F.col("dataset") == dataset).select("region_id", "time_id", "y", "y_count").distinct()
     work = base.groupBy("region_id").agg(F.avg("y_count").alias("workload"))
-    w = Window.orderBy("workload", "region_id")  # one row per region: small by construction
-    r = work.withColumn("__rank", F.row_number().over(w)).withColumn("__R", F.count(F.lit(1)).over(Window.partitionBy()))
+    r = ranked(work, ["workload", "region_id"], "__rank", keep)
+    r = side_by_side(r, r.agg(F.count(F.lit(1)).alias("__R")))
     nb = F.least(F.lit(n_buckets), F.col("__R"))
     b = F.when(nb <= 1, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.ceil(nb * (F.col("__rank") - 1) / (F.col("__R") - 1)).cast("int")))
     return r.select("region_id", "workload", F.concat(F.lit("Q"), b.cast("string")).alias("region_bucket"))
 
 
-def region_bucket_metrics_by_seed(pred: DataFrame, dataset: str = DATASET_OUT,
+def region_bucket_metrics_by_seed(pred: DataFrame, keep: Keep, dataset: str = DATASET_OUT,
                                   n_buckets: int = N_REGION_BUCKETS) -> DataFrame:
-    buckets = region_buckets(pred, dataset, n_buckets).select("region_id", "region_bucket")
+    buckets = region_buckets(pred, keep, dataset, n_buckets).select("region_id", "region_bucket")
     sub = pred.filter(F.col("dataset") == dataset).join(buckets, "region_id", "inner")
     m = classification_metrics(sub, ["seed", "model", "region_bucket"])
     return m.select("seed", "model", "region_bucket", "auc", "f1", "n_rows")
@@ -229,23 +206,43 @@ def _unpivot(df: DataFrame, ids: list[str], metrics: list[str], name: str = "met
         ids, metrics, name, "value")
 
 
+SLICE_KEYS = ["slice", "domain", "model", "seed", "crime_group", "date_bucket"]
+
+
 def metrics_long(pred: DataFrame, window_days: int, group_col: str = "crime_group") -> DataFrame:
-    """Tidy union: overall (4 metrics), monthly F1, per-group, neighbor-aware."""
-    def shape(df, slice_name, crime_group=None, date_bucket=None):
-        return df.select(
-            F.lit(int(window_days)).alias("time_window_days"), "domain", "model",
-            F.col("seed").cast("int").alias("seed"), "metric", F.col("value").cast("double").alias("value"),
-            (F.col(crime_group) if crime_group else F.lit("")).alias("crime_group"),
-            (F.col(date_bucket) if date_bucket else F.lit("")).alias("date_bucket"),
-            F.lit(slice_name).alias("slice"))
-
-    overall = _unpivot(overall_by_seed(pred), ["seed", "domain", "model"], METRICS4)
-    temporal = temporal_f1_by_seed(pred, "M")
-    groups = group_metrics_by_seed(pred, group_col)
-    nb = neighbor_metrics_by_seed(pred).withColumnRenamed("neighbor_metric", "metric")
-    parts = [shape(overall, "overall"), shape(temporal, "temporal", date_bucket="date_bucket"),
-             shape(groups, "crime_group", crime_group="crime_group"), shape(nb, "neighbor_overall")]
-    return reduce(DataFrame.unionByName, parts)
+    """Tidy table: overall (4 metrics), monthly F1, per-group (AUC, F1 of the
+    out-of-domain rows, if there is more than one group), neighbor-aware (4).
+
+    Every prediction is counted once for each roll-up it belongs to and all
+    roll-ups share one pass of ``_slice_metrics``."""
+    grouped = group_col in pred.columns
+    p = neighbor_truth(pred)
+    own, none = outcome(), F.lit("")
+    around = outcome(y="y_neighbor")
+    group = F.coalesce(F.col(group_col).cast("string"), none) if grouped else none
+
+    def roll_up(name: str, counts: Column, crime_group: Column = none, date_bucket: Column = none) -> Column:
+        return F.struct(F.lit(name).alias("slice"), crime_group.alias("crime_group"), date_bucket.alias("date_bucket"),
+                        counts.alias("counts"))
+    shares = [roll_up("overall", own), roll_up("temporal", own, date_bucket=period_bucket("time_id", "M")),
+              roll_up("neighbor_overall", around)]
+    every = F.array(*shares)
+    if grouped:
+        every = F.when(F.col("dataset") == DATASET_OUT, F.array(*shares, roll_up("crime_group", own, group))).otherwise(every)
+    rows = p.select(F.col("dataset").alias("domain"), "model", F.col("seed").cast("int").alias("seed"),
+                    F.inline(every)).select(*SLICE_KEYS, "counts.*")
+    # groups count where more than one occurs; a model without any is none
+    m = _slice_metrics(rows, SLICE_KEYS).withColumn("__several", F.lit(True))
+    if grouped:
+        several = (pred.filter(F.col("dataset") == DATASET_OUT)
+                   .agg((F.count_distinct(group_col) > 1).alias("__several")))
+        m = side_by_side(m.drop("__several"), several)
+    wanted = (F.when(F.col("slice") == "temporal", F.col("metric") == "f1")
+              .when(F.col("slice") == "crime_group", F.col("metric").isin("auc", "f1") & F.col("__several"))
+              .otherwise(F.lit(True)))
+    return _unpivot(m, [*SLICE_KEYS, "__several"], METRICS4).filter(wanted).select(
+        F.lit(int(window_days)).alias("time_window_days"), "domain", "model", "seed", "metric", "value", "crime_group",
+        "date_bucket", "slice")
 
 
 # ------------------------------------------------------------- E11 --------
@@ -322,10 +319,22 @@ def window_overall_summary(mlong: DataFrame, metrics=("auc", "f1")) -> DataFrame
 
 # ------------------------------------------------------------- E22 --------
 def best_model(mlong: DataFrame, domain: str = DATASET_IN, models=MODEL_ORDER) -> DataFrame:
-    """Model with the highest mean overall in-domain F1 (ties -> model order)."""
+    """Model with the highest mean overall in-domain F1 (ties -> model order); one row of nulls if there is none."""
     base = mlong.filter((F.col("slice") == "overall") & (F.col("domain") == domain) & (F.col("metric") == "f1")
                         & F.col("model").isin(*models))
     order = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
     g = base.groupBy("model").agg(F.avg("value").alias("mean_f1")).withColumn("__o", order)
     return g.agg(F.max_by(F.struct("model", "mean_f1"), F.struct(F.col("mean_f1"), -F.col("__o"))).alias("b")) \
         .select(F.col("b.model").alias("model"), F.col("b.mean_f1").alias("mean_f1"))
+
+
+def chosen_model(pred: DataFrame, domain: str = DATASET_IN, models=MODEL_ORDER) -> DataFrame:
+    """One row (model, seed): E22's model, the first of ``models`` if none was
+    scored, and the smallest seed of the predictions. Joined to a table it
+    chooses rows at run time; the driver never sees it."""
+    f1 = confusion_metrics(pred.filter(F.col("dataset") == domain), ["seed", "model"])
+    mlong = f1.select(F.lit("overall").alias("slice"), F.lit(domain).alias("domain"), F.lit("f1").alias("metric"),
+                      "model", F.col("f1").alias("value"))
+    seed = pred.agg(F.coalesce(F.min(F.col("seed").cast("int")), F.lit(0)).alias("seed"))
+    return side_by_side(best_model(mlong, domain, models), seed).select(
+        F.coalesce("model", F.lit(models[0])).alias("model"), "seed")

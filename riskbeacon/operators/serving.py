@@ -1,9 +1,9 @@
 """F1-F6 (+A8/A9): prediction-serving queries.
 
-The serving table is the prediction table of both windows for one seed. On a
-cluster it is read from Parquet written ``partitionBy(time_window_days,
-dataset, model, seed)``, so every lookup below is a partition-pruned scan
-followed by tiny filters; nothing is collected.
+The serving table is the prediction table of both windows for one seed, read
+from the store of published runs (``runs``): every look-up below is a scan of
+the partitions that its window, dataset, model and seed name, followed by tiny
+filters; nothing is collected.
 """
 
 from __future__ import annotations
@@ -11,16 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# fixed values: column names of a prediction file
 REQUIRED_COLS = ["region_id", "time_id", "y", "y_count", "model", "dataset", "y_score", "y_pred", "seed"]
 
 
 # ------------------------------------------------------------------ A8 -----
+def check_columns(pred: DataFrame) -> None:
+    missing = [c for c in REQUIRED_COLS if c not in pred.columns]
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+
+
 def serving_frame(pred_both: DataFrame, seed: int = 0) -> DataFrame:
     """Required columns (error lists the missing ones), one seed, normalized
     time_id, numeric coercion, rows with a NULL key/value dropped."""
-    missing = [c for c in REQUIRED_COLS if c not in pred_both.columns]
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")
+    check_columns(pred_both)
     num = {c: F.col(c).cast("string").try_cast("double") for c in ["y", "y_count", "y_score", "y_pred"]}
     out = pred_both.filter(F.col("seed").cast("int") == int(seed)).select(
         F.col("time_window_days").cast("int").alias("time_window_days"),
@@ -33,12 +38,6 @@ def serving_frame(pred_both: DataFrame, seed: int = 0) -> DataFrame:
     return out.withColumn("y", F.col("y").cast("int")).withColumn("y_pred", F.col("y_pred").cast("int"))
 
 
-def write_serving(pred_both: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A6 sink: partitioned so serving lookups prune to one directory."""
-    (pred_both.repartition("time_window_days", "dataset", "model", "seed")
-     .write.mode(mode).partitionBy("time_window_days", "dataset", "model", "seed").parquet(path))
-
-
 def require_found(found: DataFrame, message: str) -> DataFrame:
     """``found``, or an error if it has no row (one bounded look-up)."""
     if found.isEmpty():

@@ -1,11 +1,10 @@
 """Spatial hit analysis.
 
 * centroids: exact per-region medians - one aggregation over all points.
-* convex hull: a distributed two-level job - every partition reduces its
-  points to one hull per region (mapInPandas); salted groups merge those,
-  then one group per region merges what the salts left (applyInPandas).
-* kNN graph: blocks of centroids (one row per region) meet pairwise in
-  tasks; each pair of blocks gives only the k nearest of every region.
+* convex hull: points strictly inside the polygon of a region's extreme
+  points are dropped by a JVM expression; every partition reduces the rest to
+  one hull per region (mapInPandas), merged in salted groups, then per region.
+* kNN graph: a grid of several levels (``neighbors``), two equi-joins on cells.
 * hit classes: equi-joins of events with the Top-K set of the window that
   predicted them and with the Top-K set expanded over the kNN graph.
 """
@@ -21,8 +20,7 @@ from pyspark.sql import functions as F
 from riskbeacon.config import DATASET_IN, KNN_K
 from riskbeacon.functions.expr import side_by_side, time_bin
 from riskbeacon.functions.quantile import exact_percentile
-
-KNN_BLOCKS = 4  # blocks of centroids; raise it with the number of regions
+from riskbeacon.operators import neighbors
 
 
 # ------------------------------------------------------------------ E23 ----
@@ -99,140 +97,160 @@ def _final_hull(pdf: pd.DataFrame) -> pd.DataFrame:
                          "longitude": own[:, 0], "latitude": own[:, 1]})
 
 
+DIRECTIONS = 16  # in which the extreme points of a region are looked for
+ROUNDING = 1e-12  # of the terms of a cross product
+
+
+def inner_polygons(points: DataFrame) -> DataFrame:
+    """(region_id, polygon): the extreme points of a region in ``DIRECTIONS``
+    directions, counter-clockwise; corners of its hull, from partial aggregates."""
+    def far(i: int):
+        angle = 2 * np.pi * i / DIRECTIONS
+        reach = F.col("longitude") * float(np.cos(angle)) + F.col("latitude") * float(np.sin(angle))
+        return F.max_by(F.struct(F.col("longitude").alias("x"), F.col("latitude").alias("y")), reach)
+    return points.groupBy("region_id").agg(F.array(*[far(i) for i in range(DIRECTIONS)]).alias("polygon"))
+
+
+def hull_candidates(points: DataFrame) -> DataFrame:
+    """The points that may be corners: those not strictly inside their
+    region's inner polygon. The test is a JVM expression; what is inside by
+    less than rounding stays, and so does every point of a polygon without area."""
+    x, y = F.col("longitude"), F.col("latitude")
+
+    def left(a, b):
+        one, two = (b["x"] - a["x"]) * (y - a["y"]), (b["y"] - a["y"]) * (x - a["x"])
+        return (a == b) | (one - two > (F.abs(one) + F.abs(two)) * ROUNDING)
+    edges = F.arrays_zip(F.col("polygon").alias("a"),
+                         F.concat(F.slice("polygon", 2, DIRECTIONS - 1), F.slice("polygon", 1, 1)).alias("b"))
+    inside = (F.size(F.array_distinct("polygon")) > 2) & F.forall(edges, lambda e: left(e["a"], e["b"]))
+    return points.join(inner_polygons(points), "region_id").filter(~inside).select("region_id", "longitude", "latitude")
+
+
 def convex_hulls(points: DataFrame) -> DataFrame:
-    """Hull vertices per region (counter-clockwise from the lowest-left point):
-    a hull per partition, merged in salted groups, then once per region."""
+    """Hull vertices per region (counter-clockwise from the lowest-left point).
+
+    Only candidates leave the JVM: a hull per partition of them, merged in
+    salted groups, then once per region.
+    """
     p = points.dropna(subset=["region_id", "latitude", "longitude"]).select("region_id", "longitude", "latitude")
-    partial = p.mapInPandas(_partial_hulls, _HULL_SCHEMA)
+    partial = hull_candidates(p).mapInPandas(_partial_hulls, _HULL_SCHEMA)
     merged = partial.groupBy("region_id", "salt").applyInPandas(_merged_hull, _HULL_SCHEMA)
     return merged.groupBy("region_id").applyInPandas(
         _final_hull, "region_id string, vertex int, longitude double, latitude double")
 
 
 # ------------------------------------------------------------------ E25 ----
-def _nearest(k: int):
-    """Of two blocks of centroids: the k nearest of the second for each of the first."""
-    def make(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            right = right.sort_values("id")
-            ids = right["id"].to_numpy()
-            for at in np.array_split(np.arange(len(left)), -(-len(left) // 256)):
-                own = left.iloc[at]
-                d = np.hypot(own["lon"].to_numpy()[:, None] - right["x"].to_numpy(),
-                             own["lat"].to_numpy()[:, None] - right["y"].to_numpy())
-                d[own["region_id"].to_numpy()[:, None] == ids] = np.inf
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]  # ties by id
-                dist = np.take_along_axis(d, best, axis=1)
-                out.append(pd.DataFrame({"region_id": np.repeat(own["region_id"].to_numpy(), best.shape[1]),
-                                         "neighbor_id": ids[best.ravel()], "distance": dist.ravel()}))
-        got = pd.concat(out) if out else pd.DataFrame(columns=["region_id", "neighbor_id", "distance"])
-        return got[np.isfinite(got["distance"].astype(float))]
-    return make
-
-
-def knn_graph(spark: SparkSession, cents: DataFrame, k: int = KNN_K, blocks: int = KNN_BLOCKS) -> DataFrame:
-    """(region_id, neighbor_id, distance, nn_rank): k nearest other centroids
-    by Euclidean distance in degrees; ties by neighbor id. Blocks of
-    centroids meet pairwise in tasks; each pair gives k rows per region."""
-    block = F.pmod(F.xxhash64("region_id"), F.lit(blocks)).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = cents.select("region_id", "lon", "lat", block.alias("own"), each.alias("other"))
-    right = cents.select(F.col("region_id").alias("id"), F.col("lon").alias("x"), F.col("lat").alias("y"),
-                         each.alias("of"), block.alias("at"))
-    near = left.groupBy("own", "other").cogroup(right.groupBy("of", "at")).applyInPandas(
-        _nearest(k), "region_id string, neighbor_id string, distance double")
-    w = Window.partitionBy("region_id").orderBy("distance", "neighbor_id")
-    return near.withColumn("nn_rank", F.row_number().over(w).cast("int")).filter(F.col("nn_rank") <= k)
+def knn_graph(spark: SparkSession, cents: DataFrame, k: int = KNN_K, keep=lambda df, name: df) -> DataFrame:
+    """(region_id, neighbor_id, distance, nn_rank): k nearest other centroids,
+    ties by neighbor id, through a grid (``neighbors``)."""
+    return neighbors.nearest(spark, cents, k, keep)
 
 
 # ------------------------------------------------------------------ E26 ----
-def topk_sets(pred: DataFrame, model: str, seed: int, k: int = 5, dataset: str = DATASET_IN) -> DataFrame:
-    """(time_id date, region_id) of the Top-K regions of every window."""
-    sub = pred.filter((F.col("dataset") == dataset) & (F.col("model") == model) & (F.col("seed") == int(seed)))
-    w = Window.partitionBy("time_id").orderBy(F.col("y_score").desc(), F.col("region_id"))
-    n = sub.groupBy("time_id").agg(F.count_distinct("region_id").alias("__n"))
-    r = sub.withColumn("__r", F.row_number().over(w)).join(n, "time_id")
+EXACT, NEIGHBOR, MISS = "Exact hit", "Neighbor hit", "Miss"
+
+
+def topk_sets(pred: DataFrame, chosen: DataFrame, k: int = 5, dataset: str = DATASET_IN) -> DataFrame:
+    """(pred_time_id, region_id): the Top-K regions of every window by the one
+    (model, seed) that ``chosen`` holds."""
+    sub = pred.filter(F.col("dataset") == dataset).join(F.broadcast(chosen), ["model", "seed"])  # a single row
+    window = Window.partitionBy("time_id")
+    r = (sub.withColumn("__r", F.row_number().over(window.orderBy(F.col("y_score").desc(), F.col("region_id"))))
+         .withColumn("__first", F.col("region_id") != F.lag("region_id", 1, "").over(window.orderBy("region_id")))
+         .withColumn("__n", F.sum(F.col("__first").cast("int")).over(window)))
     return (r.filter(F.col("__r") <= F.greatest(F.lit(1), F.least(F.lit(int(k)), F.col("__n"))))
             .select(F.to_date("time_id").alias("pred_time_id"), "region_id"))
 
 
-def event_hit_classes(events: DataFrame, pred: DataFrame, knn: DataFrame, window_days: int, model: str,
-                      seed: int, k: int = 5) -> DataFrame:
+def hit_table(top: DataFrame, knn: DataFrame) -> DataFrame:
+    """(pred_time_id, region_id, near): 2 for Top-K regions of a window, 1 for
+    other regions with a kNN neighbor among them (at most k edges a region)."""
+    edges = knn.select(F.col("neighbor_id").alias("region_id"), F.col("region_id").alias("of"))
+    around = top.join(edges, "region_id").select("pred_time_id", F.col("of").alias("region_id"), F.lit(1).alias("near"))
+    return (top.withColumn("near", F.lit(2)).unionByName(around)
+            .groupBy("pred_time_id", "region_id").agg(F.max("near").alias("near")))
+
+
+def event_hit_classes(events: DataFrame, pred: DataFrame, knn: DataFrame, window_days: int, chosen: DataFrame,
+                      k: int = 5) -> DataFrame:
     """Each event's window minus one window is the window that predicted it.
     Exact hit: the event's region is in that window's Top-K; neighbor hit:
-    otherwise some kNN neighbor of it is; else miss."""
-    top = topk_sets(pred, model, seed, k)
+    otherwise some kNN neighbor of it is; else miss. One join on (window, region)."""
+    classes = hit_table(topk_sets(pred, chosen, k), knn)
     ev = (events.dropna(subset=["event_date", "region_id", "latitude", "longitude"])
           .withColumn("event_time_id", time_bin(F.col("event_date"), window_days))
           .withColumn("pred_time_id", F.date_sub(F.col("event_time_id"), int(window_days))))
-    exact = top.withColumn("__exact", F.lit(True))
-    # regions having a Top-K neighbor at a window: Top-K set joined with the
-    # reversed kNN edges, deduplicated (k edges per region: bounded fan-out).
-    nb = (top.join(knn.select(F.col("neighbor_id").alias("region_id"), F.col("region_id").alias("__src")),
-                   "region_id")
-          .select("pred_time_id", F.col("__src").alias("region_id")).distinct()
-          .withColumn("__nb", F.lit(True)))
-    out = (ev.join(exact, ["pred_time_id", "region_id"], "left")
-           .join(nb, ["pred_time_id", "region_id"], "left"))
-    ex = F.coalesce(F.col("__exact"), F.lit(False))
-    ng = (~ex) & F.coalesce(F.col("__nb"), F.lit(False))
+    out = ev.join(classes, ["pred_time_id", "region_id"], "left").withColumn("near", F.coalesce("near", F.lit(0)))
     return out.select("region_id", "event_date", "latitude", "longitude", "event_time_id", "pred_time_id",
-                      ex.alias("exact_hit"), ng.alias("neighbor_hit"),
-                      F.when(ex, F.lit("Exact hit")).when(ng, F.lit("Neighbor hit")).otherwise(F.lit("Miss"))
-                      .alias("coverage_class"))
+                      (F.col("near") == 2).alias("exact_hit"), (F.col("near") == 1).alias("neighbor_hit"),
+                      F.when(F.col("near") == 2, F.lit(EXACT)).when(F.col("near") == 1, F.lit(NEIGHBOR))
+                      .otherwise(F.lit(MISS)).alias("coverage_class"))
 
 
 # ------------------------------------------------------------------ E27 ----
-def hit_summary(hits: DataFrame, window_days: int, model: str, seed: int, k: int = 5,
-                sample_n: int = 50000) -> DataFrame:
+def class_quota(count, total, n: int):
+    """Rows of a class in a sample of n rows of ``total``: its share, at least one; all if there are no more than n."""
+    return F.when(total <= n, count).otherwise(
+        F.greatest(F.lit(1), F.floor(count * F.lit(float(n)) / total))).cast("long")
+
+
+def hit_summary(hits: DataFrame, window_days: int, chosen: DataFrame, k: int = 5, sample_n: int = 50000) -> DataFrame:
+    """One row: the chosen model and seed, events, events of the sample (E28) and hit rates."""
     per = hits.groupBy("coverage_class").agg(
         F.count(F.lit(1)).alias("c"), F.sum(F.col("exact_hit").cast("long")).alias("e"),
         F.sum((F.col("exact_hit") | F.col("neighbor_hit")).cast("long")).alias("a"))
     n = F.sum("c").over(Window.partitionBy(F.lit(1)))  # three classes
-    quota = F.when(F.col("n") <= sample_n, F.col("c")).otherwise(
-        F.greatest(F.lit(1), F.floor(F.col("c") * F.lit(float(sample_n)) / F.col("n"))))
-    per = per.withColumn("n", n).withColumn("q", quota)
-    return per.agg(
-        F.lit(int(window_days)).alias("time_window_days"), F.lit(model).alias("model"), F.lit(int(seed)).alias("seed"),
-        F.lit(int(k)).alias("topk_k"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_events_total"),
+    per = per.withColumn("n", n).withColumn("q", class_quota(F.col("c"), F.col("n"), sample_n))
+    out = per.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n_events_total"),
         F.coalesce(F.least(F.sum("q"), F.max(F.when(F.col("n") > sample_n, sample_n).otherwise(F.col("n")))), F.lit(0))
         .cast("long").alias("n_events_sampled_for_plot"),
         (F.sum("e") / F.sum("c")).alias("exact_hit_rate"),
         (F.sum("a") / F.sum("c")).alias("neighbor_aware_hit_rate"))
+    return side_by_side(out, chosen.select("model", F.col("seed").cast("int").alias("seed"))).select(
+        F.lit(int(window_days)).alias("time_window_days"), "model", "seed", F.lit(int(k)).alias("topk_k"),
+        *out.columns)
 
 
 # ------------------------------------------------------------------ E28 ----
-def stratified_sample(hits: DataFrame, n: int = 50000, seed: int = 42, fan_in: int = 32) -> DataFrame:
-    """Per class max(1, floor(n_class * n / n_total)) rows - those with the
-    smallest seeded hash - capped at n overall; all rows when n_total <= n.
-
-    The per-class top-quota is a tree reduction: first inside each (class,
-    input partition), then inside (class, partition % fan_in), then per
-    class, so no task ever holds more than quota x fan_in rows of a class,
-    however large the class is.
+_PREFIX = 4  # hex digits of a hash bucket: at most 65,536 buckets a class
+
+
+def sample_key(seed: int):
+    """md5 of the seed, region, time and place (in millionths of a degree) of an event."""
+    place = [F.floor(F.col(c) * 1000000.0).cast("string") for c in ("latitude", "longitude")]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), "region_id", F.date_format("event_date", "yyyy-MM-dd HH:mm:ss"),
+                             *place).cast("binary"))
+
+
+def stratified_sample(hits: DataFrame, n: int = 50000, seed: int = 42) -> DataFrame:
+    """Per class the ``class_quota`` rows with the smallest ``sample_key``, and
+    of these the n smallest overall; all rows when there are no more than n.
+
+    Counts by the key's leading digits give each class the last bucket that
+    its quota reaches. Rows beyond it are dropped where they are read, before
+    any exchange, so only about n rows are ever ordered.
     """
-    total = hits.agg(F.count(F.lit(1)).alias("__t"))
-    cls = hits.groupBy("coverage_class").agg(F.count(F.lit(1)).alias("__c"))
-    quota = F.when(F.col("__t") <= n, F.col("__c")).otherwise(
-        F.greatest(F.lit(1), F.floor(F.col("__c") * F.lit(float(n)) / F.col("__t"))))
-    q = side_by_side(cls, total).withColumn("__q", quota).select("coverage_class", "__q")
-    h = F.xxhash64(F.lit(seed), "region_id", "event_date", "latitude", "longitude")
-    s = (hits.withColumn("__h", h).withColumn("__pid", F.spark_partition_id())
-         .join(F.broadcast(q), "coverage_class"))  # one row per class: tiny
-    for grp in (["coverage_class", "__pid"], ["coverage_class", F.col("__pid") % fan_in], ["coverage_class"]):
-        w = Window.partitionBy(*grp).orderBy("__h")
-        s = s.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= F.col("__q"))
-    # final cap: a bounded top-n by the same hash (per-task top-n, then merge)
-    return s.orderBy("__h").limit(int(n)).drop("__r", "__q", "__h", "__pid")
+    keyed = hits.withColumn("__h", sample_key(seed))
+    bucket = F.substring("__h", 1, _PREFIX)
+    counts = keyed.groupBy("coverage_class", bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__c"))
+    of_class = Window.partitionBy("coverage_class")
+    total = F.sum("__c").over(Window.partitionBy(F.lit(1)))  # 65,536 rows of three classes at most
+    counts = (counts.withColumn("__q", class_quota(F.sum("__c").over(of_class), total, n))
+              .withColumn("__before", F.sum("__c").over(of_class.orderBy("__b")) - F.col("__c")))
+    cut = (counts.filter(F.col("__before") < F.col("__q")).groupBy("coverage_class")
+           .agg(F.max("__b").alias("__last"), F.max("__q").alias("__q")))
+    kept = keyed.join(F.broadcast(cut), "coverage_class").filter(bucket <= F.col("__last"))  # one row a class
+    ranked = kept.withColumn("__r", F.row_number().over(of_class.orderBy("__h"))).filter(F.col("__r") <= F.col("__q"))
+    return ranked.orderBy("__h").limit(int(n)).drop("__r", "__q", "__h", "__last")
 
 
 # ------------------------------------------------------------------ E29 ----
-def exact_neighbor_rates(pred: DataFrame, knn: DataFrame, model: str, dataset: str = DATASET_IN) -> DataFrame:
-    """Per region over all (seed, window) rows of one model: exact-hit rate
+def exact_neighbor_rates(pred: DataFrame, knn: DataFrame, chosen: DataFrame, dataset: str = DATASET_IN) -> DataFrame:
+    """Per region over all (seed, window) rows of the chosen model: exact-hit rate
     (predicted positive and positive), neighbor-only rate (predicted
     positive, not positive, some kNN neighbor positive), predicted-positive rate."""
-    sub = pred.filter((F.col("dataset") == dataset) & (F.col("model") == model))
+    sub = pred.filter(F.col("dataset") == dataset).join(F.broadcast(chosen.select("model")), "model")  # a single row
     pos = sub.filter(F.col("y") == 1).select("seed", "time_id", F.col("region_id").alias("neighbor_id"))
     nb_pos = (knn.select("region_id", "neighbor_id").join(pos, "neighbor_id")
               .select("seed", "time_id", "region_id").distinct().withColumn("__nbpos", F.lit(True)))

@@ -20,7 +20,7 @@ def standardized(spark: SparkSession, sf_dir: str, w: int):
     key = ("std", *pipeline.session_key(spark), sf_dir, w)
     if key not in _CACHE:
         r = pipeline.window_run(spark, sf_dir, w)
-        params = prep.numeric_params(prep.fit_numeric(r.train))
+        params = prep.numeric_params(r.train)
         _CACHE[key] = tuple(prep.transform_numeric(f, params) for f in (r.train, r.test, r.out))
     return _CACHE[key]
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -21,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbeacon.config import DATASET_IN, DATASET_OUT, DATASET_TRAIN
-from riskbeacon.operators import harmonize, labels, panel, predict
+from riskbeacon.operators import harmonize, labels, panel, predict, runs, spatial
 from riskbeacon.operators.features import build_supervised
-from riskbeacon.plans.store import materialize
+from riskbeacon.plans.store import materialize, table_root
 from riskbeacon.sources import standin
 
 COUNTY_STRATEGY = harmonize.RegionStrategy("county", "county_name", "agency_id",
@@ -181,6 +182,34 @@ def predictions_both_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames[0].unionByName(frames[1])
 
 
+def region_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """kNN graph of the regions' centroids (E23, E25), written once."""
+    key = _key(spark, "graph", sf_dir)
+    with _lock(key):
+        if key not in _CACHE:
+            def keep(df, name):
+                return materialize(spark, df, f"graph-{name}")
+            cents = spatial.centroids(standin.geo_points(spark, sf_dir))
+            _CACHE[key] = keep(spatial.knn_graph(spark, cents, keep=keep), "edges")
+        return _CACHE[key]
+
+
+_STORES: dict = {}
+
+
+def serving_store(spark: SparkSession, sf_dir: str, renew: bool = False) -> str:
+    """Folder of the published runs of both windows' predictions. The first
+    call of a session publishes one, ``renew`` a further one. Published runs
+    are kept when memoized frames are dropped: look-ups read what was stored."""
+    key = _key(spark, "store", sf_dir)
+    with _lock(key):
+        if key not in _STORES or renew:
+            store = _STORES.get(key) or f"{table_root(spark)}/serving-{uuid.uuid4().hex[:12]}"
+            runs.publish(predictions_both_windows(spark, sf_dir), store)
+            _STORES[key] = store
+        return _STORES[key]
+
+
 def clear_cache() -> None:
     """Drop the session's memoized panels/runs and their persisted data."""
     for v in list(_CACHE.values()):

@@ -3,6 +3,9 @@ DuckDB oracle. Spark builders read the stand-in tables under ``sf_dir``."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbeacon.config import CRIME_GROUPS, FEATURE_NUMERIC
@@ -12,6 +15,7 @@ from riskbeacon.operators.features import build_supervised
 from riskbeacon.plans import pipeline
 from riskbeacon.plans import sql as S
 from riskbeacon.plans.catalog import register
+from riskbeacon.plans.store import materialize, table_root
 from riskbeacon.sources import standin
 
 GRP = [f"count_grp_{g}" for g in CRIME_GROUPS]
@@ -172,6 +176,11 @@ def _mlong_sql(final: str, w: int = 7) -> str:
     return S.with_ctes(S.predictions_ctes(w) + S.metrics_long_ctes(w), final)
 
 
+def _keep(spark):
+    """Writes an intermediate table to the shared folder and reads it back."""
+    return lambda df, name: materialize(spark, df, name.strip("_"))
+
+
 def _preds(spark, sf_dir, w: int = 7):
     return pipeline.window_run(spark, sf_dir, w).predictions
 
@@ -256,7 +265,7 @@ _BUCKET_SQL = [
 @register("op_e9_region_buckets", _pred_sql("SELECT region_id, workload, region_bucket FROM bmap", extra=_BUCKET_SQL),
           doubles=["workload"])
 def q_e9a(spark, sf_dir):
-    return M.region_buckets(_preds(spark, sf_dir))
+    return M.region_buckets(_preds(spark, sf_dir), _keep(spark))
 
 
 @register("op_e9_region_bucket_metrics",
@@ -264,7 +273,7 @@ def q_e9a(spark, sf_dir):
                     extra=_BUCKET_SQL + S.metrics_ctes("bsrc", ["seed", "model", "region_bucket"], "e9_")),
           doubles=["auc", "f1"])
 def q_e9b(spark, sf_dir):
-    return M.region_bucket_metrics_by_seed(_preds(spark, sf_dir))
+    return M.region_bucket_metrics_by_seed(_preds(spark, sf_dir), _keep(spark))
 
 
 @register("op_e10_metrics_long", _mlong_sql("SELECT * FROM mlong"), doubles=["value"], bench=True)
@@ -696,6 +705,7 @@ def q_g25(spark, sf_dir):
 
 
 # ======================================================== F: serving =======
+from riskbeacon.operators import runs as RUNS  # noqa: E402
 from riskbeacon.operators import serving as SV  # noqa: E402
 from riskbeacon.operators import support as H  # noqa: E402
 
@@ -704,7 +714,7 @@ F_PARAMS = dict(window_days=7, dataset="in_domain", model="baseline_persistence"
 
 
 def _serving(spark, sf_dir):
-    return SV.serving_frame(pipeline.predictions_both_windows(spark, sf_dir), F_PARAMS["seed"])
+    return RUNS.serving(spark, pipeline.serving_store(spark, sf_dir), F_PARAMS["seed"])
 
 
 def _serving_sql(final: str, extra=None) -> str:
@@ -871,24 +881,34 @@ def q_h2(spark, sf_dir):
 # ======================================================== E: spatial =======
 from riskbeacon.operators import spatial as SP  # noqa: E402
 
-E_GEO = dict(window_days=7, model="baseline_persistence", seed=0, k=5)
+E_GEO = dict(window_days=7, k=5)
 
 
 def _knn(spark, sf_dir):
-    return SP.knn_graph(spark, SP.centroids(standin.geo_points(spark, sf_dir)))
+    return pipeline.region_graph(spark, sf_dir)
+
+
+def _chosen(spark, sf_dir):
+    """E22's model and the smallest seed."""
+    return M.chosen_model(_preds(spark, sf_dir, E_GEO["window_days"]))
 
 
 def _hits(spark, sf_dir):
     p = E_GEO
     return SP.event_hit_classes(standin.geo_events(spark, sf_dir), _preds(spark, sf_dir, p["window_days"]),
-                                _knn(spark, sf_dir), p["window_days"], p["model"], p["seed"], p["k"])
+                                _knn(spark, sf_dir), p["window_days"], _chosen(spark, sf_dir), p["k"])
 
 
-_HIT_SQL = S.knn_ctes() + [
+_CHOSEN_SQL = S.metrics_ctes("preds", ["seed", "dataset", "model"], "bm_") + [
+    ("chosen", f"""SELECT model, (SELECT min(seed) FROM preds) AS seed
+FROM (SELECT model, avg(f1) AS mean_f1, list_position({list(M.MODEL_ORDER)}, model) AS o
+      FROM bm_m WHERE dataset = 'in_domain' GROUP BY model) ORDER BY mean_f1 DESC, o LIMIT 1"""),
+]
+_HIT_SQL = S.knn_ctes() + _CHOSEN_SQL + [
     ("ge", S.geo_events()),
-    ("tsub", f"""SELECT *, count(DISTINCT region_id) OVER (PARTITION BY time_id) AS n,
+    ("tsub", """SELECT *, count(DISTINCT region_id) OVER (PARTITION BY time_id) AS n,
        row_number() OVER (PARTITION BY time_id ORDER BY y_score DESC, region_id) AS r
-FROM preds WHERE dataset = 'in_domain' AND model = '{E_GEO['model']}' AND seed = {E_GEO['seed']}"""),
+FROM preds JOIN chosen USING (model, seed) WHERE dataset = 'in_domain'"""),
     ("topk", f"SELECT CAST(time_id AS DATE) AS pred_time_id, region_id FROM tsub "
              f"WHERE r <= greatest(1, least({E_GEO['k']}, n))"),
     ("nbset", "SELECT DISTINCT t.pred_time_id, k.region_id FROM topk t JOIN knn k ON k.neighbor_id = t.region_id"),
@@ -910,7 +930,26 @@ def q_e23(spark, sf_dir):
     return SP.centroids(standin.geo_points(spark, sf_dir))
 
 
-@register("op_e24_convex_hulls")
+_E24_SQL = S.with_ctes([("lr", S.label_regions()), ("gp", S.geo_points()), (
+    "p", """SELECT DISTINCT region_id, longitude AS x, latitude AS y FROM gp
+WHERE region_id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL"""), (
+    "e", """SELECT a.region_id, a.x, a.y FROM p a JOIN p b ON a.region_id = b.region_id AND (a.x <> b.x OR a.y <> b.y)
+WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.region_id = a.region_id AND (
+  (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0
+  OR ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) = 0
+      AND (a.x - c.x) * (b.x - c.x) + (a.y - c.y) * (b.y - c.y) > 0)))"""), (
+    "v", """SELECT DISTINCT * FROM e UNION ALL
+SELECT region_id, x, y FROM p WHERE region_id IN (SELECT region_id FROM p GROUP BY 1 HAVING count(*) = 1)"""), (
+    "m", """SELECT *, atan2(y - avg(y) OVER r, x - avg(x) OVER r) AS angle,
+       row_number() OVER (PARTITION BY region_id ORDER BY x, y) = 1 AS lowest FROM v
+WINDOW r AS (PARTITION BY region_id)""")],
+    """SELECT m.region_id, CAST(row_number() OVER (PARTITION BY m.region_id ORDER BY
+       m.angle - s.angle + CASE WHEN m.angle < s.angle THEN 2 * pi() ELSE 0 END) - 1 AS INTEGER) AS vertex,
+       m.x AS longitude, m.y AS latitude
+FROM m JOIN m s ON s.region_id = m.region_id AND s.lowest""")
+
+
+@register("op_e24_convex_hulls", _E24_SQL, doubles=["longitude", "latitude"])
 def q_e24(spark, sf_dir):
     return SP.convex_hulls(standin.geo_points(spark, sf_dir))
 
@@ -927,8 +966,8 @@ def q_e26(spark, sf_dir):
 
 
 @register("op_e27_hit_summary", _pred_sql(
-    f"""SELECT 7 AS time_window_days, '{E_GEO['model']}' AS model, {E_GEO['seed']} AS seed, {E_GEO['k']} AS topk_k,
-       count(*) AS n_events_total,
+    f"""SELECT 7 AS time_window_days, (SELECT model FROM chosen) AS model,
+       CAST((SELECT seed FROM chosen) AS INTEGER) AS seed, {E_GEO['k']} AS topk_k, count(*) AS n_events_total,
        (SELECT CAST(CASE WHEN sum(c) <= 50000 THEN sum(c) ELSE least(50000, sum(greatest(1, floor(c * 50000.0 / t)))) END AS BIGINT)
         FROM (SELECT count(*) AS c, sum(count(*)) OVER () AS t FROM hcls GROUP BY coverage_class) k) AS n_events_sampled_for_plot,
        avg(CAST(exact_hit AS DOUBLE)) AS exact_hit_rate,
@@ -936,27 +975,35 @@ def q_e26(spark, sf_dir):
           doubles=["exact_hit_rate", "neighbor_aware_hit_rate"])
 def q_e27(spark, sf_dir):
     p = E_GEO
-    return SP.hit_summary(_hits(spark, sf_dir), p["window_days"], p["model"], p["seed"], p["k"])
+    return SP.hit_summary(_hits(spark, sf_dir), p["window_days"], _chosen(spark, sf_dir), p["k"])
+
 
+_E28_SQL = """SELECT * EXCLUDE (h, c, t, r) FROM (
+  SELECT *, row_number() OVER (PARTITION BY coverage_class ORDER BY h) AS r FROM (
+    SELECT *, count(*) OVER (PARTITION BY coverage_class) AS c, count(*) OVER () AS t, md5(concat_ws('|', '42', region_id,
+      strftime(event_date, '%Y-%m-%d %H:%M:%S'), CAST(CAST(floor(latitude * 1000000.0::DOUBLE) AS BIGINT) AS VARCHAR),
+      CAST(CAST(floor(longitude * 1000000.0::DOUBLE) AS BIGINT) AS VARCHAR))) AS h FROM hcls))
+WHERE r <= CASE WHEN t <= 1000 THEN c ELSE greatest(1, floor(c * 1000.0::DOUBLE / t)) END ORDER BY h LIMIT 1000"""
 
-@register("op_e28_stratified_hit_sample")
+
+@register("op_e28_stratified_hit_sample", _pred_sql(_E28_SQL, extra=_HIT_SQL), doubles=["latitude", "longitude"])
 def q_e28(spark, sf_dir):
     return SP.stratified_sample(_hits(spark, sf_dir), n=1000)
 
 
 @register("op_e29_exact_neighbor_rates", _pred_sql(
-    f"""SELECT p.region_id,
+    """SELECT p.region_id,
        avg(CAST(p.y_pred = 1 AND p.y = 1 AS DOUBLE)) AS exact_hit_rate,
        avg(CAST(p.y_pred = 1 AND NOT (p.y = 1) AND nb.region_id IS NOT NULL AS DOUBLE)) AS neighbor_only_hit_rate,
        avg(CAST(p.y_pred = 1 AS DOUBLE)) AS pred_positive_rate
-FROM (SELECT * FROM preds WHERE dataset = 'in_domain' AND model = '{E_GEO['model']}') p
+FROM (SELECT * FROM preds WHERE dataset = 'in_domain' AND model = (SELECT model FROM chosen)) p
 LEFT JOIN (SELECT DISTINCT q.seed, q.time_id, k.region_id FROM preds q JOIN knn k ON k.neighbor_id = q.region_id
-           WHERE q.dataset = 'in_domain' AND q.model = '{E_GEO['model']}' AND q.y = 1) nb
+           WHERE q.dataset = 'in_domain' AND q.model = (SELECT model FROM chosen) AND q.y = 1) nb
   ON p.seed = nb.seed AND p.time_id = nb.time_id AND p.region_id = nb.region_id
-GROUP BY p.region_id""", extra=S.knn_ctes()),
+GROUP BY p.region_id""", extra=S.knn_ctes() + _CHOSEN_SQL),
           doubles=["exact_hit_rate", "neighbor_only_hit_rate", "pred_positive_rate"])
 def q_e29(spark, sf_dir):
-    return SP.exact_neighbor_rates(_preds(spark, sf_dir), _knn(spark, sf_dir), E_GEO["model"])
+    return SP.exact_neighbor_rates(_preds(spark, sf_dir), _knn(spark, sf_dir), _chosen(spark, sf_dir))
 
 
 # ======================================================== E: tables ========
@@ -1042,12 +1089,12 @@ def _e33_sql(metric: str) -> str:
 
 @register("op_e33_model_bucket_auc", _e33_sql("auc"), doubles=["Q1", "Q2", "Q3", "Q4"])
 def q_e33a(spark, sf_dir):
-    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir)), "auc")
+    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir), _keep(spark)), "auc")
 
 
 @register("op_e33_model_bucket_f1", _e33_sql("f1"), doubles=["Q1", "Q2", "Q3", "Q4"])
 def q_e33b(spark, sf_dir):
-    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir)), "f1")
+    return TB.model_bucket_matrix(M.region_bucket_metrics_by_seed(_preds(spark, sf_dir), _keep(spark)), "f1")
 
 
 @register("op_e34_coverage_curve", _pred_sql(
@@ -1153,7 +1200,7 @@ def _tr_sql() -> str:
 @register("op_c26_preprocess_transform", _tr_sql(), doubles=FEATURE_NUMERIC + ["y_count"])
 def q_c26b(spark, sf_dir):
     r = pipeline.window_run(spark, sf_dir, 7)
-    return PR.transform_numeric(r.test, PR.numeric_params(PR.fit_numeric(r.train)))
+    return PR.transform_numeric(r.test, PR.numeric_params(r.train))
 
 
 @register("op_c27_one_hot_state", S.with_ctes(S.split_ctes(7), """SELECT t.region_id, t.time_id, v.category,
@@ -1162,13 +1209,24 @@ FROM test_x t, (SELECT DISTINCT trim(coalesce(region_state, '__MISSING__')) AS c
           doubles=["value"])
 def q_c27(spark, sf_dir):
     r = pipeline.window_run(spark, sf_dir, 7)
-    vocab = PR.fit_vocabulary(r.train, "region_state")
+    vocab = PR.dense_names(PR.vocabulary(r.train, "region_state", _keep(spark)))
     oh = PR.one_hot(r.test.select("region_id", "time_id", "region_state"), "region_state", vocab)
     cols = [f"region_state__{v}" for v in vocab]
     return (oh.select("region_id", "time_id", *[F.col(f"`{c}`").alias(c.split("__", 1)[1]) for c in cols])
             .unpivot(["region_id", "time_id"], vocab, "category", "value"))
 
 
+@register("op_c27_one_hot_sparse", """WITH v AS (
+  SELECT *, row_number() OVER (ORDER BY category) - 1 AS "index"
+  FROM (SELECT DISTINCT trim(coalesce(c_name, '__MISSING__')) AS category FROM customer WHERE c_custkey % 10 <> 3))
+SELECT c_custkey, v."index" FROM customer LEFT JOIN v ON trim(coalesce(c_name, '__MISSING__')) = v.category""")
+def q_c27_sparse(spark, sf_dir):
+    """A wide column: customer names, known from the customers whose key doesn't end in 3; the others are unseen."""
+    c = standin.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    vocab = PR.vocabulary(c.filter(F.col("c_custkey") % 10 != 3), "c_name", _keep(spark))
+    return PR.one_hot_sparse(c, "c_name", vocab).select("c_custkey", "index")
+
+
 def _seq_sql(step: int, length: int = 8) -> str:
     back = length - 1 - step
     cells = FEATURE_NUMERIC if not back else [
@@ -1329,24 +1387,69 @@ def q_b14(spark, sf_dir):
     return EDA.split_summary(EDA.year_split(EDA.clean_export(standin.city_raw(spark, sf_dir), _EDA_YEARS), 2001))
 
 
+@register("op_b14_year_split_rows", S.with_ctes([("craw", S.city_raw()), ("cl", S.eda_clean(*_EDA_YEARS))],
+                                                """SELECT CASE WHEN "Year" = 2001 THEN 'test' ELSE 'train' END AS split, *
+FROM cl WHERE "Year" <= 2001"""), doubles=["Latitude", "Longitude"])
+def q_b14_rows(spark, sf_dir):
+    """The rows of both sets, written apart and read back."""
+    import uuid
+    parts = EDA.year_split(EDA.clean_export(standin.city_raw(spark, sf_dir), _EDA_YEARS), 2001)
+    root = f"{table_root(spark)}/year-split-{uuid.uuid4().hex[:8]}"
+    out = []
+    for name in ("train", "test"):
+        RD.write_table(parts.filter(F.col("split") == name).drop("split"), f"{root}/{name}")
+        out.append(RD.read_table(spark, f"{root}/{name}").withColumn("split", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
 # ======================================================== A: sources =======
-@register("op_a4_profile_orders", """SELECT * FROM (
-  SELECT 'o_orderkey' AS "column", 'count' AS stat, CAST(count(o_orderkey) AS DOUBLE) AS value FROM orders
-  UNION ALL SELECT 'o_orderkey', 'mean', avg(o_orderkey) FROM orders
-  UNION ALL SELECT 'o_orderkey', 'stddev', stddev_samp(o_orderkey) FROM orders
-  UNION ALL SELECT 'o_orderkey', 'min', CAST(min(o_orderkey) AS DOUBLE) FROM orders
-  UNION ALL SELECT 'o_orderkey', 'max', CAST(max(o_orderkey) AS DOUBLE) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'count', CAST(count(o_totalprice) AS DOUBLE) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'mean', avg(o_totalprice) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'stddev', stddev_samp(o_totalprice) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'min', min(o_totalprice) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'max', max(o_totalprice) FROM orders
-  UNION ALL SELECT 'o_orderkey', 'nulls', CAST(count(*) FILTER (WHERE o_orderkey IS NULL) AS DOUBLE) FROM orders
-  UNION ALL SELECT 'o_totalprice', 'nulls', CAST(count(*) FILTER (WHERE o_totalprice IS NULL) AS DOUBLE) FROM orders
-  UNION ALL SELECT 'o_orderstatus', 'nulls', CAST(count(*) FILTER (WHERE o_orderstatus IS NULL) AS DOUBLE) FROM orders
-) t""", doubles=["value"])
+_A4_NUMERIC = ["o_orderkey", "o_custkey", "o_totalprice"]
+_A4_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_A4_STATS = {"count": "count({c})", "mean": "avg({c})", "stddev": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}
+
+
+@register("op_a4_profile_orders", "\nUNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", '{k}' AS stat, CAST({e.format(c=c)} AS DOUBLE) AS value FROM orders"
+     for c in _A4_NUMERIC for k, e in _A4_STATS.items()]
+    + [f"SELECT '{c}', 'nulls', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM orders" for c in _A4_ALL]),
+    doubles=["value"])
 def q_a4(spark, sf_dir):
-    return RD.profile(standin.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"))
+    return RD.profile(standin.table(spark, sf_dir, "orders"))
+
+
+def _national_tree(spark, sf_dir) -> str:
+    """The national stand-in tables as a tree of CSV tables: two roots with
+    half of the incidents each, one folder without agencies, two city exports."""
+    import uuid
+    root = f"{table_root(spark)}/raw-{uuid.uuid4().hex[:8]}"
+    tables = {"NIBRS_incident.csv": standin.nat_incident(spark, sf_dir),
+              "NIBRS_OFFENSE.csv": standin.nat_offense(spark, sf_dir),
+              "NIBRS_OFFENSE_TYPE.csv": standin.nat_offense_type(spark, sf_dir),
+              "agencies.csv": standin.nat_agencies(spark, sf_dir)}
+    for half in (0, 1):
+        for name, df in tables.items():
+            if "incident_id" in df.columns:
+                df = df.filter(F.col("incident_id") % 2 == half)
+            elif half:  # codes and agencies stand in the first root; here are none besides the header
+                df = df.limit(0)
+            RD.write_table(df, f"{root}/state{half}/{name}", fmt="csv")
+    RD.write_table(tables["NIBRS_incident.csv"], f"{root}/partial/NIBRS_incident.csv", fmt="csv")
+    raw = standin.city_raw(spark, sf_dir).select("Case Number", "Date", "Primary Type", "District")
+    last = F.col("Date").contains("/2001 ")
+    RD.write_table(raw.filter(~last), f"{root}/city/Crime_Train_2015_2024.csv", fmt="csv")
+    RD.write_table(raw.filter(last), f"{root}/city/Crime_Test_2025.csv", fmt="csv")
+    return root
+
+
+@register("op_a1_csv_tree_events", S.with_ctes([("ev", S.events_in(_B9_MORE))], "SELECT * FROM ev"))
+def q_a1(spark, sf_dir):
+    """A3 finds the national roots of a CSV tree, A1 reads them, B8/B9 make events of them."""
+    found = RD.discover_inputs(spark, _national_tree(spark, sf_dir))
+    roots = [r.path for r in found.filter("role = 'national_root'").orderBy("path").collect()]
+    raw = RD.read_national(spark, roots)
+    return HZ.national_events(raw["NIBRS_OFFENSE.csv"], raw["NIBRS_incident.csv"], raw["NIBRS_OFFENSE_TYPE.csv"],
+                              raw["agencies.csv"], pipeline.COUNTY_STRATEGY,
+                              group_expr=standin.standin_group(F.col("offense_name")))
 
 
 @register("op_a5_missing_audit", S.with_ctes([("craw", S.city_raw())],
@@ -1456,7 +1559,6 @@ def q_d14(spark, sf_dir):
 
 
 # ======================================================== A: sinks/serving =
-from riskbeacon.plans.store import table_root  # noqa: E402
 
 
 @register("op_a2_header_harmonization", S.with_ctes([("craw", S.city_raw())],
@@ -1470,20 +1572,78 @@ def q_a2(spark, sf_dir):
                     F.col("region_token").cast("string").alias("region_token"))
 
 
-@register("op_a3_list_inputs")
+@register("op_a3_list_inputs", """
+SELECT 'national_root' AS role, 'state0' AS folder, 'NIBRS_incident.csv' AS name,
+       count(*) FILTER (WHERE o_orderkey % 2 = 0) AS n_rows FROM orders
+UNION ALL SELECT 'national_root', 'state1', 'NIBRS_incident.csv', count(*) FILTER (WHERE o_orderkey % 2 = 1) FROM orders
+UNION ALL SELECT 'national_root', 'state0', 'NIBRS_OFFENSE.csv', count(*) FILTER (WHERE l_orderkey % 2 = 0) FROM lineitem
+UNION ALL SELECT 'national_root', 'state1', 'NIBRS_OFFENSE.csv', count(*) FILTER (WHERE l_orderkey % 2 = 1) FROM lineitem
+UNION ALL SELECT 'national_root', 'state0', 'NIBRS_OFFENSE_TYPE.csv', count(*) FROM part
+UNION ALL SELECT 'national_root', 'state1', 'NIBRS_OFFENSE_TYPE.csv', 0
+UNION ALL SELECT 'national_root', 'state0', 'agencies.csv', count(*) FROM customer
+UNION ALL SELECT 'national_root', 'state1', 'agencies.csv', 0
+UNION ALL SELECT 'city_train', 'city', 'Crime_Train_2015_2024.csv', count(*) FILTER (WHERE year(o_orderdate) <> 2001) FROM orders
+UNION ALL SELECT 'city_test', 'city', 'Crime_Test_2025.csv', count(*) FILTER (WHERE year(o_orderdate) = 2001) FROM orders""")
 def q_a3(spark, sf_dir):
-    return RD.list_files(spark, sf_dir, "*.parquet").select("name", "size")
+    """Rows of each table that discovery finds in a CSV tree, counted by the files they are in."""
+    root = _national_tree(spark, sf_dir)
+    found = RD.discover_inputs(spark, root)
+    tables = RD.list_tables(spark, root)
+    path = F.when(F.col("role") == "national_root", F.col("parent")).otherwise(F.col("path"))
+    wanted = (tables.withColumn("role", F.lit("national_root")).filter(F.col("name").isin(RD.NATIONAL_TABLES))
+              .unionByName(tables.withColumn("role", F.lit("city_train")))
+              .unionByName(tables.withColumn("role", F.lit("city_test"))))
+    wanted = wanted.withColumn("at", path).join(found.withColumnRenamed("path", "at"), ["role", "at"]).select(
+        "role", "path", F.element_at(F.split("parent", "/"), -1).alias("folder"), "name")
+    paths = [r.path for r in wanted.select("path").collect()]  # one for each input table
+    counts = [RD.read_csv_flexible(spark, p, keep_file="file").groupBy(
+        F.regexp_replace("file", "/[^/]*$", "").alias("path")).agg(F.count(F.lit(1)).alias("n")) for p in paths]
+    rows = reduce(DataFrame.unionByName, counts)
+    return wanted.join(rows, "path", "left").select("role", "folder", "name", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+_A6_COLS = ["region_id", "time_id", "y", "y_count", "model", "dataset", "y_score", "y_pred", "seed"]
+
+
+@register("op_a6_partitioned_roundtrip", _pred_sql("SELECT 'parquet' AS format, * FROM preds UNION ALL "
+                                                   "SELECT 'csv', * FROM preds"), doubles=["y_count", "y_score"])
+def q_a6(spark, sf_dir):
+    """The whole prediction table, written partitioned as Parquet and as CSV and read back."""
+    import uuid
+    root = f"{table_root(spark)}/predictions-partitioned-{uuid.uuid4().hex[:8]}"
+    pred = _preds(spark, sf_dir)
+    types = dict(pred.dtypes)
+    out = []
+    for fmt in ("parquet", "csv"):
+        RD.write_table(pred, f"{root}/{fmt}", ["dataset", "model", "seed"], fmt)
+        back = RD.read_table(spark, f"{root}/{fmt}", fmt)
+        out.append(back.select(F.lit(fmt).alias("format"), *[F.col(c).cast(types[c]).alias(c) for c in _A6_COLS]))
+    return out[0].unionByName(out[1])
 
 
-@register("op_a6_partitioned_roundtrip", _pred_sql(
-    "SELECT * FROM preds WHERE dataset = 'in_domain' AND model = 'ewma' AND seed = 1"), doubles=["y_count", "y_score"])
-def q_a6(spark, sf_dir):
+_PARTS_SQL = f"""SELECT CAST(time_window_days AS INTEGER) AS time_window_days, dataset, model,
+       CAST(seed AS INTEGER) AS seed, count(*) AS n_rows FROM pboth GROUP BY 1, 2, 3, 4"""
+
+
+@register("op_a6_publish_serving", _serving_sql(_PARTS_SQL), bench=True)
+def q_a6_publish(spark, sf_dir):
+    """Publish a run of all predictions; its partitions and their rows by the commit table."""
+    store = pipeline.serving_store(spark, sf_dir, renew=True)
+    return RUNS.partitions(spark, store).select(*RUNS.KEYS, "n_rows")
+
+
+@register("op_a10_newest_run", _serving_sql(f"SELECT 'second' AS run, * FROM ({_PARTS_SQL}) p"))
+def q_a10(spark, sf_dir):
+    """Of four runs (complete, complete and newer, one window only, unfinished) the second is served."""
+    import datetime as dt
     import uuid
-    path = f"{table_root(spark)}/predictions-partitioned-{uuid.uuid4().hex[:8]}"
-    RD.write_table(_preds(spark, sf_dir), path, ["dataset", "model", "seed"])
-    back = RD.read_table(spark, path).filter("dataset = 'in_domain' AND model = 'ewma' AND seed = 1")
-    return back.select("region_id", "time_id", "y", "y_count", "model", "dataset", "y_score", "y_pred",
-                       F.col("seed").cast("int").alias("seed"))
+    store = f"{table_root(spark)}/runs-{uuid.uuid4().hex[:8]}"
+    pred = pipeline.predictions_both_windows(spark, sf_dir)
+    for day, run, rows in ((1, "first", pred), (2, "second", pred), (3, "third", pred.filter("time_window_days = 7"))):
+        RUNS.publish(rows, store, run, dt.datetime(2001, 1, day))
+    RUNS.write_rows(pred, store, "fourth")
+    served = RUNS.table(spark, store).join(F.broadcast(RUNS.newest(spark, store)), "run")
+    return served.groupBy("run", *RUNS.KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("op_a8_serving_frame", _serving_sql("SELECT * FROM serv"), doubles=["y_count", "y_score"])

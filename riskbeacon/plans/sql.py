@@ -185,7 +185,7 @@ def predictions_ctes(w: int) -> list[tuple[str, str]]:
     """split_ctes + ``preds`` (the long prediction table)."""
     specs = []
     for s in EVAL_SEEDS:
-        specs += [(MODEL_PERSISTENCE, s, f"lag_{s}"), (MODEL_ROLLING, s, "rolling_mean_4"), (MODEL_EWMA, s, "ewma_4")]
+        specs += [(MODEL_PERSISTENCE, s, "lag_0"), (MODEL_ROLLING, s, "rolling_mean_4"), (MODEL_EWMA, s, "ewma_4")]
 
     def block(src: str, ds: str) -> str:
         parts = []

@@ -16,8 +16,6 @@ from pyspark.sql.types import NumericType, StringType
 from riskbeacon.functions.expr import clean_region_token
 from riskbeacon.functions.sample import seeded_sample
 
-REPLACEMENT_CHAR = "�"
-
 # --- fixed values: column-name candidates -----------------------------------
 DATE_COLUMN_CANDIDATES = ["date", "incident_date", "datetime", "reported_date", "report_date"]
 CRIME_TYPE_COLUMN_CANDIDATES = ["primary type", "primary_type", "crime_type", "offense_name", "offense_type",
@@ -55,28 +53,44 @@ def harmonize_headers(df: DataFrame, wanted: dict[str, Sequence[str]]) -> DataFr
 
 
 # ------------------------------------------------------------------ A1 -----
-def read_csv_flexible(spark: SparkSession, path: str, schema=None, columns: Sequence[str] | None = None,
-                      limit: int | None = None) -> DataFrame:
-    """CSV with header; UTF-8 first. Spark never fails on bad bytes (it puts
-    U+FFFD), so each file in which a string value holds U+FFFD is re-read as
-    ISO-8859-1 (latin-1); the other files of the folder stay UTF-8."""
-    def load(enc: str) -> DataFrame:
-        r = spark.read.option("header", True).option("encoding", enc).option("multiLine", False)
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-        df = r.csv(path)
-        names = columns or df.columns
-        return df.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("__file"))
-
-    df = load("UTF-8")
-    str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    str_cols = [c for c in str_cols if c != "__file"]
-    odd = F.lit(False)
-    for c in str_cols:
-        odd = odd | F.coalesce(F.col(f"`{c}`").contains(REPLACEMENT_CHAR), F.lit(False))
-    bad = df.filter(odd).select("__file").distinct().withColumnRenamed("__file", "__bad")
-    good = df.join(bad, F.col("__file") == F.col("__bad"), "left_anti")
-    again = load("ISO-8859-1").join(bad, F.col("__file") == F.col("__bad"), "left_semi")
-    out = good.unionByName(again).drop("__file")
+LATIN = "ISO-8859-1"  # every byte is one character, so the bytes of a value can be had back
+
+
+def _as_utf8(name: str) -> str:
+    try:
+        return name.encode("latin-1").decode("utf-8").lstrip("\ufeff")
+    except UnicodeError:
+        return name
+
+
+def read_csv_flexible(spark: SparkSession, path: str | Sequence[str], schema=None, columns: Sequence[str] | None = None,
+                      limit: int | None = None, keep_file: str | None = None) -> DataFrame:
+    """CSV with header; each file is UTF-8 if all its string values are valid
+    UTF-8, else ISO-8859-1 (latin-1).
+
+    Files are read as ISO-8859-1, which keeps all bytes; one aggregation over
+    the file path says which of them hold a value that isn't UTF-8, and the
+    values of the other files are decoded in place. ``keep_file`` names a
+    column for the path. Header names follow the same rule, name by name.
+    """
+    r = spark.read.option("header", True).option("encoding", LATIN).option("multiLine", False)
+    r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
+    raw = r.csv(path)
+    wanted = [(c, _as_utf8(c)) for c in raw.columns]
+    wanted = [(c, n) for c, n in wanted if columns is None or n in columns]
+    text = {c for c, _ in wanted if isinstance(raw.schema[c].dataType, StringType)}
+    df = raw.select(*[F.col(f"`{c}`") for c, _ in wanted], F.col("_metadata.file_path").alias("__file"))
+
+    def decoded(c: str):
+        return F.encode(F.col(f"`{c}`"), LATIN).cast("string")
+    odd = reduce(lambda a, b: a | b, [~F.coalesce(F.is_valid_utf8(decoded(c)), F.lit(True)) for c in text], F.lit(False))
+    latin = df.filter(odd).select("__file").distinct().withColumn("__latin", F.lit(True))
+    both = df.join(latin, "__file", "left") if text else df.withColumn("__latin", F.lit(None).cast("boolean"))
+    out = both.select(*[(F.when(F.col("__latin"), F.col(f"`{c}`")).otherwise(decoded(c)) if c in text
+                         else F.col(f"`{c}`")).alias(n) for c, n in wanted],
+                      *([F.col("__file").alias(keep_file)] if keep_file else []))
+    if columns is not None:
+        out = out.select(*[F.col(f"`{c}`") for c in columns], *([keep_file] if keep_file else []))
     return out.limit(limit) if limit else out
 
 
@@ -91,22 +105,37 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
                         F.regexp_replace("path", "/[^/]*$", "").alias("parent"), F.col("length").alias("size"))
 
 
+def list_tables(spark: SparkSession, root: str) -> DataFrame:
+    """(path, name, parent, n_files, size) of the CSV tables below a folder: a
+    file, or a folder named ``*.csv`` with its part files."""
+    files = list_files(spark, root)
+    inside = F.lower("parent").endswith(".csv")
+    path = F.when(inside, F.col("parent")).otherwise(F.col("path"))
+    return (files.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size"))
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
+                    F.regexp_replace("path", "/[^/]*$", "").alias("parent"), "n_files", "size"))
+
+
 def discover_inputs(spark: SparkSession, root: str) -> DataFrame:
-    """(role, path): city train/test files by name (last match in path order
+    """(role, path): city train/test tables by name (last match in path order
     wins) and every folder holding all four national tables as a root."""
-    files = list_files(spark, root)
+    tables = list_tables(spark, root)
     low = F.lower("name")
-    train = files.filter(low.contains("crime_train") & low.contains("2015")).agg(F.max("path").alias("path")) \
+    train = tables.filter(low.contains("crime_train") & low.contains("2015")).agg(F.max("path").alias("path")) \
         .select(F.lit("city_train").alias("role"), "path")
-    test = files.filter(low.contains("crime_test") & low.contains("2025")).agg(F.max("path").alias("path")) \
+    test = tables.filter(low.contains("crime_test") & low.contains("2025")).agg(F.max("path").alias("path")) \
         .select(F.lit("city_test").alias("role"), "path")
-    need = F.array(*[F.lit(n) for n in NATIONAL_TABLES])
-    roots = (files.groupBy("parent").agg(F.collect_set("name").alias("names"))
-             .filter(F.size(F.array_except(need, F.col("names"))) == 0)
+    roots = (tables.filter(F.col("name").isin(NATIONAL_TABLES)).groupBy("parent")
+             .agg(F.count_distinct("name").alias("n")).filter(F.col("n") == len(NATIONAL_TABLES))
              .select(F.lit("national_root").alias("role"), F.col("parent").alias("path")))
     return train.unionByName(test).unionByName(roots).filter(F.col("path").isNotNull())
 
 
+def read_national(spark: SparkSession, roots: Sequence[str]) -> dict[str, DataFrame]:
+    """The four tables of all national roots, each read in one go, all columns as text."""
+    return {n: read_csv_flexible(spark, [f"{r}/{n}" for r in roots]) for n in NATIONAL_TABLES}
+
+
 # ------------------------------------------------------------------ A4 -----
 def profile(df: DataFrame) -> DataFrame:
     """(column, stat, value) for count/mean/stddev/min/max of numeric columns,

@@ -17,7 +17,7 @@ def test_model_scores_are_probabilities_and_informative(spark, model):
     r = pipeline.window_run(spark, SF_SMALL, 7)
     assert p.count() == r.test.count() + r.out.count()
     assert p.filter((F.col("y_score") < 0) | (F.col("y_score") > 1)).count() == 0
-    auc = {x.dataset: x.auc for x in metrics.auc(p, ["dataset"]).collect()}
+    auc = {x.dataset: x.auc for x in metrics.classification_metrics(p, ["dataset"]).collect()}
     assert auc["in_domain"] is None or auc["in_domain"] > 0.6
 
 

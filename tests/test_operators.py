@@ -4,10 +4,12 @@ one-hot, serving, cube (hand-computed expectations)."""
 import datetime as dt
 import itertools
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskbeacon.operators import cube, features, labels, metrics, prep, serving, topk
+from riskbeacon.plans.store import materialize
 
 
 def test_ewma_scan_matches_recursion(spark):
@@ -51,7 +53,7 @@ def test_auc_with_ties_and_one_class(spark):
     assert m["a"].auc == pytest.approx(_brute_auc(rows))
     assert m["b"].auc is None and m["b"].f1 == 0.0
     # AUC(score) = 1 - AUC(-score)
-    neg = metrics.auc(df.withColumn("y_score", -F.col("y_score")), ["g"]).first().auc
+    neg = metrics.classification_metrics(df.withColumn("y_score", -F.col("y_score")), ["g"]).first().auc
     assert neg == pytest.approx(1 - m["a"].auc)
 
 
@@ -59,7 +61,8 @@ def test_auc_with_ties_and_one_class(spark):
 def test_region_buckets_match_qcut(spark, n_regions, sizes):
     rows = [(f"R{i:02d}", "t", 0, float(i), "out_domain") for i in range(n_regions)]
     df = spark.createDataFrame(rows, "region_id string, time_id string, y int, y_count double, dataset string")
-    got = metrics.region_buckets(df).groupBy("region_bucket").count().orderBy("region_bucket").collect()
+    keep = lambda d, name: materialize(spark, d, name)
+    got = metrics.region_buckets(df, keep).groupBy("region_bucket").count().orderBy("region_bucket").collect()
     assert [r["count"] for r in got] == sizes
 
 
@@ -99,15 +102,28 @@ def test_region_stats_unseen_defaults(spark):
     assert got["Z"].region_train_count == pytest.approx(1.5)
 
 
-def test_one_hot_vocabulary(spark):
+def test_one_hot_vocabulary(spark, monkeypatch):
     train = spark.createDataFrame([(" a ",), (None,), ("b",)], "c string")
-    vocab = prep.fit_vocabulary(train, "c")
+    table = prep.vocabulary(train, "c", lambda d, name: materialize(spark, d, name))
+    vocab = prep.dense_names(table)
     assert vocab == ["__MISSING__", "a", "b"]
     test = spark.createDataFrame([("a",), ("zz",), (None,)], "c string")
     got = [tuple(r[1:]) for r in prep.one_hot(test, "c", vocab).collect()]
     assert got == [(0.0, 1.0, 0.0), (0.0, 0.0, 0.0), (1.0, 0.0, 0.0)]
+    assert [r["index"] for r in prep.one_hot_sparse(test, "c", table).collect()] == [1, None, 0]
+    monkeypatch.setattr(prep, "MAX_COLUMNS", 2)
     with pytest.raises(ValueError):
-        prep.fit_vocabulary(train, "c", max_size=2)
+        prep.dense_names(table)
+    assert prep.dense_names(prep.vocabulary(train.limit(0), "c", None)) == ["__MISSING__"]
+
+
+def test_vocabulary_of_a_million(spark):
+    """No bound on the categories: ranks of ranges equal the sorted order."""
+    train = spark.range(0, 1_000_000, 1, 8).select(F.md5(F.col("id").cast("string").cast("binary")).alias("c"))
+    vocab = prep.vocabulary(train, "c", lambda d, name: materialize(spark, d, name))
+    want = np.sort(np.array([r.c for r in train.collect()]))
+    got = vocab.toPandas().sort_values("index")
+    assert (got["index"].to_numpy() == np.arange(1_000_000)).all() and (got["category"].to_numpy() == want).all()
 
 
 def test_sequences_left_padded(spark):

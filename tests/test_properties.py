@@ -54,9 +54,9 @@ def test_prediction_rows_per_model_seed(run):
 
 def test_auc_symmetry_on_pipeline(run):
     p = run.predictions
-    a = {(r.dataset, r.model, r.seed): r.auc for r in metrics.auc(p, ["dataset", "model", "seed"]).collect()}
+    a = {(r.dataset, r.model, r.seed): r.auc for r in metrics.classification_metrics(p, ["dataset", "model", "seed"]).collect()}
     b = {(r.dataset, r.model, r.seed): r.auc
-         for r in metrics.auc(p.withColumn("y_score", -F.col("y_score")), ["dataset", "model", "seed"]).collect()}
+         for r in metrics.classification_metrics(p.withColumn("y_score", -F.col("y_score")), ["dataset", "model", "seed"]).collect()}
     for k, v in a.items():
         if v is not None:
             assert b[k] == pytest.approx(1 - v)
