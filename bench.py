@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from riskbeacon.plans import pipeline
+    from riskbeacon.plans import ml, pipeline
     from riskbeacon.plans.catalog import load_all
     from riskbeacon.session import get_session
 
@@ -42,11 +42,13 @@ def main() -> None:
     if os.environ.get("BENCH_WARMUP", "1") == "1":
         for n in names:
             pipeline.clear_cache()
+            ml.clear_cache()
             specs[n].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times = {}
     for n in names:
         pipeline.clear_cache()
+        ml.clear_cache()
         t0 = time.perf_counter()
         specs[n].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t0, 3)

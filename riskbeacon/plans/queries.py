@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbeacon.config import CRIME_GROUPS, FEATURE_NUMERIC
@@ -281,15 +281,20 @@ def q_e10(spark, sf_dir):
     return _mlong(spark, sf_dir)
 
 
+_E11_GAP = "model = 'ewma' AND seed = 2 AND (metric = 'f1' OR domain = 'out_domain')"
+
+
 @register("op_e11_metrics_completeness", _mlong_sql(
-    """SELECT e.model, e.seed, e.domain, e.metric FROM
+    f"""SELECT e.model, e.seed, e.domain, e.metric FROM
   (SELECT * FROM (VALUES ('baseline_persistence'), ('rolling_mean'), ('ewma')) m(model),
                  (VALUES (0), (1), (2)) s(seed), (VALUES ('in_domain'), ('out_domain')) d(domain),
                  (VALUES ('auc'), ('f1'), ('recall'), ('precision')) k(metric)) e
 WHERE NOT EXISTS (SELECT 1 FROM mlong l WHERE l.slice = 'overall' AND l.model = e.model AND l.seed = e.seed
-                  AND l.domain = e.domain AND l.metric = e.metric)"""))
+                  AND l.domain = e.domain AND l.metric = e.metric AND NOT ({_E11_GAP.replace("model", "l.model").replace("seed", "l.seed")
+                  .replace("metric", "l.metric").replace("domain =", "l.domain =")}))"""))
 def q_e11(spark, sf_dir):
-    return M.metrics_completeness(spark, _mlong(spark, sf_dir))
+    """Of a metrics table with a gap, the rows that are missing."""
+    return M.metrics_completeness(spark, _mlong(spark, sf_dir).filter(f"NOT ({_E11_GAP})"))
 
 
 @register("op_e12_seed_mean_overall",
@@ -1271,6 +1276,63 @@ def q_b2(spark, sf_dir):
     return HZ.city_mapping_table(standin.city_clean(spark, sf_dir), "Primary Type")
 
 
+_MIXED_SQL = ("cmix", f"""SELECT * REPLACE (
+  list_extract({standin.MIXED_TYPES_SQL}, CAST("ID" % {len(standin.MIXED_TYPES)} + 1 AS INTEGER)) AS "Primary Type",
+  CASE WHEN "ID" % 89 = 0 THEN NULL WHEN "ID" % 97 = 0 THEN '13/45/2001 99:00:00 PM' ELSE "Date" END AS "Date",
+  CASE WHEN "ID" % 101 = 0 THEN NULL WHEN "ID" % 103 = 0 THEN 'nan' ELSE CAST("District" AS VARCHAR) || '.0' END AS "District")
+FROM craw""")
+_MIXED_EVENTS_SQL = S.with_ctes([("craw", S.city_raw()), _MIXED_SQL, ("cev", f"""SELECT
+       CAST(try_strptime("Date", '%m/%d/%Y %I:%M:%S %p') AS TIMESTAMP) AS event_date,
+       'IL__CPD_DIST_' || {S.tok('"District"')} AS region_id,
+       {S.case_map('upper(trim("Primary Type"))', CITY_TYPE_GROUPS)} AS crime_group, "Primary Type" AS raw_type FROM cmix""")],
+    "{}")
+
+
+def _mixed_events(spark, sf_dir, drop_invalid):
+    agency = HZ.RegionStrategy("agency", "agency_id", None, "")
+    return HZ.city_events(standin.city_mixed(spark, sf_dir), "Date", "Primary Type", "District", agency,
+                          date_format=EDA.EXPORT_TS_FORMAT, drop_invalid=drop_invalid)
+
+
+@register("op_b2_city_types", S.with_ctes([("craw", S.city_raw()), _MIXED_SQL], f"""SELECT DISTINCT "Primary Type" AS city_raw_type,
+       {S.case_map('upper(trim("Primary Type"))', CITY_TYPE_GROUPS)} AS crime_group FROM cmix WHERE "Primary Type" IS NOT NULL"""))
+def q_b2_types(spark, sf_dir):
+    """All fixed types, odd spellings of them and unmapped ones."""
+    return HZ.city_mapping_table(standin.city_mixed(spark, sf_dir), "Primary Type")
+
+
+@register("op_b7_city_events", _MIXED_EVENTS_SQL.format(
+    "SELECT * FROM cev WHERE event_date IS NOT NULL AND crime_group IS NOT NULL AND region_id IS NOT NULL"))
+def q_b7_events(spark, sf_dir):
+    """Rows with bad or missing dates and unmapped types are dropped."""
+    return _mixed_events(spark, sf_dir, True)
+
+
+@register("op_b10_city_load_quality", _MIXED_EVENTS_SQL.format("""SELECT count(*) AS n_rows,
+       avg(CAST(event_date IS NULL AS DOUBLE)) AS invalid_date_rate, avg(CAST(crime_group IS NULL AS DOUBLE)) AS unmapped_rate,
+       count(DISTINCT region_id) AS n_regions FROM cev"""), doubles=["invalid_date_rate", "unmapped_rate"])
+def q_b10_city(spark, sf_dir):
+    return HZ.load_quality(_mixed_events(spark, sf_dir, False))
+
+
+@register("op_b5_region_strategies", """SELECT * FROM (VALUES
+  ('all', CASE WHEN (SELECT bool_or(c_custkey IS NOT NULL) FROM customer) THEN 'agency' ELSE 'county' END, 'agency_id', 'ori'),
+  ('no ids', CASE WHEN (SELECT bool_or(c_phone IS NOT NULL) FROM cust) THEN 'agency' ELSE 'county' END, 'ori', 'agency_id'),
+  ('names', CASE WHEN (SELECT bool_or(n_name IS NOT NULL) FROM nation) THEN 'county' END, 'county_name', 'agency_id'),
+  ('states', 'state_agency', 'state_abbr', 'agency_id')) t(case_name, strategy, primary_field, fallback_field)"""
+          .replace("c_phone IS NOT NULL) FROM cust", "c_name IS NOT NULL) FROM customer"))
+def q_b5_cases(spark, sf_dir):
+    """Each branch: descriptors held by all agencies, by ORI alone, county names alone, none."""
+    full = standin.nat_agencies(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    bare = full.withColumn("agency_id", none)
+    cases = {"all": full, "no ids": bare.withColumn("ori", F.coalesce(full["state_name"], F.lit("x"))), "names": bare,
+             "states": bare.withColumn("county_name", none)}
+    return reduce(DataFrame.unionByName, [
+        HZ.strategy_frame(spark, HZ.decide_region_strategy(df)).select(
+            F.lit(name).alias("case_name"), "strategy", "primary_field", "fallback_field") for name, df in cases.items()])
+
+
 _B3_CASE = """CASE WHEN contains(upper(coalesce(cat, 'NAN')), 'LARCENY/THEFT') THEN 'theft_larceny'
   WHEN contains(upper(coalesce(cat, 'NAN')), 'ASSAULT OFFENSES') THEN 'assault_battery'
   WHEN contains(upper(coalesce(cat, 'NAN')), 'BURGLARY/BREAKING & ENTERING') OR upper(coalesce(code, 'NAN')) = '220' THEN 'burglary'
@@ -1496,66 +1558,283 @@ from riskbeacon.operators import models as ML  # noqa: E402
 from riskbeacon.plans import ml as MLP  # noqa: E402
 
 
-@register("op_d2_logistic_predictions")
+@register("op_d2_logistic_predictions", bench=True)
 def q_d2(spark, sf_dir):
-    return MLP.model_predictions(spark, sf_dir, 7, 0, ML.MODEL_LR)
+    return MLP.fit_one(spark, sf_dir, 7, 0, ML.MODEL_LR)
 
 
-@register("op_d3_forest_predictions")
+@register("op_d3_forest_predictions", bench=True)
 def q_d3(spark, sf_dir):
-    return MLP.model_predictions(spark, sf_dir, 7, 0, ML.MODEL_RF)
+    return MLP.fit_one(spark, sf_dir, 7, 0, ML.MODEL_RF)
 
 
 @register("op_d4_sequence_predictions")
 def q_d4(spark, sf_dir):
-    return MLP.sequence_predictions(spark, sf_dir, 7, 0)
+    return MLP.fit_one(spark, sf_dir, 7, 0, ML.MODEL_SEQ)
+
+
+def _fitted(spark, sf_dir, w: int = 7):
+    """Persistence and the fitted models, all seeds: the table of ``_preds`` with fitted models."""
+    return MLP.grid(spark, sf_dir, w).predictions
+
+
+@register("op_d5_fitted_predictions")
+def q_d5_fitted(spark, sf_dir):
+    return MLP.both_windows(spark, sf_dir)
+
 
+def _fitted_rows_sql(w: int) -> str:
+    """What a prediction table of fitted models must hold besides the scores
+    themselves, and persistence whole."""
+    models = ", ".join(f"('{m}')" for m in ML.FITTED_ORDER)
+    rows = "\nUNION ALL ".join(f"SELECT region_id, strftime(time_id, '%Y-%m-%d') AS time_id, y, y_count, lag_0, "
+                               f"'{d}' AS dataset FROM {t}" for d, t in (("in_domain", "test_x"), ("out_domain", "out_x")))
+    body = S.with_ctes(S.split_ctes(w), f"""SELECT {w} AS time_window_days, x.region_id, x.time_id, x.y, x.y_count, m.model,
+       x.dataset, s.seed, m.model = 'baseline_persistence' OR NULL AS rule, TRUE AS in_range,
+       CASE WHEN m.model = 'baseline_persistence' THEN CAST(x.lag_0 AS DOUBLE) END AS rule_score,
+       CASE WHEN m.model = 'baseline_persistence' THEN CAST(x.lag_0 >= (SELECT threshold FROM thr) AS INTEGER) END AS rule_pred,
+       TRUE AS pred_fits
+FROM ({rows}) x, (VALUES {models}) m(model), (VALUES (0), (1), (2)) s(seed)""")
+    return f"SELECT * EXCLUDE (rule) FROM (WITH {body[5:]}) w{w}"
 
-@register("op_d6_prediction_coverage", _pred_sql(
-    "SELECT seed, dataset, model, count(*) AS n_rows, count(*) AS expected_rows FROM preds GROUP BY 1, 2, 3 "
-    "HAVING FALSE"))
+
+@register("op_d5_fitted_contract", f"{_fitted_rows_sql(7)}\nUNION ALL {_fitted_rows_sql(3)}", doubles=["y_count", "rule_score"])
+def q_d5_contract(spark, sf_dir):
+    """Keys, labels and counts of all models, seeds and windows; scores
+    are probabilities, predictions follow them; persistence whole (D1)."""
+    p = MLP.both_windows(spark, sf_dir)
+    rule = F.col("model") == "baseline_persistence"
+    score, yp = F.col("y_score"), F.col("y_pred")
+    return p.select("time_window_days", "region_id", "time_id", "y", "y_count", "model", "dataset", "seed",
+                    F.coalesce(rule | score.between(0.0, 1.0), F.lit(False)).alias("in_range"),
+                    F.when(rule, score).alias("rule_score"), F.when(rule, yp).alias("rule_pred"),
+                    F.coalesce(rule | (yp == (score >= 0.5).cast("int")), F.lit(False)).alias("pred_fits"))
+
+
+_D6_GAP = "model = 'ewma' AND seed = 1 AND region_id < 'B'"
+
+
+@register("op_d6_prediction_coverage", _pred_sql(f"""SELECT p.seed, p.dataset, p.model, p.n_rows, e.expected_rows
+FROM (SELECT seed, dataset, model, count(*) AS n_rows FROM preds WHERE NOT ({_D6_GAP}) GROUP BY 1, 2, 3) p
+LEFT JOIN (SELECT dataset, count(*) AS expected_rows FROM preds WHERE model = 'rolling_mean' AND seed = 0 GROUP BY 1) e
+  ON e.dataset = p.dataset WHERE e.expected_rows IS DISTINCT FROM p.n_rows"""))
 def q_d6(spark, sf_dir):
+    """Of a table in which one model lacks some regions for one seed, the groups that cover too little."""
     r = pipeline.window_run(spark, sf_dir, 7)
     exp = (r.test.agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("dataset", F.lit("in_domain"))
            .unionByName(r.out.agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("dataset", F.lit("out_domain"))))
-    return ML.prediction_coverage(r.predictions, exp)
+    return ML.prediction_coverage(r.predictions.filter(f"NOT ({_D6_GAP})"), exp)
+
+
+@register("op_d6_fitted_coverage", "\nUNION ALL ".join(
+    f"""SELECT * FROM (WITH {S.with_ctes(S.split_ctes(w), f"""SELECT {w} AS time_window_days, d.dataset, m.model, s.seed, d.n_rows
+FROM (SELECT 'in_domain' AS dataset, count(*) AS n_rows FROM test_x UNION ALL SELECT 'out_domain', count(*) FROM out_x) d,
+     (VALUES {", ".join(f"('{m}')" for m in ML.FITTED_ORDER)}) m(model), (VALUES (0), (1), (2)) s(seed)""")[5:]}) w{w}"""
+    for w in (7, 3)))
+def q_d6_fitted(spark, sf_dir):
+    return MLP.both_windows(spark, sf_dir).groupBy("time_window_days", "dataset", "model", "seed").agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("op_d8_logistic_importance")
 def q_d8(spark, sf_dir):
-    return ML.logistic_importance(spark, MLP.fitted(spark, sf_dir, 7, 0)[0][ML.MODEL_LR])
+    return MLP.importance_both_windows(spark, sf_dir).filter(F.col("model") == ML.MODEL_LR)
 
 
 @register("op_d9_forest_split_counts")
 def q_d9(spark, sf_dir):
-    return ML.forest_split_counts(spark, MLP.fitted(spark, sf_dir, 7, 0)[0][ML.MODEL_RF],
-                                  MLP.model_dir(spark, 7, 0, "rf"))
+    return MLP.importance_both_windows(spark, sf_dir).filter(F.col("model") == ML.MODEL_RF)
+
+
+_FEATURES_SQL = f"(SELECT unnest({list(FEATURE_NUMERIC)}) AS feature)"
+_WINDOWS_SQL = "(VALUES ('7d'), ('3d')) w(\"window\")"
+
+
+@register("op_d10_persistence_importance", f"""SELECT w."window", s.seed, 'in_domain' AS dataset, 'baseline_persistence' AS model,
+       f.feature, 'rule_based' AS method, CAST(f.feature = 'lag_0' AS DOUBLE) AS importance_raw,
+       CAST(f.feature = 'lag_0' AS DOUBLE) AS importance_norm
+FROM {_FEATURES_SQL} f, {_WINDOWS_SQL}, (VALUES (0), (1), (2)) s(seed)""")
+def q_d10(spark, sf_dir):
+    return MLP.importance_both_windows(spark, sf_dir).filter(F.col("model") == "baseline_persistence")
+
+
+@register("op_d11_importance_sums", f"""SELECT w."window", s.seed, m.model, (SELECT count(*) FROM {_FEATURES_SQL} f) AS n_features,
+       1.0::DOUBLE AS total, TRUE AS in_range
+FROM {_WINDOWS_SQL}, (VALUES (0), (1), (2)) s(seed),
+     (VALUES ('baseline_persistence'), ('logistic_regression'), ('random_forest')) m(model)""", doubles=["total"])
+def q_d11(spark, sf_dir):
+    """Normalized importances of every window, seed and model: one row a feature, shares that sum to one."""
+    return MLP.importance_both_windows(spark, sf_dir).groupBy("window", "seed", "model").agg(
+        F.count_distinct("feature").alias("n_features"), F.sum("importance_norm").alias("total"),
+        F.bool_and(F.col("importance_norm").between(0.0, 1.0)).alias("in_range"))
 
 
 @register("op_d12_importance_summary")
 def q_d12(spark, sf_dir):
-    return H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7))
+    return H.summarize_importance(MLP.importance_both_windows(spark, sf_dir))
+
+
+@register("op_d12_tied_ranks", f"""SELECT w."window", f.feature, CAST(f.feature = 'lag_0' AS DOUBLE) AS importance_norm_mean,
+       0.0::DOUBLE AS importance_norm_std, 3 AS seed_n,
+       CAST(row_number() OVER (PARTITION BY w."window" ORDER BY f.feature <> 'lag_0', f.feature) AS INTEGER) AS rank_in_model
+FROM {_FEATURES_SQL} f, {_WINDOWS_SQL}""", doubles=["importance_norm_mean", "importance_norm_std"])
+def q_d12_tied(spark, sf_dir):
+    """Ranks where all features but one tie: by name."""
+    return q_d12(spark, sf_dir).filter(F.col("model") == "baseline_persistence").select(
+        "window", "feature", "importance_norm_mean", "importance_norm_std", "seed_n", "rank_in_model")
 
 
 @register("op_h3_top10_features")
 def q_h3(spark, sf_dir):
-    return H.top_features(H.summarize_importance(MLP.importance_by_seed(spark, sf_dir, 7)), 10)
+    return H.top_features(q_d12(spark, sf_dir), 10)
+
+
+@register("op_h3_top10_ranks", f"""SELECT w."window", m.model, 10 AS n, 55 AS rank_sum
+FROM {_WINDOWS_SQL}, (VALUES ('baseline_persistence'), ('logistic_regression'), ('random_forest')) m(model)""")
+def q_h3_ranks(spark, sf_dir):
+    """Each window and model lists ranks 1 to 10 once, in falling importance."""
+    top = q_h3(spark, sf_dir)
+    falls = F.col("importance_norm_mean") <= F.lag("importance_norm_mean", 1, 2.0).over(
+        Window.partitionBy("window", "model").orderBy("rank_in_model"))
+    return top.withColumn("falls", falls).filter("falls").groupBy("window", "model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rank_in_model").alias("rank_sum"))
 
 
 @register("op_d13_fit_log")
 def q_d13(spark, sf_dir):
-    return MLP.fitted(spark, sf_dir, 7, 0)[1]
+    return reduce(DataFrame.unionByName, [g.log.withColumn("time_window_days", F.lit(w))
+                                          for w, g in MLP.grids(spark, sf_dir).items()])
+
 
+@register("op_d13_fit_log_rows", "\nUNION ALL ".join(
+    f"""SELECT * FROM (WITH {S.with_ctes(S.split_ctes(w), f"""SELECT {w} AS time_window_days, m.model, s.seed, count(*) AS n_rows,
+       {len(FEATURE_NUMERIC)} AS n_features
+FROM train_x, (VALUES ('logistic_regression'), ('random_forest'), ('sequence_mlp')) m(model), (VALUES (0), (1), (2)) s(seed)
+GROUP BY m.model, s.seed""")[5:]}) w{w}""" for w in (7, 3)))
+def q_d13_rows(spark, sf_dir):
+    return q_d13(spark, sf_dir).select("time_window_days", "model", "seed", "n_rows", "n_features")
 
-@register("op_d14_persist_models")
+
+@register("op_d14_persist_models", "\nUNION ALL ".join(
+    f"""SELECT * FROM (WITH {S.with_ctes(S.split_ctes(w), f"""SELECT {w} AS time_window_days, m.model, s.seed,
+       (SELECT count(*) FROM test_x) + (SELECT count(*) FROM out_x) AS n_rows, 0 AS n_differ
+FROM (VALUES {", ".join(f"('{m}')" for m in ML.FITTED_ORDER)}) m(model), (VALUES (0), (1), (2)) s(seed)""")[5:]}) w{w}"""
+    for w in (7, 3)))
 def q_d14(spark, sf_dir):
-    models, _ = MLP.fitted(spark, sf_dir, 7, 0)
-    paths = ML.persist_models(models, MLP.model_dir(spark, 7, 0, "saved"))
-    meta = [spark.read.json(f"{p}/metadata").select(F.lit(p).alias("path"), "class", "uid") for p in paths]
-    out = meta[0]
-    for m in meta[1:]:
-        out = out.unionByName(m)
-    return out
+    """Models and preprocessor loaded once more from disk score every row as the stored table has it."""
+    parts = []
+    for w, g in MLP.grids(spark, sf_dir).items():
+        keys = ["region_id", "time_id", "dataset", "model", "seed"]
+        again = MLP.reload_and_score(spark, sf_dir, w, g.root).select(*keys, F.col("y_score").alias("again"))
+        both = g.predictions.join(again, keys, "full")
+        parts.append(both.groupBy("model", "seed").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(~F.coalesce(F.abs(F.col("y_score") - F.col("again")) < 1e-12, F.lit(False))).alias("n_differ"))
+            .withColumn("time_window_days", F.lit(w)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ============================================ E, F, H over the fitted models =
+@register("op_e3_fitted_summary")
+def q_e3_fitted(spark, sf_dir):
+    return M.summary_by_dataset_model(_fitted(spark, sf_dir))
+
+
+@register("op_e4_fitted_by_seed")
+def q_e4_fitted(spark, sf_dir):
+    return M.overall_by_seed(_fitted(spark, sf_dir))
+
+
+def _fitted_mlong(spark, sf_dir, w: int = 7):
+    return M.metrics_long(_fitted(spark, sf_dir, w).withColumn("crime_group", M.simple_state()), w)
+
+
+@register("op_e10_fitted_metrics_long")
+def q_e10_fitted(spark, sf_dir):
+    return _fitted_mlong(spark, sf_dir, 7).unionByName(_fitted_mlong(spark, sf_dir, 3))
+
+
+@register("op_e11_fitted_completeness", """SELECT m.model, 0 AS seed, 'in_domain' AS domain, k.metric
+FROM (VALUES ('lstm')) m(model), (VALUES ('auc'), ('f1'), ('recall'), ('precision')) k(metric)""")
+def q_e11_fitted(spark, sf_dir):
+    """Missing rows when a model is asked for that wasn't fitted: only that one's."""
+    return M.metrics_completeness(spark, _fitted_mlong(spark, sf_dir), [*ML.FITTED_ORDER, "lstm"], (0, 1, 2)).filter(
+        "seed = 0 AND domain = 'in_domain' OR model <> 'lstm'")
+
+
+@register("op_e16_fitted_window_gap")
+def q_e16_fitted(spark, sf_dir):
+    return M.window_gap_summary(q_e10_fitted(spark, sf_dir))
+
+
+@register("op_e17_fitted_window_summary")
+def q_e17_fitted(spark, sf_dir):
+    return M.window_overall_summary(q_e10_fitted(spark, sf_dir))
+
+
+@register("op_e19_fitted_topk_coverage")
+def q_e19_fitted(spark, sf_dir):
+    return TK.topk_coverage_by_seed(_fitted(spark, sf_dir))
+
+
+@register("op_e22_fitted_best_model")
+def q_e22_fitted(spark, sf_dir):
+    return M.best_model(_fitted_mlong(spark, sf_dir), models=ML.FITTED_ORDER)
+
+
+def _fitted_chosen(spark, sf_dir):
+    return M.chosen_model(_fitted(spark, sf_dir), models=ML.FITTED_ORDER)
+
+
+def _fitted_hits(spark, sf_dir):
+    return SP.event_hit_classes(standin.geo_events(spark, sf_dir), _fitted(spark, sf_dir), _knn(spark, sf_dir),
+                                E_GEO["window_days"], _fitted_chosen(spark, sf_dir), E_GEO["k"])
+
+
+@register("op_e27_fitted_hit_summary")
+def q_e27_fitted(spark, sf_dir):
+    return SP.hit_summary(_fitted_hits(spark, sf_dir), E_GEO["window_days"], _fitted_chosen(spark, sf_dir), E_GEO["k"])
+
+
+@register("op_e29_fitted_neighbor_rates")
+def q_e29_fitted(spark, sf_dir):
+    return SP.exact_neighbor_rates(_fitted(spark, sf_dir), _knn(spark, sf_dir), _fitted_chosen(spark, sf_dir))
+
+
+@register("op_e31_fitted_results")
+def q_e31_fitted(spark, sf_dir):
+    return TB.results_formatted(_fitted_mlong(spark, sf_dir))
+
+
+def _fitted_serving(spark, sf_dir):
+    return RUNS.serving(spark, MLP.serving_store(spark, sf_dir), F_PARAMS["seed"])
+
+
+_FITTED_CHOICES = S.with_ctes(S.split_ctes(7), f"""SELECT 'dataset' AS level, unnest(['in_domain', 'out_domain']) AS value
+UNION ALL SELECT 'model', unnest({ML.FITTED_ORDER})
+UNION ALL SELECT DISTINCT 'region', region_id FROM test_x
+UNION ALL SELECT DISTINCT 'time', strftime(time_id, '%Y-%m-%d') FROM test_x""")
+
+
+@register("op_f1_fitted_choices", _FITTED_CHOICES)
+def q_f1_fitted(spark, sf_dir):
+    return SV.available(_fitted_serving(spark, sf_dir), F_PARAMS["window_days"], F_PARAMS["dataset"], ML.MODEL_RF)
+
+
+@register("op_f4_fitted_topk_table")
+def q_f4_fitted(spark, sf_dir):
+    p = F_PARAMS
+    return SV.topk_for_time(_fitted_serving(spark, sf_dir), p["window_days"], p["dataset"], ML.MODEL_RF, p["time_id"], p["k"])[0]
+
+
+@register("op_h2_fitted_district_priority")
+def q_h2_fitted(spark, sf_dir):
+    def selected(w):
+        sel = TK.topk_selection_frequency(_fitted(spark, sf_dir, w))
+        best = M.chosen_model(_fitted(spark, sf_dir, w), models=ML.FITTED_ORDER).select("model")
+        return sel.join(F.broadcast(best), "model", "left_semi")  # a single row
+    r7, r3 = pipeline.window_runs(spark, sf_dir, (7, 3))
+    return H.district_priority(r7.test, r3.test, selected(7), selected(3))
 
 
 # ======================================================== A: sinks/serving =

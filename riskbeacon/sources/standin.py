@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbeacon.functions.expr import clean_region_token
+from riskbeacon.functions.expr import CITY_TYPE_GROUPS, clean_region_token
 
 # --- fixed values: stand-in part type -> crime group ------------------------
 STANDIN_TYPE_GROUPS = [
@@ -215,3 +215,21 @@ def city_raw(spark, sf_dir) -> DataFrame:
         (F.lit(41.6) + (F.col("o_orderkey") % 400) / F.lit(1000.0)).alias("Latitude"),
         (F.lit(-87.9) + ((F.col("o_orderkey") * 7) % 400) / F.lit(1000.0)).alias("Longitude"),
         F.lit(None).cast("string").alias("Location"))
+
+
+# Types of a mixed export: every type of the city's rules once, odd spellings
+# of some, types of no group, and none.
+MIXED_TYPES = [*[t for t, _ in CITY_TYPE_GROUPS], " theft ", "Robbery", "GAMBLING", "", "NARCOTICS VIOLATION", None]
+MIXED_TYPES_SQL = "[" + ", ".join("NULL" if t is None else f"'{t}'" for t in MIXED_TYPES) + "]"
+
+
+def city_mixed(spark, sf_dir) -> DataFrame:
+    """The city export with types that reach every mapping rule, missing and
+    impossible dates, and districts that are missing or float-like."""
+    key = F.col("ID")
+    types = F.array(*[F.lit(t).cast("string") for t in MIXED_TYPES])
+    return city_raw(spark, sf_dir).withColumns({
+        "Primary Type": F.get(types, (key % len(MIXED_TYPES)).cast("int")),
+        "Date": F.when(key % 89 == 0, F.lit(None)).when(key % 97 == 0, F.lit("13/45/2001 99:00:00 PM")).otherwise(F.col("Date")),
+        "District": F.when(key % 101 == 0, F.lit(None)).when(key % 103 == 0, F.lit("nan"))
+        .otherwise(F.concat(F.col("District").cast("string"), F.lit(".0")))})

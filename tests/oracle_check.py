@@ -98,7 +98,7 @@ def main():
             continue
         if i % 10 == 0:
             pipeline.clear_cache()
-            ml._CACHE.clear()
+            ml.clear_cache()
         try:
             r = compare(spark, con, spec, sf_dir)
         except Exception as e:  # report and continue
