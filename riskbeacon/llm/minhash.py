@@ -10,8 +10,11 @@
    ``BUCKET`` classes isn't compared: all its classes stay together.
 3. The forests' components are groups that hold every candidate pair. A
    group is split into blocks of bounded size; sketches pick the pairs,
-   and full sets confirm links. Pairs across the blocks of a large group
-   are compared only for classes outside the group's main component.
+   and full sets confirm links. In a large group the ``HUBS`` classes that
+   joined most others in their blocks then meet every block, which joins the
+   blocks' parts around them for work in proportion to the group; pairs
+   across blocks are compared only for classes that are still outside the
+   group's main component.
 4. Components of the confirmed links are the result.
 """
 
@@ -37,6 +40,7 @@ MARGIN = 0.2         # below the threshold: about five deviations of the sketch'
 BUCKET = 1000        # classes of a bucket that are compared with each other
 BLOCK = 512          # classes of a block, at most
 BLOCK_SHINGLES = 1 << 20
+HUBS = 32            # classes that meet every block of a large group first
 _MUL = np.random.default_rng(20).integers(1, 1 << 62, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -160,7 +164,13 @@ def _may_link(n1, n2, threshold):
 
 
 def _bucket_forest(threshold: float):
-    """Spanning forests of the pairs of a bucket that may be similar."""
+    """Spanning forests of the pairs of a bucket that may be similar.
+
+    A row that has joined the first row's tree isn't compared any more: its
+    pairs with rows of the tree are settled, and those with other rows are
+    found when these are compared. So a bucket of copies takes one comparison
+    with all its rows, not one for each row.
+    """
     most = differing(threshold)
 
     def make(batches):
@@ -169,9 +179,10 @@ def _bucket_forest(threshold: float):
             n = t["n"].to_numpy()
             sk = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
             f, a, b = Forest(len(ids)), [], []
-            for i in range(len(ids) - 1):
-                near = np.flatnonzero((_apart(sk[i + 1:], sk[i]) <= most) & _may_link(n[i + 1:], n[i], threshold))
-                for j in (near + i + 1).tolist():
+            for i in range(len(ids)):
+                if i and f.find(i) == f.find(0):
+                    continue
+                for j in np.flatnonzero((_apart(sk, sk[i]) <= most) & _may_link(n, n[i], threshold)).tolist():
                     if f.join(i, j):
                         a.append(ids[j])
                         b.append(ids[i])
@@ -248,6 +259,22 @@ def _links(units: DataFrame, threshold: float, percent: int) -> DataFrame:
             .mapInArrow(tidy(_block_links(threshold, percent)), "a long, b long"))
 
 
+def _in_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return (rows.join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
+            .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+
+
+def _hub_units(large: DataFrame, first: DataFrame, comp: DataFrame) -> DataFrame:
+    """Every block of the large groups with the hubs of its group beside it."""
+    rows = _in_components(large, comp)
+    joined = first.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("joined"))
+    order = Window.partitionBy("grp").orderBy(F.col("joined").desc(), "id")
+    hubs = (rows.join(joined, "id").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
+            .withColumn("right", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return (rows.withColumn("right", F.col("block")).withColumn("side", F.lit(0)).unionByName(
+        hubs.withColumn("side", F.lit(1)).drop("joined", "place"))).withColumn("left", F.lit(0))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -292,11 +319,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
                                              F.col("id").alias("comp"), F.lit(1).alias("side"), "n", "sketch",
                                              "shingles").select(*cols), threshold, percent), "links-1")
 
-    # large groups: what isn't in the main component meets every block
+    # large groups: hubs meet every block, then what isn't in the main component does
+    large = scratch.write(sets.filter("blocks > 1"), "large")
     comp = components(scratch, first, "first")
-    large = (sets.filter("blocks > 1").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
-             .withColumn("comp", F.coalesce("component", "id")))
-    large = scratch.write(large.drop("component"), "large")
+    hubs = scratch.write(_links(_hub_units(large, first, comp).select(*cols), threshold, percent), "links-hubs")
+    first = first.unionByName(hubs)
+    comp = components(scratch, first, "joined")
+    large = scratch.write(_in_components(large, comp), "apart")
     main = (large.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
             .groupBy("grp").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"),
                                 F.sum("c").alias("all_c"), F.sum("s").alias("all_s"),

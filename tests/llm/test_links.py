@@ -236,3 +236,31 @@ def test_top_with_few_or_huge(spark):
     big = vectors(spark, [[1e6, 2.0], [3e6, 4.0], [-1e6, 1.0], [1e6, 2.0]])
     assert sorted(tuple(r) for r in topk.top_inner_products(big, 2, 2).collect()) == sorted(brute_top(big, 2, 2))
     assert topk.top_inner_products(vectors(spark, []), 5, 50).count() == 0
+
+
+def test_hubs_leave_little_outside(spark, monkeypatch):
+    """One group of near copies of a text: what meets every block shrinks, and grows no faster than the group."""
+    monkeypatch.setattr(minhash, "BLOCK", 32)
+    seen = {}
+    plain = Scratch.write
+
+    def write(self, df, name):
+        out = plain(self, df, name)
+        if name == "apart":
+            main = out.groupBy("comp").count().orderBy("count", ascending=False).first()["count"]
+            seen[name] = (out.count(), main)
+        return out
+    monkeypatch.setattr(Scratch, "write", write)
+    for n in (150, 600):
+        rng = np.random.default_rng(n)
+        base = [f"w{v}" for v in rng.integers(0, 5000, 200)]
+        texts = []
+        for _ in range(n):
+            w = list(base)
+            for at in rng.integers(0, len(w), 4):
+                w[at] = f"c{rng.integers(0, 99)}"
+            texts.append(" ".join(w))
+        df = rows(spark, [" ".join(base)] + texts)
+        check_documents(spark, df, 80)
+        total, main = seen["apart"]
+        assert total > n * 0.9 and total - main <= 0.1 * total
