@@ -125,6 +125,9 @@ def fit_grid(train: DataFrame, params: Mapping, root: str, keep, seeds: Sequence
     """Fit all models for all seeds on the labelled ``train``, store them and
     the preprocessor under ``root``, which must be new, and return the log
     (written last). Times are wall times of fits that run side by side."""
+    unknown = [m for m in models if m not in FITS]
+    if unknown:
+        raise ValueError(f"no such model: {unknown}")
     spark = train.sparkSession
     rows = [(f, *map(float, v)) for f, v in params.items()]
     spark.createDataFrame(rows, PREPROCESSOR).coalesce(1).write.parquet(f"{root}/preprocessor")

@@ -27,14 +27,16 @@ def test_importance_ties_go_by_feature_name(spark):
 def test_hit_summary_counts_the_sample(spark):
     rows = [("Exact hit", True, False)] * 100 + [("Neighbor hit", False, True)] * 150 + [("Miss", False, False)] * 30
     hits = spark.createDataFrame(rows, "coverage_class string, exact_hit boolean, neighbor_hit boolean")
-    hits = (hits.withColumn("region_id", F.lit("r")).withColumn("event_date", F.monotonically_increasing_id())
+    hits = (hits.withColumn("region_id", F.lit("r")).withColumn(
+        "event_date", F.timestamp_seconds(F.monotonically_increasing_id()))
             .withColumn("latitude", F.lit(1.0)).withColumn("longitude", F.lit(1.0)))
+    chosen = spark.createDataFrame([("m", 0)], "model string, seed int")
     for n in (53, 280, 1000):
-        r = spatial.hit_summary(hits, 7, "m", 0, sample_n=n).first()
+        r = spatial.hit_summary(hits, 7, chosen, sample_n=n).first()
         assert r.n_events_total == 280
         assert r.n_events_sampled_for_plot == spatial.stratified_sample(hits, n).count()
         assert abs(r.exact_hit_rate - 100 / 280) < 1e-12 and abs(r.neighbor_aware_hit_rate - 250 / 280) < 1e-12
-    assert spatial.hit_summary(hits, 7, "m", 0, sample_n=53).first().n_events_sampled_for_plot == 18 + 28 + 5
+    assert spatial.hit_summary(hits, 7, chosen, sample_n=53).first().n_events_sampled_for_plot == 18 + 28 + 5
 
 
 def test_area_labels(spark):
@@ -98,7 +100,7 @@ def test_unknown_sizes_and_models_are_errors(spark):
     for f in FEATURE_NUMERIC:
         train = train.withColumn(f, F.lit(0.0))
     with pytest.raises(ValueError):
-        models.fit_all(spark, train, 0, models=("no such model",))
+        models.fit_grid(train, {}, "/nowhere", None, models=("no such model",))
 
 
 def test_hull_holds_all_points():
