@@ -65,7 +65,7 @@ def test_exact_percentile_matches_builtin(spark):
             assert abs(got[k] - exp[k]) < 1e-12, (q, k)
 
 
-def test_bucketed_quantiles_and_prefix_sums_equal_plain_ones(spark):
+def test_ranged_quantiles_and_prefix_sums_equal_plain_ones(spark):
     import random
     from riskbeacon.functions.quantile import exact_percentile
     from riskbeacon.operators import metrics
@@ -76,8 +76,8 @@ def test_bucketed_quantiles_and_prefix_sums_equal_plain_ones(spark):
     assert abs(a - b) < 1e-12
     p = spark.createDataFrame([("s", rnd.randint(0, 1), rnd.randint(0, 1), float(rnd.randint(0, 30)))
                                for _ in range(800)], "g string, y int, y_pred int, y_score double")
-    hist = p.groupBy("g", F.col("y_score").alias("__s"), F.col("y_pred").alias("__p")).agg(
-        F.sum(F.col("y")).cast("double").alias("__pos"), F.sum(1 - F.col("y")).cast("double").alias("__neg"))
     rows = p.collect()
-    for r in metrics._negatives_below(hist, ["g"], buckets=6).collect():
-        assert r["__below"] == sum(1 for x in rows if x.y == 0 and x.y_score < r["__s"])
+    pos, neg = ([x.y_score for x in rows if x.y == y] for y in (1, 0))
+    below = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
+    got = metrics.classification_metrics(p, ["g"]).first()
+    assert abs(got.auc - below / (len(pos) * len(neg))) < 1e-12
