@@ -15,8 +15,9 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,18 @@ class WindowRun:
     train: DataFrame      # labelled + region stats
     test: DataFrame
     out: DataFrame
-    predictions: DataFrame
+    score: Callable[[], DataFrame]
+    _scored: list[DataFrame] = field(default_factory=list)
+    _lock: threading.Lock = field(default_factory=threading.Lock)
+
+    @property
+    def predictions(self) -> DataFrame:
+        """The long prediction table, written when it is first asked for:
+        features, labels and fits don't need it."""
+        with self._lock:
+            if not self._scored:
+                self._scored.append(self.score())
+            return self._scored[0]
 
     def xy(self, dataset: str) -> DataFrame:
         src = {DATASET_TRAIN: self.train, DATASET_IN: self.test, DATASET_OUT: self.out}[dataset]
@@ -168,17 +180,18 @@ def _window_run(spark, sf_dir, window_days, key) -> WindowRun:
     out_x = labels.apply_region_stats(labels.add_label(sup_out, thr), stats, dflt)
     # The long prediction table feeds every metric; it is written once
     # (rows x models x seeds, panel-sized) instead of being re-derived.
-    preds = materialize(spark, predict.predictions_long(test_x, DATASET_IN, thr).unionByName(
-        predict.predictions_long(out_x, DATASET_OUT, thr)), f"predictions-{window_days}d")
-    run = WindowRun(window_days, b_in, b_out, t0, t1, thr, p_in, p_out, sup_in, train_x, test_x, out_x, preds)
+    def score() -> DataFrame:
+        return materialize(spark, predict.predictions_long(test_x, DATASET_IN, thr).unionByName(
+            predict.predictions_long(out_x, DATASET_OUT, thr)), f"predictions-{window_days}d")
+    run = WindowRun(window_days, b_in, b_out, t0, t1, thr, p_in, p_out, sup_in, train_x, test_x, out_x, score)
     _CACHE[key] = run
     return run
 
 
 def predictions_both_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction table of both windows, tagged with time_window_days."""
-    frames = [r.predictions.withColumn("time_window_days", F.lit(r.window_days))
-              for r in window_runs(spark, sf_dir, (7, 3))]
+    runs_ = window_runs(spark, sf_dir, (7, 3))
+    frames = in_parallel(*[lambda r=r: r.predictions.withColumn("time_window_days", F.lit(r.window_days)) for r in runs_])
     return frames[0].unionByName(frames[1])
 
 
@@ -218,6 +231,6 @@ def clear_cache() -> None:
             if isinstance(f, DataFrame):
                 f.unpersist()
             elif isinstance(f, WindowRun):
-                for g in (f.panel_in, f.panel_out, f.supervised_in, f.predictions):
+                for g in (f.panel_in, f.panel_out, f.supervised_in):
                     g.unpersist()
     _CACHE.clear()
