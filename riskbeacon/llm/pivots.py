@@ -3,10 +3,11 @@
 Reference points (pivots) are a bounded sample of the vectors; every vector
 is described by its nearest pivots in order of closeness: ``NEAREST``, or as
 many as pairs modelled at the threshold need (``lists_needed``). The inverted
-list of a pivot holds the vectors that have it among them. Two vectors are
-candidates when they share at least ``SHARED`` pivots; a pair is handled
-once, in the list of the first pivot that both share, and verified there by
-its cosine. Long lists are split into blocks that meet pairwise. Equal
+list of a pivot holds the vectors that have it among them. The pivots that
+two vectors of a list share are counted; those that share at least ``SHARED``
+are candidates, in the list of the first pivot that both share, and every
+candidate is then verified by its cosine. Long lists are split into blocks
+that meet pairwise. Equal
 vectors are one class, so that copies are never expanded into pairs, and a
 block returns counts per class and a spanning forest, not pairs.
 """
@@ -30,7 +31,7 @@ MODELLED = 512     # vectors to model a pair for
 AROUND = (32, 256, 2 * 4096)  # neighbours whose mean a modelled pair turns about
 SHARED = 2         # pivots that candidates share at least
 MOST_PIVOTS = 4096
-BLOCK = 1024       # classes of a block
+BLOCK = 2048       # classes of a block
 
 
 def unit_vectors(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -145,44 +146,46 @@ def _described(pivots: np.ndarray, nearest: int):
     return make
 
 
-def _list_links(threshold: float, shared: int, n_pivots: int):
-    """Counts of linked vectors and a spanning forest, for two blocks of a pivot's list."""
-    words = -(-n_pivots // 64)
+def candidates(codes: np.ndarray, pivot: int, shared: int, i_rows: np.ndarray, j_rows: np.ndarray) -> np.ndarray:
+    """Matrix of the pairs of rows that share at least ``shared`` pivots and
+    have ``pivot`` as the first one (of the smallest number) that they share."""
+    known, at = np.unique(codes, return_inverse=True)  # few: the pivots around this one
+    held = np.zeros((len(codes), len(known)), np.float32)
+    held[np.arange(len(codes))[:, None], at.reshape(codes.shape)] = 1
+    before = np.searchsorted(known, pivot)
+    out = held[i_rows] @ held[j_rows].T >= shared
+    if before:
+        out &= held[i_rows, :before] @ held[j_rows, :before].T == 0
+    return out
 
-    def bits(codes: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(codes), words), np.uint64)
-        rows = np.arange(len(codes))
-        for c in codes.T:
-            out[rows, c // 64] |= np.uint64(1) << (c % 64).astype(np.uint64)
-        return out
 
+def _list_links(threshold: float, shared: int):
+    """Counts of linked vectors and a spanning forest, for two blocks of a pivot's list."""
     def make(batches):
         for t in runs(batches, ["pivot", "low", "high"]):
             t = t.combine_chunks()
             pivot, same = t["pivot"][0].as_py(), t["low"][0].as_py() == t["high"][0].as_py()
             x, ids, copies = _matrix(t["unit"]), t["id"].to_numpy(), t["copies"].to_numpy()
-            codes = np.array(t["pivots"].to_pylist())
-            mask = bits(codes)
+            flat = t["pivots"].combine_chunks().flatten().to_numpy()
+            codes = flat.reshape(len(ids), -1)
             side = t["block"].to_numpy()
             i_rows = np.flatnonzero(side == t["low"][0].as_py())
             j_rows = np.arange(len(ids)) if same else np.flatnonzero(side != t["low"][0].as_py())
-            lower = np.zeros(words, np.uint64)  # pivots before this one
-            lower[:pivot // 64] = np.uint64(0xFFFFFFFFFFFFFFFF)
-            lower[pivot // 64] = (np.uint64(1) << np.uint64(pivot % 64)) - np.uint64(1)
             count = np.zeros(len(ids), np.int64)
             f, a, b = Forest(len(ids)), [], []
             for part in np.array_split(i_rows, -(-len(i_rows) // 256)):
-                near = (x[part] @ x[j_rows].T) >= threshold
+                pairs = candidates(codes, pivot, shared, part, j_rows)
                 if same:
-                    near &= part[:, None] < j_rows[None, :]
+                    pairs &= part[:, None] < j_rows[None, :]
+                some_i, some_j = np.flatnonzero(pairs.any(axis=1)), np.flatnonzero(pairs.any(axis=0))
+                if not len(some_i):
+                    continue
+                part, others = part[some_i], j_rows[some_j]
+                near = (x[part] @ x[others].T >= threshold) & pairs[np.ix_(some_i, some_j)]
                 p, q = np.nonzero(near)
-                p, q = part[p], j_rows[q]
-                both = mask[p] & mask[q]
-                mine = (np.bitwise_count(both).sum(axis=1) >= shared) & ~(both & lower).any(axis=1)
-                p, q = p[mine], q[mine]
-                np.add.at(count, p, copies[q])
-                np.add.at(count, q, copies[p])
-                for i, j in zip(p.tolist(), q.tolist()):
+                count[part] += near @ copies[others]
+                count[others] += copies[part] @ near
+                for i, j in zip(part[p].tolist(), others[q].tolist()):
                     if f.join(i, j):
                         a.append(ids[i])
                         b.append(ids[j])
@@ -241,7 +244,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, nearest: int = N
             "pivot", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
             "digest", "unit", "id", "copies", "pivots")
         found = (split.repartition("pivot", "low", "high").sortWithinPartitions("pivot", "low", "high")
-                 .mapInArrow(tidy(_list_links(threshold, need, len(pivots))), "digest binary, n long, a long, b long"))
+                 .mapInArrow(tidy(_list_links(threshold, need)), "digest binary, n long, a long, b long"))
         links.append(scratch.write(found, f"links-{d}"))
     out = base.withColumn("id", F.col("vec_id").cast("long"))
     if not links:

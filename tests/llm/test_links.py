@@ -186,6 +186,22 @@ def test_pivot_recall_in_a_hot_cone(spark, n, base):
     assert pairs >= 0.99 * h / 2 and 0.95 * pairs <= got <= pairs
 
 
+def test_candidates_by_shared_pivots():
+    """Pairs are candidates in one list only, and exactly those that share enough pivots."""
+    rng = np.random.default_rng(4)
+    codes = np.array([rng.permutation(12)[:4] for _ in range(60)])
+    want = {(i, j) for i in range(60) for j in range(i) if len(set(codes[i]) & set(codes[j])) >= 2}
+    got = []
+    for pivot in range(12):
+        rows = np.flatnonzero((codes == pivot).any(axis=1))
+        i_rows, j_rows = np.array_split(np.arange(len(rows)), 2)
+        for x, y in ((i_rows, i_rows), (i_rows, j_rows), (j_rows, j_rows)):
+            p, q = np.nonzero(pivots.candidates(codes[rows], pivot, 2, x, y))
+            got += [(rows[i], rows[j]) for i, j in zip(x[p], y[q]) if i != j and not (len(x) == len(y) and (x == y).all() and i < j)]
+    got = [(max(p), min(p)) for p in got]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_lists_grow_with_the_pivots():
     taken = []
     for n in (3000, 200000):
