@@ -193,6 +193,57 @@ def test_wrapped_license_notices(spark):
     assert sorted((r.doc_id, r.line, r.family) for r in got) == [(0, 1, "MIT"), (1, 0, "GPL-3.0"), (3, 1, "MIT"), (3, 8, "MIT")]
 
 
+def test_licenses_named_and_granted(spark):
+    """Identifiers and grants of families that the corpus doesn't hold; sentences that grant nothing;
+    notices wrapped over many lines."""
+    import textwrap
+    grant = next(t for f, t in licenses.TEMPLATES if f == "MIT" and "sublicense" in t)
+    texts = {
+        "SPDX-License-Identifier: MIT": "MIT", "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "The whole thing is distributed under the Mozilla Public License 2.0.": "MPL-2.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+        "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "ISC",
+        "\n".join("// " + x for x in textwrap.wrap(grant, 34)): "MIT", "\n".join(grant.split()): "MIT",
+        "\n".join(" " * 2000 + x for x in textwrap.wrap(grant, 60)): "MIT",
+        "You may not license this work under the MIT license without asking.": None,
+        "Our engine was never released under the Apache License 2.0.": None,
+        "This code is not licensed under the GNU General Public License, version 3.": None}
+    got = {(r.doc_id, r.line, r.family) for r in licenses.license_lines(rows(spark, list(texts))).filter("confirmed").collect()}
+    assert got == {(i, 0, f) for i, f in enumerate(texts.values()) if f}
+
+
+def test_license_scores_against_a_plain_scorer(spark):
+    """Every distinct line of the small corpus, scored by a loop over its n-grams."""
+    import math
+    import re
+    seen = {line for _, t in sql_rows("SELECT doc_id, text FROM documents", SMALL) for line in (t or "").split("\n")}
+    texts = sorted(seen) + ["Not released under the MIT License.", "spdx-license-identifier: ISC", "license " * 3000]
+    table, families, intercepts, thresholds = licenses.train(spark)
+    weights = {r.gram: r.w for r in table.collect()}
+    shapes = [(f, licenses.shape(t)) for f, t in licenses.TEMPLATES]
+    held = set(licenses.anchors())
+    want = {}
+    for i, text in enumerate(texts):
+        words = re.findall(licenses.WORDS_RE, text.lower())
+        own = licenses._grams(words)
+        known = [weights[g] for g in own if g in weights]
+        z = [b + math.fsum(w[k] for w in known) for k, b in enumerate(intercepts)]
+        e = [math.exp(v - max(z)) for v in z]
+        p, k = max((e[k] / sum(e), -k) for k in range(1, len(e)) if e[k] / sum(e) >= thresholds[families[k]] or k == 1)
+        family = families[-k]
+        if p < thresholds[family]:
+            continue
+        similar = max(len(own & shape) / len(shape) for f, shape in shapes if f == family)
+        if re.search("(?<![a-z0-9])(?:" + "|".join(map(re.escape, held)) + ")(?![a-z0-9])", text.lower()):
+            want[i] = (family, round(p, 6), round(similar, 6))
+        else:
+            assert similar < licenses.CONFIRM
+    got = {r.doc_id: (r.family, round(r.probability, 6), round(r.similarity, 6))
+           for r in licenses.license_lines(rows(spark, texts)).collect()}
+    assert got == want and want
+
+
 def test_license_lines_against_the_corpus(spark):
     """Every line of the small corpus that is a template is found, and no other."""
     df = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -205,19 +256,17 @@ def test_license_lines_against_the_corpus(spark):
 
 def test_anchors_bound_what_is_missed():
     import math
-    import re
     held = set(licenses.anchors())
     for _, t in licenses.TEMPLATES:
-        grams = licenses._grams(re.findall(licenses.WORDS_RE, t.lower()))
+        grams = licenses.shape(t)
         assert sum(not held.intersection(g.split()) for g in grams) < math.ceil(licenses.CONFIRM * len(grams))
 
 
 def test_pairs_bound_what_windows_miss():
     import math
-    import re
     held = licenses.pairs()
     for _, t in licenses.TEMPLATES:
-        grams = licenses._grams(re.findall(licenses.WORDS_RE, t.lower()))
+        grams = licenses.shape(t)
         free = [g for g in grams if not any(f" {p} " in f" {g} " for p in held)]
         assert len(free) < math.ceil(licenses.CONFIRM * len(grams))
 
