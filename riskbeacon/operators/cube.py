@@ -48,12 +48,23 @@ def apply_filters(df: DataFrame, year_range=None, districts=None, crime_types=No
 
 # ------------------------------------------------------------------ G2 -----
 def filter_domains(df: DataFrame) -> DataFrame:
-    """(kind, value) rows: year_min, year_max, each district, each type."""
-    yr = df.agg(F.min("Year").cast("string").alias("year_min"), F.max("Year").cast("string").alias("year_max"))
-    years = yr.unpivot([], ["year_min", "year_max"], "kind", "value")
-    d = df.select(F.lit("district").alias("kind"), c(C_DIST).cast("string").alias("value")).dropna().distinct()
-    t = df.select(F.lit("type").alias("kind"), c(C_TYPE).cast("string").alias("value")).dropna().distinct()
-    return years.unionByName(d).unionByName(t)
+    """(kind, value) rows: year_min, year_max, each district, each type. One
+    scan: the years and both dimensions are grouping sets of one aggregation.
+    Without rows both years are null."""
+    spark = df.sparkSession
+    rows = df.select(c("Year").alias("year"), c(C_DIST).cast("string").alias("district"), c(C_TYPE).alias("type"))
+    # a row of nulls: there is a grand total even without rows
+    none = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    rows = rows.unionByName(none)
+    sets = rows.groupingSets([[], [F.col("district")], [F.col("type")]], "district", "type").agg(
+        F.grouping("district").alias("no_district"), F.grouping("type").alias("no_type"),
+        F.min("year").cast("string").alias("low"), F.max("year").cast("string").alias("high"))
+    pair = lambda kind, value: F.struct(F.lit(kind).alias("kind"), F.col(value).alias("value"))
+    dim = F.when(F.col("no_type") == 1, pair("district", "district")).otherwise(pair("type", "type"))
+    total = (F.col("no_district") == 1) & (F.col("no_type") == 1)
+    out = sets.select(total.alias("total"), F.explode(F.when(total, F.array(
+        pair("year_min", "low"), pair("year_max", "high"))).otherwise(F.array(dim))).alias("r"))
+    return out.filter(F.col("total") | F.col("r.value").isNotNull()).select("r.kind", "r.value")
 
 
 # ------------------------------------------------------------------ G5-G8 --
@@ -80,18 +91,29 @@ def dense_counts(spark: SparkSession, df: DataFrame, col: str) -> DataFrame:
 # ------------------------------------------------------------------ G3/G4 --
 def kpis(df: DataFrame) -> DataFrame:
     """Total, distinct types, arrest rate %, distinct districts, latest year,
-    top type (ties -> smallest name) and peak hour (ties -> earliest)."""
-    base = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct(c(C_TYPE)).alias("n_types"),
-        (F.avg(c("Arrest").cast("double")) * 100).alias("arrest_rate_pct"),
-        F.count_distinct(c(C_DIST)).alias("n_districts"),
-        F.max("Year").cast("int").alias("latest_year"))
-    tt = df.groupBy(c(C_TYPE).alias("t")).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.min_by("t", F.struct(-F.col("n"), F.col("t"))).alias("top_type"))
-    hh = df.groupBy(c("Hour").cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.min_by("h", F.struct(-F.col("n"), F.col("h"))).alias("peak_hour"))
-    return side_by_side(base, tt, hh)
+    top type (ties -> smallest name) and peak hour (ties -> earliest). One
+    scan: the totals and three dimensions are grouping sets of one aggregation."""
+    rows = df.select(c(C_TYPE).alias("t"), c(C_DIST).alias("d"), c("Hour").cast("int").alias("h"),
+                     c("Arrest").cast("double").alias("arrest"), c("Year").cast("int").alias("year"))
+    dims = ["t", "d", "h"]
+    sets = rows.groupingSets([[], *[[F.col(k)] for k in dims]], *dims).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("arrest").alias("arrests"), F.count("arrest").alias("known"),
+        F.max("year").alias("year"), *[(F.grouping(k) == 0).alias(f"by_{k}") for k in dims])
+    total = ~(F.col("by_t") | F.col("by_d") | F.col("by_h"))
+
+    def first(k: str) -> Column:
+        return F.min_by(F.when(F.col(f"by_{k}"), F.col(k)), F.when(F.col(f"by_{k}"), F.struct(-F.col("n"), F.col(k))))
+
+    def distinct(k: str) -> Column:
+        return F.count(F.when(F.col(f"by_{k}"), F.col(k)))
+
+    return sets.agg(
+        F.coalesce(F.max(F.when(total, F.col("n"))), F.lit(0)).alias("total"),
+        distinct("t").alias("n_types"),
+        F.max(F.when(total, F.try_divide(F.col("arrests"), F.col("known")) * 100)).alias("arrest_rate_pct"),
+        distinct("d").alias("n_districts"),
+        F.max(F.when(total, F.col("year"))).alias("latest_year"),
+        first("t").alias("top_type"), first("h").alias("peak_hour"))
 
 
 def yoy(df: DataFrame) -> DataFrame:

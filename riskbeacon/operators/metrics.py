@@ -259,8 +259,11 @@ def metrics_completeness(spark, mlong: DataFrame, models=MODEL_ORDER, seeds=(0,
 
 # ------------------------------------------------------------- E12/E13 ----
 def seed_mean_overall(pred: DataFrame) -> DataFrame:
-    o = overall_by_seed(pred)
-    return o.groupBy(F.col("domain").alias("dataset"), "model").agg(
+    return mean_over_seeds(overall_by_seed(pred))
+
+
+def mean_over_seeds(by_seed: DataFrame) -> DataFrame:
+    return by_seed.groupBy(F.col("domain").alias("dataset"), "model").agg(
         F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
         F.avg("f1").alias("f1"), F.avg("auc").alias("auc_roc"))
 
