@@ -33,7 +33,7 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     scores = toxicity.toxicity_scores(docs, toxicity.fit(spark, docs, sf_dir))
-    return scores.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+    return scores.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "toxic")
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each text is cut at boundaries at which the tokenizer always cuts; the
 distinct pieces of a slice (slices and library calls are balanced by bytes,
-not rows) are encoded in batches and only their lengths are kept, so no list
-of ids ever leaves the library call. Texts in which those cuts aren't known
+not rows) are encoded in batches and only their lengths are taken and
+remembered, so no list of ids leaves the library call. Texts in which those cuts aren't known
 to be safe are split at single blanks between letters or digits only when
 they are long.
 """
@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
                            T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def count(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, ids=False)
         for b in batches:
             texts = text_column(b, text_col)
             n = enc.count(texts)

@@ -6,6 +6,7 @@ batch are encoded once, and pieces that repeat are remembered in the worker
 (a bounded table). Texts in which the cuts aren't known to be safe (runs of
 white space, special-token strings) go to the library whole, or in parts of
 ``PART_CHARS`` cut between a letter or digit, one blank and a letter or digit.
+Texts for a pre-tokenizer of another kind are never cut.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SEP = "\x01"
 REMEMBERED = 280_000      # pieces that a worker remembers at most
 SLICE_BYTES = 8 << 20     # texts worked on at once
 BATCH_BYTES = 1 << 20     # bytes of one call of the library
+COUNT_BYTES = 1 << 18     # the same, where lengths are wanted: a call holds a result a piece
 PART_CHARS = 1 << 16      # parts of long texts that go to the library
 _WS = "[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
@@ -32,15 +34,16 @@ JOIN_CHARS = 1 << 14      # pieces, joined by line feeds, of one text for the li
 # Places of pieces joined by line feeds where the white space isn't one line
 # feed, alone or before the blank of a blank-led piece.
 _CLASH = re.compile(r"[^\S\n]\s|\n[^\S ]|\s\Z")
-_ENCODERS: dict[str, "PieceEncoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "PieceEncoder"] = {}
 
 
-def encoder(path: str, remembered: int = REMEMBERED) -> "PieceEncoder":
-    """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    _ENCODERS[path].most = remembered
-    return _ENCODERS[path]
+def encoder(path: str, remembered: int = REMEMBERED, ids: bool = True) -> "PieceEncoder":
+    """The worker's encoder for a tokenizer file; without ``ids`` one that
+    takes and remembers lengths only."""
+    if (path, ids) not in _ENCODERS:
+        _ENCODERS[path, ids] = PieceEncoder(path, ids)
+    _ENCODERS[path, ids].most = remembered
+    return _ENCODERS[path, ids]
 
 
 def byte_batches(texts: list[str], most: int = BATCH_BYTES):
@@ -69,7 +72,8 @@ def safe_parts(text: str, most: int = PART_CHARS) -> list[str]:
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, ids: bool = True):
+        self.ids = ids
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tk = Tokenizer.from_file(path)
@@ -115,8 +119,12 @@ class PieceEncoder:
 
     # ---- encoding ----------------------------------------------------------
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(lengths, ids) of each text by the library."""
+        """(lengths, ids) of each text by the library; no ids where lengths are wanted."""
         lens, ids = [], []
+        if not self.ids:
+            for batch in byte_batches(texts, COUNT_BYTES):
+                lens.extend(map(len, self.tk.encode_batch_fast(batch, add_special_tokens=False)))
+            return np.array(lens, np.int64), np.zeros(0, np.uint32)
         for batch in byte_batches(texts):
             got = [e.ids for e in self.tk.encode_batch_fast(batch, add_special_tokens=False)]
             lens.append(np.fromiter(map(len, got), np.int64, len(got)))
@@ -150,7 +158,7 @@ class PieceEncoder:
 
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of pieces that aren't remembered."""
-        return self._joined(words) if words and len(self.line_feed) == 1 else self._library(words)
+        return self._joined(words) if self.ids and words and len(self.line_feed) == 1 else self._library(words)
 
     def _again(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Which new pieces to remember: any at first, later those that were met before."""
@@ -177,11 +185,12 @@ class PieceEncoder:
         if len(keep):
             pos = len(self.lens) + keep
             self.known = pa.concat_arrays([self.known, unknown.take(pa.array(keep))])
-            self.flat = np.concatenate((self.flat, gather(flat, starts[pos], lens[pos])))
+            if self.ids:
+                self.flat = np.concatenate((self.flat, gather(flat, starts[pos], lens[pos])))
             self.lens = np.concatenate((self.lens, lens[pos]))
         return lens[slot], (starts[slot], flat)
 
-    def _encode_slice(self, texts: pa.Array, want_ids: bool):
+    def _encode_slice(self, texts: pa.Array):
         unsafe = self._unsafe(texts)
         n = len(texts)
         safe = texts.filter(pa.array(~unsafe)) if unsafe.any() else texts
@@ -195,15 +204,15 @@ class PieceEncoder:
         per = wlens[codes]
         counts = np.zeros(n, np.int64)
         counts[~unsafe] = segment_sums(per, off)
-        ids_of_safe = gather(flat, wstarts[codes], per) if want_ids else None
+        ids_of_safe = gather(flat, wstarts[codes], per) if self.ids else None
         if not unsafe.any():
             return counts, ids_of_safe
         at = np.flatnonzero(unsafe)
-        parts = [safe_parts(t) for t in texts.filter(pa.array(unsafe)).to_pylist()]
+        parts = [[t] if self.kind == "whole" else safe_parts(t) for t in texts.filter(pa.array(unsafe)).to_pylist()]
         lens, ids = self._library([p for ps in parts for p in ps])
         poff = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
         counts[at] = segment_sums(lens, poff)
-        if not want_ids:
+        if not self.ids:
             return counts, None
         out = np.zeros(int(counts.sum()), np.uint32)
         of_unsafe = np.repeat(unsafe, counts)
@@ -212,13 +221,13 @@ class PieceEncoder:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
-        got = [self._encode_slice(texts.slice(a, b - a), False)[0] for a, b in slices_by_bytes(texts, SLICE_BYTES)]
+        got = [self._encode_slice(texts.slice(a, b - a))[0] for a, b in slices_by_bytes(texts, SLICE_BYTES)]
         return np.concatenate(got) if got else np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array):
         """Yields (first row, lengths, ids) for consecutive rows."""
         for a, b in slices_by_bytes(texts, SLICE_BYTES):
-            counts, ids = self._encode_slice(texts.slice(a, b - a), True)
+            counts, ids = self._encode_slice(texts.slice(a, b - a))
             yield a, counts, ids
 
 

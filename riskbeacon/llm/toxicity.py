@@ -308,9 +308,17 @@ def _scored(rows: DataFrame, model: Cnn, *more: str) -> DataFrame:
 
 
 def toxicity_scores(docs: DataFrame, model: Cnn) -> DataFrame:
-    """(doc_id, held_out, score), one row per row; whole texts, a null text scores as an empty one."""
-    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    return _scored(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+    """(doc_id, held_out, score, toxic), one row per row; whole texts, a null
+    text scores as an empty one. ``toxic``: the score reaches the threshold of
+    the row's language (that over all for a null or uncalibrated language)."""
+    lang = docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), lang.alias("lang"))
+    cut = F.lit(model.threshold)
+    if model.thresholds:  # one entry a language with enough labels
+        of = F.create_map(*[F.lit(v) for pair in model.thresholds.items() for v in pair])
+        cut = F.coalesce(F.try_element_at(of, F.col("lang")), cut)
+    return _scored(rows, model, "lang").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                               (F.col("score") >= cut).alias("toxic"))
 
 
 def drop_toxic(docs: DataFrame, model: Cnn) -> DataFrame:

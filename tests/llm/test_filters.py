@@ -151,8 +151,9 @@ def test_thresholds_keep_their_precision(spark, many_labels):
     model = toxicity.fit(spark, docs, d, sample=600)
     kept = {r.doc_id for r in toxicity.drop_toxic(docs, model).select("doc_id").collect()}
     gone = [r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect() if r.doc_id not in kept]
-    scores = toxicity.toxicity_scores(docs, model)
-    assert np.mean(gone) >= 0.85 and scores.count() == 6000
+    scores = toxicity.toxicity_scores(docs, model).collect()
+    assert np.mean(gone) >= 0.85 and len(scores) == 6000
+    assert {r.doc_id for r in scores if not r.toxic} == kept
 
 
 def test_discriminant_against_densities():
@@ -296,3 +297,16 @@ def test_pipeline_stages(spark, tmp_path):
         if k == 4:
             assert set(ids) == set(seen)
         docs, seen = got, ids
+
+
+def test_pipeline_on_awkward_and_empty_tables(spark, labelled, tmp_path):
+    """All stages as run() chains them: every row that stays is packed, rows without text too."""
+    names = ["doc_id", "text", "lang", "source", "n_chars", "size", "copies"]
+    for k, docs in enumerate((awkward(spark), empty(spark))):
+        d = f"{tmp_path}/{k}"
+        docs.select(*names).write.parquet(f"{d}/documents.parquet")
+        spark.read.parquet(f"{labelled}/labels.parquet").write.parquet(f"{d}/labels.parquet")
+        got = corpus_pipeline.run(spark, d).collect()
+        assert all(r.length >= 0 and 0 <= r.offset < 4096 and r.doc_tokens >= 1 for r in got)
+        known = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert {r.doc_id for r in got} <= known and (len(got) > 0) == (k == 0)

@@ -39,6 +39,8 @@ def test_pieces_join_to_the_texts_ids(texts):
             ends = np.cumsum(n)
             got += [ids[e - k:e].tolist() for e, k in zip(ends, n)]
         assert got == library_ids(name, texts)
+        counted = encoder(tokenizer(name), ids=False)
+        assert counted.count(pa.array(texts, pa.string())).tolist() == [len(g) for g in got] and not len(counted.flat)
 
 
 @settings(max_examples=100, deadline=None)
