@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskbeacon.operators import cube, features, labels, metrics, prep, serving, topk
+from riskbeacon.operators import cube, features, labels, metrics, panel, prep, serving, topk
 from riskbeacon.plans.store import materialize
 
 
@@ -30,6 +30,25 @@ def test_ewma_scan_long_series_equals_loop(spark):
     assert got == pytest.approx(exp, rel=1e-12)
 
 
+def test_windows_are_summed_from_days(spark):
+    """Late hours, days before the anchor, and rows without date or region: as if each event were binned."""
+    at = [dt.datetime(2014, 12, 31, 23, 59, 59) + dt.timedelta(hours=7 * i) for i in range(60)]
+    groups = ["robbery", "burglary", None]
+    rows = [(t, "AB"[i % 2], groups[i % 3]) for i, t in enumerate(at)] + [(None, "A", "robbery"), (at[0], None, "robbery")]
+    days = panel.day_counts(spark.createDataFrame(rows, "event_date timestamp, region_id string, crime_group string"),
+                            "2015-01-05")
+    for w in (7, 3):
+        want = {}
+        for t, region, g in rows[:-2]:
+            want.setdefault((region, labels.window_of(t, w)), []).append((t, g))
+        got = {(r.region_id, r.time_id): r for r in panel.window_counts(days, w).collect()}
+        assert got.keys() == want.keys()
+        for k, ev in want.items():
+            assert (got[k]["count"], got[k].count_grp_robbery) == (len(ev), sum(g == "robbery" for _, g in ev))
+            assert got[k].last_date == max(t for t, _ in ev)
+            assert got[k].first_from == min((t for t, _ in ev if t >= dt.datetime(2015, 1, 5)), default=None)
+
+
 def test_threshold(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 10]], "y_count double")
     assert labels.compute_threshold(df) == 5  # q75 = 4.75 -> ceil 5

@@ -60,3 +60,11 @@ def test_auc_symmetry_on_pipeline(run):
     for k, v in a.items():
         if v is not None:
             assert b[k] == pytest.approx(1 - v)
+
+
+def test_both_windows_take_one_look_at_the_events(spark, monkeypatch):
+    looks = []
+    for module, name in ((pipeline, "in_domain_events"), (pipeline.standin, "out_domain_events")):
+        monkeypatch.setattr(module, name, lambda *a, _f=getattr(module, name), _n=name: looks.append(_n) or _f(*a))
+    pipeline.window_runs(spark, f"{SF_SMALL}/.", (7, 3))  # a path of its own, so nothing is remembered
+    assert sorted(looks) == ["in_domain_events", "out_domain_events"]
