@@ -106,6 +106,7 @@ def importance_by_seed(spark: SparkSession, sf_dir: str, w: int, seeds=EVAL_SEED
 
 
 def importance_both_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grids(spark, sf_dir)  # fitted side by side
     return reduce(DataFrame.unionByName, [importance_by_seed(spark, sf_dir, w) for w in (7, 3)])
 
 

@@ -1,6 +1,7 @@
 """Fitted models: stored grids, reloaded scores, importances, and the queries that take them."""
 
 import math
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,15 @@ def test_evaluation_takes_the_fitted_models(spark, grid):
     assert specs["op_e22_fitted_best_model"].build(spark, SF_SMALL).first().model == best
     hits = specs["op_e27_fitted_hit_summary"].build(spark, SF_SMALL).first()
     assert (hits.model, hits.seed) == (best, 0)
+
+
+@pytest.mark.parametrize("name", ["op_d8_logistic_importance", "op_e16_fitted_window_gap", "op_h2_fitted_district_priority"])
+def test_windows_are_fitted_side_by_side(spark, monkeypatch, name):
+    both = threading.Barrier(2)
+
+    def fit(spark, sf_dir, w):
+        both.wait(20)
+        raise LookupError("both windows are here")
+    monkeypatch.setattr(MLP, "grid", fit)
+    with pytest.raises(LookupError, match="both windows"):
+        load_all()[name].build(spark, SF_SMALL)
