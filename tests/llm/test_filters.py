@@ -20,7 +20,7 @@ LABELS = "doc_id long, quality int, toxic int"
 
 def sql_rows(sql, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con.execute(sql).fetchall()
 
