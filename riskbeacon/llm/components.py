@@ -38,8 +38,18 @@ class Forest:
         return True
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """No node has both a smaller neighbour and another one (edges are distinct)."""
+    node = _both_ways(edges).groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n"))
+    return node.filter("low < a AND n > 1").agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _both_ways(edges)
     low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
     return (both.join(low, F.col("a") == F.col("u")).filter("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
@@ -58,18 +68,14 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     links don't matter.
     """
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    step, before = 0, None
+    step = 0
     now = scratch.write(now, f"{name}-0")
-    while True:
+    while not _only_stars(now):
         step += 1
-        out = scratch.write(_small_star(_large_star(now).distinct()).distinct(), f"{name}-{step}")
+        now = scratch.write(_small_star(_large_star(now).distinct()).distinct(), f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
-        # stars only: every larger end appears once and no smaller end is itself a larger one
-        state = out.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            return out.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                out.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before, now = state, out
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

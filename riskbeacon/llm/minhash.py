@@ -15,7 +15,8 @@
    blocks' parts around them for work in proportion to the group; pairs
    across blocks are compared only for classes that are still outside the
    group's main component.
-4. Components of the confirmed links are the result.
+4. A block's components are known when its links are; later links join whole
+   components. What they have become part of is the result.
 """
 
 from __future__ import annotations
@@ -169,48 +170,52 @@ def _bucket_forest(threshold: float):
     A row that has joined the first row's tree isn't compared any more: its
     pairs with rows of the tree are settled, and those with other rows are
     found when these are compared. So a bucket of copies takes one comparison
-    with all its rows, not one for each row.
+    with all its rows, not one for each row. Every tree is given as a star
+    around its smallest id: buckets with the same rows give the same links.
     """
     most = differing(threshold)
 
     def make(batches):
         for t in runs(batches, ["band"]):
+            t = t.sort_by("id")  # the smallest index of a tree, its root, is its smallest id
             ids = t["id"].to_numpy()
             n = t["n"].to_numpy()
             sk = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-            f, a, b = Forest(len(ids)), [], []
+            f = Forest(len(ids))
             for i in range(len(ids)):
                 if i and f.find(i) == f.find(0):
                     continue
                 for j in np.flatnonzero((_apart(sk, sk[i]) <= most) & _may_link(n, n[i], threshold)).tolist():
-                    if f.join(i, j):
-                        a.append(ids[j])
-                        b.append(ids[i])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    f.join(i, j)
+            root = np.array([f.find(i) for i in range(len(ids))])
+            inner = root != np.arange(len(ids))
+            if inner.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[inner], pa.int64()), pa.array(ids[root[inner]], pa.int64())],
+                                                 names=["a", "b"])
 
     return make
 
 
-def _block_links(threshold: float, percent: int):
-    """Confirmed links of a block that join its components; side 1 rows are
-    compared with all rows, or all with all where there is no other side."""
+def _block_links(threshold: float, percent: int, every: bool):
+    """Components of a block that confirmed links join, as (component, the
+    smallest one joined with it, links made by comparing its rows with others);
+    ``every`` also gives those that nothing joins. Side 1 rows are compared
+    with all rows, or all with all where there is no other side."""
     most = differing(threshold)
 
     def make(batches):
         for t in runs(batches, ["grp", "left", "right"]):
             t = t.combine_chunks()
-            ids, comp, side = t["id"].to_numpy(), t["comp"].to_numpy(), t["side"].to_numpy()
+            comp, side = t["comp"].to_numpy(), t["side"].to_numpy()
             n = t["n"].to_numpy()
             sk = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
             sets = [np.frombuffer(x, np.uint64) for x in t["shingles"].to_pylist()]
             vocab, code = np.unique(np.concatenate(sets), return_inverse=True)
             starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
             mark = np.zeros(len(vocab), np.int64)
-            known = {c: k for k, c in enumerate(np.unique(comp).tolist())}
+            known, node = np.unique(comp, return_inverse=True)
             f = Forest(len(known))
-            node = np.array([known[c] for c in comp.tolist()])
-            a, b = [], []
+            made = np.zeros(len(known), np.int64)
             for i in np.flatnonzero(side == 1).tolist():
                 near = (_apart(sk, sk[i]) <= most) & _may_link(n, n[i], threshold)
                 near[i] = False
@@ -223,11 +228,13 @@ def _block_links(threshold: float, percent: int):
                 for j in todo:
                     both = int(mark[code[starts[j]:starts[j + 1]]].sum())
                     if 100 * both >= percent * int(n[i] + n[j] - both) and f.join(int(node[i]), int(node[j])):
-                        a.append(int(ids[i]))
-                        b.append(int(ids[j]))
+                        made[node[i]] += 1
                 mark[own] = 0
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            root = np.array([f.find(k) for k in range(len(known))])
+            out = (root != np.arange(len(known))) | every
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[out], pa.int64()) for x in (known, known[root], made)],
+                                                 names=["a", "b", "joined"])
 
     return make
 
@@ -254,25 +261,24 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(tidy(make), schema)
 
 
-def _links(units: DataFrame, threshold: float, percent: int) -> DataFrame:
+def _links(units: DataFrame, threshold: float, percent: int, every: bool = False) -> DataFrame:
     return (units.repartition("grp", "left", "right").sortWithinPartitions("grp", "left", "right")
-            .mapInArrow(tidy(_block_links(threshold, percent)), "a long, b long"))
+            .mapInArrow(tidy(_block_links(threshold, percent, every)), "a long, b long, joined long"))
 
 
-def _in_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    return (rows.join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
-            .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+def _merged(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows whose ``comp`` is replaced by the component it has become part of."""
+    return (rows.join(comp.select(F.col("node").alias("comp"), "component"), "comp", "left")
+            .withColumn("comp", F.coalesce("component", "comp")).drop("component"))
 
 
-def _hub_units(large: DataFrame, first: DataFrame, comp: DataFrame) -> DataFrame:
+def _hub_units(large: DataFrame) -> DataFrame:
     """Every block of the large groups with the hubs of its group beside it."""
-    rows = _in_components(large, comp)
-    joined = first.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("joined"))
     order = Window.partitionBy("grp").orderBy(F.col("joined").desc(), "id")
-    hubs = (rows.join(joined, "id").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
+    hubs = (large.filter("joined > 0").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
             .withColumn("right", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return (rows.withColumn("right", F.col("block")).withColumn("side", F.lit(0)).unionByName(
-        hubs.withColumn("side", F.lit(1)).drop("joined", "place"))).withColumn("left", F.lit(0))
+    return (large.withColumn("right", F.col("block")).withColumn("side", F.lit(0)).unionByName(
+        hubs.withColumn("side", F.lit(1)).drop("place"))).withColumn("left", F.lit(0))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> DataFrame:
@@ -315,17 +321,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     cols = ["grp", "left", "right", "id", "comp", "side", "n", "sketch", "shingles"]
     sets = with_sets.join(extent, "grp").withColumn("block", block)
+    # a class lies in one block, so the blocks' components need no further step
     first = scratch.write(_links(sets.select("grp", F.col("block").alias("left"), F.lit(0).alias("right"), "id",
                                              F.col("id").alias("comp"), F.lit(1).alias("side"), "n", "sketch",
-                                             "shingles").select(*cols), threshold, percent), "links-1")
-
-    # large groups: hubs meet every block, then what isn't in the main component does
-    large = scratch.write(sets.filter("blocks > 1"), "large")
-    comp = components(scratch, first, "first")
-    hubs = scratch.write(_links(_hub_units(large, first, comp).select(*cols), threshold, percent), "links-hubs")
-    first = first.unionByName(hubs)
-    comp = components(scratch, first, "joined")
-    large = scratch.write(_in_components(large, comp), "apart")
+                                             "shingles").select(*cols), threshold, percent, every=True), "links-1")
+    linked = first.select(F.col("a").alias("id"), F.col("b").alias("comp"), "joined")
+
+    # large groups: hubs meet every block, then what isn't in the main component does; links are between components
+    large = scratch.write(sets.filter("blocks > 1").join(linked, "id"), "large")
+    hubs = scratch.write(_links(_hub_units(large).select(*cols), threshold, percent), "links-hubs")
+    by_hubs = components(scratch, hubs.select("a", "b"), "joined")
+    large = scratch.write(_merged(large, by_hubs), "apart")
     main = (large.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
             .groupBy("grp").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"),
                                 F.sum("c").alias("all_c"), F.sum("s").alias("all_s"),
@@ -342,11 +348,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = WORDS) -> Da
         "grp", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)).alias("left"), F.col("block").alias("right"),
         "id", "comp", F.lit(0).alias("side"), "n", "sketch", "shingles")
     second = scratch.write(_links(outside.unionByName(every).select(*cols), threshold, percent), "links-2")
-    linked = components(scratch, first.unionByName(second), "linked")
+    linked = _merged(_merged(linked, by_hubs), components(scratch, second.select("a", "b"), "linked"))
 
-    rep = slim.select("digest", "id").join(
-        linked.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("class_component"))
+    rep = slim.select("digest", "id").join(linked.select("id", "comp"), "id", "left").select(
+        "digest", F.coalesce("comp", "id").alias("class_component"))
     # an id with several texts belongs to all their classes
     out = base.select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
     own = F.col("doc_id").cast("long")

@@ -92,6 +92,34 @@ def test_components(spark):
     assert all(got.get(v, v) == c for v, c in want.items())
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written = []
+    plain = Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name: written.append(name) or plain(self, df, name))
+    df = spark.createDataFrame([(5, 1), (1, 6), (9, 7)], "a long, b long")
+    got = {r.node: r.component for r in components(Scratch(spark, "test"), df, "t").collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 7: 7, 9: 7} and written == ["t-0"]
+
+
+def test_blocks_give_their_components(spark, monkeypatch):
+    """Components of blocks come with their links: no rounds over the links of one block each."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    written = []
+    plain = Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name: written.append(name) or plain(self, df, name))
+    check_documents(spark, rows(spark, near_texts(60)), 85)
+    assert not [n for n in written if n.startswith("first-")]
+
+
+def test_bucket_forest_is_stars_around_the_smallest_id():
+    same = np.zeros((4, minhash.SKETCH_WORDS), np.uint64).tobytes()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1] * 4, pa.int64()), pa.array([9, 4, 2, 7], pa.int64()), pa.array([50] * 4, pa.int64()),
+         pa.array([same[:8 * minhash.SKETCH_WORDS]] * 4, pa.binary())], names=["band", "id", "n", "sketch"])
+    out = pa.Table.from_batches(list(minhash._bucket_forest(0.85)([batch])))
+    assert set(zip(out["a"].to_pylist(), out["b"].to_pylist())) == {(4, 2), (7, 2), (9, 2)}
+
+
 def vectors(spark, x, extra=()):
     data = [(i, [float(v) for v in row], 0, 9, "d", 1) for i, row in enumerate(x)]
     return spark.createDataFrame(data + list(extra), VECTORS)
