@@ -25,7 +25,7 @@ from riskbeacon.llm.common import Scratch, arrow_settings, text_column, tidy
 from riskbeacon.llm.tokens import encoder
 
 # larger batches than elsewhere: fewer distinct pieces are looked up again
-BATCH_ROWS, BATCH_BYTES, REMEMBERED = 4000, 12 << 20, 350_000
+BATCH_ROWS, BATCH_BYTES, REMEMBERED = 4000, 12 << 20, 800_000
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
 
 

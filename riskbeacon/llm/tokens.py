@@ -30,6 +30,9 @@ COUNT_BYTES = 1 << 18     # the same, where lengths are wanted: a call holds a r
 PART_CHARS = 1 << 16      # parts of long texts that go to the library
 _WS = "[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+# A letter or digit and a mark after it, which the byte-level pre-tokenizer
+# keeps apart whatever follows; an apostrophe may start a contraction.
+_MARK = "([A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])([!-&(-/:-@\\[-`{-~])"
 JOIN_CHARS = 1 << 14      # pieces, joined by line feeds, of one text for the library
 # Places of pieces joined by line feeds where the white space isn't one line
 # feed, alone or before the blank of a blank-led piece.
@@ -111,7 +114,7 @@ class PieceEncoder:
 
     def _pieces(self, texts: pa.Array) -> pa.ListArray:
         if self.kind == "blank-led":
-            t = pc.replace_substring_regex(texts, "([A-Za-z0-9])([.,])", "\\1" + SEP + "\\2")
+            t = pc.replace_substring_regex(texts, _MARK, "\\1" + SEP + "\\2")
             t = pc.replace_substring(pc.replace_substring(t, " ", SEP + " "), "\n", SEP + "\n" + SEP)
             return pc.split_pattern(t, SEP)
         t = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z0-9])([.,])", "\\1 \\2")

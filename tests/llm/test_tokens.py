@@ -43,6 +43,20 @@ def test_pieces_join_to_the_texts_ids(texts):
         assert counted.count(pa.array(texts, pa.string())).tolist() == [len(g) for g in got] and not len(counted.flat)
 
 
+def test_words_are_cut_before_marks():
+    """A word with marks behind it is the piece of the plain word; ids stay the library's."""
+    import pyarrow as pa
+    from riskbeacon.llm.tokens import PieceEncoder
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [f"word{m * k}{t}" for m in marks for k in (1, 3) for t in ("", "s", "'s", m + "x", " 1", "’")]
+    texts += [f"{w}{m}{m}re{m}" for w in ("É", "choiç", "ñ1", "x²", "a×", "don't", "日本") for m in marks]
+    enc = PieceEncoder(tokenizer(BYTE))
+    n, ids = zip(*[(n, ids) for _, n, ids in enc.encode(pa.array(texts))])
+    ends = np.cumsum(n[0])
+    assert [ids[0][e - k:e].tolist() for e, k in zip(ends, n[0])] == library_ids(BYTE, texts)
+    assert enc._pieces(pa.array(["word### choiç!! x"])).to_pylist() == [["word", "###", " choiç", "!!", " x"]]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60000), st.integers(0, 2**64 - 1)), max_size=700))
 def test_simple8b_round_trip(ids):
