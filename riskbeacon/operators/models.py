@@ -49,7 +49,8 @@ LOADERS = {MODEL_LR: LogisticRegressionModel, MODEL_RF: RandomForestClassificati
 FOREST_PARAMS = dict(numTrees=120, maxDepth=10, minInstancesPerNode=3, featureSubsetStrategy="sqrt",
                      impurity="gini", bootstrap=True, subsamplingRate=1.0)
 SEQUENCE_PARAMS = dict(hidden=32, maxIter=80)
-ROWS_A_TASK = 500  # least rows of a task when a small train set is spread
+ROWS_A_TASK = 500  # least rows of a task when a small train set, or rows to score, are spread
+MOST_ROWS_A_TASK, TASKS_A_CORE = 50_000, 4  # of rows to score: more rows make more tasks than these a core
 
 
 # ------------------------------------------------------ C26, C28 as vectors
@@ -160,8 +161,10 @@ def load_grid(spark: SparkSession, root: str) -> tuple[dict, dict]:
     pairs = [(r.model, r.seed) for r in read_log(spark, root).select("model", "seed").collect()]
     params = {r.feature: (r.median, r.mean, r.std)
               for r in spark.read.schema(PREPROCESSOR).parquet(f"{root}/preprocessor").collect()}
-    return params, {(m, s): LOADERS[m].load(model_path(root, m, s)) for m, s in pairs if m not in SEEDLESS or s == 0} | {
-        (m, s): None for m, s in pairs if m in SEEDLESS and s != 0}
+    stored = [(m, s) for m, s in pairs if m not in SEEDLESS or s == 0]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        loaded = dict(zip(stored, pool.map(lambda task: LOADERS[task[0]].load(model_path(root, *task)), stored)))
+    return params, loaded | {(m, s): None for m, s in pairs if m in SEEDLESS and s != 0}
 
 
 # ------------------------------------------------------------------ D5 -----
@@ -169,7 +172,11 @@ def score_all(rows: DataFrame, params: Mapping, models: Mapping, threshold: int
               seeds: Sequence[int] = EVAL_SEEDS) -> DataFrame:
     """The long prediction table of labelled ``rows`` (with ``dataset``):
     persistence by its threshold and every fitted model at 0.5, from one pass."""
-    scored = vectors(rows.withColumn("__least", threshold_of(rows, threshold)), params)
+    # few bytes a row, but hundreds of trees: tasks are cut by rows, in the exchange that ``vectors`` needs anyway
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n // ROWS_A_TASK, max(TASKS_A_CORE * cores, n // MOST_ROWS_A_TASK)))
+    scored = vectors(rows.withColumn("__least", threshold_of(rows, threshold)).repartition(tasks, "dataset", "region_id"),
+                     params)
     for model in filter(None, models.values()):
         scored = model.transform(scored)
 

@@ -51,6 +51,13 @@ def test_stored_models_score_alike(spark, grid):
     assert {r.n_rows for r in log} == {pipeline.window_run(spark, SF_SMALL, 7).train.count()}
 
 
+def test_rows_are_scored_by_many_tasks(spark, grid):
+    """Rows of few bytes aren't scored by one task, which hundreds of trees keep busy for long."""
+    again = MLP.reload_and_score(spark, SF_SMALL, 7, grid.root)
+    assert again.rdd.getNumPartitions() > 1
+    assert again.count() == grid.predictions.count()
+
+
 def test_sequence_vector_is_the_padded_history(spark):
     rows = [("d", "r", f"2000-01-0{i + 1}", float(i)) for i in range(3)] + [("e", "r", "2000-01-09", 7.0)]
     df = spark.createDataFrame(rows, "dataset string, region_id string, time_id string, x double")

@@ -4,8 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from riskbeacon.operators import harmonize
 from riskbeacon.plans import pipeline
-from riskbeacon.sources import readers
+from riskbeacon.sources import readers, standin
 
 from conftest import SF_SMALL
 
@@ -58,3 +59,51 @@ def test_thresholds_json_and_newest_run(spark, tmp_path):
     runs = spark.createDataFrame([("r1", 7, 1), ("r1", 3, 1), ("r2", 7, 5), ("r3", 7, 3), ("r3", 3, 3)],
                                  "run_id string, time_window_days int, modified_ts long")
     assert readers.newest_valid_run(runs).first().run_id == "r3"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_events_join_types_by_number_and_suppliers_undealt(spark):
+    """Codes that are whole numbers aren't joined as text, and the events aren't
+    dealt by supplier or agency where Spark knows the small table's size."""
+    inside = _plan(pipeline.in_domain_events(spark, SF_SMALL).select("event_date", "region_id", "crime_group"))
+    assert "cast(l_partkey" not in inside and "offense_code" in inside
+    outside = _plan(standin.out_domain_events(spark, SF_SMALL))
+    assert "hashpartitioning(l_suppkey" not in outside
+
+
+def test_codes_meet_as_numbers_or_as_text(spark):
+    """The same events whatever type the codes have; rows without a type, an incident or a code, and repeated incidents."""
+    rows = [(1, 120), (1, 5), (2, 220), (2, 77), (3, 5), (4, 5), (5, None)]
+    incidents = [(1, 10, "2020-01-01"), (2, 99, "2020-01-02"), (2, 10, "2020-01-03"), (3, None, None), (5, 10, "2020-01-04")]
+    types = [(5, "Theft", "x"), (5, "Arson", "x"), (120, "b", "c"), (None, "Theft", "x")]
+    inc = spark.createDataFrame(incidents, "incident_id int, agency_id int, incident_date string")
+    ag = spark.createDataFrame([(10, "co", "X")], "agency_id int, state_abbr string, county_name string")
+    rule = harmonize.RegionStrategy("county", "county_name", "agency_id", "")
+    found = []
+    for a, b in (("bigint", "bigint"), ("int", "bigint"), ("string", "string"), ("bigint", "string")):
+        off = spark.createDataFrame(rows, "incident_id int, code int").selectExpr("incident_id", f"CAST(code AS {a}) offense_code")
+        typ = spark.createDataFrame(types, "code int, offense_name string, offense_category_name string").selectExpr(
+            f"CAST(code AS {b}) offense_code", "offense_name", "offense_category_name")
+        got = harmonize.national_events(off, inc, typ, ag, rule, drop_invalid=False)
+        assert dict(got.dtypes)["offense_code"] == "string"
+        found.append(sorted(map(str, got.collect())))
+    assert len(found[0]) == 9 and all(f == found[0] for f in found)
+    kept = harmonize.national_events(off, inc, typ, ag, rule).select("region_id", "crime_group", "offense_code").collect()
+    assert sorted(map(tuple, kept)) == [("CO__X", "burglary", "220"), ("CO__X", "robbery", "120"), ("UNKNOWN__99", "burglary", "220")]
+
+
+def test_places_of_suppliers(spark, tmp_path):
+    """Suppliers without a nation, nations without a region, and events without a supplier or a type."""
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("region", [(0, "Asia")], "r_regionkey int, r_name string")
+    put("nation", [(0, "n0", 0), (1, "n1", 9)], "n_nationkey int, n_name string, n_regionkey int")
+    put("supplier", [(1, 0), (2, 1), (3, None), (4, 7), (4, 0)], "s_suppkey long, s_nationkey int")
+    put("part", [(1, "LARGE"), (2, "odd")], "p_partkey long, p_type string")
+    put("lineitem", [(1, s, "2020-01-01") for s in (1, 2, 3, 4, 5, None)] + [(2, 1, "2020-01-01"), (3, 1, "2020-01-01"), (1, 1, None)],
+        "l_partkey long, l_suppkey long, l_shipdate string")
+    got = [r.region_id for r in standin.out_domain_events(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(["ASIA__N0", "UNKNOWN__N1", "UNKNOWN__UNKNOWN", "UNKNOWN__UNKNOWN", "ASIA__N0"])
