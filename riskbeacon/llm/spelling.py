@@ -16,6 +16,10 @@ is (n, a chunk, a chunk of the rest with the places of both). That splits
 every group by rule, for all sizes alike, and loses no pair. Candidates are
 verified by edit distance.
 
+Joins are by sorted shuffles only. Spark sizes a table by its compressed files
+and takes an explode to add no rows: it would send the keys of a vocabulary
+under its broadcast threshold, many times that size, through the driver.
+
 Cases: a null text has no words. A null doc_id is hashed as the text "null".
 Repeated rows count as often as they occur. A word near to no other has
 n_near 0, null form and itself as root. Among near words of equal count the
@@ -53,6 +57,11 @@ def vocabulary(documents: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST))
 
 
+def _join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join that never broadcasts a side, whatever size Spark takes it to have."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _spans(n: Column) -> list[tuple[Column, Column]]:
     """(from, to) of the part that each key of a word of n code points leaves
     out: the two chunks of the word, each cut in two again."""
@@ -82,7 +91,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     def joined(grams: DataFrame) -> DataFrame:
         other = grams.withColumnsRenamed({"word": "other", "n": "other_n"})
-        pairs = chunks.join(other, on).filter(F.col("word") != F.col("other"))
+        pairs = _join(chunks, other, on).filter(F.col("word") != F.col("other"))
         return pairs.filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
     # of equal lengths: the replaced code point lies in one part, so a pair meets once in each order
     same = joined(_keys(words, 0))
@@ -102,7 +111,7 @@ def roots(scratch: Scratch, forms: DataFrame) -> DataFrame:
     while True:
         step += 1
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        now = scratch.write(now.join(ahead, "root", "left").select(
+        now = scratch.write(_join(now, ahead, "root", "left").select(
             "word", F.coalesce("ahead", "root").alias("root"), F.col("ahead").isNotNull().alias("moved")), f"roots-{step}")
         if now.filter("moved").isEmpty():
             return now.select("word", "root")
@@ -119,6 +128,6 @@ def spelling_variants(documents: DataFrame) -> DataFrame:
     found = scratch.write(near.select("word", "n_near", F.when(is_form, F.col("best.other")).alias("form"),
                                       F.when(is_form, -F.col("best.down")).alias("form_n")), "near")
     rooted = roots(scratch, found.filter("form IS NOT NULL"))
-    return (words.join(found, "word", "left").join(rooted, "word", "left")
+    return (_join(_join(words, found, "word", "left"), rooted, "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form_n"))

@@ -279,6 +279,26 @@ def test_spelling_awkward(spark):
     assert spelling.spelling_variants(empty(spark)).count() == 0
 
 
+def test_spelling_joins_broadcast_nothing(spark, monkeypatch):
+    """A vocabulary far under the broadcast threshold: its exploded keys, forms and roots still don't pass the driver."""
+    plans, write = [], Scratch.write
+
+    def seen(df):
+        got = df.collect()  # runs this frame's own plan, so that joins changed while running show
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return got
+
+    def watched(self, df, name):
+        seen(df)
+        return write(self, df, name)
+    monkeypatch.setattr(Scratch, "write", watched)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "-1b")
+    text = "abcde abcde abcde abcdef abcdef abcdef abcdef abcdef abcdef"
+    got = {(r.word, r.root, r.n) for r in seen(spelling.spelling_variants(rows(spark, [text])))}
+    assert got == {("abcde", "abcdef", 3), ("abcdef", "abcdef", 6)}
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 @pytest.mark.parametrize("name", ["op11_contamination", "op12_resample", "op13_spelling_variants"])
 def test_queries_against_sql(spark, name):
     from oracle_check import canon, duck
